@@ -443,3 +443,96 @@ def q_popular_topk(spark, sf):
 def q_popular_precision(spark, sf):
     """The minimum slice: log -> splits -> popularity top-10 -> precision."""
     return per_phase(spark, sf, lambda sp: pop.popular_precision(sp.train, sp.eval_full, K))
+
+
+# ------------------------------------------------------------------- profiling
+from ..operators import profile as prof  # noqa: E402
+from ..functions.timefeat import with_time_features  # noqa: E402
+from ..sources.events import click_raw_events  # noqa: E402
+
+_RAW = "raw AS (SELECT visitorid, timestamp, event, itemid, transactionid FROM ev)"
+
+
+@query("profile_shape", with_sql(
+    "SELECT position, column_name, data_type, (SELECT count(*) FROM raw) AS n_rows, 5 AS n_columns FROM (VALUES "
+    "(0, 'visitorid', 'bigint'), (1, 'timestamp', 'bigint'), (2, 'event', 'string'), (3, 'itemid', 'bigint'), "
+    "(4, 'transactionid', 'bigint')) t(position, column_name, data_type)", extra=[_RAW]))
+def q_profile_shape(spark, sf):
+    return prof.shape(tpch_raw_events(spark, sf))
+
+
+@query("profile_nulls", with_sql(
+    "SELECT column_name, n_null FROM (SELECT count(*) FILTER (WHERE visitorid IS NULL) AS visitorid, "
+    "count(*) FILTER (WHERE timestamp IS NULL) AS timestamp, count(*) FILTER (WHERE event IS NULL) AS event, "
+    "count(*) FILTER (WHERE itemid IS NULL) AS itemid, count(*) FILTER (WHERE transactionid IS NULL) AS transactionid "
+    "FROM raw) UNPIVOT (n_null FOR column_name IN (visitorid, timestamp, event, itemid, transactionid))",
+    extra=[_RAW]))
+def q_profile_nulls(spark, sf):
+    return prof.null_counts(tpch_raw_events(spark, sf))
+
+
+@query("event_counts", "WITH " + CLICKS_RAW + """
+SELECT event, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS share_pct,
+       event IN ('view', 'addtocart', 'transaction') AS known
+FROM clk_raw WHERE event IS NOT NULL GROUP BY event""")
+def q_event_counts(spark, sf):
+    """A3 on the click fixture (which also carries unknown labels)."""
+    return prof.event_counts(click_raw_events(spark, sf))
+
+
+@query("profile_duplicates", with_sql(
+    "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows, count(*) FILTER (WHERE n > 1) AS duplicated_keys "
+    "FROM (SELECT count(*) AS n FROM raw GROUP BY ALL_COLS)".replace(
+        "ALL_COLS", "visitorid, timestamp, event, itemid, transactionid"), extra=[_RAW]))
+def q_profile_duplicates(spark, sf):
+    return prof.duplicate_rows(tpch_raw_events(spark, sf))
+
+
+@query("distinct_counts", with_sql(
+    "SELECT count(DISTINCT visitorid) AS n_visitors, count(DISTINCT itemid) AS n_items, count(*) AS n_events FROM ev"))
+def q_distinct_counts(spark, sf):
+    return prof.distinct_counts(tpch_raw_events(spark, sf))
+
+
+@query("daily_event_counts", "WITH " + CLICKS_RAW + """
+SELECT CAST(to_timestamp(timestamp / 1000.0) AT TIME ZONE 'UTC' AS DATE) AS date, event, count(*) AS count
+FROM clk_raw WHERE event IS NOT NULL GROUP BY 1, 2""")
+def q_daily_event_counts(spark, sf):
+    return prof.daily_event_counts(with_time_features(click_raw_events(spark, sf)))
+
+
+@query("top_items_per_event", with_sql(
+    "SELECT event, itemid, count, rank FROM (SELECT event, itemid, count(*) AS count, row_number() OVER "
+    "(PARTITION BY event ORDER BY count(*) DESC, itemid) AS rank FROM ev GROUP BY event, itemid) WHERE rank <= 5"))
+def q_top_items_per_event(spark, sf):
+    return prof.top_items_per_event(tpch_raw_events(spark, sf), n=5).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("top_items_head", with_sql(
+    "SELECT event, itemid, count(*) AS count FROM ev GROUP BY event, itemid "
+    "ORDER BY event, count DESC, itemid LIMIT 10"))
+def q_top_items_head(spark, sf):
+    return prof.top_items_head(tpch_raw_events(spark, sf), 10)
+
+
+@query("events_head", with_sql(
+    "SELECT visitorid, timestamp, event, itemid, transactionid FROM raw "
+    "ORDER BY timestamp, visitorid, itemid, event LIMIT 5", extra=[_RAW]))
+def q_events_head(spark, sf):
+    return prof.preview(tpch_raw_events(spark, sf), 5)
+
+
+@query("profile_summary", with_sql(
+    "SELECT * FROM (SELECT count(*) AS n_events, count(DISTINCT visitorid) AS n_visitors, "
+    "count(DISTINCT itemid) AS n_items, "
+    "round(avg(CASE WHEN event = 'view' THEN 1.0 ELSE 0.0 END) * 100, 6) AS view_pct, "
+    "round(avg(CASE WHEN event = 'addtocart' THEN 1.0 ELSE 0.0 END) * 100, 6) AS addtocart_pct, "
+    "round(avg(CASE WHEN event = 'transaction' THEN 1.0 ELSE 0.0 END) * 100, 6) AS transaction_pct, "
+    "count(*) FILTER (WHERE event IS NULL OR event NOT IN ('view', 'addtocart', 'transaction')) AS unknown_events, "
+    "count(*) FILTER (WHERE transactionid IS NULL) AS null_transactionid FROM raw), "
+    "(SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM raw "
+    "GROUP BY visitorid, timestamp, event, itemid, transactionid)), "
+    "(SELECT arg_min(itemid, (-n, itemid)) AS top_item FROM (SELECT itemid, count(*) AS n FROM raw "
+    "WHERE event IN ('addtocart', 'transaction') GROUP BY itemid))", extra=[_RAW]))
+def q_profile_summary(spark, sf):
+    return prof.profile_summary(tpch_raw_events(spark, sf))
