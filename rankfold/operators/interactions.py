@@ -10,7 +10,7 @@ count as "non-zero" (seen / ground truth).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dictionary import phase_dictionaries
@@ -96,3 +96,22 @@ def matrix_stats(c: DataFrame, dicts: dict[str, DataFrame]) -> DataFrame:
         ("users_with_interactions", c.agg(F.countDistinct(F.when(nz, F.col("user_idx"))))),
     ])
     return row.select(*[F.col(n).cast("long").alias(n) for n in row.columns])
+
+
+def raw_cells(events: DataFrame, weights: dict | None = None) -> DataFrame:
+    """A9 keyed by raw IDs: (visitorid, itemid, weight), event codes fit on ``events``.
+
+    The dictionaries are bijections, so these are the same cells as ``cells``
+    without the two encode joins; serving and evaluation use them directly.
+    """
+    if weights is None:
+        codes = (events.select("event").distinct()
+                 .select(F.col("event"),
+                         # over the distinct labels only (a closed vocabulary of three)
+                         (F.dense_rank().over(Window.orderBy("event")) - 1).cast("double").alias("weight")))
+    else:
+        codes = events.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()],
+                                                    "event string, weight double")
+    return (events.select("visitorid", "itemid", "event")
+            .join(F.broadcast(codes), "event")
+            .groupBy("visitorid", "itemid").agg(F.sum("weight").cast("double").alias("weight")))

@@ -536,3 +536,202 @@ def q_events_head(spark, sf):
     "WHERE event IN ('addtocart', 'transaction') GROUP BY itemid))", extra=[_RAW]))
 def q_profile_summary(spark, sf):
     return prof.profile_summary(tpch_raw_events(spark, sf))
+
+
+# ----------------------------------------------------- serving (frozen factors)
+from ..operators import ensemble as ens  # noqa: E402
+from ..operators import metrics as met  # noqa: E402
+from ..operators import serving as serve  # noqa: E402
+from ..operators.factors import FROZEN_KIND, frozen_model, predict_pairs  # noqa: E402
+from .sqlbase import frozen_sql, score_sql  # noqa: E402
+
+
+class Serving:
+    """Final-phase serving context, built lazily per model."""
+
+    def __init__(self, spark, sf):
+        self.sp = phases(spark, sf)["final"]
+        self._ratings = None
+        self._uni: dict = {}
+        self._model: dict = {}
+        self.requested = self.sp.eval_full.select("visitorid").distinct()
+
+    @property
+    def ratings(self):
+        if self._ratings is None:
+            self._ratings = rat.hybrid_ratings(self.sp.train)
+        return self._ratings
+
+    def uni(self, m):
+        if m not in self._uni:
+            self._uni[m] = serve.universe(self.sp, m, self.ratings if m == "svd" else None)
+        return self._uni[m]
+
+    def model(self, m):
+        if m not in self._model:
+            u = self.uni(m)
+            self._model[m] = frozen_model(m, u.users.select(F.col("visitorid").alias("raw")),
+                                          u.items.select(F.col("itemid").alias("raw")))
+        return self._model[m]
+
+    def recs(self, m, requested=None, k=K, candidates=None):
+        return serve.recommend(self.model(m), self.uni(m), self.requested if requested is None else requested,
+                               k, candidates)
+
+    def all_recs(self, requested=None, k=K):
+        return serve.all_recommendations({m: self.recs(m, requested, k) for m in serve.MODELS})
+
+    def truth(self, scope):
+        """Non-zero evaluation cells (raw ids) of the warm or the full split."""
+        return self._truth(self.sp.eval_warm if scope == "warm" else self.sp.eval_full)
+
+    def _truth(self, split):
+        # eval cells coded with the training event dictionary, non-zero only
+        codes = dic.fit_dictionary(self.sp.train, col="event").select(F.col("raw").alias("event"),
+                                                                       F.col("idx").cast("double").alias("w"))
+        return (split.select("visitorid", "itemid", "event").join(F.broadcast(codes), "event")
+                .groupBy("visitorid", "itemid").agg(F.sum("w").alias("weight"))
+                .filter(F.col("weight") != 0).select("visitorid", "itemid"))
+
+
+_NZ_SEEN = ("SELECT visitorid, itemid FROM tr JOIN de ON tr.event = de.raw "
+            "GROUP BY visitorid, itemid HAVING sum(de.idx) <> 0")
+_UNI_SQL = {
+    "als": ("SELECT DISTINCT visitorid FROM tr", "SELECT DISTINCT itemid FROM tr", _NZ_SEEN),
+    "bpr": ("SELECT DISTINCT visitorid FROM tr", "SELECT DISTINCT itemid FROM tr", _NZ_SEEN),
+    "lightfm": ("SELECT visitorid FROM tr UNION SELECT visitorid FROM fu",
+                "SELECT itemid FROM tr UNION SELECT itemid FROM fu", _NZ_SEEN),
+    "svd": ("SELECT DISTINCT user_id FROM hyb", "SELECT DISTINCT item_id FROM hyb",
+            "SELECT user_id AS visitorid, item_id AS itemid FROM hyb"),
+}
+_TRUTH_SQL = ("truth_{s} AS (SELECT visitorid, itemid FROM {c} JOIN de ON {c}.event = de.raw "
+              "GROUP BY visitorid, itemid HAVING sum(de.idx) <> 0)")
+
+
+def _model_ctes(m: str, req: str = "req", k: int = K, cand: str | None = None) -> list[str]:
+    users, items, seen = _UNI_SQL[m]
+    sc = score_sql(FROZEN_KIND[m])
+    cf = f" AND i.id IN (SELECT itemid FROM {cand})" if cand else ""
+    return [
+        frozen_sql(f"uf_{m}", m, "user", users),
+        frozen_sql(f"if_{m}", m, "item", items),
+        f"seen_{m} AS ({seen})",
+        f"recs_{m} AS (SELECT * FROM (SELECT u.id AS visitorid, i.id AS itemid, {sc} AS score, "
+        f"row_number() OVER (PARTITION BY u.id ORDER BY {sc} DESC, i.id) AS rank "
+        f"FROM uf_{m} u JOIN if_{m} i ON TRUE WHERE u.id IN (SELECT visitorid FROM {req}){cf} "
+        f"AND NOT EXISTS (SELECT 1 FROM seen_{m} s WHERE s.visitorid = u.id AND s.itemid = i.id)) "
+        f"WHERE rank <= {k})",
+    ]
+
+
+def serving_sql(body: str, models=("als",), req: str = "SELECT DISTINCT visitorid FROM fu",
+                k: int = K, cand: list[str] | None = None, cand_models=()) -> str:
+    extra = list(_ratings_ctes()) + [f"req AS ({req})"] + (cand or [])
+    extra += [_TRUTH_SQL.format(s="warm", c="wa"), _TRUTH_SQL.format(s="full", c="fu")]
+    for m in models:
+        extra += _model_ctes(m, "req", k, "cand" if m in cand_models else None)
+    return with_sql(body, "final", extra)
+
+
+_ALL = ("als", "bpr", "lightfm", "svd")
+_ALL_RECS = " UNION ALL ".join(f"SELECT '{m}' AS model, visitorid, rank, itemid FROM recs_{m}" for m in _ALL)
+
+
+@query("score_topk", serving_sql("SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM recs_als",
+                                 req="SELECT DISTINCT visitorid FROM tr"))
+def q_score_topk(spark, sf):
+    """ALS-layout scores, top-10 unseen for every training user."""
+    s = Serving(spark, sf)
+    return s.recs("als", requested=s.sp.train.select("visitorid"))
+
+
+@query("topk_by_score", serving_sql(
+    "SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM recs_lightfm", ("lightfm",)))
+def q_topk_by_score(spark, sf):
+    """W2 with biases: hybrid-layout top-10 for every evaluation visitor (cold ones included)."""
+    return Serving(spark, sf).recs("lightfm")
+
+
+@query("recs_mf_topn", serving_sql(
+    "SELECT 'als' AS model, visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM recs_als UNION ALL "
+    "SELECT 'bpr', visitorid, CAST(rank AS INTEGER), itemid, score FROM recs_bpr", ("als", "bpr")))
+def q_recs_mf_topn(spark, sf):
+    """R2: ALS / BPR lists for the requested visitors (unknown ones get none)."""
+    s = Serving(spark, sf)
+    return union_all([s.recs(m).select(F.lit(m).alias("model"), "visitorid", "rank", "itemid", "score")
+                      for m in ("als", "bpr")])
+
+
+@query("recs_hybrid_topn", serving_sql(
+    "SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM recs_lightfm", ("lightfm",)))
+def q_recs_hybrid_topn(spark, sf):
+    """Hybrid lists; every visitor in the full dictionary, cold ones included."""
+    return Serving(spark, sf).recs("lightfm")
+
+
+@query("recs_svd_topn", serving_sql(
+    "SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM recs_svd", ("svd",)))
+def q_recs_svd_topn(spark, sf):
+    """SVD lists over all rated items minus the visitor's rated items."""
+    return Serving(spark, sf).recs("svd")
+
+
+@query("recs_batch", serving_sql(
+    "SELECT r.visitorid, CAST(count(a.itemid) AS BIGINT) AS n_items, "
+    "coalesce(string_agg(CAST(a.itemid AS VARCHAR), ',' ORDER BY a.rank), '') AS items "
+    "FROM req r LEFT JOIN recs_als a USING (visitorid) GROUP BY r.visitorid"))
+def q_recs_batch(spark, sf):
+    """Requested visitors -> list (empty for unknown visitors)."""
+    s = Serving(spark, sf)
+    return serve.recommend_batch(s.recs("als"), s.requested)
+
+
+@query("recs_all_models", serving_sql(
+    f"SELECT model, visitorid, CAST(rank AS INTEGER) AS rank, itemid FROM ({_ALL_RECS})", _ALL))
+def q_recs_all_models(spark, sf):
+    """All four models' lists for the requested visitors."""
+    return Serving(spark, sf).all_recs()
+
+
+@query("known_visitors", serving_sql(
+    "SELECT r.visitorid, d.idx AS user_idx, d.idx IS NOT NULL AS known FROM req r LEFT JOIN du_w d "
+    "ON r.visitorid = d.raw", ()))
+def q_known_visitors(spark, sf):
+    """Requested LEFT JOIN the warm user dictionary."""
+    s = Serving(spark, sf)
+    d = dic.fit_dictionary(s.sp.train, col="visitorid")
+    return (dic.to_inner(s.requested, d, "visitorid", "user_idx")
+            .select("visitorid", "user_idx", F.col("found").alias("known")))
+
+
+@query("recs_valid_items", serving_sql(
+    "SELECT a.visitorid, CAST(a.rank AS INTEGER) AS rank, a.itemid, d.idx AS item_idx FROM recs_als a "
+    "JOIN di_w d ON a.itemid = d.raw"))
+def q_recs_valid_items(spark, sf):
+    """P8 + J4: lists checked against the item dictionary, with the dense index."""
+    s = Serving(spark, sf)
+    d = dic.fit_dictionary(s.sp.train, col="itemid")
+    recs = serve.valid_items(s.recs("als"), d)
+    return dic.to_inner(recs, d, "itemid", "item_idx").select("visitorid", "rank", "itemid", "item_idx")
+
+
+@query("svd_predict", serving_sql(
+    "SELECT p.visitorid, p.itemid, CASE WHEN u.id IS NULL OR i.id IS NULL THEN 3.0 ELSE "
+    + score_sql("svd") + " END AS est, (u.id IS NULL OR i.id IS NULL) AS was_impossible "
+    "FROM (SELECT DISTINCT visitorid, itemid FROM fu) p LEFT JOIN uf_svd u ON p.visitorid = u.id "
+    "LEFT JOIN if_svd i ON p.itemid = i.id", ("svd",)))
+def q_svd_predict(spark, sf):
+    """M5: clipped SVD estimate per evaluation pair; unknown -> global mean, was_impossible."""
+    s = Serving(spark, sf)
+    return predict_pairs(s.model("svd"), s.sp.eval_full.select("visitorid", "itemid").distinct())
+
+
+@query("hybrid_predict", serving_sql(
+    "SELECT p.visitorid, p.itemid, CASE WHEN u.id IS NULL OR i.id IS NULL THEN 0.0 ELSE "
+    + score_sql("biased") + " END AS est, (u.id IS NULL OR i.id IS NULL) AS was_impossible "
+    "FROM (SELECT DISTINCT visitorid, itemid FROM fu) p LEFT JOIN uf_lightfm u ON p.visitorid = u.id "
+    "LEFT JOIN if_lightfm i ON p.itemid = i.id", ("lightfm",)))
+def q_hybrid_predict(spark, sf):
+    """M6: p.q + bu + bi per evaluation pair."""
+    s = Serving(spark, sf)
+    return predict_pairs(s.model("lightfm"), s.sp.eval_full.select("visitorid", "itemid").distinct())

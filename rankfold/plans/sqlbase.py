@@ -74,3 +74,28 @@ def both_phases(body_fn, extra_fn=None) -> str:
         extra = extra_fn(ph) if extra_fn else None
         parts.append("SELECT * FROM (" + with_sql(body_fn(ph), ph, extra) + ")")
     return "\nUNION ALL\n".join(parts)
+
+
+# ------------------------------------------------------------ frozen factors
+def h_sql(*parts: str, seed: int = 42) -> str:
+    joined = ", ".join(list(parts) + [f"'{seed}'"])
+    return f"('0x' || substr(md5(concat_ws('|', {joined})), 1, 15))::BIGINT"
+
+
+def frozen_sql(name: str, tag: str, side: str, ids_sql: str) -> str:
+    """CTE ``name``(id, bias, f0..f3) with the same integer factors as the Spark fixture."""
+    ident = "CAST(id AS VARCHAR)"
+    dims = ", ".join(
+        f"CAST(({h_sql(repr(tag), repr(side), ident, repr(str(d)))} % 21) - 10 AS DOUBLE) AS f{d}" for d in range(4))
+    bias = f"CAST(({h_sql(repr(tag), repr(side), ident, repr('b'))} % 11) - 5 AS DOUBLE) AS bias"
+    return f"{name} AS (SELECT id, {bias}, {dims} FROM ({ids_sql}) t(id))"
+
+
+def score_sql(kind: str, u: str = "u", i: str = "i") -> str:
+    dot = " + ".join(f"{u}.f{d} * {i}.f{d}" for d in range(4))
+    if kind == "dot":
+        return f"({dot})"
+    raw = f"({u}.bias + {i}.bias + ({dot}))"
+    if kind == "biased":
+        return raw
+    return f"least(5.0, greatest(1.0, 3.0 + CAST({raw} AS DOUBLE) / CAST(100 AS DOUBLE)))"
