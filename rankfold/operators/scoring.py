@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .factors import FactorModel
 
 _OUT_SCHEMA = "u long, i long, score double"
@@ -112,6 +113,10 @@ def score_topk(model: FactorModel, users: DataFrame, k: int, seen: DataFrame | N
              .cogroup(right.groupBy("ub", "ib"))
              .applyInPandas(scorer, _OUT_SCHEMA))
     w = Window.partitionBy("u").orderBy(F.col("score").desc(), F.col("i").asc())
-    return (local.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k)
-            .withColumn("rank", F.col("rank").cast("int")))
+    top = (local.withColumn("rank", F.row_number().over(w))
+           .filter(F.col("rank") <= k)
+           .withColumn("rank", F.col("rank").cast("int")))
+    # k rows per user: written once to the shared checkpoint folder, so later
+    # uses (fusion, metrics) neither rerun the Python stage nor depend on it
+    checkpoint_dir(spark)
+    return top.checkpoint(eager=True)

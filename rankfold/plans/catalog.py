@@ -626,8 +626,8 @@ def _model_ctes(m: str, req: str = "req", k: int = K, cand: str | None = None) -
 
 def serving_sql(body: str, models=("als",), req: str = "SELECT DISTINCT visitorid FROM fu",
                 k: int = K, cand: list[str] | None = None, cand_models=()) -> str:
-    extra = list(_ratings_ctes()) + [f"req AS ({req})"] + (cand or [])
-    extra += [_TRUTH_SQL.format(s="warm", c="wa"), _TRUTH_SQL.format(s="full", c="fu")]
+    extra = list(_ratings_ctes()) + [_TRUTH_SQL.format(s="warm", c="wa"), _TRUTH_SQL.format(s="full", c="fu")]
+    extra += [f"req AS ({req})"] + (cand or [])
     for m in models:
         extra += _model_ctes(m, "req", k, "cand" if m in cand_models else None)
     return with_sql(body, "final", extra)
@@ -735,3 +735,275 @@ def q_hybrid_predict(spark, sf):
     """M6: p.q + bu + bi per evaluation pair."""
     s = Serving(spark, sf)
     return predict_pairs(s.model("lightfm"), s.sp.eval_full.select("visitorid", "itemid").distinct())
+
+
+# ------------------------------------------------------- metrics and fusion
+_U3 = "u3 AS (SELECT visitorid, itemid FROM truth_warm UNION SELECT visitorid, itemid FROM truth_full)"
+_U3_USERS = "SELECT DISTINCT visitorid FROM (SELECT visitorid FROM truth_warm UNION SELECT visitorid FROM truth_full)"
+_ALLRECS = f"allrecs AS ({_ALL_RECS})"
+_FUSED = [
+    _ALLRECS,
+    "pts AS (SELECT visitorid, itemid, CAST(sum(mx - rank + 1) AS BIGINT) AS points FROM "
+    "(SELECT *, max(rank) OVER (PARTITION BY visitorid) AS mx FROM allrecs) GROUP BY visitorid, itemid)",
+    "fused AS (SELECT *, CAST(row_number() OVER (PARTITION BY visitorid ORDER BY points DESC, itemid) AS INTEGER) "
+    "AS fused_rank FROM pts)",
+]
+
+
+def _ens_sql(body, extra, req):
+    extra_ctes = list(_ratings_ctes()) + [_TRUTH_SQL.format(s="warm", c="wa"), _TRUTH_SQL.format(s="full", c="fu"), _U3]
+    extra_ctes += [f"req AS ({req})"]
+    for m in _ALL:
+        extra_ctes += _model_ctes(m, "req", K)
+    extra_ctes += _FUSED + (extra or [])
+    return with_sql(body, "final", extra_ctes)
+
+
+def _u3(s: Serving):
+    return ens.ground_truth(s.truth("warm"), s.truth("full"))
+
+
+@query("ground_truth", serving_sql("SELECT visitorid, itemid FROM truth_warm UNION SELECT visitorid, itemid FROM truth_full", ()))
+def q_ground_truth(spark, sf):
+    """Warm U full evaluation items per visitor."""
+    return _u3(Serving(spark, sf))
+
+
+@query("eval_user_index", serving_sql(
+    "SELECT coalesce(w.visitorid, f.visitorid) AS visitorid, w.idx AS warm_index, f.idx AS full_index, "
+    "w.idx IS NOT NULL AS has_warm, f.idx IS NOT NULL AS has_full FROM "
+    "(SELECT d.raw AS visitorid, d.idx FROM du_w d WHERE d.raw IN (SELECT visitorid FROM truth_warm)) w FULL OUTER JOIN "
+    "(SELECT d.raw AS visitorid, d.idx FROM du_f d WHERE d.raw IN (SELECT visitorid FROM truth_full)) f "
+    "ON w.visitorid = f.visitorid", ()))
+def q_eval_user_index(spark, sf):
+    """Evaluation users of the warm and the full matrices, aligned by visitor."""
+    s = Serving(spark, sf)
+    dw = dic.phase_dictionaries(s.sp, "warm")["visitorid"]
+    df = dic.phase_dictionaries(s.sp, "full")["visitorid"]
+    w = dw.join(s.truth("warm").select(F.col("visitorid").alias("raw")).distinct(), "raw", "left_semi") \
+        .select(F.col("raw").alias("visitorid"), "idx")
+    f = df.join(s.truth("full").select(F.col("visitorid").alias("raw")).distinct(), "raw", "left_semi") \
+        .select(F.col("raw").alias("visitorid"), "idx")
+    return ens.eval_user_index(w, f)
+
+
+@query("hits_per_user", serving_sql(
+    "SELECT t.visitorid, CAST(count(r.itemid) AS BIGINT) AS hits, CAST(count(DISTINCT t.itemid) AS BIGINT) AS n_truth, "
+    "CAST((SELECT count(*) FROM recs_als x WHERE x.visitorid = t.visitorid) AS BIGINT) AS n_recs "
+    "FROM truth_warm t LEFT JOIN recs_als r ON r.visitorid = t.visitorid AND r.itemid = t.itemid "
+    "GROUP BY t.visitorid", req="SELECT DISTINCT visitorid FROM truth_warm"))
+def q_hits_per_user(spark, sf):
+    """Hits of the ALS list against the warm truth, per evaluation user."""
+    s = Serving(spark, sf)
+    t = s.truth("warm")
+    return met.per_user_hits(s.recs("als", requested=t.select("visitorid")), t, K)
+
+
+def _pr_sql(model, truth, require_list=False):
+    having = " WHERE n_recs > 0" if require_list else ""
+    return (f"SELECT '{model}' AS model, count(*) AS users, CAST(coalesce(sum(hits), 0) AS BIGINT) AS hits, "
+            f"round(coalesce(avg(hits / {K}.0), 0.0), 6) AS precision_at_k, "
+            "round(coalesce(avg(hits / n_truth), 0.0), 6) AS recall_at_k FROM ("
+            "SELECT t.visitorid, count(r.itemid) AS hits, count(*) AS n_truth, "
+            f"(SELECT count(*) FROM recs_{model} x WHERE x.visitorid = t.visitorid) AS n_recs "
+            f"FROM {truth} t LEFT JOIN recs_{model} r ON r.visitorid = t.visitorid AND r.itemid = t.itemid "
+            f"GROUP BY t.visitorid){having}")
+
+
+@query("precision_recall_mf", serving_sql(
+    _pr_sql("als", "truth_warm") + " UNION ALL " + _pr_sql("bpr", "truth_warm"), ("als", "bpr"),
+    req="SELECT DISTINCT visitorid FROM truth_warm"))
+def q_precision_recall_mf(spark, sf):
+    """Precision@10 / Recall@10 of ALS and BPR on the warm evaluation cells."""
+    s = Serving(spark, sf)
+    t = s.truth("warm")
+    return union_all([met.precision_recall_at_k(s.recs(m, requested=t.select("visitorid")), t, K)
+                      .select(F.lit(m).alias("model"), "*") for m in ("als", "bpr")])
+
+
+_CAND_HYB = [
+    "ipop AS (SELECT itemid, CAST(sum(de.idx) AS DOUBLE) AS cnt FROM tr JOIN de ON tr.event = de.raw GROUP BY itemid)",
+    "candall AS (SELECT itemid, max(is_eval) AS is_eval FROM ("
+    "SELECT itemid, 0 AS is_eval FROM (SELECT itemid FROM ipop ORDER BY cnt DESC, itemid LIMIT 10000) "
+    "UNION ALL SELECT DISTINCT itemid, 1 FROM truth_full) GROUP BY itemid)",
+    "cand AS (SELECT c.itemid, c.is_eval, coalesce(p.cnt, 0.0) AS cnt FROM candall c LEFT JOIN ipop p USING (itemid) "
+    "ORDER BY c.is_eval DESC, cnt DESC, c.itemid LIMIT 10000)",
+]
+
+
+def _hybrid_candidates(s: Serving):
+    popw = inter.raw_cells(s.sp.train).groupBy("itemid").agg(F.sum("weight").cast("double").alias("cnt"))
+    return serve.candidate_items(s.truth("full").select("itemid"), popw)
+
+
+@query("candidate_items", serving_sql("SELECT itemid, is_eval, cnt FROM cand", (), cand=_CAND_HYB))
+def q_candidate_items(spark, sf):
+    """Evaluation items U top popular (by summed weight), capped at 10,000."""
+    return _hybrid_candidates(Serving(spark, sf))
+
+
+@query("candidate_reduction", serving_sql(
+    "SELECT (SELECT count(*) FROM di_f) AS n_all_items, (SELECT count(*) FROM cand) AS n_candidates, "
+    "round(CAST((SELECT count(*) FROM di_f) AS DOUBLE) / (SELECT count(*) FROM cand), 6) AS reduction", (),
+    cand=_CAND_HYB))
+def q_candidate_reduction(spark, sf):
+    """all items / candidate items."""
+    s = Serving(spark, sf)
+    n_all = s.uni("lightfm").items.agg(F.count(F.lit(1)).alias("n_all_items"))
+    n_c = _hybrid_candidates(s).agg(F.count(F.lit(1)).alias("n_candidates"))
+    key = F.lit(0).alias("_k")
+    return (n_all.select(key, "*").join(n_c.select(key, "*"), "_k").drop("_k")
+            .withColumn("reduction", F.round(F.col("n_all_items") / F.col("n_candidates"), 6)))
+
+
+@query("precision_recall_hybrid", serving_sql(
+    _pr_sql("lightfm", "truth_full"), ("lightfm",), req="SELECT DISTINCT visitorid FROM truth_full",
+    cand=_CAND_HYB, cand_models=("lightfm",)))
+def q_precision_recall_hybrid(spark, sf):
+    """Hybrid model over the pruned candidate items, full evaluation cells."""
+    s = Serving(spark, sf)
+    t = s.truth("full")
+    recs = s.recs("lightfm", requested=t.select("visitorid"), candidates=_hybrid_candidates(s))
+    return met.precision_recall_at_k(recs, t, K).select(F.lit("lightfm").alias("model"), "*")
+
+
+_CAND_SVD = [
+    "rpop AS (SELECT item_id AS itemid, count(*) AS cnt FROM hyb GROUP BY item_id)",
+    "cand AS (SELECT itemid FROM (SELECT itemid FROM rpop ORDER BY cnt DESC, itemid LIMIT 10000) "
+    "UNION SELECT DISTINCT itemid FROM truth_full)",
+]
+
+
+@query("precision_recall_svd", serving_sql(
+    _pr_sql("svd", "truth_full", require_list=True), ("svd",), req="SELECT DISTINCT visitorid FROM truth_full",
+    cand=_CAND_SVD, cand_models=("svd",)))
+def q_precision_recall_svd(spark, sf):
+    """SVD over eval items U top-rated-count items; users without a list left out."""
+    s = Serving(spark, sf)
+    t = s.truth("full")
+    rpop = pop.item_popularity(s.ratings.select(F.col("item_id").alias("itemid")))
+    cand = serve.candidate_items(t.select("itemid"), rpop, cap=None)
+    recs = s.recs("svd", requested=t.select("visitorid"), candidates=cand)
+    return met.precision_recall_at_k(recs, t, K, require_list=True).select(F.lit("svd").alias("model"), "*")
+
+
+@query("sample_users", serving_sql(
+    "SELECT visitorid FROM (SELECT DISTINCT visitorid FROM truth_full) ORDER BY "
+    + "('0x' || substr(md5(concat_ws('|', CAST(visitorid AS VARCHAR), '42')), 1, 15))::BIGINT, visitorid LIMIT 100", ()))
+def q_sample_users(spark, sf):
+    """T5: a seeded sample of exactly 100 evaluation users."""
+    return serve.sample_users(Serving(spark, sf).truth("full"), 100, seed=42)
+
+
+_PU = ("SELECT model, visitorid, CAST(count(t.itemid) AS BIGINT) AS hits, "
+       "round(CASE WHEN {k} > 0 THEN count(t.itemid) / {k}.0 ELSE 0.0 END, 6) AS precision "
+       "FROM (SELECT * FROM allrecs WHERE rank <= {k}) l LEFT JOIN u3 t USING (visitorid, itemid) GROUP BY model, visitorid")
+
+
+@query("precision_per_user", _ens_sql(_PU.format(k=K), None, _U3_USERS))
+def q_precision_per_user(spark, sf):
+    """E5: per (model, visitor) precision@10 against the warm U full truth."""
+    s = Serving(spark, sf)
+    u3 = _u3(s)
+    return (ens.per_user_precision(s.all_recs(u3.select("visitorid")), u3, K)
+            .withColumn("precision", F.round("precision", 6)))
+
+
+@query("precision_at_k_zero", _ens_sql(
+    "SELECT model, visitorid, CAST(0 AS BIGINT) AS hits, 0.0 AS precision FROM allrecs GROUP BY model, visitorid",
+    None, _U3_USERS))
+def q_precision_at_k_zero(spark, sf):
+    """F8: the k = 0 guard (every precision is 0.0, no division)."""
+    s = Serving(spark, sf)
+    u3 = _u3(s)
+    return ens.per_user_precision(s.all_recs(u3.select("visitorid")), u3, 0)
+
+
+@query("borda_points", _ens_sql("SELECT visitorid, itemid, points, fused_rank FROM fused", None, _U3_USERS))
+def q_borda_points(spark, sf):
+    """Borda points over the four lists of every evaluation visitor."""
+    s = Serving(spark, sf)
+    return ens.borda_points(s.all_recs(_u3(s).select("visitorid")))
+
+
+@query("borda_appears_in", _ens_sql(
+    "SELECT visitorid, itemid, string_agg(upper(model), ', ' ORDER BY upper(model)) AS appears_in "
+    "FROM allrecs GROUP BY visitorid, itemid", None, _U3_USERS))
+def q_borda_appears_in(spark, sf):
+    """Which models listed each item."""
+    s = Serving(spark, sf)
+    return ens.appears_in(s.all_recs(_u3(s).select("visitorid")))
+
+
+@query("borda_with_hits", _ens_sql(
+    "SELECT f.visitorid, f.fused_rank, f.itemid, f.points, a.appears_in, "
+    "CASE WHEN t.itemid IS NOT NULL THEN 'YES' ELSE '-' END AS hit FROM fused f "
+    "JOIN (SELECT visitorid, itemid, string_agg(upper(model), ', ' ORDER BY upper(model)) AS appears_in "
+    "FROM allrecs GROUP BY visitorid, itemid) a USING (visitorid, itemid) "
+    f"LEFT JOIN u3 t USING (visitorid, itemid) WHERE f.fused_rank <= {K}", None, _U3_USERS))
+def q_borda_with_hits(spark, sf):
+    """R10 + J11: the fused top-10 with points, appears-in and hit marker."""
+    s = Serving(spark, sf)
+    u3 = _u3(s)
+    return ens.fused_report(s.all_recs(u3.select("visitorid")), u3, K)
+
+
+@query("recs_side_by_side", serving_sql(
+    "SELECT visitorid, CAST(rank AS INTEGER) AS rank, "
+    + ", ".join(f"coalesce(max(CASE WHEN model = '{m}' THEN CAST(itemid AS VARCHAR) END), '-') AS {m}" for m in _ALL)
+    + f" FROM ({_ALL_RECS}) GROUP BY visitorid, rank", _ALL))
+def q_recs_side_by_side(spark, sf):
+    """Rank x model table for the requested visitors."""
+    return ens.side_by_side(Serving(spark, sf).all_recs())
+
+
+@query("recs_per_model", serving_sql(
+    "SELECT r.visitorid, m.model, CAST(count(a.itemid) AS BIGINT) AS n_recs FROM req r "
+    "JOIN (VALUES ('als'), ('bpr'), ('lightfm'), ('svd')) m(model) ON TRUE "
+    f"LEFT JOIN ({_ALL_RECS}) a ON a.visitorid = r.visitorid AND a.model = m.model GROUP BY r.visitorid, m.model", _ALL))
+def q_recs_per_model(spark, sf):
+    """List length per (requested visitor, model), 0 when absent."""
+    s = Serving(spark, sf)
+    return ens.recs_per_model(s.all_recs(), s.requested)
+
+
+_ENS_BODY = (
+    "SELECT " + ", ".join(
+        f"round(coalesce(avg(CASE WHEN g.model = '{m}' THEN coalesce(pu.hits, 0) / {K}.0 END), 0.0), 6) "
+        f"AS {m}_precision_at_k" for m in list(_ALL) + ["combined"])
+    + ", count(DISTINCT g.visitorid) AS num_users_evaluated, "
+    "(SELECT count(DISTINCT visitorid) FROM u3) AS num_users_available FROM "
+    "(SELECT w.visitorid, m.model FROM wl w JOIN (VALUES ('als'), ('bpr'), ('lightfm'), ('svd'), ('combined')) "
+    "m(model) ON TRUE) g LEFT JOIN pu USING (model, visitorid)")
+_ENS_EXTRA = [
+    "wl AS (SELECT DISTINCT visitorid FROM allrecs WHERE visitorid IN (SELECT visitorid FROM u3))",
+    "lists AS (SELECT model, visitorid, rank, itemid FROM allrecs UNION ALL "
+    "SELECT 'combined', visitorid, fused_rank, itemid FROM fused)",
+    f"pu AS (SELECT model, visitorid, count(t.itemid) AS hits FROM (SELECT * FROM lists WHERE rank <= {K}) l "
+    "LEFT JOIN u3 t USING (visitorid, itemid) GROUP BY model, visitorid)",
+]
+
+
+def _ensemble(spark, sf):
+    s = Serving(spark, sf)
+    u3 = _u3(s)
+    return ens.evaluate_ensemble(s.all_recs(u3.select("visitorid")), u3, K)
+
+
+@query("ensemble_precision", _ens_sql(_ENS_BODY, _ENS_EXTRA, _U3_USERS))
+def q_ensemble_precision(spark, sf):
+    """Fused and single-model Precision@10 on one common user set."""
+    return _ensemble(spark, sf)
+
+
+@query("ensemble_improvement", _ens_sql(
+    "SELECT combined_precision_at_k, greatest(als_precision_at_k, bpr_precision_at_k, lightfm_precision_at_k, "
+    "svd_precision_at_k) AS best_single_precision_at_k, round(combined_precision_at_k - greatest(als_precision_at_k, "
+    "bpr_precision_at_k, lightfm_precision_at_k, svd_precision_at_k), 6) AS abs_improvement, "
+    "round(CASE WHEN greatest(als_precision_at_k, bpr_precision_at_k, lightfm_precision_at_k, svd_precision_at_k) > 0 "
+    "THEN (combined_precision_at_k - greatest(als_precision_at_k, bpr_precision_at_k, lightfm_precision_at_k, "
+    "svd_precision_at_k)) / greatest(als_precision_at_k, bpr_precision_at_k, lightfm_precision_at_k, "
+    f"svd_precision_at_k) * 100 ELSE 0.0 END, 6) AS pct_improvement FROM ({_ENS_BODY})", _ENS_EXTRA, _U3_USERS))
+def q_ensemble_improvement(spark, sf):
+    """fused vs the best single model."""
+    return ens.improvement(_ensemble(spark, sf))
