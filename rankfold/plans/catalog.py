@@ -1007,3 +1007,76 @@ def q_ensemble_precision(spark, sf):
 def q_ensemble_improvement(spark, sf):
     """fused vs the best single model."""
     return ens.improvement(_ensemble(spark, sf))
+
+
+# -------------------------------------------------------------------- training
+from ..operators import als as alsmod  # noqa: E402
+from ..operators import block_sgd  # noqa: E402
+
+# fixed values: the reference's default hyperparameters per model
+DEFAULTS = {
+    "als": {"factors": 64, "regularization": 0.1, "iterations": 20},
+    "bpr": {"factors": 64, "learning_rate": 0.01, "regularization": 0.01, "iterations": 100},
+    "lightfm": {"no_components": 64, "learning_rate": 0.05, "loss": "warp", "epochs": 20},
+    "svd": {"n_factors": 50, "n_epochs": 20, "lr_all": 0.005, "reg_all": 0.02},
+}
+
+
+def _eval_trained(s: Serving, model, uni_name: str, truth_scope: str, require_list=False, candidates=None):
+    t = s.truth(truth_scope)
+    recs = serve.recommend(model, s.uni(uni_name), t.select("visitorid"), K, candidates)
+    return met.precision_recall_at_k(recs, t, K, require_list=require_list)
+
+
+def _warm_train_cells(s: Serving):
+    mats, d = inter.phase_bundle(s.sp, "warm")
+    return mats["train"], d
+
+
+def train_model(s: Serving, name: str, params: dict | None = None, loss: str | None = None):
+    """Fit one of the four models on the final training data with ``params`` over the defaults."""
+    p = dict(DEFAULTS[name], **(params or {}))
+    if name == "als":
+        cells, d = _warm_train_cells(s)
+        return alsmod.train_als(cells, d["visitorid"], d["itemid"], p["factors"], p["regularization"],
+                                p["iterations"])
+    if name == "svd":
+        r = s.ratings.select(F.col("user_id").alias("u"), F.col("item_id").alias("i"), F.col("rating").alias("r"))
+        return block_sgd.train_block_sgd(r, "svd", p["n_factors"], p["n_epochs"], p["lr_all"], p["reg_all"])
+    cells = inter.raw_cells(s.sp.train).filter(F.col("weight") != 0).select(
+        F.col("visitorid").alias("u"), F.col("itemid").alias("i"), F.col("weight").alias("r"))
+    if name == "bpr":
+        return block_sgd.train_block_sgd(cells, "bpr", p["factors"], p["iterations"], p["learning_rate"],
+                                         p["regularization"], gaussian_init=False)
+    return block_sgd.train_block_sgd(cells, loss or p["loss"], p["no_components"], p["epochs"],
+                                     p["learning_rate"], 0.0, gaussian_init=False)
+
+
+def _trained_query(name, uni_name, truth_scope, loss=None, require_list=False):
+    def run(spark, sf):
+        s = Serving(spark, sf)
+        m = train_model(s, name, loss=loss)
+        return _eval_trained(s, m, uni_name, truth_scope, require_list).select(
+            F.lit(name if loss is None else f"{name}_{loss}").alias("model"), "*")
+    return run
+
+
+query("als_train_recs")(_trained_query("als", "als", "warm"))
+query("bpr_train_recs")(_trained_query("bpr", "bpr", "warm"))
+query("hybrid_warp_recs")(_trained_query("lightfm", "lightfm", "full", loss="warp"))
+query("hybrid_bpr_recs")(_trained_query("lightfm", "lightfm", "full", loss="bpr"))
+query("hybrid_logistic_recs")(_trained_query("lightfm", "lightfm", "full", loss="logistic"))
+query("svd_train_recs")(_trained_query("svd", "svd", "full", require_list=True))
+
+
+@query("als_foldin")
+def q_als_foldin(spark, sf):
+    """M7: ALS user factors re-solved from train + eval cells, then evaluated (recalculate_user)."""
+    s = Serving(spark, sf)
+    m = train_model(s, "als")
+    t = s.truth("warm")
+    warm_rows = s.sp.eval_warm.unionByName(s.sp.train)
+    profile = (inter.raw_cells(warm_rows).join(t.select("visitorid").distinct(), "visitorid", "left_semi"))
+    users = alsmod.fold_in(profile, m.item_factors, DEFAULTS["als"]["regularization"])
+    folded = block_sgd.FactorModel("dot", users, m.item_factors)
+    return _eval_trained(s, folded, "als", "warm").select(F.lit("als_foldin").alias("model"), "*")

@@ -57,3 +57,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     return f"{checkpoint_dir(spark).rstrip('/')}/rankfold-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rankfold`` importable on the executors' Python workers (like --py-files).
+
+    Grouped-map and co-group functions live in this package; a deployment that
+    already installs it on the executors loses nothing by this.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="rankfold-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "rankfold"), "zip", os.path.dirname(pkg_dir), "rankfold")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
