@@ -1080,3 +1080,199 @@ def q_als_foldin(spark, sf):
     users = alsmod.fold_in(profile, m.item_factors, DEFAULTS["als"]["regularization"])
     folded = block_sgd.FactorModel("dot", users, m.item_factors)
     return _eval_trained(s, folded, "als", "warm").select(F.lit("als_foldin").alias("model"), "*")
+
+
+# ------------------------------------------------ names, reports, sinks, runs
+from ..session import scratch_path  # noqa: E402
+from ..sources import models as model_store  # noqa: E402
+from ..sources import runs as runlog  # noqa: E402
+from ..sources import visitors as vis  # noqa: E402
+
+_SETS = {"tune": "validation", "final": "test"}
+
+
+def _md_sql(col: str) -> str:
+    return f"lower(strftime({col}, '%b')) || CAST(day({col}) AS VARCHAR)"
+
+
+def _fmt(v) -> str:
+    return str(v).replace(".", "_")
+
+
+def _exp_sql(model: str, eval_set: str) -> str:
+    p = DEFAULTS.get(model, {})
+    window = f"{_md_sql('lo')} || '_' || {_md_sql('hi')}"
+    if model == "baseline":
+        return f"'baseline_' || {window}"
+    if model == "svd":
+        return (f"'{eval_set}_svd_f{p['n_factors']}_e{p['n_epochs']}_lr{p['lr_all']}_r{p['reg_all']}'")
+    if model == "lightfm":
+        return (f"{window} || '_c{p['no_components']}_lr{_fmt(p['learning_rate'])}_{p['loss']}_e{p['epochs']}'")
+    return f"{window} || '_f{p['factors']}_r{_fmt(p['regularization'])}_i{p['iterations']}'"
+
+
+def _names_sql(ph: str) -> str:
+    es = _SETS[ph]
+    parts = []
+    for m in ("baseline", "als", "bpr", "lightfm", "svd"):
+        prefix = "baseline_evaluation_" if m == "baseline" else "evaluation_"
+        parts.append(f"SELECT '{es}' AS eval_set, '{m}' AS model, {_exp_sql(m, es)} AS experiment, "
+                     f"'{prefix}{es}_' || {_exp_sql(m, es)} AS run_name FROM win")
+    return " UNION ALL ".join(parts)
+
+
+@query("experiment_names", both_phases(
+    _names_sql, lambda ph: ["win AS (SELECT min(date) AS lo, max(date) AS hi FROM tr)"]))
+def q_experiment_names(spark, sf):
+    """F2 + F3: experiment and run names from the observed training window and default parameters."""
+    parts = []
+    for ph, sp in phases(spark, sf).items():
+        es = _SETS[ph]
+        win = sp.train.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+        for m in ("baseline", "als", "bpr", "lightfm", "svd"):
+            exp = runlog.experiment_name(m, F.col("lo"), F.col("hi"), es, DEFAULTS.get(m, {}))
+            parts.append(win.select(F.lit(es).alias("eval_set"), F.lit(m).alias("model"), exp.alias("experiment"),
+                                    runlog.run_name(m, es, exp).alias("run_name")))
+    return union_all(parts)
+
+
+@query("evaluation_report", serving_sql(
+    "SELECT p.*, (SELECT count(*) FROM du_w) AS eval_users, (SELECT count(*) FROM di_w) AS eval_items, "
+    "(SELECT count(*) FROM (SELECT DISTINCT visitorid, itemid FROM wa)) AS eval_interactions FROM ("
+    + _pr_sql("als", "truth_warm") + ") p", ("als",), req="SELECT DISTINCT visitorid FROM truth_warm"))
+def q_evaluation_report(spark, sf):
+    """Metrics plus the evaluation matrix's shape and stored cells, one row."""
+    s = Serving(spark, sf)
+    t = s.truth("warm")
+    pr = met.precision_recall_at_k(s.recs("als", requested=t.select("visitorid")), t, K)
+    mats, d = inter.phase_bundle(s.sp, "warm")
+    st = inter.matrix_stats(mats["test_warm"], d)
+    key = F.lit(0).alias("_k")
+    return (pr.select(key, F.lit("als").alias("model"), "*")
+            .join(st.select(key, F.col("n_users").alias("eval_users"), F.col("n_items").alias("eval_items"),
+                            F.col("stored_cells").alias("eval_interactions")), "_k").drop("_k"))
+
+
+def _pool_counts(sp: PhaseSplits):
+    ranks = pop.popularity_ranks(pop.item_popularity(sp.train))
+    n_items = pop.item_popularity(sp.train).count()
+    pool = min(n_items, (pop.user_activity(sp.train).agg(F.max("n_events")).first()[0] or 0) + K)
+    users = sp.eval_full.select("visitorid").distinct()
+    seen = (sp.train.select("visitorid", "itemid").distinct().join(users, "visitorid", "left_semi")
+            .join(ranks.filter(F.col("pop_rank") <= pool), "itemid")
+            .groupBy("visitorid").agg(F.count(F.lit(1)).alias("seen_in_pool")))
+    return (users.join(seen, "visitorid", "left")
+            .select("visitorid", F.lit(pool).cast("long").alias("candidate_pairs"),
+                    F.coalesce("seen_in_pool", F.lit(0)).cast("long").alias("seen_in_pool"))
+            .withColumn("unseen_candidates", F.col("candidate_pairs") - F.col("seen_in_pool")))
+
+
+_POOL_COUNT_SQL = (
+    "SELECT u.visitorid, CAST(least((SELECT count(*) FROM ip), (SELECT n FROM pool)) AS BIGINT) AS candidate_pairs, "
+    "CAST(count(s.itemid) AS BIGINT) AS seen_in_pool, "
+    "CAST(least((SELECT count(*) FROM ip), (SELECT n FROM pool)) - count(s.itemid) AS BIGINT) AS unseen_candidates "
+    "FROM us u LEFT JOIN (SELECT seen.visitorid, seen.itemid FROM seen JOIN rk USING (itemid) "
+    "WHERE rk.pop_rank <= (SELECT n FROM pool)) s USING (visitorid) GROUP BY u.visitorid")
+
+
+@query("candidate_pairs", phase_sql(lambda ph: _POOL_COUNT_SQL, lambda ph: _POPULAR_TOPK_CTES))
+def q_candidate_pairs(spark, sf):
+    """J7 without materialising it: per evaluation user, |pool| candidate pairs and how many were seen."""
+    return per_phase(spark, sf, _pool_counts)
+
+
+@query("unseen_candidates", phase_sql(
+    lambda ph: f"SELECT visitorid, unseen_candidates FROM ({_POOL_COUNT_SQL})", lambda ph: _POPULAR_TOPK_CTES))
+def q_unseen_candidates(spark, sf):
+    """Per evaluation user, pool items not seen in training."""
+    return per_phase(spark, sf, lambda sp: _pool_counts(sp).select("visitorid", "unseen_candidates"))
+
+
+@query("visitor_list", with_sql("SELECT DISTINCT visitorid FROM p3"))
+def q_visitor_list(spark, sf):
+    """S8 (+ F4): the evaluation period's visitors written one per line and read back."""
+    sp = phases(spark, sf)["final"]
+    path = vis.write_visitors(sp.eval_full.select("visitorid").distinct(), scratch_path(spark, "visitors"))
+    return vis.read_visitors(spark, path)
+
+
+@query("recs_long_form", serving_sql("SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid FROM recs_als"))
+def q_recs_long_form(spark, sf):
+    """S9 + W3: ALS lists written as CSV (visitorid, rank, itemid) with a header and read back."""
+    s = Serving(spark, sf)
+    path = vis.write_recommendations(s.recs("als"), scratch_path(spark, "recs"))
+    return vis.read_recommendations(spark, path)
+
+
+def _fz_agg_sql(side: str, cte: str) -> str:
+    return (f"SELECT '{side}' AS side, count(*) AS n, sum(bias) AS bias_sum, "
+            + ", ".join(f"sum(f{d}) AS f{d}_sum" for d in range(4)) + f" FROM {cte}")
+
+
+@query("model_store_roundtrip", serving_sql(
+    _fz_agg_sql("user", "uf_svd") + " UNION ALL " + _fz_agg_sql("item", "if_svd"), ("svd",)))
+def q_model_store_roundtrip(spark, sf):
+    """A factor model saved (Parquet + JSON scalars) and loaded back, summarised per side."""
+    s = Serving(spark, sf)
+    back = model_store.load_model(spark, model_store.save_model(s.model("svd"), scratch_path(spark, "model")))
+    assert back.kind == "svd" and back.global_mean == 3.0 and back.divisor == 100.0
+
+    def agg(df, side):
+        return df.agg(F.count(F.lit(1)).alias("n"), F.sum("bias").alias("bias_sum"),
+                      *[F.sum(F.col("features")[d]).alias(f"f{d}_sum") for d in range(4)]) \
+            .select(F.lit(side).alias("side"), "*")
+    return agg(back.user_factors, "user").unionByName(agg(back.item_factors, "item"))
+
+
+def _baseline_runs(spark, sf):
+    parts = []
+    for ph, sp in phases(spark, sf).items():
+        es = _SETS[ph]
+        win = sp.train.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+        exp = runlog.experiment_name("baseline", F.col("lo"), F.col("hi"), es, {})
+        metrics = pop.popular_precision(sp.train, sp.eval_full, K)
+        key = F.lit(0).alias("_k")
+        m = metrics.select(key, "*").join(win.select(key, exp.alias("exp")), "_k").drop("_k")
+        parts.append(runlog.run_records(F.col("exp"), runlog.run_name("baseline", es, F.col("exp")),
+                                        {"model_type": "BASELINE", "eval_set": es, "top_k": K}, m))
+    return union_all(parts)
+
+
+_RUNS_CTES = _POPULAR_TOPK_CTES + [
+    "win AS (SELECT min(date) AS lo, max(date) AS hi FROM tr)",
+    "met AS (SELECT count(*) AS eval_users, CAST(coalesce(sum(hits), 0) AS BIGINT) AS hits, "
+    "round(coalesce(avg(hits / n_recs), 0.0), 6) AS mean_precision FROM (SELECT r.visitorid, count(*) AS n_recs, "
+    "count(t.itemid) AS hits FROM recs r LEFT JOIN (SELECT DISTINCT visitorid, itemid FROM fu) t "
+    "USING (visitorid, itemid) GROUP BY r.visitorid))",
+]
+
+
+def _runs_long_sql(ph):
+    es = _SETS[ph]
+    exp = _exp_sql("baseline", es)
+    rn = f"'baseline_evaluation_{es}_' || {exp}"
+    rows = [f"SELECT {exp} AS experiment, {rn} AS run_name, 'param' AS kind, '{k}' AS key, '{v}' AS str_value, "
+            f"CAST(NULL AS DOUBLE) AS num_value FROM win"
+            for k, v in (("model_type", "BASELINE"), ("eval_set", es), ("top_k", str(K)))]
+    rows += [f"SELECT {exp}, {rn}, 'metric', '{c}', CAST(NULL AS VARCHAR), CAST({c} AS DOUBLE) FROM win, met"
+             for c in ("eval_users", "hits", "mean_precision")]
+    return " UNION ALL ".join(rows)
+
+
+@query("runs_log", both_phases(_runs_long_sql, lambda ph: _RUNS_CTES))
+def q_runs_log(spark, sf):
+    """Baseline evaluation runs appended to the run log, read back in long form."""
+    path = runlog.log_runs(_baseline_runs(spark, sf), scratch_path(spark, "runs"))
+    return runlog.runs_long(runlog.read_runs(spark, path))
+
+
+@query("runs_best", "SELECT experiment, run_name, mean_precision FROM ("
+       "SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY mean_precision DESC, run_name) AS rn FROM ("
+       + both_phases(lambda ph: "SELECT " + _exp_sql("baseline", _SETS[ph]) + " AS experiment, "
+                     f"'baseline_evaluation_{_SETS[ph]}_' || " + _exp_sql("baseline", _SETS[ph])
+                     + " AS run_name, CAST(mean_precision AS DOUBLE) AS mean_precision FROM win, met",
+                     lambda ph: _RUNS_CTES) + ")) WHERE rn = 1")
+def q_runs_best(spark, sf):
+    """The best logged run per experiment by a metric."""
+    path = runlog.log_runs(_baseline_runs(spark, sf), scratch_path(spark, "runs"))
+    return runlog.best_runs(runlog.read_runs(spark, path), "mean_precision")
