@@ -21,14 +21,59 @@ def fit_dictionary(*frames: DataFrame, col: str) -> DataFrame:
     return global_index(values, [F.col("raw").asc()], "idx")
 
 
+def fit_dictionaries(specs: dict[str, tuple[list[DataFrame], str]]) -> dict[str, DataFrame]:
+    """Several ID dictionaries in one global ranking.
+
+    specs: name -> (frames, column).  All values are ranked once in (name, raw)
+    order; each dictionary's index is the global position minus the position
+    of its first value (one row per dictionary, broadcast).
+    """
+    values = None
+    for name, (frames, col) in specs.items():
+        for f in frames:
+            part = f.select(F.lit(name).alias("dict"), F.col(col).cast("long").alias("raw"))
+            values = part if values is None else values.unionByName(part)
+    values = values.filter(F.col("raw").isNotNull()).distinct()
+    ranked = global_index(values, [F.col("dict").asc(), F.col("raw").asc()], "_g")
+    starts = ranked.groupBy("dict").agg(F.min("_g").alias("_g0"))
+    out = (ranked.join(F.broadcast(starts), "dict")
+           .select("dict", "raw", (F.col("_g") - F.col("_g0")).alias("idx")))
+    return {name: out.filter(F.col("dict") == name).select("raw", "idx") for name in specs}
+
+
+def event_dictionary(events: DataFrame) -> DataFrame:
+    """Event labels -> alphabetical code. The vocabulary is closed (three labels after the
+    source filter), so ranking its distinct values in one partition is bounded."""
+    from pyspark.sql import Window
+    return (events.select(F.col("event").alias("raw")).filter(F.col("raw").isNotNull()).distinct()
+            .withColumn("idx", (F.dense_rank().over(Window.orderBy("raw")) - 1).cast("long")))
+
+
+def _specs(sp: PhaseSplits, scope: str) -> dict:
+    fit_on = [sp.train] if scope == "warm" else [sp.train, sp.eval_full]
+    return {f"{sp.phase}/{scope}/visitorid": (fit_on, "visitorid"),
+            f"{sp.phase}/{scope}/itemid": (fit_on, "itemid")}
+
+
 def phase_dictionaries(sp: PhaseSplits, scope: str) -> dict[str, DataFrame]:
     """warm: fit on training only; full: users/items over train U eval, events on train."""
-    fit_on = [sp.train] if scope == "warm" else [sp.train, sp.eval_full]
-    return {
-        "visitorid": fit_dictionary(*fit_on, col="visitorid"),
-        "itemid": fit_dictionary(*fit_on, col="itemid"),
-        "event": fit_dictionary(sp.train, col="event"),
-    }
+    return all_dictionaries({sp.phase: sp}, (scope,))[(sp.phase, scope)]
+
+
+def all_dictionaries(splits: dict[str, PhaseSplits], scopes=("warm", "full")) -> dict:
+    """{(phase, scope): {visitorid, itemid, event}} with all ID dictionaries fit in one pass."""
+    specs = {}
+    for sp in splits.values():
+        for scope in scopes:
+            specs.update(_specs(sp, scope))
+    fitted = fit_dictionaries(specs)
+    out = {}
+    for ph, sp in splits.items():
+        ev = event_dictionary(sp.train)
+        for scope in scopes:
+            out[(ph, scope)] = {"visitorid": fitted[f"{ph}/{scope}/visitorid"],
+                                "itemid": fitted[f"{ph}/{scope}/itemid"], "event": ev}
+    return out
 
 
 def encode(df: DataFrame, dictionary: DataFrame, col: str, out_col: str) -> DataFrame:

@@ -54,19 +54,28 @@ MATRIX_LAYOUT = {
 }
 
 
-def phase_bundle(sp: PhaseSplits, scope: str, weights: dict | None = None) -> tuple[dict, dict]:
+def phase_bundle(sp: PhaseSplits, scope: str, weights: dict | None = None,
+                 dicts: dict | None = None) -> tuple[dict, dict]:
     """All matrices of one (phase, scope) bundle plus its dictionaries."""
-    dicts = phase_dictionaries(sp, scope)
+    dicts = dicts or phase_dictionaries(sp, scope)
     mats = {name: cells(getattr(sp, attr), dicts, weights)
             for name, attr in MATRIX_LAYOUT[(sp.phase, scope)].items()}
     return mats, dicts
 
 
+def all_bundles(splits: dict[str, PhaseSplits], weights: dict | None = None) -> dict:
+    """{(phase, scope): (matrices, dictionaries)} with one dictionary pass for all bundles."""
+    from .dictionary import all_dictionaries
+    dicts = all_dictionaries(splits)
+    return {key: phase_bundle(splits[key[0]], key[1], weights, dicts[key]) for key in MATRIX_LAYOUT}
+
+
 def all_interactions(splits: dict[str, PhaseSplits], weights: dict | None = None) -> DataFrame:
     """I4: the ten matrices as one long table (phase, scope, matrix, user_idx, item_idx, weight)."""
     parts = []
+    bundles = all_bundles(splits, weights)
     for (phase, scope) in MATRIX_LAYOUT:
-        mats, _ = phase_bundle(splits[phase], scope, weights)
+        mats, _ = bundles[(phase, scope)]
         for name, c in mats.items():
             parts.append(c.select(F.lit(phase).alias("phase"), F.lit(scope).alias("scope"),
                                   F.lit(name).alias("matrix"), "user_idx", "item_idx", "weight"))

@@ -164,7 +164,7 @@ def q_id_dictionary_full(spark, sf):
 
 @query("event_codes", phase_sql(lambda ph: "SELECT raw AS event, idx AS code FROM de"))
 def q_event_codes(spark, sf):
-    return per_phase(spark, sf, lambda sp: dic.fit_dictionary(sp.train, col="event")
+    return per_phase(spark, sf, lambda sp: dic.event_dictionary(sp.train)
                      .select(F.col("raw").alias("event"), F.col("idx").alias("code")))
 
 
@@ -201,8 +201,7 @@ def q_dict_store_roundtrip(spark, sf):
     """Write the dictionaries partitioned by (phase, scope, field), read back."""
     from ..sources.stores import read_dictionary, write_dictionaries
     ps = phases(spark, sf)
-    path = write_dictionaries({(ph, sc): dic.phase_dictionaries(sp, sc) for ph, sp in ps.items()
-                               for sc in ("warm", "full")})
+    path = write_dictionaries(dic.all_dictionaries(ps))
     parts = []
     for ph in PHASES:
         for sc in ("warm", "full"):
@@ -250,9 +249,10 @@ def _matrix_stats_sql(ph):
 @query("matrix_stats", both_phases(_matrix_stats_sql))
 def q_matrix_stats(spark, sf):
     parts = []
-    for ph, sp in phases(spark, sf).items():
+    bundles = inter.all_bundles(phases(spark, sf))
+    for ph in PHASES:
         for scope in ("warm", "full"):
-            mats, d = inter.phase_bundle(sp, scope)
+            mats, d = bundles[(ph, scope)]
             for name, c in mats.items():
                 parts.append(inter.matrix_stats(c, d).select(
                     F.lit(ph).alias("phase"), F.lit(scope).alias("scope"), F.lit(name).alias("matrix"), "*"))
@@ -591,7 +591,7 @@ class Serving:
 
     def _truth(self, split):
         # eval cells coded with the training event dictionary, non-zero only
-        codes = dic.fit_dictionary(self.sp.train, col="event").select(F.col("raw").alias("event"),
+        codes = dic.event_dictionary(self.sp.train).select(F.col("raw").alias("event"),
                                                                        F.col("idx").cast("double").alias("w"))
         return (split.select("visitorid", "itemid", "event").join(F.broadcast(codes), "event")
                 .groupBy("visitorid", "itemid").agg(F.sum("w").alias("weight"))
@@ -1343,3 +1343,53 @@ def q_params_resolved(spark, sf):
     """S10 (+ F13): per model and parameter, the document's value or the default."""
     path = runlog.write_params_doc(_best_params_doc(spark, sf), scratch_path(spark, "params"))
     return runlog.resolve_params(runlog.read_params_doc(spark, path), DEFAULTS)
+
+
+# ------------------------------------------------------------- remaining reports
+_TOPN = 10_000
+
+
+@query("popular_by_weight", serving_sql(
+    f"SELECT itemid, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, itemid) AS INTEGER) AS position "
+    f"FROM ipop ORDER BY cnt DESC, itemid LIMIT {_TOPN}", (), cand=_CAND_HYB))
+def q_popular_by_weight(spark, sf):
+    """T4 (+ A13): the 10,000 items with the largest summed training weight."""
+    from pyspark.sql import Window
+    s = Serving(spark, sf)
+    popw = inter.raw_cells(s.sp.train).groupBy("itemid").agg(F.sum("weight").cast("double").alias("cnt"))
+    top = pop.top_popular(popw, _TOPN)
+    # at most 10,000 rows: numbering them in one partition is bounded
+    return top.withColumn("position", F.row_number().over(
+        Window.orderBy(F.col("cnt").desc(), F.col("itemid").asc())).cast("int"))
+
+
+@query("popular_by_ratings", serving_sql(
+    f"SELECT itemid, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, itemid) AS INTEGER) AS position "
+    f"FROM rpop ORDER BY cnt DESC, itemid LIMIT {_TOPN}", (), cand=_CAND_SVD))
+def q_popular_by_ratings(spark, sf):
+    """T4 (+ A14): the 10,000 items rated most often."""
+    from pyspark.sql import Window
+    s = Serving(spark, sf)
+    rpop = pop.item_popularity(s.ratings.select(F.col("item_id").alias("itemid")))
+    return pop.top_popular(rpop, _TOPN).withColumn("position", F.row_number().over(
+        Window.orderBy(F.col("cnt").desc(), F.col("itemid").asc())).cast("int"))
+
+
+@query("items_per_user", phase_sql(
+    lambda ph: "SELECT u.visitorid, coalesce(r.items, '') AS rec_items, t.n_truth FROM "
+               "(SELECT visitorid, count(DISTINCT itemid) AS n_truth FROM fu GROUP BY visitorid) t "
+               "JOIN us u USING (visitorid) LEFT JOIN (SELECT visitorid, string_agg(CAST(itemid AS VARCHAR), ',' "
+               "ORDER BY rank) AS items FROM recs GROUP BY visitorid) r USING (visitorid)",
+    lambda ph: _POPULAR_TOPK_CTES))
+def q_items_per_user(spark, sf):
+    """The popularity list per evaluation user (<= k items, in order) and the size of its truth set."""
+    def one(sp):
+        recs = pop.recommend_popular(sp.train, sp.eval_full.select("visitorid"), K)
+        lists = (recs.groupBy("visitorid")
+                 .agg(F.sort_array(F.collect_list(F.struct("rank", "itemid"))).alias("_l"))    # <= k entries
+                 .select("visitorid", F.array_join(F.transform("_l", lambda x: x["itemid"].cast("string")), ",")
+                         .alias("rec_items")))
+        truth = sp.eval_full.groupBy("visitorid").agg(F.countDistinct("itemid").alias("n_truth"))
+        return (truth.join(lists, "visitorid", "left")
+                .select("visitorid", F.coalesce("rec_items", F.lit("")).alias("rec_items"), "n_truth"))
+    return per_phase(spark, sf, one)

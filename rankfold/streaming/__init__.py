@@ -1,0 +1,6 @@
+"""No streaming operators: the reference reads bounded files only.
+
+Every operator in ``rankfold.operators`` is a batch DataFrame job; the event
+source (``rankfold.sources.events``) can be pointed at a growing folder and
+re-run per batch, which is all the reference's pipeline needs.
+"""
