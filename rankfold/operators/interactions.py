@@ -85,24 +85,24 @@ def all_interactions(splits: dict[str, PhaseSplits], weights: dict | None = None
     return out
 
 
-def one_row(named_aggs: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Combine several one-row, one-column aggregates into one row without a join."""
+def one_row(aggs: list[DataFrame]) -> DataFrame:
+    """Combine several one-row aggregates (disjoint column names) into one row without a join."""
     long = None
-    for name, df in named_aggs:
-        part = df.select(F.lit(name).alias("_k"), F.col(df.columns[0]).cast("double").alias("_v"))
-        long = part if long is None else long.unionByName(part)
-    return long.agg(*[F.max(F.when(F.col("_k") == n, F.col("_v"))).alias(n) for n, _ in named_aggs])
+    for df in aggs:
+        long = df if long is None else long.unionByName(df, allowMissingColumns=True)
+    cols = [c for df in aggs for c in df.columns]
+    return long.agg(*[F.max(c).alias(c) for c in cols])
 
 
 def matrix_stats(c: DataFrame, dicts: dict[str, DataFrame]) -> DataFrame:
-    """A10: shape (dictionary sizes) and stored / non-zero cell counts, one row."""
+    """A10: shape (dictionary sizes) and stored / non-zero cell counts, one row, one pass per input."""
     nz = F.col("weight") != 0
     row = one_row([
-        ("n_users", dicts["visitorid"].agg(F.count(F.lit(1)))),
-        ("n_items", dicts["itemid"].agg(F.count(F.lit(1)))),
-        ("stored_cells", c.agg(F.count(F.lit(1)))),
-        ("nonzero_cells", c.agg(F.count(F.when(nz, 1)))),
-        ("users_with_interactions", c.agg(F.countDistinct(F.when(nz, F.col("user_idx"))))),
+        dicts["visitorid"].agg(F.count(F.lit(1)).alias("n_users")),
+        dicts["itemid"].agg(F.count(F.lit(1)).alias("n_items")),
+        c.agg(F.count(F.lit(1)).alias("stored_cells"),
+              F.count(F.when(nz, 1)).alias("nonzero_cells"),
+              F.countDistinct(F.when(nz, F.col("user_idx"))).alias("users_with_interactions")),
     ])
     return row.select(*[F.col(n).cast("long").alias(n) for n in row.columns])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +79,9 @@ def build_phase(events: DataFrame, phase: str, periods: dict | None = None) -> P
     tr, ev = PHASES[phase]
     train = period(events, *periods[tr])
     full = period(events, *periods[ev])
-    return PhaseSplits(phase, train, full, warm(full, train), cold(full, train))
+    # warm / cold come out of joins and feed many operators: computed once per session
+    lvl = StorageLevel.MEMORY_AND_DISK
+    return PhaseSplits(phase, train, full, warm(full, train).persist(lvl), cold(full, train).persist(lvl))
 
 
 def build_splits(events: DataFrame, periods: dict | None = None) -> dict[str, DataFrame]:

@@ -552,30 +552,41 @@ from .sqlbase import frozen_sql, score_sql  # noqa: E402
 class Serving:
     """Final-phase serving context, built lazily per model."""
 
+    # Small tables that many later jobs of one query read (user / item sets, seen
+    # pairs, truth pairs, factor tables) are persisted once instead of being
+    # recomputed from the log by every job.
+    _LEVEL = StorageLevel.MEMORY_AND_DISK
+
     def __init__(self, spark, sf, phase: str = "final"):
         self.sf = sf
         self.sp = phases(spark, sf)[phase]
         self._ratings = None
         self._uni: dict = {}
         self._model: dict = {}
-        self.requested = self.sp.eval_full.select("visitorid").distinct()
+        self._truth: dict = {}
+        self.requested = self.sp.eval_full.select("visitorid").distinct().persist(self._LEVEL)
 
     @property
     def ratings(self):
         if self._ratings is None:
-            self._ratings = rat.hybrid_ratings(self.sp.train)
+            self._ratings = rat.hybrid_ratings(self.sp.train).persist(self._LEVEL)
         return self._ratings
 
     def uni(self, m):
         if m not in self._uni:
-            self._uni[m] = serve.universe(self.sp, m, self.ratings if m == "svd" else None)
+            u = serve.universe(self.sp, m, self.ratings if m == "svd" else None)
+            self._uni[m] = serve.Universe(u.users.persist(self._LEVEL), u.items.persist(self._LEVEL),
+                                          u.seen.persist(self._LEVEL))
         return self._uni[m]
 
     def model(self, m):
         if m not in self._model:
             u = self.uni(m)
-            self._model[m] = frozen_model(m, u.users.select(F.col("visitorid").alias("raw")),
-                                          u.items.select(F.col("itemid").alias("raw")))
+            fm = frozen_model(m, u.users.select(F.col("visitorid").alias("raw")),
+                              u.items.select(F.col("itemid").alias("raw")))
+            fm.user_factors = fm.user_factors.persist(self._LEVEL)
+            fm.item_factors = fm.item_factors.persist(self._LEVEL)
+            self._model[m] = fm
         return self._model[m]
 
     def recs(self, m, requested=None, k=K, candidates=None):
@@ -587,9 +598,12 @@ class Serving:
 
     def truth(self, scope):
         """Non-zero evaluation cells (raw ids) of the warm or the full split."""
-        return self._truth(self.sp.eval_warm if scope == "warm" else self.sp.eval_full)
+        if scope not in self._truth:
+            split = self.sp.eval_warm if scope == "warm" else self.sp.eval_full
+            self._truth[scope] = self._nonzero_cells(split).persist(self._LEVEL)
+        return self._truth[scope]
 
-    def _truth(self, split):
+    def _nonzero_cells(self, split):
         # eval cells coded with the training event dictionary, non-zero only
         codes = dic.event_dictionary(self.sp.train).select(F.col("raw").alias("event"),
                                                                        F.col("idx").cast("double").alias("w"))
