@@ -37,16 +37,22 @@ _STATE = ("kind int, id long, item long, bias double, features array<double>, "
 KIND_USER, KIND_ITEM, KIND_ROW = 0, 1, 2
 
 
-def _init_features(ident, f: int, side: str, seed: int, gaussian: bool, scale: float):
-    """Deterministic initial vector per id: Box-Muller over two md5 uniforms, or uniform."""
-    def unif(d, tag):
-        hx = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(side), ident.cast("string"), d.cast("string"),
-                                                  F.lit(tag), F.lit(str(seed)))), 1, 13), 16, 10).cast("double")
-        return (hx + F.lit(0.5)) / F.lit(float(16 ** 13))
+def init_vector(ident: int, f: int, side: str, seed: int, gaussian: bool, scale: float) -> np.ndarray:
+    """Deterministic initial vector of one id: N(0, scale) or uniform (u - 0.5) * scale."""
+    rng = np.random.default_rng([seed, 0 if side == "user" else 1, int(ident) & 0x7FFFFFFFFFFFFFFF])
     if gaussian:
-        return F.transform(F.sequence(F.lit(0), F.lit(f - 1)), lambda d: F.sqrt(-2.0 * F.log(unif(d, "a")))
-                           * F.cos(F.lit(2 * math.pi) * unif(d, "b")) * F.lit(scale))
-    return F.transform(F.sequence(F.lit(0), F.lit(f - 1)), lambda d: (unif(d, "a") - F.lit(0.5)) * F.lit(scale))
+        return rng.normal(0.0, scale, f)
+    return (rng.random(f) - 0.5) * scale
+
+
+def _init_rows(f: int, side: str, seed: int, gaussian: bool, scale: float, kind: int):
+    def run(batches):
+        for pdf in batches:
+            ids = pdf["id"].to_numpy(np.int64)
+            yield pd.DataFrame({"kind": kind, "id": ids, "item": None, "bias": 0.0,
+                                "features": [init_vector(i, f, side, seed, gaussian, scale) for i in ids],
+                                "rating": np.nan, "ord": 0, "grp": 0})
+    return run
 
 
 def _block(col, nb: int, salt: int):
@@ -160,7 +166,7 @@ def _cell_fn(loss, lr, reg, mu, seed, epoch, sub, n_items_total):
 
 def train_block_sgd(rows: DataFrame, loss: str, factors: int, epochs: int, lr: float, reg: float,
                     seed: int = 42, blocks: int | None = None, init_std: float = 0.1,
-                    gaussian_init: bool = True, rows_per_cell: int = 50_000) -> FactorModel:
+                    gaussian_init: bool = True, rows_per_cell: int = 8_000) -> FactorModel:
     """rows: (u long, i long, r double) training cells. Returns a FactorModel keyed by raw ids."""
     spark = rows.sparkSession
     checkpoint_dir(spark)
@@ -177,11 +183,7 @@ def train_block_sgd(rows: DataFrame, loss: str, factors: int, epochs: int, lr: f
     items = rows.select(F.col("i").alias("id")).distinct()
 
     def factor_rows(ids, kind, side):
-        return ids.select(F.lit(kind).alias("kind"), "id", F.lit(None).cast("long").alias("item"),
-                          F.lit(0.0).alias("bias"),
-                          _init_features(F.col("id"), factors, side, seed, gaussian_init, scale).alias("features"),
-                          F.lit(None).cast("double").alias("rating"), F.lit(0).cast("long").alias("ord"),
-                          F.lit(0).alias("grp"))
+        return ids.mapInPandas(_init_rows(factors, side, seed, gaussian_init, scale, kind), _STATE)
     state = factor_rows(users, KIND_USER, "user").unionByName(factor_rows(items, KIND_ITEM, "item"))
     state = state.checkpoint(eager=True)
     cells = (rows.withColumn("ub", _block(F.col("u"), nb, 17)).withColumn("ib", _block(F.col("i"), nb, 29))

@@ -37,6 +37,25 @@ def _block_counts(n_users: int, n_items: int, parallelism: int,
     return nu, ni
 
 
+def _local_topk(est: np.ndarray, uid: np.ndarray, item_ids: np.ndarray, k: int) -> pd.DataFrame:
+    """Exact per-row top-k of ``est`` (score desc, then item id asc; columns are in id order).
+
+    np.partition finds each row's k-th largest score in linear time; only the
+    entries at or above it (ties included) are sorted.  Masked entries (-inf)
+    never appear.
+    """
+    n = est.shape[1]
+    kk = min(k, n)
+    kth = np.partition(est, n - kk, axis=1)[:, n - kk]
+    r, c = np.nonzero((est >= kth[:, None]) & np.isfinite(est))
+    v = est[r, c]
+    order = np.lexsort((c, -v, r))
+    r, c, v = r[order], c[order], v[order]
+    first = np.searchsorted(r, r, side="left")
+    keep = (np.arange(len(r)) - first) < kk
+    return pd.DataFrame({"u": uid[r[keep]], "i": item_ids[c[keep]], "score": v[keep]})
+
+
 def _cell_scorer(kind: str, mu: float, divisor: float, clip, k: int, chunk: int):
     def score_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         users = left[left["kind"] == 0]
@@ -65,12 +84,7 @@ def _cell_scorer(kind: str, mu: float, divisor: float, clip, k: int, chunk: int)
                 sp = seen[seen["id"].isin(row_of.index) & seen["item"].isin(col_of.index)]
                 if not sp.empty:
                     est[row_of.loc[sp["id"]].to_numpy(), col_of.loc[sp["item"]].to_numpy()] = -np.inf
-            kk = min(k, est.shape[1])
-            order = np.argsort(-est, axis=1, kind="stable")[:, :kk]     # ties: smaller item id first
-            top = np.take_along_axis(est, order, axis=1)
-            keep = np.isfinite(top)
-            rows = np.repeat(uid, kk).reshape(-1, kk)
-            out.append(pd.DataFrame({"u": rows[keep], "i": item_ids[order][keep], "score": top[keep]}))
+            out.append(_local_topk(est, uid, item_ids, k))
         return pd.concat(out, ignore_index=True)
     return score_cell
 

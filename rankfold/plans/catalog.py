@@ -123,7 +123,8 @@ def _split_summary_sql(ph):
 @query("split_summary", both_phases(_split_summary_sql))
 def q_split_summary(spark, sf):
     """Events, users, items for all eight splits."""
-    t = tagged_splits(tpch_events(spark, sf))
+    t = union_all([df.withColumn("split", F.lit(n)) for sp in phases(spark, sf).values()
+                   for n, df in sp.named().items()])
     return t.groupBy("split").agg(F.count(F.lit(1)).alias("events"),
                                   F.countDistinct("visitorid").alias("users"),
                                   F.countDistinct("itemid").alias("items"))
@@ -778,7 +779,10 @@ def _ens_sql(body, extra, req):
 
 
 def _u3(s: Serving):
-    return ens.ground_truth(s.truth("warm"), s.truth("full"))
+    # read by several branches of every fusion query: written once, lineage cut
+    if "u3" not in s._truth:
+        s._truth["u3"] = ens.ground_truth(s.truth("warm"), s.truth("full")).checkpoint(eager=True)
+    return s._truth["u3"]
 
 
 @query("ground_truth", serving_sql("SELECT visitorid, itemid FROM truth_warm UNION SELECT visitorid, itemid FROM truth_full", ()))

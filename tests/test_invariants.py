@@ -86,7 +86,7 @@ def _plain_svd(ratings, P, Q, mu, lr, reg, epochs, orders):
 
 
 def test_svd_block_sgd_single_block_equals_plain_loop(spark):
-    from rankfold.operators.block_sgd import _init_features, train_block_sgd
+    from rankfold.operators.block_sgd import init_vector, train_block_sgd
     rng = np.random.default_rng(3)
     data = [(int(u), int(i), float(r)) for u, i, r in
             zip(rng.integers(0, 30, 200), rng.integers(0, 40, 200), rng.integers(1, 6, 200))]
@@ -94,8 +94,7 @@ def test_svd_block_sgd_single_block_equals_plain_loop(spark):
     df = spark.createDataFrame(data, "u long, i long, r double")
     f, epochs, lr, reg, seed = 5, 3, 0.01, 0.02, 42
     m = train_block_sgd(df, "svd", f, epochs, lr, reg, seed=seed, blocks=1)
-    init = lambda ids, side: {r["id"]: np.array(r["v"]) for r in ids.select(
-        "id", _init_features(F.col("id"), f, side, seed, True, 0.1).alias("v")).collect()}
+    init = lambda ids, side: {r["id"]: init_vector(r["id"], f, side, seed, True, 0.1) for r in ids.collect()}
     P0 = init(df.select(F.col("u").alias("id")).distinct(), "user")
     Q0 = init(df.select(F.col("i").alias("id")).distinct(), "item")
     orders = {}
