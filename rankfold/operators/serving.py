@@ -113,3 +113,14 @@ def sample_users(users: DataFrame, n: int | None, seed: int = 42, col: str = "vi
     if n is None:
         return u
     return u.orderBy(h(F.col(col), seed=seed), F.col(col)).limit(n)
+
+
+def with_cold_users(model: FactorModel, users: DataFrame) -> FactorModel:
+    """Q23: users the hybrid model never trained on get a zero factor and zero bias,
+    so they are ranked by the item biases (a popularity-like order)."""
+    f = len(model.item_factors.select("features").first()["features"])     # one row reaches the driver
+    missing = (users.select(F.col("visitorid").alias("id")).distinct()
+               .join(model.user_factors.select("id"), "id", "left_anti"))
+    zeros = missing.select("id", F.lit(0.0).alias("bias"), F.array_repeat(F.lit(0.0), f).alias("features"))
+    return FactorModel(model.kind, model.user_factors.unionByName(zeros), model.item_factors,
+                       model.global_mean, model.divisor, dict(model.params, cold_users="zero"))

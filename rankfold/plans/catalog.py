@@ -1078,6 +1078,8 @@ def _trained_query(name, uni_name, truth_scope, loss=None, require_list=False):
     def run(spark, sf):
         s = Serving(spark, sf)
         m = train_model(s, name, loss=loss)
+        if name == "lightfm":
+            m = serve.with_cold_users(m, s.uni("lightfm").users)
         return _eval_trained(s, m, uni_name, truth_scope, require_list).select(
             F.lit(name if loss is None else f"{name}_{loss}").alias("model"), "*")
     return run
