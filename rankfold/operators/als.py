@@ -41,14 +41,23 @@ def train_als(cells: DataFrame, user_dict: DataFrame, item_dict: DataFrame, rank
 
 
 def gram(item_factors: DataFrame, f: int) -> np.ndarray:
-    """Y^T Y as one f x f aggregate (f^2 sums, computed on the executors)."""
-    y = F.col("features")
-    row = item_factors.agg(*[F.sum(y[a] * y[b]).alias(f"g{a}_{b}") for a in range(f) for b in range(a, f)]).first()
-    g = np.zeros((f, f))
-    for a in range(f):
-        for b in range(a, f):
-            g[a, b] = g[b, a] = row[f"g{a}_{b}"] or 0.0
-    return g
+    """Y^T Y: one partial f x f product per partition (Arrow batches), summed per cell by Spark.
+
+    Only the f * f result reaches the driver, whatever the number of items.
+    """
+    def partial(batches):
+        g = np.zeros((f, f))
+        for pdf in batches:
+            if len(pdf):
+                Y = np.stack(pdf["features"].to_numpy()).astype(np.float64)
+                g += Y.T @ Y
+        yield pd.DataFrame({"k": np.arange(f * f, dtype=np.int64), "v": g.ravel()})
+    cells = (item_factors.select("features").mapInPandas(partial, "k long, v double")
+             .groupBy("k").agg(F.sum("v").alias("v")))
+    g = np.zeros(f * f)
+    for r in cells.collect():
+        g[r["k"]] = r["v"]
+    return g.reshape(f, f)
 
 
 def fold_in(profile: DataFrame, item_factors: DataFrame, reg: float, alpha: float = 1.0) -> DataFrame:

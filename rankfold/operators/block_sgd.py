@@ -77,15 +77,18 @@ def sgd_block_update(loss: str, users: pd.DataFrame, items: pd.DataFrame, rows:
     uix, iix, r = uix[ok], iix[ok], r[ok]
     n_block_items = len(items)
     if loss == "svd":
+        # p += lr (err q - reg p)  ==  (1 - lr reg) p + (lr err) q ; biases as Python floats
+        bul, bil, keep = bu.tolist(), bi.tolist(), 1.0 - lr * reg
         for u, i, y in zip(uix.tolist(), iix.tolist(), r.tolist()):
             pu, qi = P[u], Q[i]
-            err = y - (mu + bu[u] + bi[i] + pu.dot(qi))
-            bu[u] += lr * (err - reg * bu[u])
-            bi[i] += lr * (err - reg * bi[i])
-            puf = pu.copy()
-            P[u] += lr * (err * qi - reg * pu)
-            Q[i] += lr * (err * puf - reg * qi)
-        return P, bu, Q, bi
+            err = y - (mu + bul[u] + bil[i] + float(pu.dot(qi)))
+            bul[u] += lr * (err - reg * bul[u])
+            bil[i] += lr * (err - reg * bil[i])
+            g = lr * err
+            new_p = keep * pu + g * qi
+            Q[i] = keep * qi + g * pu
+            P[u] = new_p
+        return P, np.asarray(bul), Q, np.asarray(bil)
     positives = {}
     for u, i in zip(uix.tolist(), iix.tolist()):
         positives.setdefault(u, set()).add(i)

@@ -103,7 +103,10 @@ def score_topk(model: FactorModel, users: DataFrame, k: int, seen: DataFrame | N
     itf = model.item_factors
     if items is not None:
         itf = itf.join(items.select(F.col("i").alias("id")).distinct(), "id", "left_semi")
-    n_users, n_items = uf.count(), itf.count()
+    sizes = (uf.select(F.lit(1).alias("nu"), F.lit(0).alias("ni"))
+             .unionByName(itf.select(F.lit(0).alias("nu"), F.lit(1).alias("ni")))
+             .agg(F.sum("nu").alias("nu"), F.sum("ni").alias("ni")).first())         # one job, two scalars
+    n_users, n_items = int(sizes["nu"] or 0), int(sizes["ni"] or 0)
     if n_users == 0 or n_items == 0:
         return spark.createDataFrame([], _OUT_SCHEMA + ", rank int")
     nu, ni = _block_counts(n_users, n_items, spark.sparkContext.defaultParallelism,

@@ -76,3 +76,16 @@ def read_interactions(spark: SparkSession, path: str, phase: str, scope: str, ma
     return (spark.read.parquet(path)
             .filter((F.col("phase") == phase) & (F.col("scope") == scope) & (F.col("matrix") == matrix))
             .select("user_idx", "item_idx", "weight"))
+
+
+def phase_from_store(spark: SparkSession, path: str, phase: str):
+    """PhaseSplits read back from a split store (partition-pruned scans, no recomputation).
+
+    On a cluster this is the intended hand-off: one job writes the store with
+    ``write_splits``; every later operator starts from it instead of caching
+    the whole enriched log.
+    """
+    from ..operators.splits import SPLIT_NAMES, PhaseSplits
+    tr, wa, co, fu = SPLIT_NAMES[phase]
+    return PhaseSplits(phase, read_split(spark, path, tr), read_split(spark, path, fu),
+                       read_split(spark, path, wa), read_split(spark, path, co))

@@ -140,3 +140,25 @@ def test_foldin_reproduces_als_user_factors(spark):
     assert len(j) > 50
     err = max(float(np.max(np.abs(np.array(r["x"]) - np.array(r["y"])))) for r in j)
     assert err < 1e-3
+
+
+def test_gram_matches_numpy(spark):
+    from rankfold.operators.als import gram
+    rng = np.random.default_rng(1)
+    Y = rng.normal(size=(300, 6))
+    df = spark.createDataFrame([(i, [float(x) for x in Y[i]]) for i in range(300)], "id long, features array<double>")
+    assert np.allclose(gram(df.repartition(5), 6), Y.T @ Y, atol=1e-9)
+
+
+def test_phase_from_store_equals_built_phase(spark):
+    from rankfold.plans.catalog import phases
+    from rankfold.session import scratch_path
+    from rankfold.sources.events import tpch_events
+    from rankfold.sources.stores import phase_from_store, write_splits
+    path = write_splits(tpch_events(spark, SF_SMALL), scratch_path(spark, "test-splits"))
+    built = phases(spark, SF_SMALL)["tune"]
+    back = phase_from_store(spark, path, "tune")
+    key = ["visitorid", "itemid", "event", "timestamp"]
+    for attr in ("train", "eval_full", "eval_warm", "eval_cold"):
+        a, b = getattr(built, attr).select(*key), getattr(back, attr).select(*key)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
