@@ -169,7 +169,8 @@ def _cell_fn(loss, lr, reg, mu, seed, epoch, sub, n_items_total):
 
 def train_block_sgd(rows: DataFrame, loss: str, factors: int, epochs: int, lr: float, reg: float,
                     seed: int = 42, blocks: int | None = None, init_std: float = 0.1,
-                    gaussian_init: bool = True, rows_per_cell: int = 8_000) -> FactorModel:
+                    gaussian_init: bool = True, rows_per_cell: int = 8_000,
+                    checkpoint_every: int = 1) -> FactorModel:
     """rows: (u long, i long, r double) training cells. Returns a FactorModel keyed by raw ids."""
     spark = rows.sparkSession
     checkpoint_dir(spark)
@@ -204,7 +205,8 @@ def train_block_sgd(rows: DataFrame, loss: str, factors: int, epochs: int, lr: f
                                      .otherwise(F.pmod(_block(F.col("id"), nb, 29) - F.lit(sub), F.lit(nb))))
             state = (keyed.unionByName(part).groupBy("grp")
                      .applyInPandas(_cell_fn(loss, lr, reg, mu, seed, epoch, sub, n_items_total), _STATE))
-        state = state.checkpoint(eager=True)
+        if (epoch + 1) % checkpoint_every == 0 or epoch == epochs - 1:
+            state = state.checkpoint(eager=True)
     # two separately materialized tables: independent lineages for later joins
     fresh = [F.col(c).alias(c) for c in ("id", "bias", "features")]     # new attribute ids per side
     uf = state.filter(F.col("kind") == KIND_USER).select(*fresh).checkpoint(eager=True)
