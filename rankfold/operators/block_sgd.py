@@ -37,12 +37,36 @@ _STATE = ("kind int, id long, item long, bias double, features array<double>, "
 KIND_USER, KIND_ITEM, KIND_ROW = 0, 1, 2
 
 
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _splitmix64(x: np.ndarray) -> np.ndarray:
+    """splitmix64 finaliser on uint64 arrays (wrapping arithmetic)."""
+    with np.errstate(over="ignore"):
+        z = x + _GOLDEN
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31))
+
+
+def init_matrix(ids: np.ndarray, f: int, side: str, seed: int, gaussian: bool, scale: float) -> np.ndarray:
+    """Deterministic initial vectors for many ids at once: N(0, scale) by Box-Muller over two
+    hashed uniform streams, or uniform (u - 0.5) * scale.  Depends only on (id, dim, side, seed)."""
+    with np.errstate(over="ignore"):
+        base = _splitmix64(_splitmix64(ids.astype(np.int64).view(np.uint64) ^ np.uint64(1 if side == "user" else 2))
+                           ^ np.uint64(seed))
+        d = np.arange(f, dtype=np.uint64)
+        ha = _splitmix64(base[:, None] + d[None, :] * np.uint64(2) * _GOLDEN)
+        u1 = ((ha >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53          # (0, 1)
+        if not gaussian:
+            return (u1 - 0.5) * scale
+        hb = _splitmix64(base[:, None] + (d[None, :] * np.uint64(2) + np.uint64(1)) * _GOLDEN)
+        u2 = (hb >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
+        return np.sqrt(-2.0 * np.log(u1)) * np.cos(2.0 * np.pi * u2) * scale
+
+
 def init_vector(ident: int, f: int, side: str, seed: int, gaussian: bool, scale: float) -> np.ndarray:
-    """Deterministic initial vector of one id: N(0, scale) or uniform (u - 0.5) * scale."""
-    rng = np.random.default_rng([seed, 0 if side == "user" else 1, int(ident) & 0x7FFFFFFFFFFFFFFF])
-    if gaussian:
-        return rng.normal(0.0, scale, f)
-    return (rng.random(f) - 0.5) * scale
+    return init_matrix(np.array([ident]), f, side, seed, gaussian, scale)[0]
 
 
 def _init_rows(f: int, side: str, seed: int, gaussian: bool, scale: float, kind: int):
@@ -50,7 +74,7 @@ def _init_rows(f: int, side: str, seed: int, gaussian: bool, scale: float, kind:
         for pdf in batches:
             ids = pdf["id"].to_numpy(np.int64)
             yield pd.DataFrame({"kind": kind, "id": ids, "item": None, "bias": 0.0,
-                                "features": [init_vector(i, f, side, seed, gaussian, scale) for i in ids],
+                                "features": list(init_matrix(ids, f, side, seed, gaussian, scale)),
                                 "rating": np.nan, "ord": 0, "grp": 0})
     return run
 
