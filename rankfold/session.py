@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
+        # scan split size: keep input partitions well inside executor memory at large scale
+        .config("spark.sql.files.maxPartitionBytes", os.environ.get("RANKFOLD_MAX_PARTITION_BYTES", "128m"))
         .config("spark.driver.memory", os.environ.get("RANKFOLD_DRIVER_MEMORY", "16g"))
         # checkpoint files of unreachable DataFrames are removed from the shared folder
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
