@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import line_dedup, mixing, secrets, sharding, token_counts
 from .common import prepare, table
 
 
+def op1_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens per line of every document, each document encoded once, a token counted where it starts."""
+    prepare(spark)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on five or more sources."""
+    prepare(spark)
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated to source weights proportional to size ** 0.5, whole texts, globally shuffled."""
     prepare(spark)
@@ -16,6 +28,12 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "source", "copy", "copies", "shuffle_key", F.col("_row.text").alias("text"))
 
 
+def op9_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base patterns and Markov spans, models trained over all documents."""
+    prepare(spark)
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on 16 shards of a bounded-load consistent-hash ring, law ``rows``."""
     prepare(spark)
@@ -23,11 +41,15 @@ def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_section_tokens": op1_section_tokens,
+    "op3_line_spread": op3_line_spread,
     "op5_poisson_mix": op5_poisson_mix,
+    "op9_markov_secrets": op9_markov_secrets,
     "op10_bounded_ring": op10_bounded_ring,
 }
 
 ORACLE = {
+    "op3_line_spread": line_dedup.oracle(),
     "op5_poisson_mix": mixing.oracle(),
     "op10_bounded_ring": sharding.oracle(),
 }
