@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, secrets, sharding, token_counts
+from . import line_dedup, mixing, neardup, secrets, sharding, token_counts
 from .common import prepare, table
 
 
@@ -15,6 +15,12 @@ def op1_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_minmax_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 2-word shingles, similarity 0.8, confirmed on full sets."""
+    prepare(spark)
+    return neardup.link(table(spark, sf_dir, "documents"))
+
+
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that stand on five or more sources."""
     prepare(spark)
@@ -42,6 +48,7 @@ def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_section_tokens": op1_section_tokens,
+    "op2_minmax_neardup": op2_minmax_neardup,
     "op3_line_spread": op3_line_spread,
     "op5_poisson_mix": op5_poisson_mix,
     "op9_markov_secrets": op9_markov_secrets,
