@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, neardup, secrets, sharding, token_counts
+from . import decontam, line_dedup, mixing, neardup, quality, secrets, sharding, token_counts
 from .common import prepare, table
 
 
@@ -34,6 +34,19 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "source", "copy", "copies", "shuffle_key", F.col("_row.text").alias("text"))
 
 
+def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latent score, expected grade and P(good) of every document, fitted on graded labels."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_qgram_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark passages found in it (up to 8 % edits)."""
+    prepare(spark)
+    return decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base patterns and Markov spans, models trained over all documents."""
     prepare(spark)
@@ -51,6 +64,8 @@ QUERIES = {
     "op2_minmax_neardup": op2_minmax_neardup,
     "op3_line_spread": op3_line_spread,
     "op5_poisson_mix": op5_poisson_mix,
+    "op6_ordinal_quality": op6_ordinal_quality,
+    "op8_qgram_decontam": op8_qgram_decontam,
     "op9_markov_secrets": op9_markov_secrets,
     "op10_bounded_ring": op10_bounded_ring,
 }
