@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, mixing, neardup, quality, secrets, sharding, token_counts
+from . import ann, decontam, line_dedup, mixing, neardup, quality, secrets, sharding, token_counts
 from .common import prepare, table
 
 
@@ -41,6 +41,12 @@ def op6_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors by inner product of every vector whose id is divisible by 20."""
+    prepare(spark)
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op8_qgram_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark passages found in it (up to 8 % edits)."""
     prepare(spark)
@@ -65,6 +71,7 @@ QUERIES = {
     "op3_line_spread": op3_line_spread,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_ordinal_quality": op6_ordinal_quality,
+    "op7_collision_ann": op7_collision_ann,
     "op8_qgram_decontam": op8_qgram_decontam,
     "op9_markov_secrets": op9_markov_secrets,
     "op10_bounded_ring": op10_bounded_ring,
