@@ -124,7 +124,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
 
 def _matrices(rows: DataFrame, key: str) -> DataFrame:
     """One row per (d, key): ids and the matrix, as bytes."""
-    def run(_, table: pa.Table) -> pa.Table:
+    def run(_, table):
         d, block = table.column("d")[0].as_py(), table.column(key)[0].as_py()
         values = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         return pa.table({"d": pa.array([d], pa.int32()), key: pa.array([block], pa.int32()),
