@@ -44,7 +44,7 @@ THRESHOLD = 0.85
 GROWTH = 1.15
 #: First half-width of the windows, in standard deviations of the projections.
 FIRST_WIDTH = 1.2
-CANDIDATES = 0.06
+CANDIDATES = 0.12
 LEAST = 200
 BLOCK = 16384
 QUERY_BLOCK = 1024

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, line_dedup, mixing, neardup, quality, secrets, sharding, token_counts
+from . import ann, decontam, language_model, line_dedup, mixing, neardup, quality, secrets, sharding, token_counts
 from .common import prepare, table
 
 
@@ -27,6 +27,12 @@ def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, model and base line trained on six sevenths of them."""
+    prepare(spark)
+    return language_model.perplexity(table(spark, sf_dir, "documents"))
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents replicated to source weights proportional to size ** 0.5, whole texts, globally shuffled."""
     prepare(spark)
@@ -69,6 +75,7 @@ QUERIES = {
     "op1_section_tokens": op1_section_tokens,
     "op2_minmax_neardup": op2_minmax_neardup,
     "op3_line_spread": op3_line_spread,
+    "op4_kneser_ney": op4_kneser_ney,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_ordinal_quality": op6_ordinal_quality,
     "op7_collision_ann": op7_collision_ann,
