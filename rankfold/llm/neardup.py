@@ -13,12 +13,15 @@ sequence as one).  Documents are linked when 100 * common >= percent * union.
    only classes count, so a third of all rows being copies costs one class.
 3. Classes that share a band value are joined to the bucket's smallest member
    (a star, not all pairs), and the star's links are confirmed on full sets.
-4. A link between two members that are both not linked to their bucket's root
-   would be missed, so after connecting components every bucket that still
-   holds several components compares the members outside its largest component
-   with all members of other components.  Pairs inside one component need no
-   comparison: they cannot change the result.  So every pair that shares a
-   bucket is either within one component or was compared exactly.
+4. A link between two members x, y of which one, x, is not linked to their root
+   r would be missed.  Write D(x) for the symmetric difference of x and r.  From
+   |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)| and x being too far from r it
+   follows that x and y must share more than (1 - q) / 2 of D(y)'s elements,
+   q = (100 - percent) / (100 + percent).  So in every star that still holds
+   several components, members are joined on the elements of their differences
+   alone, by prefix filtering (additions to the root first, then omissions), and
+   the pairs found are confirmed on full sets.  What the star has in common is
+   never compared, so a family of thousands of copies does not make all pairs.
 5. Components are connected again over all confirmed links.
 
 A pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^32 < 1e-7.
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,35 +139,97 @@ def shingle_set(text: str, k: int) -> set:
     return set(zip(*(w[i:] for i in range(k)))) if len(w) >= k else {tuple(w)}
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) with their texts ta, tb; rows of one a come one after the other."""
+    return (pairs.join(texts.select(F.col("v").alias("b"), F.col("t").alias("tb")), "b")
+            .join(texts.select(F.col("v").alias("a"), F.col("t").alias("ta")), "a"))
+
+
+def _rows(batches, k: int):
+    """(batch of at most 256 rows, [(set of a, set of b), ...]); the set of a run of equal a is built once."""
+    last, left = None, set()
+    for batch in batches:
+        for b in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+            sets = []
+            for a, ta, tb in zip(b.column("a").to_pylist(), b.column("ta").to_pylist(), b.column("tb").to_pylist()):
+                if a != last:
+                    last, left = a, shingle_set(ta or "", k)
+                sets.append((left, shingle_set(tb or "", k)))
+            yield b, sets
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Of the pairs (a, b), those whose full sets are similar enough: (a, b, common, total)."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "dup-ids")
-    texts = docs.select(F.col(id_col).cast("long").alias("v"), F.col(text_col).alias("t"))
-    texts = stored(texts.join(small_side(ids), "v", "left_semi").groupBy("v").agg(F.min("t").alias("t")), "dup-texts")
-    rows = (pairs.join(texts.select(F.col("v").alias("b"), F.col("t").alias("tb")), "b")
-            .join(texts.select(F.col("v").alias("a"), F.col("t").alias("ta")), "a").select("a", "b", "ta", "tb"))
+    def run(batches):
+        for b, sets in _rows(batches, k):
+            keep, common, total = [], [], []
+            for i, (x, y) in enumerate(sets):
+                c = len(x & y)
+                u = len(x) + len(y) - c
+                if c and 100 * c >= percent * u:
+                    keep.append(i)
+                    common.append(c)
+                    total.append(u)
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a").take(at), b.column("b").take(at), pa.array(common, pa.int64()), pa.array(total, pa.int64())],
+                names=["a", "b", "common", "total"])
+    return _with_texts(pairs, texts).select("a", "b", "ta", "tb").mapInArrow(
+        run, "a long, b long, common long, total long")
+
+
+def differences(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Prefixes of the members' differences from their roots: (a, b, c, n, near, added, gone, half, items).
+
+    ``items`` are hashes of the elements, additions first, each kind by hash: an
+    order all members of a star share.  ``half`` elements meet members that are
+    not linked to the root; an unlinked member shows up to n / 4 + 1 (at 80
+    percent) of them, which meet any member.
+    """
+    q = (100 - percent) / (100 + percent)
+    reach = (1 + 100 / percent) * q
+
+    def key(e):
+        return xxhash.xxh3_64_intdigest(b" ".join(e))
 
     def run(batches):
-        last, left = None, set()
-        for batch in batches:
-            for b in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                keep, common, total = [], [], []
-                a_ids = b.column(0).to_pylist()
-                for i, (a, ta, tb) in enumerate(zip(a_ids, b.column(2).to_pylist(), b.column(3).to_pylist())):
-                    if a != last:                       # the join delivers a root's pairs one after the other
-                        last, left = a, shingle_set(ta or "", k)
-                    right = shingle_set(tb or "", k)
-                    c = len(left & right)
-                    u = len(left) + len(right) - c
-                    if c and 100 * c >= percent * u:
-                        keep.append(i)
-                        common.append(c)
-                        total.append(u)
-                at = pa.array(keep, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(at), b.column(1).take(at), pa.array(common, pa.int64()), pa.array(total, pa.int64())],
-                    names=["a", "b", "common", "total"])
-    return rows.mapInArrow(run, "a long, b long, common long, total long")
+        for b, sets in _rows(batches, k):
+            cols = ([], [], [], [], [], [])
+            for x, y in sets:
+                c = len(x & y)
+                near = c > 0 and 100 * c >= percent * (len(x) + len(y) - c)
+                items = sorted(map(key, y - x)) + sorted(map(key, x - y))
+                half = int(len(items) * (1 + q) / 2) + 1
+                size = half if near else max(half, int(len(y) * reach) + 1)
+                values = np.array(items[:size], np.uint64).view(np.int64)
+                for col, v in zip(cols, (len(y), near, len(y) - c, len(x) - c, half, values)):
+                    col.append(v)
+            ends = np.concatenate(([0], np.cumsum([len(v) for v in cols[5]]))).astype(np.int32)
+            flat = np.concatenate([*cols[5], np.empty(0, np.int64)])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), b.column("c"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.bool_()),
+                 pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["a", "b", "c", "n", "near", "added", "gone", "half", "items"])
+    return _with_texts(pairs, texts).select("a", "b", "c", "ta", "tb").mapInArrow(
+        run, "a long, b long, c long, n long, near boolean, added long, gone long, half int, items array<long>")
+
+
+def across(stars: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of one star in different components that may be linked; stars: (a, b, c)."""
+    q = (100 - percent) / (100 + percent)
+    diff = stored(differences(stars, texts, k, percent), "dup-diff")
+    rows = diff.select("a", F.col("b").alias("v"), "c", "n", "near", "added", "gone", "half",
+                       F.posexplode("items").alias("pos", "item"))
+    right = rows.where("pos < half").drop("half")
+    left = rows.where("NOT near").select("a", "item", F.col("v").alias("xv"), F.col("c").alias("xc"), F.col("n").alias("xn"),
+                                         F.col("added").alias("xa"), F.col("gone").alias("xg"),
+                                         (F.col("pos") < F.col("half")).alias("xhalf"))
+    least = F.abs(F.col("added") - F.col("xa")) + F.abs(F.col("gone") - F.col("xg"))     # of |x ^ y|
+    pairs = left.join(right, (left["a"] == right["a"]) & (left["item"] == right["item"]) & (F.col("c") != F.col("xc"))
+                      & (F.col("near") | (F.col("xhalf") & (F.col("xv") < F.col("v"))))
+                      & _size_ok(F.col("n"), F.col("xn"), percent) & (least <= q * (F.col("n") + F.col("xn")) + 1e-6))
+    return pairs.select(F.least("v", "xv").alias("a"), F.greatest("v", "xv").alias("b")).distinct()
 
 
 def _size_ok(x, y, percent: int):
@@ -185,24 +251,23 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str
         F.xxhash64("band", "key").alias("bk"), "v", "n").distinct()
     roots = (slots.groupBy("bk").agg(F.min(F.struct("v", "n")).alias("root"), F.count(F.lit(1)).alias("m"))
              .where("m > 1").drop("m"))
-    members = stored(slots.join(roots, "bk"), "dup-members")
-    stars = stored(members.where(F.col("v") != F.col("root.v")).where(_size_ok(F.col("n"), F.col("root.n"), percent))
-                   .select(F.col("root.v").alias("a"), F.col("v").alias("b")).distinct(), "dup-stars")
-    links = stored(confirm(stars, docs, k, percent, id_col, text_col), "dup-links")
-
-    named = stored(members.join(components(links), "v", "left").select(
-        "bk", "v", "n", F.coalesce("component", "v").alias("c")), "dup-named")
-    per = named.groupBy("bk", "c").agg(F.count(F.lit(1)).alias("m"))
-    mixed = per.groupBy("bk").agg(F.max(F.struct("m", F.negate("c").alias("c"))).alias("top"),
-                                  F.count(F.lit(1)).alias("k")).where("k > 1").select(
-        "bk", F.negate("top.c").alias("top"))
-    open_ = named.join(mixed, "bk")
-    minor = open_.where("c <> top").select("bk", F.col("v").alias("xv"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-    rest = (minor.join(open_, "bk").where("c <> xc").where((F.col("c") == F.col("top")) | (F.col("xv") < F.col("v")))
-            .where(_size_ok(F.col("n"), F.col("xn"), percent))
-            .select(F.least("v", "xv").alias("a"), F.greatest("v", "xv").alias("b")).distinct()
-            .join(stars, ["a", "b"], "left_anti"))
-    more = confirm(stored(rest, "dup-rest"), docs, k, percent, id_col, text_col)
+    stars = stored(slots.join(roots, "bk").where(F.col("root.v") != F.col("v"))
+                   .select(F.col("root.v").alias("a"), F.col("v").alias("b"),
+                           _size_ok(F.col("n"), F.col("root.n"), percent).alias("fits")).distinct(), "dup-stars")
+    ids = stored(stars.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "dup-ids")
+    texts = docs.select(F.col(id_col).cast("long").alias("v"), F.col(text_col).alias("t"))
+    texts = stored(texts.join(small_side(ids), "v", "left_semi").groupBy("v").agg(F.min("t").alias("t")), "dup-texts")
+    links = stored(confirm(stars.where("fits").select("a", "b"), texts, k, percent), "dup-links")
+
+    parts = components(links)
+    named = (stars.select("a", "b").join(parts.withColumnRenamed("v", "b"), "b", "left")
+             .select("a", "b", F.coalesce("component", "b").alias("c")))
+    named = stored(named.join(parts.select(F.col("v").alias("a"), F.col("component").alias("root_c")), "a", "left")
+                   .select("a", "b", "c", F.coalesce("root_c", "a").alias("root_c")), "dup-named")
+    mixed = named.where("c <> root_c").select("a").distinct()     # stars with a member outside the root's component
+    rest = across(named.select("a", "b", "c").join(mixed, "a", "left_semi"), texts, k, percent)
+    rest = stored(rest.join(stars, ["a", "b"], "left_anti"), "dup-rest")
+    more = confirm(rest, texts, k, percent)
     final = stored(components(stored(links.unionByName(more), "dup-all-links")), "dup-components")
 
     named_classes = classes.select("n", "s1", "s2", F.col("v").alias("class_id")).join(

@@ -7,13 +7,12 @@ digits, 20+ characters), hex (24+ characters).
 The method adds spans of kind ``markov``: runs of ``MIN_RUN``+ key-like
 characters that overlap no base span and whose log-likelihood ratio between
 two first-order character models, random strings against ordinary identifiers,
-exceeds ``THRESHOLD`` nats.  Both models are transition tables over ASCII,
-counted by Spark from labelled samples (token, random 0/1).  By default the
+exceeds ``THRESHOLD`` nats.  Both models are transition tables, counted by
+Spark from labelled samples (token, random 0/1); of them only the log ratios,
+states x states numbers, pass the driver, to become a constant of the scan.  By default the
 samples come from all documents: values found by the base patterns, and the
 base64 of their SHA-256 as strings of the wider alphabet, are random; runs of
-8+ letters and underscores that no digit adjoins are ordinary.  At most
-2 x 128 x 128 counts reach the driver; scoring looks transitions up in one
-constant array.
+8+ letters and underscores that no digit adjoins are ordinary.
 
 Positions are code points, ends exclusive, found from the lengths of the
 pieces between matches.
@@ -26,9 +25,8 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import json
-import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The patterns and least lengths of the base kinds.
@@ -42,7 +40,9 @@ RUN = r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN
 ORDINARY = r"(?<![0-9+/=A-Za-z_])[A-Za-z_]{8,}(?![0-9+/=])"
 THRESHOLD = 12.0
 SMOOTH = 0.5
-_N = 128
+#: States of the models: these characters and one for all others.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
+_STATES = len(ALPHABET) + 1
 _SPANS = "array<struct<b:int,k:int,e:int>>"
 
 
@@ -95,25 +95,28 @@ def samples(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.select(F.explode(F.concat(rand, wide, words)).alias("s")).select("s.*").distinct()
 
 
-def train(labelled: DataFrame) -> list[float]:
-    """Transition log-likelihood ratios [previous * 128 + next] from (token, random 0/1)."""
-    pairs = (labelled.where(F.col("token").isNotNull() & F.col("random").isNotNull())
-             .withColumn("c", F.transform(F.split("token", ""), lambda x: F.ascii(x)))
-             .where(F.forall("c", lambda x: x < _N))
-             .select("random", F.explode(F.zip_with(F.slice("c", F.lit(1), F.greatest(F.size("c") - 1, F.lit(0))),
-                                                    F.slice("c", 2, _LONG),
-                                                    lambda a, b: a * _N + b)).alias("t"))
-             .groupBy("random", "t").count())
-    counts = {(r["random"], r["t"]): r["count"] for r in pairs.collect()}     # at most 2 x 128 x 128 rows
-    rows = {(y, a): sum(counts.get((y, a * _N + b), 0) for b in range(_N)) for y in (0, 1) for a in range(_N)}
-    letters = 66
+def _transitions(token: Column) -> Column:
+    """Codes previous * states + next of a token's neighbouring characters (0: outside the alphabet)."""
+    place = F.array(*[F.lit(ALPHABET.find(chr(i)) + 1) for i in range(128)])
+    c = F.transform(F.split(token, ""), lambda x: F.coalesce(F.get(place, F.ascii(x)), F.lit(0)))
+    n = F.greatest(F.size(c) - 1, F.lit(0))
+    return F.zip_with(F.slice(c, F.lit(1), n), F.slice(c, F.lit(2), n), lambda a, b: a * _STATES + b)
 
-    def logp(y: int, t: int) -> float:
-        return math.log((counts.get((y, t), 0) + SMOOTH) / (rows[y, t // _N] + SMOOTH * letters))
-    return [round(logp(1, t) - logp(0, t), 6) for t in range(_N * _N)]
 
+def train(labelled: DataFrame) -> list[float]:
+    """Log-likelihood ratios of all transitions, from (token, random 0/1)."""
+    spark = labelled.sparkSession
+    seen = (labelled.where(F.col("random").isNotNull() & F.col("token").isNotNull())
+            .select("random", F.explode(_transitions(F.col("token"))).alias("t"))
+            .groupBy("t").agg(*[F.count(F.when(F.col("random") == y, 1)).alias(f"n{y}") for y in (0, 1)]))
+    cells = spark.range(_STATES * _STATES).select(F.col("id").cast("int").alias("t")).join(F.broadcast(seen), "t", "left")
+    row = Window.partitionBy(F.floor(F.col("t") / _STATES))
 
-_LONG = 2_147_483_647
+    def logp(y: int) -> Column:
+        n = F.coalesce(F.col(f"n{y}"), F.lit(0))
+        return F.ln((n + SMOOTH) / (F.sum(n).over(row) + SMOOTH * _STATES))
+    ratios = cells.select("t", F.round(logp(1) - logp(0), 4).alias("r")).orderBy("t").collect()    # states x states rows
+    return [x.r for x in ratios]
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = THRESHOLD,
@@ -125,9 +128,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     df = _base(df, "_t").withColumn("_mr", _matches(F.col("_t"), RUN))
 
     def ratio(token):
-        c = F.transform(F.split(token, ""), lambda x: F.ascii(x))
-        steps = F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, 2, _LONG), lambda a, b: a * _N + b)
-        return F.aggregate(steps, F.lit(0.0), lambda s, i: s + F.get(table, i))
+        return F.aggregate(_transitions(token), F.lit(0.0), lambda s, i: s + F.get(table, i))
     df = df.withColumn("_flag", F.transform("_mr", lambda m: ratio(m) > threshold))
     df = df.withColumn("_run", _spans(F.col("_t"), RUN, F.col("_mr"), F.col("_flag"), 3))
     df = df.withColumn("_all", F.concat("_assign", "_access", "_hex"))
