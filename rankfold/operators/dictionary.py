@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep
 from .ranking import global_index
 from .splits import PhaseSplits
 
@@ -38,9 +38,8 @@ def fit_dictionaries(specs: dict[str, tuple[list[DataFrame], str]]) -> dict[str,
     ranked = global_index(values, [F.col("dict").asc(), F.col("raw").asc()], "_g")
     starts = ranked.groupBy("dict").agg(F.min("_g").alias("_g0"))
     # every matrix encodes through these: keep the (compact) result once
-    out = (ranked.join(F.broadcast(starts), "dict")
-           .select("dict", "raw", (F.col("_g") - F.col("_g0")).alias("idx"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    out = keep(ranked.join(F.broadcast(starts), "dict")
+               .select("dict", "raw", (F.col("_g") - F.col("_g0")).alias("idx")))
     return {name: out.filter(F.col("dict") == name).select("raw", "idx") for name in specs}
 
 

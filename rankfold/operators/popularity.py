@@ -48,6 +48,25 @@ def most_active_user(events: DataFrame) -> DataFrame:
                    F.min_by("visitorid", F.struct((-F.col("n_events")).alias("n"), F.col("visitorid"))).alias("visitorid"))
 
 
+#: The ranked pool is broadcast up to this many (item, rank) rows, about 32 MB; beyond it joins are salted.
+POOL_BROADCAST_ROWS = 1_000_000
+_SALTS = 32
+
+
+def _join_pool(rows: DataFrame, ranks: DataFrame, pool: int, on: str) -> DataFrame:
+    """``rows`` (visitorid, ...) with the pool's (itemid, pop_rank); ``pool`` bounds its rows.
+
+    Few ranks meet most visitors, so a shuffled join on ``on`` alone would
+    land in a few tasks: rows are salted by visitor and the pool is repeated.
+    """
+    side = ranks.filter(F.col("pop_rank") <= pool).select("itemid", "pop_rank")
+    if pool <= POOL_BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), on)
+    side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return (rows.withColumn("_salt", F.pmod(F.xxhash64("visitorid"), F.lit(_SALTS)).cast("int"))
+            .join(side, [on, "_salt"]).drop("_salt"))
+
+
 def recommend_popular(train: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
     """Per requested user, the k most popular training items the user has not seen.
 
@@ -59,9 +78,8 @@ def recommend_popular(train: DataFrame, users: DataFrame, k: int = 10) -> DataFr
     pool = int(max_events) + k
     users = users.select("visitorid").distinct()
     seen = (train.select("visitorid", "itemid").distinct()
-            .join(users, "visitorid", "left_semi")
-            .join(ranks.filter(F.col("pop_rank") <= pool).select("itemid", "pop_rank"), "itemid")
-            .select("visitorid", F.col("pop_rank").alias("r")))
+            .join(users, "visitorid", "left_semi"))
+    seen = _join_pool(seen, ranks, pool, "itemid").select("visitorid", F.col("pop_rank").alias("r"))
     marks = seen.unionByName(users.select("visitorid", F.lit(0).cast("long").alias("r")))
     w = Window.partitionBy("visitorid").orderBy("r")
     gaps = (marks.withColumn("j", F.row_number().over(w) - 1)
@@ -72,12 +90,14 @@ def recommend_popular(train: DataFrame, users: DataFrame, k: int = 10) -> DataFr
     recs = (gaps.filter(hi >= F.col("r") + 1)
             .select("visitorid", "r", "g", F.explode(F.sequence(F.col("r") + 1, hi)).alias("pop_rank"))
             .withColumn("rank", (F.col("g") + F.col("pop_rank") - F.col("r")).cast("int")))
-    return (recs.join(ranks.select("itemid", "pop_rank"), "pop_rank")
-            .select("visitorid", "rank", "itemid", "pop_rank"))
+    return _join_pool(recs, ranks, pool, "pop_rank").select("visitorid", "rank", "itemid", "pop_rank")
 
 
-def popular_precision(train: DataFrame, eval_df: DataFrame, k: int = 10) -> DataFrame:
-    """Hits / len(list), mean over eval users with a non-empty list (Q5)."""
+def popular_precision(train: DataFrame, eval_df: DataFrame, k: int = 10, denominator: str = "list") -> DataFrame:
+    """Hits / len(list) (or / k with ``denominator="k"``), mean over eval users with a non-empty list (Q5)."""
+    if denominator not in ("list", "k"):
+        raise ValueError("denominator must be 'list' or 'k'")
+    size = F.col("n_recs") if denominator == "list" else F.lit(k)
     users = eval_df.select("visitorid").filter(F.col("visitorid").isNotNull()).distinct()
     recs = recommend_popular(train, users, k)
     truth = eval_df.select("visitorid", "itemid").distinct().withColumn("_hit", F.lit(1))
@@ -87,5 +107,5 @@ def popular_precision(train: DataFrame, eval_df: DataFrame, k: int = 10) -> Data
     return per_user.agg(
         F.count(F.lit(1)).alias("eval_users"),
         F.coalesce(F.sum("hits"), F.lit(0)).cast("long").alias("hits"),
-        F.round(F.coalesce(F.avg(F.col("hits") / F.col("n_recs")), F.lit(0.0)), 6).alias("mean_precision"),
+        F.round(F.coalesce(F.avg(F.col("hits") / size), F.lit(0.0)), 6).alias("mean_precision"),
     )

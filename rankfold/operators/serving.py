@@ -87,15 +87,18 @@ def all_recommendations(per_model: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def candidate_items(eval_items: DataFrame, popularity: DataFrame, cap: int | None = 10_000,
-                    top_n: int = 10_000) -> DataFrame:
-    """R6 (U2 + T4): evaluation items U the ``top_n`` most popular, capped.
-
-    popularity: (itemid, cnt).  The cap keeps evaluation items first, then the
-    most popular, then the smallest ids (the reference keeps the lowest indices;
-    see README).  Bounded by ``top_n`` + |eval items| rows before the cap.
+def candidate_items(eval_items: DataFrame, popularity: DataFrame, cap: int | None = None,
+                    top_n: int | None = None) -> DataFrame:
+    """R6 (U2 + T4): evaluation items U the popular items; all of them unless a limit is asked for.
+
+    popularity: (itemid, cnt).  ``top_n`` keeps only the most popular items
+    beside the evaluation items; ``cap`` keeps evaluation items first, then the
+    most popular, then the smallest ids.  Blocked scoring bounds memory by
+    itself, so neither limit is needed for size.
     """
-    top = popularity.orderBy(F.col("cnt").desc(), F.col("itemid").asc()).limit(top_n).select("itemid")
+    top = popularity.select("itemid")
+    if top_n is not None:
+        top = popularity.orderBy(F.col("cnt").desc(), F.col("itemid").asc()).limit(top_n).select("itemid")
     ev = eval_items.select("itemid").distinct().withColumn("is_eval", F.lit(1))
     cand = (top.withColumn("is_eval", F.lit(0)).unionByName(ev)
             .groupBy("itemid").agg(F.max("is_eval").alias("is_eval"))

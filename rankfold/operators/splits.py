@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +17,8 @@ REFERENCE_PERIODS = {
 
 # the same three roles on the TPC-H-shaped fixture (orders span 1995..2001-08-01)
 FIXTURE_PERIODS = {
-    "p1": ("1995-01-01", "1995-12-31"),
-    "p2": ("1996-01-01", "1997-12-31"),
+    "p1": ("1995-01-01", "1996-02-29"),
+    "p2": ("1996-03-01", "1997-12-31"),
     "p3": ("1998-01-01", "2001-08-01"),
 }
 
@@ -40,6 +39,13 @@ def _epoch_ms(day: str) -> int:
     return (d - dt.date(1970, 1, 1)).days * _MS_PER_DAY
 
 
+def period_bounds(phase: str, periods: dict | None = None) -> tuple[str, str]:
+    """First and last day that a phase reads: its training and its evaluation period."""
+    periods = periods or FIXTURE_PERIODS
+    days = [d for name in PHASES[phase] for d in periods[name]]
+    return min(days), max(days)
+
+
 def period(events: DataFrame, start: str, end: str) -> DataFrame:
     """Rows whose UTC date lies in [start, end], both inclusive.
 
@@ -79,9 +85,7 @@ def build_phase(events: DataFrame, phase: str, periods: dict | None = None) -> P
     tr, ev = PHASES[phase]
     train = period(events, *periods[tr])
     full = period(events, *periods[ev])
-    # warm / cold come out of joins and feed many operators: computed once per session
-    lvl = StorageLevel.MEMORY_AND_DISK
-    return PhaseSplits(phase, train, full, warm(full, train).persist(lvl), cold(full, train).persist(lvl))
+    return PhaseSplits(phase, train, full, warm(full, train), cold(full, train))
 
 
 def build_splits(events: DataFrame, periods: dict | None = None) -> dict[str, DataFrame]:

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,8 @@ from ..operators import dictionary as dic
 from ..operators import interactions as inter
 from ..operators import popularity as pop
 from ..operators import ratings as rat
-from ..operators.splits import PHASES, SPLIT_NAMES, PhaseSplits, build_phase, tagged_splits
+from ..operators.splits import FIXTURE_PERIODS, PHASES, SPLIT_NAMES, PhaseSplits, build_phase, period_bounds, tagged_splits
+from ..session import keep
 from ..sources.events import tpch_events, tpch_raw_events
 from .sqlbase import CLICKS, CLICKS_RAW, EV, both_phases, cells_sql, with_sql
 
@@ -46,10 +46,8 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 
 def phases(spark: SparkSession, sf: str) -> dict[str, PhaseSplits]:
-    # every operator branches off the enriched log many times: keep it once in
-    # executor memory/disk (the same plan hits the same cache in later queries)
-    ev = tpch_events(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    return {ph: build_phase(ev, ph) for ph in PHASES}
+    # the log is re-planned per branch: each scans only its period and columns
+    return {ph: build_phase(tpch_events(spark, sf, period_bounds(ph)), ph) for ph in PHASES}
 
 
 def per_phase(spark, sf, fn) -> DataFrame:
@@ -67,6 +65,17 @@ def q_src_events(spark, sf):
     return tpch_events(spark, sf).select("visitorid", "itemid", "event", "timestamp", "transactionid", "date")
 
 
+@query("events_csv_roundtrip", with_sql("SELECT visitorid, timestamp, event, itemid, transactionid FROM ev"))
+def q_events_csv_roundtrip(spark, sf):
+    """The log written as CSV with its columns in another order, read back by name."""
+    from ..session import scratch_path
+    from ..sources.events import read_raw_events
+    path = scratch_path(spark, "events-csv")
+    (tpch_raw_events(spark, sf).select("timestamp", "transactionid", "itemid", "event", "visitorid")
+     .write.option("header", True).csv(path))
+    return read_raw_events(spark, path)
+
+
 @query("time_features", "WITH " + ",\n".join([CLICKS_RAW]) + """
 SELECT visitorid, itemid, event, timestamp,
        CAST(to_timestamp(timestamp / 1000.0) AT TIME ZONE 'UTC' AS DATE) AS date,
@@ -555,8 +564,7 @@ class Serving:
 
     # Small tables that many later jobs of one query read (user / item sets, seen
     # pairs, truth pairs, factor tables) are persisted once instead of being
-    # recomputed from the log by every job.
-    _LEVEL = StorageLevel.MEMORY_AND_DISK
+    # recomputed from the log by every job; the next query releases them.
 
     def __init__(self, spark, sf, phase: str = "final"):
         self.sf = sf
@@ -565,19 +573,18 @@ class Serving:
         self._uni: dict = {}
         self._model: dict = {}
         self._truth: dict = {}
-        self.requested = self.sp.eval_full.select("visitorid").distinct().persist(self._LEVEL)
+        self.requested = keep(self.sp.eval_full.select("visitorid").distinct())
 
     @property
     def ratings(self):
         if self._ratings is None:
-            self._ratings = rat.hybrid_ratings(self.sp.train).persist(self._LEVEL)
+            self._ratings = keep(rat.hybrid_ratings(self.sp.train))
         return self._ratings
 
     def uni(self, m):
         if m not in self._uni:
             u = serve.universe(self.sp, m, self.ratings if m == "svd" else None)
-            self._uni[m] = serve.Universe(u.users.persist(self._LEVEL), u.items.persist(self._LEVEL),
-                                          u.seen.persist(self._LEVEL))
+            self._uni[m] = serve.Universe(keep(u.users), keep(u.items), keep(u.seen))
         return self._uni[m]
 
     def model(self, m):
@@ -585,8 +592,7 @@ class Serving:
             u = self.uni(m)
             fm = frozen_model(m, u.users.select(F.col("visitorid").alias("raw")),
                               u.items.select(F.col("itemid").alias("raw")))
-            fm.user_factors = fm.user_factors.persist(self._LEVEL)
-            fm.item_factors = fm.item_factors.persist(self._LEVEL)
+            fm.user_factors, fm.item_factors = keep(fm.user_factors), keep(fm.item_factors)
             self._model[m] = fm
         return self._model[m]
 
@@ -601,7 +607,7 @@ class Serving:
         """Non-zero evaluation cells (raw ids) of the warm or the full split."""
         if scope not in self._truth:
             split = self.sp.eval_warm if scope == "warm" else self.sp.eval_full
-            self._truth[scope] = self._nonzero_cells(split).persist(self._LEVEL)
+            self._truth[scope] = keep(self._nonzero_cells(split))
         return self._truth[scope]
 
     def _nonzero_cells(self, split):
@@ -846,10 +852,9 @@ def q_precision_recall_mf(spark, sf):
 _CAND_HYB = [
     "ipop AS (SELECT itemid, CAST(sum(de.idx) AS DOUBLE) AS cnt FROM tr JOIN de ON tr.event = de.raw GROUP BY itemid)",
     "candall AS (SELECT itemid, max(is_eval) AS is_eval FROM ("
-    "SELECT itemid, 0 AS is_eval FROM (SELECT itemid FROM ipop ORDER BY cnt DESC, itemid LIMIT 10000) "
+    "SELECT itemid, 0 AS is_eval FROM (SELECT itemid FROM ipop) "
     "UNION ALL SELECT DISTINCT itemid, 1 FROM truth_full) GROUP BY itemid)",
-    "cand AS (SELECT c.itemid, c.is_eval, coalesce(p.cnt, 0.0) AS cnt FROM candall c LEFT JOIN ipop p USING (itemid) "
-    "ORDER BY c.is_eval DESC, cnt DESC, c.itemid LIMIT 10000)",
+    "cand AS (SELECT c.itemid, c.is_eval, coalesce(p.cnt, 0.0) AS cnt FROM candall c LEFT JOIN ipop p USING (itemid))",
 ]
 
 
@@ -860,7 +865,7 @@ def _hybrid_candidates(s: Serving):
 
 @query("candidate_items", serving_sql("SELECT itemid, is_eval, cnt FROM cand", (), cand=_CAND_HYB))
 def q_candidate_items(spark, sf):
-    """Evaluation items U top popular (by summed weight), capped at 10,000."""
+    """Evaluation items U the items with training weight, with no limit."""
     return _hybrid_candidates(Serving(spark, sf))
 
 
@@ -891,7 +896,7 @@ def q_precision_recall_hybrid(spark, sf):
 
 _CAND_SVD = [
     "rpop AS (SELECT item_id AS itemid, count(*) AS cnt FROM hyb GROUP BY item_id)",
-    "cand AS (SELECT itemid FROM (SELECT itemid FROM rpop ORDER BY cnt DESC, itemid LIMIT 10000) "
+    "cand AS (SELECT itemid FROM (SELECT itemid FROM rpop) "
     "UNION SELECT DISTINCT itemid FROM truth_full)",
 ]
 
@@ -904,7 +909,7 @@ def q_precision_recall_svd(spark, sf):
     s = Serving(spark, sf)
     t = s.truth("full")
     rpop = pop.item_popularity(s.ratings.select(F.col("item_id").alias("itemid")))
-    cand = serve.candidate_items(t.select("itemid"), rpop, cap=None)
+    cand = serve.candidate_items(t.select("itemid"), rpop)
     recs = s.recs("svd", requested=t.select("visitorid"), candidates=cand)
     return met.precision_recall_at_k(recs, t, K, require_list=True).select(F.lit("svd").alias("model"), "*")
 
@@ -1135,6 +1140,17 @@ def _exp_sql(model: str, eval_set: str) -> str:
     return f"{window} || '_f{p['factors']}_r{_fmt(p['regularization'])}_i{p['iterations']}'"
 
 
+def _window(ph: str):
+    """First and last day of the phase's training period, as configured."""
+    lo, hi = FIXTURE_PERIODS[PHASES[ph][0]]
+    return F.lit(lo).cast("date"), F.lit(hi).cast("date")
+
+
+def _win_sql(ph: str) -> str:
+    lo, hi = FIXTURE_PERIODS[PHASES[ph][0]]
+    return f"win AS (SELECT DATE '{lo}' AS lo, DATE '{hi}' AS hi)"
+
+
 def _names_sql(ph: str) -> str:
     es = _SETS[ph]
     parts = []
@@ -1146,15 +1162,16 @@ def _names_sql(ph: str) -> str:
 
 
 @query("experiment_names", both_phases(
-    _names_sql, lambda ph: ["win AS (SELECT min(date) AS lo, max(date) AS hi FROM tr)"]))
+    _names_sql, lambda ph: [_win_sql(ph)]))
 def q_experiment_names(spark, sf):
-    """F2 + F3: experiment and run names from the observed training window and default parameters."""
+    """F2 + F3: experiment and run names from the training period's bounds and default parameters."""
     parts = []
     for ph, sp in phases(spark, sf).items():
         es = _SETS[ph]
-        win = sp.train.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+        lo, hi = _window(ph)
+        win = spark.range(1)
         for m in ("baseline", "als", "bpr", "lightfm", "svd"):
-            exp = runlog.experiment_name(m, F.col("lo"), F.col("hi"), es, DEFAULTS.get(m, {}))
+            exp = runlog.experiment_name(m, lo, hi, es, DEFAULTS.get(m, {}))
             parts.append(win.select(F.lit(es).alias("eval_set"), F.lit(m).alias("model"), exp.alias("experiment"),
                                     runlog.run_name(m, es, exp).alias("run_name")))
     return union_all(parts)
@@ -1252,18 +1269,14 @@ def _baseline_runs(spark, sf):
     parts = []
     for ph, sp in phases(spark, sf).items():
         es = _SETS[ph]
-        win = sp.train.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-        exp = runlog.experiment_name("baseline", F.col("lo"), F.col("hi"), es, {})
+        exp = runlog.experiment_name("baseline", *_window(ph), es, {})
         metrics = pop.popular_precision(sp.train, sp.eval_full, K)
-        key = F.lit(0).alias("_k")
-        m = metrics.select(key, "*").join(win.select(key, exp.alias("exp")), "_k").drop("_k")
-        parts.append(runlog.run_records(F.col("exp"), runlog.run_name("baseline", es, F.col("exp")),
-                                        {"model_type": "BASELINE", "eval_set": es, "top_k": K}, m))
+        parts.append(runlog.run_records(exp, runlog.run_name("baseline", es, exp),
+                                        {"model_type": "baseline".upper(), "eval_set": es, "top_k": K}, metrics))
     return union_all(parts)
 
 
 _RUNS_CTES = _POPULAR_TOPK_CTES + [
-    "win AS (SELECT min(date) AS lo, max(date) AS hi FROM tr)",
     "met AS (SELECT count(*) AS eval_users, CAST(coalesce(sum(hits), 0) AS BIGINT) AS hits, "
     "round(coalesce(avg(hits / n_recs), 0.0), 6) AS mean_precision FROM (SELECT r.visitorid, count(*) AS n_recs, "
     "count(t.itemid) AS hits FROM recs r LEFT JOIN (SELECT DISTINCT visitorid, itemid FROM fu) t "
@@ -1283,7 +1296,7 @@ def _runs_long_sql(ph):
     return " UNION ALL ".join(rows)
 
 
-@query("runs_log", both_phases(_runs_long_sql, lambda ph: _RUNS_CTES))
+@query("runs_log", both_phases(_runs_long_sql, lambda ph: _RUNS_CTES + [_win_sql(ph)]))
 def q_runs_log(spark, sf):
     """Baseline evaluation runs appended to the run log, read back in long form."""
     path = runlog.log_runs(_baseline_runs(spark, sf), scratch_path(spark, "runs"))
@@ -1295,7 +1308,7 @@ def q_runs_log(spark, sf):
        + both_phases(lambda ph: "SELECT " + _exp_sql("baseline", _SETS[ph]) + " AS experiment, "
                      f"'baseline_evaluation_{_SETS[ph]}_' || " + _exp_sql("baseline", _SETS[ph])
                      + " AS run_name, CAST(mean_precision AS DOUBLE) AS mean_precision FROM win, met",
-                     lambda ph: _RUNS_CTES) + ")) WHERE rn = 1")
+                     lambda ph: _RUNS_CTES + [_win_sql(ph)]) + ")) WHERE rn = 1")
 def q_runs_best(spark, sf):
     """The best logged run per experiment by a metric."""
     path = runlog.log_runs(_baseline_runs(spark, sf), scratch_path(spark, "runs"))
@@ -1366,19 +1379,19 @@ def q_params_resolved(spark, sf):
 
 
 # ------------------------------------------------------------- remaining reports
-_TOPN = 10_000
+_TOPN = 10_000      # default of the top-N reports
 
 
 @query("popular_by_weight", serving_sql(
     f"SELECT itemid, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, itemid) AS INTEGER) AS position "
     f"FROM ipop ORDER BY cnt DESC, itemid LIMIT {_TOPN}", (), cand=_CAND_HYB))
-def q_popular_by_weight(spark, sf):
-    """T4 (+ A13): the 10,000 items with the largest summed training weight."""
+def q_popular_by_weight(spark, sf, n: int = _TOPN):
+    """T4 (+ A13): the ``n`` items with the largest summed training weight."""
     from pyspark.sql import Window
     s = Serving(spark, sf)
     popw = inter.raw_cells(s.sp.train).groupBy("itemid").agg(F.sum("weight").cast("double").alias("cnt"))
-    top = pop.top_popular(popw, _TOPN)
-    # at most 10,000 rows: numbering them in one partition is bounded
+    top = pop.top_popular(popw, n)
+    # n rows: numbering them in one partition is bounded
     return top.withColumn("position", F.row_number().over(
         Window.orderBy(F.col("cnt").desc(), F.col("itemid").asc())).cast("int"))
 
@@ -1386,12 +1399,12 @@ def q_popular_by_weight(spark, sf):
 @query("popular_by_ratings", serving_sql(
     f"SELECT itemid, cnt, CAST(row_number() OVER (ORDER BY cnt DESC, itemid) AS INTEGER) AS position "
     f"FROM rpop ORDER BY cnt DESC, itemid LIMIT {_TOPN}", (), cand=_CAND_SVD))
-def q_popular_by_ratings(spark, sf):
-    """T4 (+ A14): the 10,000 items rated most often."""
+def q_popular_by_ratings(spark, sf, n: int = _TOPN):
+    """T4 (+ A14): the ``n`` items rated most often."""
     from pyspark.sql import Window
     s = Serving(spark, sf)
     rpop = pop.item_popularity(s.ratings.select(F.col("item_id").alias("itemid")))
-    return pop.top_popular(rpop, _TOPN).withColumn("position", F.row_number().over(
+    return pop.top_popular(rpop, n).withColumn("position", F.row_number().over(
         Window.orderBy(F.col("cnt").desc(), F.col("itemid").asc())).cast("int"))
 
 

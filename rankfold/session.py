@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -18,9 +20,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     (UTC session time zone) and what matters for small local runs.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
+    builder = SparkSession.builder.appName(app)
+    if master is None and not SparkConf().contains("spark.master"):
+        master = f"local[{cpus}]"           # nothing submitted us: a local session
+    if master is not None:
+        builder = builder.master(master)
+        shuffle_partitions = shuffle_partitions or int(cpus)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.appName(app)
-        .master(master or f"local[{cpus}]")
+        builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -28,7 +37,6 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         # scan split size: keep input partitions well inside executor memory at large scale
         .config("spark.sql.files.maxPartitionBytes", os.environ.get("RANKFOLD_MAX_PARTITION_BYTES", "128m"))
         .config("spark.driver.memory", os.environ.get("RANKFOLD_DRIVER_MEMORY", "16g"))
@@ -44,14 +52,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session first; only when it is unset (local tests) do we
-    create one of our own.
+    Read from the session first; only in a local session without one (tests)
+    do we create one of our own.  Executors could not see a folder of the
+    driver's disk, so anywhere else a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="rankfold-ckpt-")
     sc.setCheckpointDir(configured)
@@ -63,6 +74,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/rankfold-{name}-{uuid.uuid4().hex[:12]}"
 
 
+_KEPT: list = []
+
+
+def keep(df):
+    """Persist a table that several jobs of one query read; ``release`` frees it."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(df)
+    return df
+
+
+def release() -> None:
+    """Unpersist what earlier queries kept."""
+    while _KEPT:
+        _KEPT.pop().unpersist()
+
+
 _SHIPPED: set = set()
 
 

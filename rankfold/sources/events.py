@@ -15,9 +15,17 @@ def known_events_only(events: DataFrame) -> DataFrame:
 
 
 def read_raw_events(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """The raw log with its fixed schema: CSV with header, or Parquet."""
+    """The raw log with its fixed schema: CSV with header, or Parquet.
+
+    CSV columns are taken by the names in the header, whatever their order; a
+    column that is missing is an error, further columns are ignored.
+    """
     if fmt == "csv":
-        return spark.read.schema(EVENT_SCHEMA).option("header", True).csv(path)
+        raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        missing = [f.name for f in EVENT_SCHEMA if f.name not in raw.columns]
+        if missing:
+            raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+        return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
     return spark.read.schema(EVENT_SCHEMA).format(fmt).load(path)
 
 
@@ -30,14 +38,20 @@ def read_events(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return enrich(read_raw_events(spark, path, fmt))
 
 
-def tpch_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tpch_raw_events(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
     """Main fixture: lineitem joined to its order, read as a click log.
 
+    ``days`` (first, last) bounds the order date, as a filter that reaches the scan.
+
     visitor = customer, item = part, return flag N/A/R = view/addtocart/transaction,
     time = order date, transaction id = order key on purchases.
     """
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_returnflag")
     od = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
+    if days is not None:
+        day = F.col("o_orderdate")
+        od = od.filter((day >= F.lit(days[0]).cast("timestamp_ntz"))
+                       & (day < F.lit(days[1]).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")))
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
     event = (F.when(F.col("l_returnflag") == "N", "view")
              .when(F.col("l_returnflag") == "A", "addtocart")
@@ -51,8 +65,8 @@ def tpch_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tpch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(tpch_raw_events(spark, sf_dir))
+def tpch_events(spark: SparkSession, sf_dir: str, days: tuple[str, str] | None = None) -> DataFrame:
+    return enrich(tpch_raw_events(spark, sf_dir, days))
 
 
 def click_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:

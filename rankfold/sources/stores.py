@@ -26,10 +26,16 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_splits(events: DataFrame, path: str | None = None, periods: dict | None = None) -> str:
-    """The eight splits in one table partitioned by ``split``, time-ordered inside files."""
-    path = path or scratch_path(events.sparkSession, "splits")
+    """The eight splits in one table partitioned by ``split``, time-ordered inside files.
+
+    Ranges of (split, time) are dealt out, so the number of writing tasks does
+    not depend on the number of splits and a file holds one stretch of time.
+    """
+    spark = events.sparkSession
+    path = path or scratch_path(spark, "splits")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (tagged_splits(events, periods)
-     .repartition("split")
+     .repartitionByRange(n, "split", "timestamp")
      .sortWithinPartitions("split", "timestamp")
      .write.mode("overwrite").partitionBy("split").parquet(path))
     return path
