@@ -11,8 +11,9 @@ sequence as one).  Documents are linked when 100 * common >= percent * union.
    different functions, so its four values are independent.
 2. Equal sets become one class, represented by its smallest id; from here on
    only classes count, so a third of all rows being copies costs one class.
-3. Classes that share a band value are joined to the bucket's smallest member
-   (a star, not all pairs), and the star's links are confirmed on full sets.
+3. Classes that share a band value are joined to one member of the bucket, the
+   one that shares most band values over all its buckets (a star, not all
+   pairs), and the star's links are confirmed on full sets.
 4. A link between two members x, y of which one, x, is not linked to their root
    r would be missed.  Write D(x) for the symmetric difference of x and r.  From
    |x ^ y| = |D(x)| + |D(y)| - 2 |D(x) & D(y)| and x being too far from r it
@@ -223,12 +224,17 @@ def across(stars: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFram
                        F.posexplode("items").alias("pos", "item"))
     right = rows.where("pos < half").drop("half")
     left = rows.where("NOT near").select("a", "item", F.col("v").alias("xv"), F.col("c").alias("xc"), F.col("n").alias("xn"),
-                                         F.col("added").alias("xa"), F.col("gone").alias("xg"),
+                                         F.col("added").alias("xa"), F.col("gone").alias("xg"), F.col("pos").alias("xpos"),
                                          (F.col("pos") < F.col("half")).alias("xhalf"))
-    least = F.abs(F.col("added") - F.col("xa")) + F.abs(F.col("gone") - F.col("xg"))     # of |x ^ y|
+    reach = q * (F.col("n") + F.col("xn")) + 1e-6                                        # most that |x ^ y| may be
+    least = F.abs(F.col("added") - F.col("xa")) + F.abs(F.col("gone") - F.col("xg"))     # least that it is
+    size, xsize = F.col("added") + F.col("gone"), F.col("xa") + F.col("xg")
+    # if this is the first element they share, they share at most the rest of the shorter remainder
+    most = F.least(size - F.col("pos"), xsize - F.col("xpos"))
     pairs = left.join(right, (left["a"] == right["a"]) & (left["item"] == right["item"]) & (F.col("c") != F.col("xc"))
                       & (F.col("near") | (F.col("xhalf") & (F.col("xv") < F.col("v"))))
-                      & _size_ok(F.col("n"), F.col("xn"), percent) & (least <= q * (F.col("n") + F.col("xn")) + 1e-6))
+                      & _size_ok(F.col("n"), F.col("xn"), percent) & (least <= reach)
+                      & (size + xsize - 2 * most <= reach))
     return pairs.select(F.least("v", "xv").alias("a"), F.greatest("v", "xv").alias("b")).distinct()
 
 
@@ -249,11 +255,16 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str
                      "dup-classes")
     slots = classes.select("v", "n", F.posexplode("bands").alias("band", "key")).select(
         F.xxhash64("band", "key").alias("bk"), "v", "n").distinct()
-    roots = (slots.groupBy("bk").agg(F.min(F.struct("v", "n")).alias("root"), F.count(F.lit(1)).alias("m"))
-             .where("m > 1").drop("m"))
-    stars = stored(slots.join(roots, "bk").where(F.col("root.v") != F.col("v"))
-                   .select(F.col("root.v").alias("a"), F.col("v").alias("b"),
-                           _size_ok(F.col("n"), F.col("root.n"), percent).alias("fits")).distinct(), "dup-stars")
+    shared = slots.groupBy("bk").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    slots = stored(slots.join(shared, "bk"), "dup-slots")             # of buckets with company only
+    # the member that meets most others stands nearest to the middle of its family: the root of its buckets
+    met = slots.groupBy("v").agg(F.sum("m").alias("met"))
+    roots = (slots.join(met, "v").groupBy("bk")
+             .agg(F.max(F.struct("met", F.negate("v").alias("w"), "n")).alias("root"))
+             .select("bk", F.negate("root.w").alias("a"), F.col("root.n").alias("rn")))
+    stars = stored(slots.join(roots, "bk").where("a <> v")
+                   .select("a", F.col("v").alias("b"), _size_ok(F.col("n"), F.col("rn"), percent).alias("fits"))
+                   .distinct(), "dup-stars")
     ids = stored(stars.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "dup-ids")
     texts = docs.select(F.col(id_col).cast("long").alias("v"), F.col(text_col).alias("t"))
     texts = stored(texts.join(small_side(ids), "v", "left_semi").groupBy("v").agg(F.min("t").alias("t")), "dup-texts")
@@ -266,7 +277,8 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str
                    .select("a", "b", "c", F.coalesce("root_c", "a").alias("root_c")), "dup-named")
     mixed = named.where("c <> root_c").select("a").distinct()     # stars with a member outside the root's component
     rest = across(named.select("a", "b", "c").join(mixed, "a", "left_semi"), texts, k, percent)
-    rest = stored(rest.join(stars, ["a", "b"], "left_anti"), "dup-rest")
+    seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stored(rest.join(seen, ["a", "b"], "left_anti"), "dup-rest")
     more = confirm(rest, texts, k, percent)
     final = stored(components(stored(links.unionByName(more), "dup-all-links")), "dup-components")
 
