@@ -12,9 +12,9 @@ words by form (capitals, digits, symbols, repeated words) and size.
 
 Grades come from ``labels``: toxic 0, low quality 1, good 2.  The fit uses a
 bounded sample, the ``TRAIN_ROWS`` labelled documents of smallest hash, of each
-at most all its features; its hashed rows (integers) go to the driver, where
-AdaGrad runs for ``EPOCHS`` passes.  The
-weights (``DIMENSIONS`` floats) go to the workers with the scoring function.
+all its features; its hashed rows (integers) meet in one task, where AdaGrad
+runs for ``EPOCHS`` passes.  The weights (``DIMENSIONS`` floats) go back to the
+driver and to the workers with the scoring function.
 
 Edge cases: null or empty texts have the shape features of an empty document;
 labels without document, null grades and repeated labels (the lowest grade
@@ -136,7 +136,10 @@ def fit(rows: list[np.ndarray], grade: np.ndarray, grades: int = GRADES, dims: i
     """AdaGrad on the cumulative-link log-likelihood; None if there is nothing to tell apart."""
     if len(np.unique(grade)) < 2:
         return None
-    often = np.bincount(np.concatenate(rows), minlength=dims) >= max(2, min(MIN_DOCUMENTS, len(rows) // 100))
+    often = np.zeros(dims, np.int32)
+    for r in rows:
+        often[r] += 1                                    # a row names a feature once
+    often = often >= max(2, min(MIN_DOCUMENTS, len(rows) // 100))
     rows = [r[often[r]] for r in rows]
     w, g2 = np.zeros(dims), np.full(dims, 1e-3)
     t, t2 = np.linspace(-1, 1, grades - 1), np.full(grades - 1, 1e-3)
@@ -193,13 +196,22 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, id_c
             ends = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(idx.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], names=["id", "grade", "idx"])
-    # at most train_rows rows of integers
-    got = rows.mapInArrow(run, "id long, grade int, idx array<int>").orderBy("id").limit(train_rows).toArrow()
-    if got.num_rows == 0:
-        return None
-    idx = got.column("idx").combine_chunks()
-    ends, flat = idx.offsets.to_numpy(), idx.values.to_numpy()
-    return fit([flat[a:b] for a, b in zip(ends, ends[1:])], got.column("grade").to_numpy().astype(np.int64))
+
+    def fit_all(batches):
+        lists, grade = [], []
+        for b in batches:
+            idx = b.column("idx")
+            ends, flat = idx.offsets.to_numpy(), idx.values.to_numpy()
+            lists += [flat[x:y] for x, y in zip(ends, ends[1:])]
+            grade.append(b.column("grade").to_numpy().astype(np.int64))
+        model = fit(lists, np.concatenate(grade)) if lists else None
+        if model is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()),
+                                              pa.array([model.thresholds.tobytes()], pa.binary())], names=["w", "t"])
+    # one task holds the sample: at most train_rows documents, whatever the size of the corpus
+    hashed = rows.mapInArrow(run, "id long, grade int, idx array<int>").repartition(1).sortWithinPartitions("id", "grade")
+    got = hashed.mapInArrow(fit_all, "w binary, t binary").collect()
+    return Model(np.frombuffer(got[0].w, np.float32), np.frombuffer(got[0].t)) if got else None
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
