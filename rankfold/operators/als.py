@@ -17,17 +17,20 @@ from pyspark.sql import functions as F
 from .factors import FactorModel
 
 
+#: Blocks of users and of items: fixed, so that the factors don't depend on the number of cores.
+#: Raise it with the data (a block's factors must fit in a task).
+ALS_BLOCKS = 10
+
+
 def train_als(cells: DataFrame, user_dict: DataFrame, item_dict: DataFrame, rank: int = 64,
               reg: float = 0.1, iterations: int = 20, alpha: float = 1.0, seed: int = 42,
-              num_blocks: int | None = None) -> FactorModel:
+              num_blocks: int = ALS_BLOCKS) -> FactorModel:
     """cells: (user_idx, item_idx, weight) over dense dictionaries (int range required by ALS)."""
-    spark = cells.sparkSession
-    nb = num_blocks or max(1, spark.sparkContext.defaultParallelism)
     data = (cells.filter(F.col("weight") != 0)
             .select(F.col("user_idx").cast("int").alias("user"), F.col("item_idx").cast("int").alias("item"),
                     F.col("weight").cast("float").alias("rating")))                     # P11
     als = ALS(rank=rank, regParam=reg, maxIter=iterations, implicitPrefs=True, alpha=alpha, seed=seed,
-              userCol="user", itemCol="item", ratingCol="rating", numUserBlocks=nb, numItemBlocks=nb,
+              userCol="user", itemCol="item", ratingCol="rating", numUserBlocks=num_blocks, numItemBlocks=num_blocks,
               coldStartStrategy="drop", checkpointInterval=5)
     m = als.fit(data)
 
@@ -37,7 +40,7 @@ def train_als(cells: DataFrame, user_dict: DataFrame, item_dict: DataFrame, rank
                         F.transform("features", lambda x: x.cast("double")).alias("features")))
     return FactorModel("dot", decode(m.userFactors, user_dict), decode(m.itemFactors, item_dict),
                        params={"factors": rank, "regularization": reg, "iterations": iterations,
-                               "alpha": alpha, "seed": seed})
+                               "alpha": alpha, "seed": seed, "blocks": num_blocks})
 
 
 def gram(item_factors: DataFrame, f: int) -> np.ndarray:

@@ -2,22 +2,33 @@
 
 Users and items are hashed into B blocks.  One epoch is B sub-epochs; in
 sub-epoch s the B cells (b, (b + s) mod B) share no user and no item, so they
-are trained in parallel.  Each sub-epoch is ONE grouped map over a single
-table that holds, per group b, the factor rows of user block b, the factor
-rows of item block (b + s) mod B and the training rows of that cell, tagged
-by ``kind``.  The map returns the updated factor rows, which become the next
-sub-epoch's input; the B steps of an epoch are one job, and the factor table
-is checkpointed to the shared folder after every epoch (lineage stays short
-and a lost executor costs at most one epoch).
+are trained in parallel.
+
+A block of factors is one packed row (ids, matrix, biases), a cell is one
+packed row (users, items, weights).  Cells are written once, partitioned by
+stratum, so a sub-epoch reads its own B cells only; what is shuffled per
+sub-epoch is 2 B packed factor rows and B packed cells.  The B steps of an
+epoch are one job, and the factor rows are checkpointed to the shared folder
+after every epoch.  With one block all epochs run in one task.
+
+B follows from the data alone (rows per cell, ids per block) or is an argument;
+it is stored with the model, so the same rows give the same factors whatever
+the number of cores.
 
 Losses (per training row, in a hash order that changes with the epoch):
   svd       squared error with biases and a global mean (Funk SVD update)
   bpr       pairwise logistic on (u, i, j), j drawn from the item block (Rendle et al. 2009)
   warp      rank-weighted hinge with sampled violators (Weston et al. 2011)
   logistic  pointwise logistic, one drawn negative per positive
-Negatives come from the current item block and are rejected when the user
-has a training row for them there, which is exactly the user's positives in
-that block.
+Inside a cell, rows are taken in batches that share no user and no item: row n
+goes to the batch after the last one that holds its user or its item.  For svd
+that equals the sequential loop; the other losses also move the drawn
+negatives, whose gradients add up within a batch.  Negatives come from the
+current item block and are rejected when the user has a row for them there.
+
+With ``weighted`` the steps of bpr, warp and logistic are scaled by the row's
+weight relative to the mean weight.  Rows of weight 0 are no positives but are
+still rejected as negatives.
 """
 
 from __future__ import annotations
@@ -25,16 +36,18 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
 from .factors import FactorModel
 
-_STATE = ("kind int, id long, item long, bias double, features array<double>, "
-          "rating double, ord long, grp int")
 KIND_USER, KIND_ITEM, KIND_ROW = 0, 1, 2
+_STATE = "kind int, block int, grp int, ids binary, m binary, b binary"
+ROWS_PER_CELL = 8_000
+IDS_PER_BLOCK = 65_536
+LOSSES = ("svd", "bpr", "warp", "logistic")
 
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -69,173 +82,231 @@ def init_vector(ident: int, f: int, side: str, seed: int, gaussian: bool, scale:
     return init_matrix(np.array([ident]), f, side, seed, gaussian, scale)[0]
 
 
-def _init_rows(f: int, side: str, seed: int, gaussian: bool, scale: float, kind: int):
-    def run(batches):
-        for pdf in batches:
-            ids = pdf["id"].to_numpy(np.int64)
-            yield pd.DataFrame({"kind": kind, "id": ids, "item": None, "bias": 0.0,
-                                "features": list(init_matrix(ids, f, side, seed, gaussian, scale)),
-                                "rating": np.nan, "ord": 0, "grp": 0})
-    return run
+def row_order(u: np.ndarray, i: np.ndarray, epoch: int, seed: int) -> np.ndarray:
+    """Hash that orders a cell's rows in an epoch."""
+    with np.errstate(over="ignore"):
+        x = _splitmix64(u.astype(np.int64).view(np.uint64)) + np.uint64(epoch)
+        return _splitmix64(_splitmix64(x ^ i.astype(np.int64).view(np.uint64)) + np.uint64(seed))
 
 
-def _block(col, nb: int, salt: int):
-    return F.pmod(F.xxhash64(col, F.lit(salt)), F.lit(nb)).cast("int")
+def conflict_free(u: np.ndarray, i: np.ndarray) -> list[np.ndarray]:
+    """Row numbers of each batch: no user and no item twice in it, order kept along every user and item."""
+    last_u, last_i, batch = {}, {}, []
+    for a, b in zip(u.tolist(), i.tolist()):
+        n = max(last_u.get(a, -1), last_i.get(b, -1)) + 1
+        last_u[a] = last_i[b] = n
+        batch.append(n)
+    batch = np.asarray(batch, np.int64)
+    order = np.argsort(batch, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(batch[order])) + 1) if len(order) else []
+
 
+class Negatives:
+    """Draws, per row, an item of the block that is no item of the row's user."""
 
-def sgd_block_update(loss: str, users: pd.DataFrame, items: pd.DataFrame, rows: pd.DataFrame,
-                     lr: float, reg: float, mu: float, rng: np.random.Generator,
-                     n_items_total: int, max_trials: int = 10):
-    """Train one cell in place; rows are processed in ``ord`` order. Returns (P, bu, Q, bi)."""
-    P = np.stack(users["features"].to_numpy()).astype(np.float64) if len(users) else np.zeros((0, 0))
-    Q = np.stack(items["features"].to_numpy()).astype(np.float64) if len(items) else np.zeros((0, 0))
-    bu = users["bias"].to_numpy(np.float64).copy()
-    bi = items["bias"].to_numpy(np.float64).copy()
-    if rows.empty or len(users) == 0 or len(items) == 0:
-        return P, bu, Q, bi
-    rows = rows.sort_values("ord", kind="stable")
-    uix = pd.Index(users["id"].to_numpy()).get_indexer(rows["id"].to_numpy())
-    iix = pd.Index(items["id"].to_numpy()).get_indexer(rows["item"].to_numpy())
-    r = rows["rating"].to_numpy(np.float64)
-    ok = (uix >= 0) & (iix >= 0)
-    uix, iix, r = uix[ok], iix[ok], r[ok]
-    n_block_items = len(items)
+    def __init__(self, u: np.ndarray, i: np.ndarray, n_users: int, n_items: int, rng: np.random.Generator):
+        self.keys, self.n, self.rng = np.sort(u * n_items + i), n_items, rng
+        self.free = np.bincount(np.unique(self.keys) // n_items, minlength=n_users) < n_items
+
+    def draw(self, u: np.ndarray) -> np.ndarray:
+        """Item per row, -1 where the user has a row for every item."""
+        out = np.full(len(u), -1)
+        todo = np.flatnonzero(self.free[u])
+        while len(todo):
+            j = self.rng.integers(self.n, size=len(todo))
+            key = u[todo] * self.n + j
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            fine = self.keys[at] != key
+            out[todo[fine]] = j[fine]
+            todo = todo[~fine]
+        return out
+
+
+def _sigmoid(x):
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -50.0, 50.0)))
+
+
+def train_cell(loss: str, P, bu, Q, bi, u, i, r, order, lr: float, reg: float, mu: float, rng: np.random.Generator,
+               n_items_total: int, weighted: bool = False, mean_weight: float = 1.0, max_trials: int = 10) -> None:
+    """One pass over a cell, in place; u and i index P and Q, r holds ratings or weights."""
+    if len(u) == 0 or len(Q) == 0:
+        return
     if loss == "svd":
-        # p += lr (err q - reg p)  ==  (1 - lr reg) p + (lr err) q ; biases as Python floats
-        bul, bil, keep = bu.tolist(), bi.tolist(), 1.0 - lr * reg
-        for u, i, y in zip(uix.tolist(), iix.tolist(), r.tolist()):
-            pu, qi = P[u], Q[i]
-            err = y - (mu + bul[u] + bil[i] + float(pu.dot(qi)))
-            bul[u] += lr * (err - reg * bul[u])
-            bil[i] += lr * (err - reg * bil[i])
-            g = lr * err
-            new_p = keep * pu + g * qi
-            Q[i] = keep * qi + g * pu
-            P[u] = new_p
-        return P, np.asarray(bul), Q, np.asarray(bil)
-    positives = {}
-    for u, i in zip(uix.tolist(), iix.tolist()):
-        positives.setdefault(u, set()).add(i)
-
-    def draw_negative(u):
-        pos = positives.get(u, ())
-        if len(pos) >= n_block_items:
-            return -1
-        while True:
-            j = int(rng.integers(n_block_items))
-            if j not in pos:
-                return j
-
-    for u, i in zip(uix.tolist(), iix.tolist()):
-        pu = P[u]
-        if loss == "bpr":
-            j = draw_negative(u)
-            if j < 0:
-                continue
-            x = pu.dot(Q[i] - Q[j]) + bi[i] - bi[j]
-            g = 1.0 / (1.0 + math.exp(min(x, 50.0)))
-            puf = pu.copy()
-            P[u] += lr * (g * (Q[i] - Q[j]) - reg * pu)
-            Q[i] += lr * (g * puf - reg * Q[i])
-            Q[j] += lr * (-g * puf - reg * Q[j])
-            bi[i] += lr * (g - reg * bi[i])
-            bi[j] += lr * (-g - reg * bi[j])
-        elif loss == "warp":
-            s_pos = pu.dot(Q[i]) + bu[u] + bi[i]
-            for trial in range(1, max_trials + 1):
-                j = draw_negative(u)
-                if j < 0:
+        u, i, r = u[order], i[order], r[order]
+        for at in conflict_free(u, i):
+            a, b = u[at], i[at]
+            p, q = P[a], Q[b]
+            err = r[at] - (mu + bu[a] + bi[b] + (p * q).sum(axis=1))
+            bu[a] += lr * (err - reg * bu[a])
+            bi[b] += lr * (err - reg * bi[b])
+            P[a] = p + lr * (err[:, None] * q - reg * p)
+            Q[b] = q + lr * (err[:, None] * p - reg * q)
+        return
+    negatives = Negatives(u, i, len(P), len(Q), rng)
+    order = order[r[order] != 0]                         # weight 0: known to the user, no positive
+    u, i, r = u[order], i[order], r[order]
+    scale = lr * (r / mean_weight if weighted else np.ones(len(r)))
+    for at in conflict_free(u, i):
+        a, b, step = u[at], i[at], scale[at]
+        j = negatives.draw(a)
+        if loss == "warp":
+            trial = np.ones(len(at))
+            good = (P[a] * Q[b]).sum(axis=1) + bi[b]
+            open_ = np.flatnonzero(j >= 0)
+            hit = np.zeros(len(at), bool)
+            for t in range(1, max_trials + 1):
+                bad = (P[a[open_]] * Q[j[open_]]).sum(axis=1) + bi[j[open_]] > good[open_] - 1.0
+                hit[open_[bad]], trial[open_[bad]] = True, t
+                open_ = open_[~bad]
+                if len(open_) == 0 or t == max_trials:
                     break
-                s_neg = pu.dot(Q[j]) + bu[u] + bi[j]
-                if s_neg > s_pos - 1.0:
-                    w = math.log(max(1, (n_items_total - 1) // trial))
-                    puf = pu.copy()
-                    P[u] += lr * w * (Q[i] - Q[j]) - lr * reg * pu
-                    Q[i] += lr * w * puf - lr * reg * Q[i]
-                    Q[j] += -lr * w * puf - lr * reg * Q[j]
-                    bi[i] += lr * w
-                    bi[j] -= lr * w
-                    break
-        else:  # logistic: the positive with label 1, one drawn negative with label 0
-            for jj, y in ((i, 1.0), (draw_negative(u), 0.0)):
-                if jj < 0:
-                    continue
-                z = pu.dot(Q[jj]) + bu[u] + bi[jj]
-                g = y - 1.0 / (1.0 + math.exp(-max(min(z, 50.0), -50.0)))
-                puf = pu.copy()
-                P[u] += lr * (g * Q[jj] - reg * pu)
-                Q[jj] += lr * (g * puf - reg * Q[jj])
-                bu[u] += lr * (g - reg * bu[u])
-                bi[jj] += lr * (g - reg * bi[jj])
-    return P, bu, Q, bi
-
-
-def _cell_fn(loss, lr, reg, mu, seed, epoch, sub, n_items_total):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        users = pdf[pdf["kind"] == KIND_USER]
-        items = pdf[pdf["kind"] == KIND_ITEM]
-        rows = pdf[pdf["kind"] == KIND_ROW]
-        grp = int(pdf["grp"].iloc[0])
-        rng = np.random.default_rng([seed, epoch, sub, grp])
-        P, bu, Q, bi = sgd_block_update(loss, users, items, rows, lr, reg, mu, rng, n_items_total)
-        out_u = pd.DataFrame({"kind": KIND_USER, "id": users["id"].to_numpy(), "bias": bu,
-                              "features": list(P) if len(users) else []})
-        out_i = pd.DataFrame({"kind": KIND_ITEM, "id": items["id"].to_numpy(), "bias": bi,
-                              "features": list(Q) if len(items) else []})
-        out = pd.concat([out_u, out_i], ignore_index=True)
-        out["item"] = None
-        out["rating"] = np.nan
-        out["ord"] = 0
-        out["grp"] = 0
-        return out[["kind", "id", "item", "bias", "features", "rating", "ord", "grp"]]
+                j[open_] = negatives.draw(a[open_])
+            rank = np.maximum(1, (n_items_total - 1) // trial)
+            a, b, j, step, g = a[hit], b[hit], j[hit], step[hit], np.log(rank[hit])
+        elif loss == "bpr":
+            ok = j >= 0
+            a, b, j, step = a[ok], b[ok], j[ok], step[ok]
+            g = _sigmoid(-((P[a] * (Q[b] - Q[j])).sum(axis=1) + bi[b] - bi[j]))
+        else:
+            ok = j >= 0
+            _pointwise(P, bu, Q, bi, a, b, np.ones(len(a)), step, reg)
+            _pointwise(P, bu, Q, bi, a[ok], j[ok], np.zeros(int(ok.sum())), step[ok], reg)
+            continue
+        p, qb, qj, s = P[a], Q[b], Q[j], step[:, None]
+        P[a] = p + s * (g[:, None] * (qb - qj) - reg * p)
+        Q[b] = qb + s * (g[:, None] * p - reg * qb)
+        np.add.at(Q, j, s * (-g[:, None] * p - reg * qj))
+        bi[b] += step * (g - reg * bi[b])
+        np.add.at(bi, j, step * (-g - reg * bi[j]))
+
+
+def _pointwise(P, bu, Q, bi, a, j, y, step, reg):
+    p, q = P[a], Q[j]
+    g = y - _sigmoid((p * q).sum(axis=1) + bu[a] + bi[j])
+    P[a] = p + step[:, None] * (g[:, None] * q - reg * p)
+    np.add.at(Q, j, step[:, None] * (g[:, None] * p - reg * q))
+    bu[a] += step * (g - reg * bu[a])
+    np.add.at(bi, j, step * (g - reg * bi[j]))
+
+
+def _block(col, nb: int, salt: int):
+    return F.pmod(F.xxhash64(col, F.lit(salt)), F.lit(nb)).cast("int")
+
+
+def _table(rows: list[tuple]) -> pa.Table:
+    kind, block, grp, ids, m, b = zip(*rows)
+    ints = [pa.array(x, pa.int32()) for x in (kind, block, grp)]
+    return pa.table([*ints, *[pa.array(x, pa.binary()) for x in (ids, m, b)]],
+                    names=["kind", "block", "grp", "ids", "m", "b"])
+
+
+def _packed_ids(kind, side, factors, seed, gaussian, scale):
+    """Initial factor row of one block of ids."""
+    def run(key, table):
+        ids = np.sort(table.column("id").to_numpy())
+        m = init_matrix(ids, factors, side, seed, gaussian, scale)
+        return _table([(kind, key[0].as_py(), 0, ids.tobytes(), m.astype("<f8").tobytes(), np.zeros(len(ids)).tobytes())])
+    return run
+
+
+def _pack_cell(nb: int):
+    def run(key, table):
+        ub, ib = key[0].as_py(), key[1].as_py()
+        cols = [table.column(c).to_numpy().astype(t).tobytes() for c, t in (("u", "<i8"), ("i", "<i8"), ("r", "<f8"))]
+        return _table([(KIND_ROW, ub, (ib - ub) % nb, *cols)])
     return run
 
 
+def _step(loss, factors, lr, reg, mu, seed, steps, n_items_total, weighted, mean_weight, max_trials):
+    """Trains the cell of a group: its user block, its item block and its rows; ``steps`` are (epoch, sub-epoch)."""
+    def run(key, table):
+        by = {r["kind"]: r for r in table.to_pylist()}
+        out = []
+        side = {}
+        for kind in (KIND_USER, KIND_ITEM):
+            if kind in by:
+                r = by[kind]
+                ids = np.frombuffer(r["ids"], "<i8")
+                side[kind] = (ids, np.frombuffer(r["m"], "<f8").reshape(len(ids), factors).copy(),
+                              np.frombuffer(r["b"], "<f8").copy())
+        if len(by) == 3:
+            (ui, P, bu), (ii, Q, bi) = side[KIND_USER], side[KIND_ITEM]
+            c = by[KIND_ROW]
+            u, i, r = (np.frombuffer(c[x], t) for x, t in (("ids", "<i8"), ("m", "<i8"), ("b", "<f8")))
+            lu, li = np.searchsorted(ui, u), np.searchsorted(ii, i)
+            for epoch, sub in steps:
+                order = np.argsort(row_order(u, i, epoch, seed), kind="stable")
+                rng = np.random.default_rng([seed, epoch, sub, key[0].as_py()])
+                train_cell(loss, P, bu, Q, bi, lu, li, r, order, lr, reg, mu, rng, n_items_total, weighted,
+                           mean_weight, max_trials)
+        for kind, (ids, m, b) in side.items():
+            out.append((kind, by[kind]["block"], 0, ids.tobytes(), m.tobytes(), b.tobytes()))
+        return _table(out or [(-1, 0, 0, b"", b"", b"")])
+    return run
+
+
+def _unpacked(state: DataFrame, kind: int, factors: int) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = np.frombuffer(row["ids"], "<i8")
+                m = np.frombuffer(row["m"], "<f8")
+                for lo in range(0, len(ids), 8192):
+                    hi = min(lo + 8192, len(ids))
+                    flat = pa.array(m[lo * factors:hi * factors])
+                    ends = pa.array(np.arange(hi - lo + 1, dtype=np.int32) * factors)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[lo:hi]), pa.array(np.frombuffer(row["b"], "<f8")[lo:hi]),
+                         pa.ListArray.from_arrays(ends, flat)], names=["id", "bias", "features"])
+    return state.filter(F.col("kind") == kind).mapInArrow(run, "id long, bias double, features array<double>")
+
+
 def train_block_sgd(rows: DataFrame, loss: str, factors: int, epochs: int, lr: float, reg: float,
                     seed: int = 42, blocks: int | None = None, init_std: float = 0.1,
-                    gaussian_init: bool = True, rows_per_cell: int = 8_000,
-                    checkpoint_every: int = 1) -> FactorModel:
-    """rows: (u long, i long, r double) training cells. Returns a FactorModel keyed by raw ids."""
+                    gaussian_init: bool = True, rows_per_cell: int = ROWS_PER_CELL,
+                    ids_per_block: int = IDS_PER_BLOCK, checkpoint_every: int = 1, weighted: bool = False,
+                    max_trials: int = 10) -> FactorModel:
+    """rows: (u long, i long, r double) training cells. Returns a FactorModel keyed by raw ids.
+
+    ``max_trials`` bounds the negatives that warp draws for a positive; a
+    positive without a violator among them makes no step.
+    """
+    if loss not in LOSSES:
+        raise ValueError(f"loss must be one of {LOSSES}")
     spark = rows.sparkSession
     checkpoint_dir(spark)
-    rows = rows.select(F.col("u").cast("long"), F.col("i").cast("long"), F.col("r").cast("double"))
-    stats = rows.agg(F.avg("r").alias("mu"), F.countDistinct("i").alias("n_items"),
-                     F.count(F.lit(1)).alias("n")).first()
-    # B x B cells of about rows_per_cell rows, at most one stratum cell per core
-    nb = blocks or int(min(spark.sparkContext.defaultParallelism,
-                           max(2, math.ceil(math.sqrt((stats["n"] or 0) / rows_per_cell)))))
+    rows = rows.select(F.col("u").cast("long").alias("u"), F.col("i").cast("long").alias("i"),
+                       F.col("r").cast("double").alias("r"))
+    stats = rows.agg(F.avg("r").alias("mu"), F.countDistinct("i").alias("n_items"), F.countDistinct("u").alias("n_users"),
+                     F.avg(F.when(F.col("r") != 0, F.col("r"))).alias("weight"), F.count(F.lit(1)).alias("n")).first()
+    n = stats["n"] or 0
+    nb = blocks or max(1, math.ceil(math.sqrt(n / rows_per_cell)),
+                       math.ceil(max(stats["n_users"], stats["n_items"]) / ids_per_block))
     mu = float(stats["mu"] or 0.0) if loss == "svd" else 0.0
-    n_items_total = int(stats["n_items"] or 0)
+    mean_weight = float(stats["weight"] or 1.0)
     scale = init_std if gaussian_init else 1.0 / factors
-    users = rows.select(F.col("u").alias("id")).distinct()
-    items = rows.select(F.col("i").alias("id")).distinct()
-
-    def factor_rows(ids, kind, side):
-        return ids.mapInPandas(_init_rows(factors, side, seed, gaussian_init, scale, kind), _STATE)
-    state = factor_rows(users, KIND_USER, "user").unionByName(factor_rows(items, KIND_ITEM, "item"))
-    state = state.checkpoint(eager=True)
-    cells = (rows.withColumn("ub", _block(F.col("u"), nb, 17)).withColumn("ib", _block(F.col("i"), nb, 29))
-             .withColumn("stratum", F.pmod(F.col("ib") - F.col("ub"), F.lit(nb)))
-             .checkpoint(eager=True))
-    for epoch in range(epochs):
-        for sub in range(nb):
-            part = (cells.filter(F.col("stratum") == sub)
-                    .select(F.lit(KIND_ROW).alias("kind"), F.col("u").alias("id"), F.col("i").alias("item"),
-                            F.lit(None).cast("double").alias("bias"), F.lit(None).cast("array<double>").alias("features"),
-                            F.col("r").alias("rating"),
-                            F.xxhash64("u", "i", F.lit(epoch), F.lit(seed)).alias("ord"),
-                            F.col("ub").alias("grp")))
-            keyed = state.withColumn("grp", F.when(F.col("kind") == KIND_USER, _block(F.col("id"), nb, 17))
-                                     .otherwise(F.pmod(_block(F.col("id"), nb, 29) - F.lit(sub), F.lit(nb))))
-            state = (keyed.unionByName(part).groupBy("grp")
-                     .applyInPandas(_cell_fn(loss, lr, reg, mu, seed, epoch, sub, n_items_total), _STATE))
-        if (epoch + 1) % checkpoint_every == 0 or epoch == epochs - 1:
+
+    def side(col, kind, name, salt):
+        ids = rows.select(F.col(col).alias("id")).distinct().withColumn("block", _block(F.col("id"), nb, salt))
+        return ids.groupBy("block").applyInArrow(_packed_ids(kind, name, factors, seed, gaussian_init, scale), _STATE)
+    state = side("u", KIND_USER, "user", 17).unionByName(side("i", KIND_ITEM, "item", 29)).checkpoint(eager=True)
+    path = scratch_path(spark, "cells")
+    (rows.withColumn("ub", _block(F.col("u"), nb, 17)).withColumn("ib", _block(F.col("i"), nb, 29))
+     .groupBy("ub", "ib").applyInArrow(_pack_cell(nb), _STATE)
+     .withColumn("stratum", F.col("grp")).write.partitionBy("stratum").parquet(path))
+    cells = spark.read.schema(_STATE + ", stratum int").parquet(path)      # a filter on stratum prunes files
+    run_epochs = [[(e, s)] for e in range(epochs) for s in range(nb)] if nb > 1 else [[(e, 0) for e in range(epochs)]]
+    for done, steps in enumerate(run_epochs if epochs else [], 1):
+        sub = steps[0][1]
+        part = cells.filter(F.col("stratum") == sub).drop("stratum").withColumn("grp", F.col("block"))
+        keyed = state.withColumn("grp", F.when(F.col("kind") == KIND_USER, F.col("block"))
+                                 .otherwise(F.pmod(F.col("block") - F.lit(sub), F.lit(nb))))
+        fn = _step(loss, factors, lr, reg, mu, seed, steps, int(stats["n_items"] or 0), weighted, mean_weight, max_trials)
+        state = keyed.unionByName(part).groupBy("grp").applyInArrow(fn, _STATE)
+        if done % (nb * checkpoint_every) == 0 or done == len(run_epochs):
             state = state.checkpoint(eager=True)
-    # two separately materialized tables: independent lineages for later joins
-    fresh = [F.col(c).alias(c) for c in ("id", "bias", "features")]     # new attribute ids per side
-    uf = state.filter(F.col("kind") == KIND_USER).select(*fresh).checkpoint(eager=True)
-    itf = state.filter(F.col("kind") == KIND_ITEM).select(*fresh).checkpoint(eager=True)
     kind = {"svd": "svd", "bpr": "biased", "warp": "biased", "logistic": "biased"}[loss]
-    return FactorModel(kind, uf, itf, global_mean=mu, divisor=1.0,
-                       params={"loss": loss, "factors": factors, "epochs": epochs, "lr": lr, "reg": reg,
-                               "seed": seed, "blocks": nb})
+    return FactorModel(kind, _unpacked(state, KIND_USER, factors).checkpoint(eager=True),
+                       _unpacked(state, KIND_ITEM, factors).checkpoint(eager=True), global_mean=mu, divisor=1.0,
+                       params={"loss": loss, "factors": factors, "epochs": epochs, "lr": lr, "reg": reg, "seed": seed,
+                               "blocks": nb, "weighted": weighted, "max_trials": max_trials})

@@ -1070,13 +1070,15 @@ def train_model(s: Serving, name: str, params: dict | None = None, loss: str | N
     if name == "svd":
         r = s.ratings.select(F.col("user_id").alias("u"), F.col("item_id").alias("i"), F.col("rating").alias("r"))
         return block_sgd.train_block_sgd(r, "svd", p["n_factors"], p["n_epochs"], p["lr_all"], p["reg_all"])
-    cells = inter.raw_cells(s.sp.train).filter(F.col("weight") != 0).select(
+    # cells of weight 0 are no positives, but the hybrid's negatives are checked against them too
+    cells = inter.raw_cells(s.sp.train).select(
         F.col("visitorid").alias("u"), F.col("itemid").alias("i"), F.col("weight").alias("r"))
     if name == "bpr":
+        cells = cells.filter(F.col("r") != 0)
         return block_sgd.train_block_sgd(cells, "bpr", p["factors"], p["iterations"], p["learning_rate"],
                                          p["regularization"], gaussian_init=False)
     return block_sgd.train_block_sgd(cells, loss or p["loss"], p["no_components"], p["epochs"],
-                                     p["learning_rate"], 0.0, gaussian_init=False)
+                                     p["learning_rate"], 0.0, gaussian_init=False, weighted=True)
 
 
 def _trained_query(name, uni_name, truth_scope, loss=None, require_list=False):

@@ -86,7 +86,7 @@ def _plain_svd(ratings, P, Q, mu, lr, reg, epochs, orders):
 
 
 def test_svd_block_sgd_single_block_equals_plain_loop(spark):
-    from rankfold.operators.block_sgd import init_vector, train_block_sgd
+    from rankfold.operators.block_sgd import init_vector, row_order, train_block_sgd
     rng = np.random.default_rng(3)
     data = [(int(u), int(i), float(r)) for u, i, r in
             zip(rng.integers(0, 30, 200), rng.integers(0, 40, 200), rng.integers(1, 6, 200))]
@@ -99,8 +99,8 @@ def test_svd_block_sgd_single_block_equals_plain_loop(spark):
     Q0 = init(df.select(F.col("i").alias("id")).distinct(), "item")
     orders = {}
     for e in range(epochs):
-        for r in df.select("u", "i", F.xxhash64("u", "i", F.lit(e), F.lit(seed)).alias("o")).collect():
-            orders[(r["u"], r["i"], e)] = r["o"]
+        for u, i, _ in data:
+            orders[(u, i, e)] = int(row_order(np.array([u]), np.array([i]), e, seed)[0])
     mu = float(np.mean([r for _, _, r in data]))
     P, Q, bu, bi = _plain_svd(data, P0, Q0, mu, lr, reg, epochs, orders)
     for r in m.user_factors.collect():
@@ -162,3 +162,49 @@ def test_phase_from_store_equals_built_phase(spark):
     for attr in ("train", "eval_full", "eval_warm", "eval_cold"):
         a, b = getattr(built, attr).select(*key), getattr(back, attr).select(*key)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sample_weights_matter(spark):
+    """M3: weights scale the steps; a cell of weight 0 is no positive but is never drawn as a negative."""
+    from rankfold.operators.block_sgd import Negatives, train_block_sgd
+
+    def fit(loss, weight, weighted=True):
+        rows = spark.createDataFrame([(u, i, float(weight(u, i))) for u in range(12) for i in range(12) if (u + i) % 4 < 2],
+                                     "u long, i long, r double")
+        m = train_block_sgd(rows, loss, 4, 2, 0.05, 0.0, blocks=1, gaussian_init=False, weighted=weighted)
+        return {r["id"]: (np.array(r["features"]), r["bias"]) for r in m.item_factors.collect()}
+    for loss in ("warp", "bpr", "logistic"):
+        flat, tilted = fit(loss, lambda u, i: 1), fit(loss, lambda u, i: 1 + 9 * (i % 2))
+        assert any(not np.allclose(flat[i][0], tilted[i][0]) for i in flat)
+        plain = fit(loss, lambda u, i: 1 + 9 * (i % 2), weighted=False)
+        assert all(np.allclose(flat[i][0], plain[i][0]) for i in flat)
+    gone = fit("bpr", lambda u, i: 0 if i == 5 else 1)
+    assert gone[5][1] <= 0                                   # never pushed up, only ever drawn as a negative
+    draw = Negatives(np.array([0, 0, 1]), np.array([0, 2, 1]), 3, 3, np.random.default_rng(0)).draw
+    assert set(draw(np.zeros(50, int))) == {1} and 1 not in set(draw(np.ones(50, int)))
+
+
+def test_blocks_follow_the_data_not_the_cores(spark):
+    from rankfold.operators.block_sgd import train_block_sgd
+    rows = spark.range(900).select((F.col("id") % 30).alias("u"), (F.col("id") / 30).cast("long").alias("i"),
+                                   (F.col("id") % 5 + 1).cast("double").alias("r"))
+    a = train_block_sgd(rows, "svd", 3, 2, 0.05, 0.02, rows_per_cell=100)
+    assert a.params["blocks"] == 3
+    b = train_block_sgd(rows.repartition(7), "svd", 3, 2, 0.05, 0.02, rows_per_cell=100)
+    pick = lambda m: {r["id"]: tuple(r["features"]) for r in m.user_factors.collect()}
+    assert pick(a) == pick(b)
+
+
+def test_conflict_free_batches():
+    from rankfold.operators.block_sgd import conflict_free
+    rng = np.random.default_rng(5)
+    u, i = rng.integers(0, 9, 200), rng.integers(0, 7, 200)
+    batches = conflict_free(u, i)
+    assert sorted(np.concatenate(batches).tolist()) == list(range(200))
+    at = {n: k for k, b in enumerate(batches) for n in b.tolist()}
+    for b in batches:
+        assert len(set(u[b])) == len(b) == len(set(i[b]))
+    for n in range(200):
+        for m in range(n):
+            if u[m] == u[n] or i[m] == i[n]:
+                assert at[m] < at[n]
