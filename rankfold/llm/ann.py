@@ -41,9 +41,9 @@ K = 20
 EVERY = 20
 PROJECTIONS = 96
 THRESHOLD = 0.85
-GROWTH = 1.15
+GROWTH = 1.1
 #: First half-width of the windows, in standard deviations of the projections.
-FIRST_WIDTH = 1.2
+FIRST_WIDTH = 1.6
 CANDIDATES = 0.12
 LEAST = 200
 BLOCK = 16384
@@ -97,10 +97,11 @@ class Block:
 
     def verify(self, hit: np.ndarray, qid: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         hit = hit[self.ids[hit] != qid]
+        rough = self.vectors.take(hit, axis=0) @ q
+        if len(hit) > k:                                    # all that may tie with the k-th stay
+            kth = np.partition(rough, len(rough) - k)[len(rough) - k]
+            hit = hit[rough >= kth - 1e-9 * max(1.0, float(np.abs(rough).max()))]
         score = (self.vectors[hit] * q).sum(axis=1)         # row by row: equal vectors score equally
-        if len(hit) > k:                                    # keep all that tie with the k-th
-            kth = np.partition(score, len(score) - k)[len(score) - k]
-            hit, score = hit[score >= kth], score[score >= kth]
         best = np.lexsort((self.ids[hit], -score))[:k]
         return self.ids[hit][best], score[best]
 
