@@ -75,12 +75,13 @@ def frozen_table(ids: DataFrame, tag: str, side: str, id_col: str = "raw") -> Da
     )
 
 
-def frozen_model(tag: str, user_ids: DataFrame, item_ids: DataFrame, id_col: str = "raw") -> FactorModel:
+def frozen_model(tag: str, user_ids: DataFrame, item_ids: DataFrame, id_col: str = "raw",
+                 kind: str | None = None) -> FactorModel:
     """Deterministic integer factors so scores are exact in every engine.
 
     SVD: est = clip(3 + (bu + bi + p.q) / 100).
     """
-    kind = FROZEN_KIND[tag]
+    kind = kind or FROZEN_KIND[tag]
     mu, div = (3.0, 100.0) if kind == "svd" else (0.0, 1.0)
     return FactorModel(kind, frozen_table(user_ids, tag, "user", id_col), frozen_table(item_ids, tag, "item", id_col),
                        global_mean=mu, divisor=div, params={"frozen": tag})

@@ -633,9 +633,11 @@ _TRUTH_SQL = ("truth_{s} AS (SELECT visitorid, itemid FROM {c} JOIN de ON {c}.ev
               "GROUP BY visitorid, itemid HAVING sum(de.idx) <> 0)")
 
 
-def _model_ctes(m: str, req: str = "req", k: int = K, cand: str | None = None) -> list[str]:
+def _model_ctes(name: str, req: str = "req", k: int = K, cand: str | None = None) -> list[str]:
+    m = name.split("_")[0]                      # als_32: the als universe with frozen factors of another tag
     users, items, seen = _UNI_SQL[m]
     sc = score_sql(FROZEN_KIND[m])
+    m = name
     cf = f" AND i.id IN (SELECT itemid FROM {cand})" if cand else ""
     return [
         frozen_sql(f"uf_{m}", m, "user", users),
@@ -649,13 +651,18 @@ def _model_ctes(m: str, req: str = "req", k: int = K, cand: str | None = None) -
     ]
 
 
-def serving_sql(body: str, models=("als",), req: str = "SELECT DISTINCT visitorid FROM fu",
-                k: int = K, cand: list[str] | None = None, cand_models=()) -> str:
+def _serving_ctes(models=("als",), req: str = "SELECT DISTINCT visitorid FROM fu",
+                  k: int = K, cand: list[str] | None = None, cand_models=()) -> list[str]:
     extra = list(_ratings_ctes()) + [_TRUTH_SQL.format(s="warm", c="wa"), _TRUTH_SQL.format(s="full", c="fu")]
     extra += [f"req AS ({req})"] + (cand or [])
     for m in models:
         extra += _model_ctes(m, "req", k, "cand" if m in cand_models else None)
-    return with_sql(body, "final", extra)
+    return extra
+
+
+def serving_sql(body: str, models=("als",), req: str = "SELECT DISTINCT visitorid FROM fu",
+                k: int = K, cand: list[str] | None = None, cand_models=()) -> str:
+    return with_sql(body, "final", _serving_ctes(models, req, k, cand, cand_models))
 
 
 _ALL = ("als", "bpr", "lightfm", "svd")
@@ -1081,36 +1088,87 @@ def train_model(s: Serving, name: str, params: dict | None = None, loss: str | N
                                      p["learning_rate"], 0.0, gaussian_init=False, weighted=True)
 
 
-def _trained_query(name, uni_name, truth_scope, loss=None, require_list=False):
+def list_checks(s: Serving, model, uni_name: str, truth_scope: str, label: str) -> DataFrame:
+    """What must hold of a trained model's lists whatever its factors: one row of counts SQL can name.
+
+    lists: evaluation users with a list; entries: their length in total (k each,
+    or all unseen items); seen_entries, bad_ranks, repeated: must be 0;
+    bad_factors: factor rows with a null, infinite or missing component.
+    """
+    t = s.truth(truth_scope)
+    uni = s.uni(uni_name)
+    recs = keep(serve.recommend(model, uni, t.select("visitorid"), K))
+    seen = recs.join(uni.seen.select("visitorid", "itemid").distinct(), ["visitorid", "itemid"], "left_semi")
+    per = recs.groupBy("visitorid").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("itemid").alias("d"),
+                                        F.min("rank").alias("lo"), F.max("rank").alias("hi"))
+    fine = F.forall("features", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    factors = model.user_factors.select("features").unionByName(model.item_factors.select("features"))
+    return inter.one_row([
+        t.agg(F.countDistinct("visitorid").alias("users"), F.count(F.lit(1)).alias("truth_pairs")),
+        per.agg(F.count(F.lit(1)).alias("lists"), F.coalesce(F.sum("n"), F.lit(0)).alias("entries"),
+                F.count(F.when((F.col("lo") != 1) | (F.col("hi") != F.col("n")), 1)).alias("bad_ranks"),
+                F.count(F.when(F.col("n") != F.col("d"), 1)).alias("repeated")),
+        seen.agg(F.count(F.lit(1)).alias("seen_entries")),
+        factors.agg(F.count(F.when(~F.coalesce(fine, F.lit(False)), 1)).alias("bad_factors")),
+    ]).select(F.lit(label).alias("model"), *[F.col(c).cast("long").alias(c) for c in _CHECKS])
+
+
+_CHECKS = ("users", "truth_pairs", "lists", "entries", "bad_ranks", "repeated", "seen_entries", "bad_factors")
+
+
+def _checks_sql(label: str, m: str, truth: str) -> str:
+    """The same row from the data alone; a trained model knows the visitors and items it was trained on."""
+    users, items, seen = {
+        "als": ("SELECT visitorid FROM nz", "SELECT itemid FROM nz", "nz"),
+        "lightfm": ("SELECT visitorid FROM tr UNION ALL SELECT visitorid FROM fu", "SELECT itemid FROM tr", "nz"),
+        "svd": ("SELECT user_id FROM hyb", "SELECT item_id FROM hyb", "hyb2"),
+    }[m]
+    return (f"SELECT '{label}' AS model, (SELECT count(DISTINCT visitorid) FROM {truth}) AS users, "
+            f"(SELECT count(*) FROM {truth}) AS truth_pairs, count(*) AS lists, "
+            f"CAST(coalesce(sum(least({K}, n_items - n_seen)), 0) AS BIGINT) AS entries, 0::BIGINT AS bad_ranks, "
+            "0::BIGINT AS repeated, 0::BIGINT AS seen_entries, 0::BIGINT AS bad_factors FROM ("
+            f"SELECT u.visitorid, (SELECT count(*) FROM (SELECT DISTINCT * FROM ({items}))) AS n_items, "
+            f"(SELECT count(DISTINCT x.itemid) FROM {seen} x WHERE x.visitorid = u.visitorid) AS n_seen "
+            f"FROM (SELECT DISTINCT visitorid FROM {truth}) u WHERE u.visitorid IN ({users})) WHERE n_items > n_seen")
+
+
+def _training_sql(label: str, m: str, truth: str) -> str:
+    return serving_sql(_checks_sql(label, m, truth), (), cand=[
+        f"nz AS ({_NZ_SEEN})", "hyb2 AS (SELECT user_id AS visitorid, item_id AS itemid FROM hyb)"])
+
+
+def _trained_query(name, uni_name, truth_scope, loss=None):
     def run(spark, sf):
         s = Serving(spark, sf)
         m = train_model(s, name, loss=loss)
         if name == "lightfm":
             m = serve.with_cold_users(m, s.uni("lightfm").users)
-        return _eval_trained(s, m, uni_name, truth_scope, require_list).select(
-            F.lit(name if loss is None else f"{name}_{loss}").alias("model"), "*")
+        return list_checks(s, m, uni_name, truth_scope, name if loss is None else f"{name}_{loss}")
+    run.__doc__ = f"M1-M4: {name}{' ' + loss if loss else ''} trained with its defaults; what must hold of its lists."
     return run
 
 
-query("als_train_recs")(_trained_query("als", "als", "warm"))
-query("bpr_train_recs")(_trained_query("bpr", "bpr", "warm"))
-query("hybrid_warp_recs")(_trained_query("lightfm", "lightfm", "full", loss="warp"))
-query("hybrid_bpr_recs")(_trained_query("lightfm", "lightfm", "full", loss="bpr"))
-query("hybrid_logistic_recs")(_trained_query("lightfm", "lightfm", "full", loss="logistic"))
-query("svd_train_recs")(_trained_query("svd", "svd", "full", require_list=True))
+query("als_train_recs", _training_sql("als", "als", "truth_warm"))(_trained_query("als", "als", "warm"))
+query("bpr_train_recs", _training_sql("bpr", "als", "truth_warm"))(_trained_query("bpr", "bpr", "warm"))
+for _loss in ("warp", "bpr", "logistic"):
+    query(f"hybrid_{_loss}_recs", _training_sql(f"lightfm_{_loss}", "lightfm", "truth_full"))(
+        _trained_query("lightfm", "lightfm", "full", loss=_loss))
+query("svd_train_recs", _training_sql("svd", "svd", "truth_full"))(_trained_query("svd", "svd", "full"))
 
 
-@query("als_foldin")
+@query("als_foldin", _training_sql("als_foldin", "als", "truth_warm"))
 def q_als_foldin(spark, sf):
-    """M7: ALS user factors re-solved from train + eval cells, then evaluated (recalculate_user)."""
+    """M7: ALS user factors re-solved from train + eval cells (coded by the training events)."""
     s = Serving(spark, sf)
     m = train_model(s, "als")
     t = s.truth("warm")
-    warm_rows = s.sp.eval_warm.unionByName(s.sp.train)
-    profile = (inter.raw_cells(warm_rows).join(t.select("visitorid").distinct(), "visitorid", "left_semi"))
-    users = alsmod.fold_in(profile, m.item_factors, DEFAULTS["als"]["regularization"])
+    codes = dic.event_dictionary(s.sp.train).select(F.col("raw").alias("event"), F.col("idx").cast("double").alias("w"))
+    profile = (s.sp.eval_warm.unionByName(s.sp.train).join(t.select("visitorid").distinct(), "visitorid", "left_semi")
+               .join(F.broadcast(codes), "event").groupBy("visitorid", "itemid").agg(F.sum("w").alias("weight")))
+    known = profile.join(m.user_factors.select(F.col("id").alias("visitorid")), "visitorid", "left_semi")
+    users = alsmod.fold_in(known, m.item_factors, DEFAULTS["als"]["regularization"])
     folded = block_sgd.FactorModel("dot", users, m.item_factors)
-    return _eval_trained(s, folded, "als", "warm").select(F.lit("als_foldin").alias("model"), "*")
+    return list_checks(s, folded, "als", "warm", "als_foldin")
 
 
 # ------------------------------------------------ names, reports, sinks, runs
@@ -1179,21 +1237,44 @@ def q_experiment_names(spark, sf):
     return union_all(parts)
 
 
-@query("evaluation_report", serving_sql(
-    "SELECT p.*, (SELECT count(*) FROM du_w) AS eval_users, (SELECT count(*) FROM di_w) AS eval_items, "
-    "(SELECT count(*) FROM (SELECT DISTINCT visitorid, itemid FROM wa)) AS eval_interactions FROM ("
-    + _pr_sql("als", "truth_warm") + ") p", ("als",), req="SELECT DISTINCT visitorid FROM truth_warm"))
+_PROTOCOL = {"als": "warm", "bpr": "warm", "lightfm": "full", "svd": "full"}       # evaluation cells per model
+_EVAL_USERS = "SELECT visitorid FROM truth_warm UNION SELECT visitorid FROM truth_full"
+
+
+def _report_sql(ph: str) -> str:
+    parts = []
+    for m, scope in _PROTOCOL.items():
+        x, cells = scope[0], "wa" if scope == "warm" else "fu"
+        parts.append(
+            f"SELECT '{_SETS[ph]}' AS eval_set, p.*, (SELECT count(*) FROM du_{x}) AS eval_users, "
+            f"(SELECT count(*) FROM di_{x}) AS eval_items, "
+            f"(SELECT count(*) FROM (SELECT DISTINCT visitorid, itemid FROM {cells})) AS eval_interactions "
+            f"FROM ({_pr_sql(m, f'truth_{scope}', require_list=m == 'svd')}) p")
+    return " UNION ALL ".join(parts)
+
+
+def _report(spark, sf) -> DataFrame:
+    """Precision / recall of the four frozen models on both evaluation sets, with the matrices' shapes."""
+    parts = []
+    for ph, es in _SETS.items():
+        s = Serving(spark, sf, ph)
+        shapes = {}
+        for scope in ("warm", "full"):
+            mats, d = inter.phase_bundle(s.sp, scope)
+            shapes[scope] = keep(inter.matrix_stats(mats[f"{es}_{scope}"], d))
+        for m, scope in _PROTOCOL.items():
+            t, st = s.truth(scope), shapes[scope]
+            pr = met.precision_recall_at_k(s.recs(m, requested=t.select("visitorid")), t, K, require_list=m == "svd")
+            row = inter.one_row([pr, st.select(F.col("n_users").alias("eval_users"), F.col("n_items").alias("eval_items"),
+                                               F.col("stored_cells").alias("eval_interactions"))])
+            parts.append(row.select(F.lit(es).alias("eval_set"), F.lit(m).alias("model"), "*"))
+    return union_all(parts)
+
+
+@query("evaluation_report", both_phases(_report_sql, lambda ph: _serving_ctes(tuple(_PROTOCOL), _EVAL_USERS)))
 def q_evaluation_report(spark, sf):
-    """Metrics plus the evaluation matrix's shape and stored cells, one row."""
-    s = Serving(spark, sf)
-    t = s.truth("warm")
-    pr = met.precision_recall_at_k(s.recs("als", requested=t.select("visitorid")), t, K)
-    mats, d = inter.phase_bundle(s.sp, "warm")
-    st = inter.matrix_stats(mats["test_warm"], d)
-    key = F.lit(0).alias("_k")
-    return (pr.select(key, F.lit("als").alias("model"), "*")
-            .join(st.select(key, F.col("n_users").alias("eval_users"), F.col("n_items").alias("eval_items"),
-                            F.col("stored_cells").alias("eval_interactions")), "_k").drop("_k"))
+    """Metrics of every model plus the evaluation matrix's shape and stored cells, validation and test."""
+    return _report(spark, sf)
 
 
 def _pool_counts(sp: PhaseSplits):
@@ -1305,79 +1386,164 @@ def q_runs_log(spark, sf):
     return runlog.runs_long(runlog.read_runs(spark, path))
 
 
-@query("runs_best", "SELECT experiment, run_name, mean_precision FROM ("
-       "SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY mean_precision DESC, run_name) AS rn FROM ("
-       + both_phases(lambda ph: "SELECT " + _exp_sql("baseline", _SETS[ph]) + " AS experiment, "
-                     f"'baseline_evaluation_{_SETS[ph]}_' || " + _exp_sql("baseline", _SETS[ph])
-                     + " AS run_name, CAST(mean_precision AS DOUBLE) AS mean_precision FROM win, met",
-                     lambda ph: _RUNS_CTES + [_win_sql(ph)]) + ")) WHERE rn = 1")
+def _model_runs(spark, sf) -> DataFrame:
+    """Two evaluation runs per model and set: the second one repeats the first, so the best run is a tie."""
+    report = _report(spark, sf).select("eval_set", "model", "users", "hits", "precision_at_k", "recall_at_k")
+    report = keep(report)
+    parts = []
+    for ph, es in _SETS.items():
+        for m in _PROTOCOL:
+            exp = runlog.experiment_name(m, *_window(ph), es, DEFAULTS[m])
+            row = report.filter((F.col("eval_set") == es) & (F.col("model") == m)).drop("eval_set", "model")
+            for again in ("", "_again"):
+                name = F.concat(runlog.run_name(m, es, exp), F.lit(again))
+                parts.append(runlog.run_records(exp, name, {"model_type": m.upper(), "eval_set": es, "top_k": K}, row))
+    return union_all(parts)
+
+
+def _model_runs_sql(ph: str) -> str:
+    es = _SETS[ph]
+    return " UNION ALL ".join(
+        f"SELECT {_exp_sql(m, es)} AS experiment, 'evaluation_{es}_' || {_exp_sql(m, es)} || '{again}' AS run_name, "
+        f"'{m.upper()}' AS model_type, p.* EXCLUDE (model) FROM win, ({_pr_sql(m, f'truth_{scope}', m == 'svd')}) p"
+        for m, scope in _PROTOCOL.items() for again in ("", "_again"))
+
+
+def _model_runs_ctes(ph: str) -> list[str]:
+    return _serving_ctes(tuple(_PROTOCOL), _EVAL_USERS) + [_win_sql(ph)]
+
+
+@query("runs_log_models", "SELECT experiment, run_name, model_type, precision_at_k, recall_at_k FROM ("
+       + both_phases(_model_runs_sql, _model_runs_ctes) + ")")
+def q_runs_log_models(spark, sf):
+    """S12 + F5: evaluation runs of the four models on both sets, logged and read back."""
+    runs = runlog.read_runs(spark, runlog.log_runs(_model_runs(spark, sf), scratch_path(spark, "runs")))
+    return runs.select("experiment", "run_name", F.col("params")["model_type"].alias("model_type"),
+                       F.col("metrics")["precision_at_k"].alias("precision_at_k"),
+                       F.col("metrics")["recall_at_k"].alias("recall_at_k"))
+
+
+@query("runs_best", "SELECT experiment, run_name, precision_at_k FROM (SELECT *, row_number() OVER "
+       "(PARTITION BY experiment ORDER BY precision_at_k DESC, run_name) AS rn FROM ("
+       + both_phases(_model_runs_sql, _model_runs_ctes) + ")) WHERE rn = 1")
 def q_runs_best(spark, sf):
-    """The best logged run per experiment by a metric."""
-    path = runlog.log_runs(_baseline_runs(spark, sf), scratch_path(spark, "runs"))
-    return runlog.best_runs(runlog.read_runs(spark, path), "mean_precision")
+    """The best logged run per experiment by a metric; ties go to the smaller run name."""
+    runs = runlog.log_runs(_model_runs(spark, sf), scratch_path(spark, "runs"))
+    runlog.log_runs(_baseline_runs(spark, sf), runs)         # appended; it has no precision_at_k
+    return runlog.best_runs(runlog.read_runs(spark, runs), "precision_at_k")
 
 
 # ---------------------------------------------------------------------- tuning
 from ..operators import tuning as tun  # noqa: E402
 
-TUNING_TRIALS = 3
-
+#: The space the registered search covers, every point of it, per model.
+TUNING_SPACES = {
+    "als": {"factors": [8, 16], "regularization": [0.01, 0.1], "iterations": [5]},
+    "bpr": {"factors": [8], "learning_rate": [0.01, 0.1], "regularization": [0.01], "iterations": [3]},
+    "lightfm": {"no_components": [8], "learning_rate": [0.05], "loss": ["logistic", "bpr", "warp"], "epochs": [2]},
+    "svd": {"n_factors": [8], "n_epochs": [2], "lr_all": [0.005, 0.01], "reg_all": [0.02]},
+}
 
-def _als_objective(tune: Serving):
-    """Train ALS on the tuning phase (train_val) and score P@10 / R@10 on validation_warm."""
-    def objective(params: dict) -> dict:
-        m = train_model(tune, "als", params)
-        row = _eval_trained(tune, m, "als", "warm").first()
-        return {"precision_at_k": row["precision_at_k"], "recall_at_k": row["recall_at_k"]}
-    return objective
 
+def objective(tune: Serving, model: str):
+    """Train ``model`` on the tuning phase's training data and score P@k / R@k on its validation cells."""
+    scope = _PROTOCOL[model]
 
-_TRIALS_MEMO: dict = {}
+    def run(params: dict) -> dict:
+        m = train_model(tune, model, params)
+        if model == "lightfm":
+            m = serve.with_cold_users(m, tune.uni("lightfm").users)
+        return _eval_trained(tune, m, model, scope, model == "svd").first().asDict()
+    return run
 
 
-def _tuning(spark, sf, model="als", n_trials=TUNING_TRIALS):
-    """The trial table (n_trials rows), computed once per application and input folder."""
-    key = (spark.sparkContext.applicationId, sf, model, n_trials)
-    if key not in _TRIALS_MEMO:
-        tune = Serving(spark, sf, phase="tune")
-        trials = tun.sample_trials(tun.search_grid(spark, model), n_trials, seed=42)
-        _TRIALS_MEMO[key] = tun.run_trials(trials, _als_objective(tune), model).collect()
-    return spark.createDataFrame(_TRIALS_MEMO[key], "trial int, params string, precision_at_k double, "
-                                                    "recall_at_k double")
+def tune_model(spark, sf, model: str, space: dict | None = None, n_trials: int = tun.DEFAULT_TRIALS,
+               seed: int = 42) -> DataFrame:
+    """H1: seeded search of ``space`` (default: the model's own) with up to ``n_trials`` trials."""
+    space = space or tun.SEARCH_SPACES[model]
+    trials = tun.sample_trials(tun.search_grid(spark, space), n_trials, seed)
+    return tun.run_trials(trials, objective(Serving(spark, sf, "tune"), model), space)
 
 
 @query("tuning_trials")
 def q_tuning_trials(spark, sf):
-    """H1 (+ H2, X2): seeded ALS search on the tuning phase, one row per trial."""
-    return _tuning(spark, sf)
+    """H1 (+ H2, X2): the four models searched over TUNING_SPACES, one row per trial."""
+    return union_all([tune_model(spark, sf, m, space).select(F.lit(m).alias("model"), "*")
+                      for m, space in TUNING_SPACES.items()])
+
 
+# Searches whose objective SQL can repeat: "factors" picks the tag of the frozen factors.
+_FROZEN_SPACE = {"factors": [16, 32, 64, 128], "iterations": [10]}
 
-@query("best_trial")
+
+def _frozen_trials(spark, sf) -> DataFrame:
+    s = Serving(spark, sf)
+    t, u = s.truth("warm"), s.uni("als")
+
+    def run(params):
+        tag = f"als_{params['factors']}"
+        m = frozen_model(tag, u.users.select(F.col("visitorid").alias("raw")), u.items.select(F.col("itemid").alias("raw")),
+                         kind="dot")
+        return met.precision_recall_at_k(serve.recommend(m, u, t.select("visitorid"), K), t, K).first().asDict()
+    return tun.run_trials(tun.sample_trials(tun.search_grid(spark, _FROZEN_SPACE)), run, _FROZEN_SPACE)
+
+
+def _frozen_trials_sql(body: str) -> str:
+    tags = [f"als_{f}" for f in _FROZEN_SPACE["factors"]]
+    rows = " UNION ALL ".join(
+        f"SELECT '{{\"factors\":\"{f}\",\"iterations\":\"10\"}}' AS params, '{f}' AS factors, p.precision_at_k, "
+        f"p.recall_at_k FROM ({_pr_sql(f'als_{f}', 'truth_warm')}) p" for f in _FROZEN_SPACE["factors"])
+    trials = (f"trials AS (SELECT CAST(row_number() OVER (ORDER BY {_h('params')}, params) - 1 AS INTEGER) AS trial, * "
+              f"FROM ({rows}))")
+    best = "best AS (SELECT * FROM trials ORDER BY precision_at_k DESC, trial LIMIT 1)"
+    ctes = _serving_ctes(tuple(tags), "SELECT DISTINCT visitorid FROM truth_warm") + [trials, best]
+    return with_sql(body, "final", ctes)
+
+
+@query("frozen_trials", _frozen_trials_sql("SELECT trial, params, precision_at_k, recall_at_k FROM trials"))
+def q_frozen_trials(spark, sf):
+    """H1 with an objective that SQL repeats: frozen factors, one tag per grid point."""
+    return _frozen_trials(spark, sf)
+
+
+@query("best_trial", _frozen_trials_sql("SELECT trial, params, precision_at_k, recall_at_k FROM best"))
 def q_best_trial(spark, sf):
     """H3: the best trial of the search."""
-    return tun.best_trial(_tuning(spark, sf))
+    return tun.best_trial(_frozen_trials(spark, sf))
+
+
+_OLD_DOC = [("als", "factors", "256"), ("als", "regularization", "0.5"), ("bpr", "factors", "128"),
+            ("bpr", "learning_rate", "0.1")]
+
+
+def _params_doc(spark, sf) -> str:
+    """The best trial upserted into a document that already holds two models."""
+    params = (tun.best_trial(_frozen_trials(spark, sf)).select(F.from_json("params", "map<string,string>").alias("m"))
+              .select(F.explode("m").alias("param", "value")))
+    old = runlog.write_params_doc(spark.createDataFrame(_OLD_DOC, "model string, param string, value string"),
+                                  scratch_path(spark, "params-old"))
+    return runlog.write_params_doc(runlog.upsert_params(runlog.read_params_doc(spark, old), "als", params),
+                                   scratch_path(spark, "params"))
 
 
-def _best_params_doc(spark, sf):
-    best = tun.best_trial(_tuning(spark, sf))
-    params = best.select(F.from_json("params", "map<string,string>").alias("m")) \
-        .select(F.explode("m").alias("param", "value"))
-    empty = spark.createDataFrame([], "model string, param string, value string")
-    return runlog.upsert_params(empty, "als", params)
+_DOC_SQL = ("SELECT 'als' AS model, 'factors' AS param, factors AS value FROM best UNION ALL "
+            "SELECT 'als', 'iterations', '10' FROM best UNION ALL "
+            + " UNION ALL ".join(f"SELECT '{m}', '{k}', '{v}'" for m, k, v in _OLD_DOC if m != "als"))
 
 
-@query("params_upsert")
+@query("params_upsert", _frozen_trials_sql(_DOC_SQL))
 def q_params_upsert(spark, sf):
-    """The best ALS parameters upserted into the hyperparameter document, written and read back."""
-    path = runlog.write_params_doc(_best_params_doc(spark, sf), scratch_path(spark, "params"))
-    return runlog.read_params_doc(spark, path)
+    """The best trial's parameters replace their model's entry in the document; other models stay."""
+    return runlog.read_params_doc(spark, _params_doc(spark, sf))
 
 
-@query("params_resolved")
+@query("params_resolved", _frozen_trials_sql(
+    "SELECT d.model, d.param, coalesce(x.value, d.value) AS value, x.value IS NOT NULL AS from_document FROM (VALUES "
+    + ", ".join(f"('{m}', '{k}', '{v}')" for m, ps in DEFAULTS.items() for k, v in ps.items())
+    + f") d(model, param, value) LEFT JOIN ({_DOC_SQL}) x ON d.model = x.model AND d.param = x.param"))
 def q_params_resolved(spark, sf):
     """S10 (+ F13): per model and parameter, the document's value or the default."""
-    path = runlog.write_params_doc(_best_params_doc(spark, sf), scratch_path(spark, "params"))
-    return runlog.resolve_params(runlog.read_params_doc(spark, path), DEFAULTS)
+    return runlog.resolve_params(runlog.read_params_doc(spark, _params_doc(spark, sf)), DEFAULTS)
 
 
 # ------------------------------------------------------------- remaining reports
