@@ -63,26 +63,37 @@ def gram(item_factors: DataFrame, f: int) -> np.ndarray:
     return g.reshape(f, f)
 
 
-def fold_in(profile: DataFrame, item_factors: DataFrame, reg: float, alpha: float = 1.0) -> DataFrame:
+def fold_in(profile: DataFrame, item_factors: DataFrame, reg: float, alpha: float = 1.0,
+            rows_per_bucket: int = 50_000) -> DataFrame:
     """M7: re-solve each user's factor from a profile (visitorid, itemid, weight).
 
     x_u = (Y^T Y + Y^T (C_u - I) Y + reg * n_u I)^-1 Y^T C_u p_u, i.e. the same
-    normal equations as the ALS user step.  One grouped map per user; the
-    group holds that user's distinct items only.
+    normal equations as the ALS user step.  Users are solved by the bucket:
+    about ``rows_per_bucket`` rows per grouped map, one batched solve each.  A
+    user's rows are at most the catalogue.
     """
     f = len(item_factors.select("features").first()["features"])
     yty = gram(item_factors, f)
     spark = profile.sparkSession
     b_yty = spark.sparkContext.broadcast(yty)          # f x f, independent of the data size
-    rows = (profile.filter(F.col("weight") != 0)
-            .join(item_factors.select(F.col("id").alias("itemid"), "features"), "itemid"))
+    cells = profile.filter(F.col("weight") != 0)
+    buckets = max(1, -(-cells.count() // rows_per_bucket))
+    rows = (cells.join(item_factors.select(F.col("id").alias("itemid"), "features"), "itemid")
+            .withColumn("bucket", F.pmod(F.xxhash64("visitorid"), F.lit(buckets)).cast("int")))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["visitorid", "itemid"])
+        user, first = np.unique(pdf["visitorid"].to_numpy(np.int64), return_index=True)
         Y = np.stack(pdf["features"].to_numpy()).astype(np.float64)
         r = pdf["weight"].to_numpy(np.float64)
         c = 1.0 + alpha * np.abs(r)
-        p = (r > 0).astype(np.float64)
-        A = b_yty.value + (Y.T * (c - 1.0)) @ Y + reg * len(r) * np.eye(f)
-        x = np.linalg.solve(A, Y.T @ (c * p))
-        return pd.DataFrame({"id": [int(pdf["visitorid"].iloc[0])], "bias": [0.0], "features": [x]})
-    return rows.groupBy("visitorid").applyInPandas(solve, "id long, bias double, features array<double>")
+        right = np.add.reduceat(Y * (c * (r > 0))[:, None], first)
+        out = np.empty((len(user), f))
+        ends = np.append(first[1:], len(r))
+        for lo in range(0, len(user), 256):              # 256 systems of f x f at a time
+            part = range(lo, min(lo + 256, len(user)))
+            A = np.stack([b_yty.value + (Y[first[n]:ends[n]].T * (c[first[n]:ends[n]] - 1.0)) @ Y[first[n]:ends[n]]
+                          + reg * (ends[n] - first[n]) * np.eye(f) for n in part])
+            out[lo:lo + len(part)] = np.linalg.solve(A, right[lo:lo + len(part), :, None])[:, :, 0]
+        return pd.DataFrame({"id": user, "bias": 0.0, "features": list(out)})
+    return rows.groupBy("bucket").applyInPandas(solve, "id long, bias double, features array<double>")

@@ -33,11 +33,10 @@ def cells(events: DataFrame, dicts: dict[str, DataFrame], weights: dict | None =
     ew = F.broadcast(event_weights(dicts["event"], weights))
     users = dicts["visitorid"].select(F.col("raw").alias("visitorid"), F.col("idx").alias("user_idx"))
     items = dicts["itemid"].select(F.col("raw").alias("itemid"), F.col("idx").alias("item_idx"))
-    coded = (events.select("visitorid", "itemid", "event")
-             .join(ew, "event")
-             .join(users, "visitorid")
-             .join(items, "itemid"))
-    return coded.groupBy("user_idx", "item_idx").agg(F.sum("weight").cast("double").alias("weight"))
+    # raw rows are summed per pair first, map side included: only pairs meet the dictionaries
+    pairs = (events.select("visitorid", "itemid", "event").join(ew, "event")
+             .groupBy("visitorid", "itemid").agg(F.sum("weight").cast("double").alias("weight")))
+    return pairs.join(users, "visitorid").join(items, "itemid").select("user_idx", "item_idx", "weight")
 
 
 def nonzero(c: DataFrame) -> DataFrame:

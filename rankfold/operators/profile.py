@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import KNOWN_EVENTS
+from ..session import keep
+from .interactions import one_row
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -28,8 +30,8 @@ def null_counts(df: DataFrame) -> DataFrame:
 def event_counts(df: DataFrame) -> DataFrame:
     """A3: rows per event label with its share in percent (null labels dropped)."""
     c = df.filter(F.col("event").isNotNull()).groupBy("event").agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())   # over <= a handful of labels
-    return c.select("event", "n", F.round(F.col("n") * 100.0 / total, 6).alias("share_pct"),
+    total = df.filter(F.col("event").isNotNull()).count()        # labels of a raw log are not a closed set: no window
+    return c.select("event", "n", F.round(F.col("n") * 100.0 / F.lit(total), 6).alias("share_pct"),
                     F.col("event").isin(*KNOWN_EVENTS).alias("known"))
 
 
@@ -75,22 +77,30 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def profile_summary(raw: DataFrame) -> DataFrame:
-    """The findings table computed in one aggregation pass plus two group-bys."""
+    """The findings table from one pass over the log.
+
+    Distinct full rows with their counts answer everything else, so the log is
+    read and shuffled once.
+    """
+    rows = keep(raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("n")))
     known = F.col("event").isin(*KNOWN_EVENTS)
-    main = raw.agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.countDistinct("visitorid").alias("n_visitors"),
-        F.countDistinct("itemid").alias("n_items"),
-        F.round(F.avg((F.col("event") == "view").cast("double")) * 100, 6).alias("view_pct"),
-        F.round(F.avg((F.col("event") == "addtocart").cast("double")) * 100, 6).alias("addtocart_pct"),
-        F.round(F.avg((F.col("event") == "transaction").cast("double")) * 100, 6).alias("transaction_pct"),
-        F.count(F.when(~known | F.col("event").isNull(), 1)).alias("unknown_events"),
-        F.count(F.when(F.col("transactionid").isNull(), 1)).alias("null_transactionid"),
-    )
-    dup = duplicate_rows(raw).select("duplicate_rows")
-    top = (raw.filter(F.col("event").isin("addtocart", "transaction") & F.col("itemid").isNotNull())
-           .groupBy("itemid").agg(F.count(F.lit(1)).alias("n"))
+
+    def share(event: str):
+        return F.round(F.sum(F.when(F.col("event") == event, F.col("n")).otherwise(0))
+                       / F.sum(F.when(F.col("event").isNotNull(), F.col("n"))) * 100, 6).alias(f"{event}_pct")
+
+    def total(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long")
+    main = rows.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_events"),
+        share("view"), share("addtocart"), share("transaction"),
+        total(~known | F.col("event").isNull()).alias("unknown_events"),
+        total(F.col("transactionid").isNull()).alias("null_transactionid"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+    distinct = rows.agg(F.countDistinct("visitorid").alias("n_visitors"), F.countDistinct("itemid").alias("n_items"))
+    top = (rows.filter(F.col("event").isin("addtocart", "transaction") & F.col("itemid").isNotNull())
+           .groupBy("itemid").agg(F.sum("n").alias("n"))
            .agg(F.min_by("itemid", F.struct((-F.col("n")).alias("n"), F.col("itemid"))).alias("top_item")))
-    # three one-row aggregates, combined positionally through a constant key
-    key = F.lit(0).alias("_k")
-    return (main.select(key, "*").join(dup.select(key, "*"), "_k").join(top.select(key, "*"), "_k").drop("_k"))
+    names = ["n_events", "n_visitors", "n_items", "view_pct", "addtocart_pct", "transaction_pct", "unknown_events",
+             "null_transactionid", "duplicate_rows", "top_item"]
+    return one_row([main, distinct, top]).select(*names)

@@ -678,10 +678,12 @@ def q_score_topk(spark, sf):
 
 
 @query("topk_by_score", serving_sql(
-    "SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM recs_lightfm", ("lightfm",)))
+    "SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM recs_svd", ("svd",),
+    req="SELECT DISTINCT visitorid FROM tr", k=3))
 def q_topk_by_score(spark, sf):
-    """W2 with biases: hybrid-layout top-10 for every evaluation visitor (cold ones included)."""
-    return Serving(spark, sf).recs("lightfm")
+    """W2 with many ties: clipped SVD-layout scores, top 3 for every training visitor."""
+    s = Serving(spark, sf)
+    return s.recs("svd", requested=s.sp.train.select("visitorid"), k=3)
 
 
 @query("recs_mf_topn", serving_sql(
@@ -738,11 +740,12 @@ def q_known_visitors(spark, sf):
 
 @query("recs_valid_items", serving_sql(
     "SELECT a.visitorid, CAST(a.rank AS INTEGER) AS rank, a.itemid, d.idx AS item_idx FROM recs_als a "
-    "JOIN di_w d ON a.itemid = d.raw"))
+    "JOIN (SELECT raw, row_number() OVER (ORDER BY raw) - 1 AS idx FROM (SELECT DISTINCT itemid AS raw FROM tr "
+    "WHERE event = 'transaction')) d ON a.itemid = d.raw"))
 def q_recs_valid_items(spark, sf):
-    """P8 + J4: lists checked against the item dictionary, with the dense index."""
+    """P8 + J4: lists checked against the dictionary of purchased items, with the dense index."""
     s = Serving(spark, sf)
-    d = dic.fit_dictionary(s.sp.train, col="itemid")
+    d = dic.fit_dictionary(s.sp.train.filter(F.col("event") == "transaction"), col="itemid")
     recs = serve.valid_items(s.recs("als"), d)
     return dic.to_inner(recs, d, "itemid", "item_idx").select("visitorid", "rank", "itemid", "item_idx")
 
@@ -885,8 +888,7 @@ def q_candidate_reduction(spark, sf):
     s = Serving(spark, sf)
     n_all = s.uni("lightfm").items.agg(F.count(F.lit(1)).alias("n_all_items"))
     n_c = _hybrid_candidates(s).agg(F.count(F.lit(1)).alias("n_candidates"))
-    key = F.lit(0).alias("_k")
-    return (n_all.select(key, "*").join(n_c.select(key, "*"), "_k").drop("_k")
+    return (inter.one_row([n_all, n_c])
             .withColumn("reduction", F.round(F.col("n_all_items") / F.col("n_candidates"), 6)))
 
 
