@@ -39,7 +39,7 @@ from .textvec import LOWER, chunks, hash_runs, mix64, segments, words
 DIMENSIONS = 1 << 18
 GRADES = 3
 #: Bound of the training sample.
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 12_000
 EPOCHS = 10
 RATE = 0.1
 #: Shrinkage per row; without it the many faint words of a long text outweigh its few telling ones.
