@@ -1,15 +1,16 @@
 """Blocked user x item scoring with exclusions and per-user top-K.
 
-Users are hashed into U blocks and items into I blocks.  Each (user block,
-item block) cell is one co-group: the users of the block (each user row is
-sent to every item block), the items of the block (each item row is sent to
-every user block), and only those seen pairs that fall into the cell.  A
-co-group scores its users against its items with one matrix product per
-chunk of users, masks the seen pairs, and keeps the local top-K per user
-(score desc, item asc).  A window with row_number <= K merges the at most
+Users are hashed into U blocks and items into I blocks; each block of factors
+is packed into one row (ids, matrix, biases).  What is copied to the U x I
+cells are these packed rows, and to each cell only those seen pairs that fall
+into it, packed too.  A cell scores its users against its items with one matrix
+product per chunk of users, masks the seen pairs, and keeps the local top-K per
+user (score desc, item asc).  A window with row_number <= K merges the at most
 K x I local winners of each user.  No user x item pair is ever a row, no hot
 user's history is gathered in one place (its seen pairs are spread over the
-I item blocks), and block sizes bound the memory of every task.
+I item blocks), and block sizes and ``chunk`` bound the memory of every task.
+The number of blocks follows the sizes, and for small inputs the number of
+cores; that changes the layout only, never the lists.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,41 +58,73 @@ def _local_topk(est: np.ndarray, uid: np.ndarray, item_ids: np.ndarray, k: int)
     return pd.DataFrame({"u": uid[r[keep]], "i": item_ids[c[keep]], "score": v[keep]})
 
 
+_PACKED = "ub int, ib int, kind int, ids binary, m binary, b binary"
+USERS, ITEMS, SEEN = 0, 1, 2
+
+
+def _packed(ub, ib, kind, ids, m, b) -> pa.Table:
+    return pa.table({"ub": pa.array([ub], pa.int32()), "ib": pa.array([ib], pa.int32()), "kind": pa.array([kind], pa.int32()),
+                     **{n: pa.array([x.tobytes()], pa.binary()) for n, x in (("ids", ids), ("m", m), ("b", b))}})
+
+
+def _pack_factors(kind: int):
+    """One block of factor rows as one row, ids rising."""
+    def run(key, table):
+        ids = table.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        flat = table.column("features").combine_chunks().flatten().to_numpy().astype("<f8")
+        m = flat.reshape(len(ids), -1)[order]
+        bias = table.column("bias").to_numpy().astype("<f8")[order]
+        block = key[0].as_py()
+        ub, ib = (block, 0) if kind == USERS else (0, block)
+        return _packed(ub, ib, kind, ids.astype("<i8")[order], m, bias)
+    return run
+
+
+def _pack_seen(key, table):
+    return _packed(key[0].as_py(), key[1].as_py(), SEEN, table.column("id").to_numpy().astype("<i8"),
+                   table.column("item").to_numpy().astype("<i8"), np.empty(0))
+
+
+def _places(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted id in rising ``ids``, and whether it is there."""
+    at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+    return at, ids[at] == wanted
+
+
 def _cell_scorer(kind: str, mu: float, divisor: float, clip, k: int, chunk: int):
-    def score_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        users = left[left["kind"] == 0]
-        if users.empty or right.empty:
-            return pd.DataFrame({"u": pd.Series([], dtype="int64"), "i": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        right = right.sort_values("id", kind="stable")
-        item_ids = right["id"].to_numpy(np.int64)
-        Q = np.stack(right["features"].to_numpy()).astype(np.float64)
-        bi = right["bias"].to_numpy(np.float64)
-        col_of = pd.Series(np.arange(len(item_ids)), index=item_ids)
-        seen = left[left["kind"] == 1]
+    def score_cell(key, table):
+        rows = {r["kind"]: r for r in table.to_pylist()}
+        if USERS not in rows or ITEMS not in rows:
+            return pa.table({"u": pa.array([], pa.int64()), "i": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        uid, items = (np.frombuffer(rows[x]["ids"], "<i8") for x in (USERS, ITEMS))
+        P, Q = (np.frombuffer(rows[x]["m"], "<f8").reshape(len(n), -1) for x, n in ((USERS, uid), (ITEMS, items)))
+        bu, bi = (np.frombuffer(rows[x]["b"], "<f8") for x in (USERS, ITEMS))
+        seen_u, seen_i = np.empty(0, np.int64), np.empty(0, np.int64)
+        if SEEN in rows:
+            a, ok_a = _places(uid, np.frombuffer(rows[SEEN]["ids"], "<i8"))
+            b, ok_b = _places(items, np.frombuffer(rows[SEEN]["m"], "<i8"))
+            ok = ok_a & ok_b
+            order = np.argsort(a[ok], kind="stable")
+            seen_u, seen_i = a[ok][order], b[ok][order]
         out = []
-        for s in range(0, len(users), chunk):
-            part = users.iloc[s:s + chunk]
-            uid = part["id"].to_numpy(np.int64)
-            P = np.stack(part["features"].to_numpy()).astype(np.float64)
-            raw = P @ Q.T
+        for s in range(0, len(uid), chunk):
+            e = min(s + chunk, len(uid))
+            raw = P[s:e] @ Q.T
             if kind != "dot":
-                raw = part["bias"].to_numpy(np.float64)[:, None] + bi[None, :] + raw
+                raw = bu[s:e, None] + bi[None, :] + raw
             est = mu + raw / divisor
             if clip is not None:
                 est = np.clip(est, clip[0], clip[1])
-            if not seen.empty:
-                row_of = pd.Series(np.arange(len(uid)), index=uid)
-                sp = seen[seen["id"].isin(row_of.index) & seen["item"].isin(col_of.index)]
-                if not sp.empty:
-                    est[row_of.loc[sp["id"]].to_numpy(), col_of.loc[sp["item"]].to_numpy()] = -np.inf
-            out.append(_local_topk(est, uid, item_ids, k))
-        return pd.concat(out, ignore_index=True)
+            lo, hi = np.searchsorted(seen_u, [s, e])
+            est[seen_u[lo:hi] - s, seen_i[lo:hi]] = -np.inf
+            out.append(_local_topk(est, uid[s:e], items, k))
+        return pa.Table.from_pandas(pd.concat(out, ignore_index=True), preserve_index=False)
     return score_cell
 
 
 def score_topk(model: FactorModel, users: DataFrame, k: int, seen: DataFrame | None = None,
-               items: DataFrame | None = None, max_block_users: int = 4096,
+               items: DataFrame | None = None, max_block_users: int = 65_536,
                max_block_items: int = 8192, chunk: int = 1024) -> DataFrame:
     """Top-k unseen items per requested user.
 
@@ -111,24 +145,24 @@ def score_topk(model: FactorModel, users: DataFrame, k: int, seen: DataFrame | N
         return spark.createDataFrame([], _OUT_SCHEMA + ", rank int")
     nu, ni = _block_counts(n_users, n_items, spark.sparkContext.defaultParallelism,
                            max_block_users, max_block_items)
-    ub = F.pmod(F.xxhash64(F.col("id"), F.lit(17)), F.lit(nu))
-    ib = F.pmod(F.xxhash64(F.col("id"), F.lit(29)), F.lit(ni))
-    left = (uf.select(ub.alias("ub"), F.explode(F.sequence(F.lit(0), F.lit(ni - 1))).alias("ib"),
-                      F.lit(0).alias("kind"), "id", F.lit(None).cast("long").alias("item"), "bias", "features"))
+
+    def block(col, salt, n):
+        return F.pmod(F.xxhash64(col, F.lit(salt)), F.lit(n)).cast("int")
+
+    def factors(df, kind, salt, n):
+        rows = df.select(block(F.col("id"), salt, n).alias("block"), "id", "bias", "features")
+        return rows.groupBy("block").applyInArrow(_pack_factors(kind), _PACKED)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    cells = (factors(uf, USERS, 17, nu).withColumn("ib", every(ni))
+             .unionByName(factors(itf, ITEMS, 29, ni).withColumn("ub", every(nu))))
     if seen is not None:
         s = (seen.select(F.col("u").alias("id"), F.col("i").alias("item")).distinct()
              .join(uf.select("id"), "id", "left_semi"))
-        left = left.unionByName(s.select(
-            F.pmod(F.xxhash64(F.col("id"), F.lit(17)), F.lit(nu)).alias("ub"),
-            F.pmod(F.xxhash64(F.col("item"), F.lit(29)), F.lit(ni)).alias("ib"),
-            F.lit(1).alias("kind"), "id", "item",
-            F.lit(None).cast("double").alias("bias"), F.lit(None).cast("array<double>").alias("features")))
-    right = itf.select(ib.alias("ib"), F.explode(F.sequence(F.lit(0), F.lit(nu - 1))).alias("ub"),
-                       "id", "bias", "features")
+        cells = cells.unionByName(
+            s.select(block(F.col("id"), 17, nu).alias("ub"), block(F.col("item"), 29, ni).alias("ib"), "id", "item")
+            .groupBy("ub", "ib").applyInArrow(_pack_seen, _PACKED))
     scorer = _cell_scorer(model.kind, float(model.global_mean), float(model.divisor), model.clip, k, chunk)
-    local = (left.groupBy("ub", "ib")
-             .cogroup(right.groupBy("ub", "ib"))
-             .applyInPandas(scorer, _OUT_SCHEMA))
+    local = cells.groupBy("ub", "ib").applyInArrow(scorer, _OUT_SCHEMA)
     w = Window.partitionBy("u").orderBy(F.col("score").desc(), F.col("i").asc())
     top = (local.withColumn("rank", F.row_number().over(w))
            .filter(F.col("rank") <= k)
