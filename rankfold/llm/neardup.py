@@ -280,11 +280,18 @@ def link(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str
     seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.join(seen, ["a", "b"], "left_anti"), "dup-rest")
     more = confirm(rest, texts, k, percent)
-    final = stored(components(stored(links.unionByName(more), "dup-all-links")), "dup-components")
-
-    named_classes = classes.select("n", "s1", "s2", F.col("v").alias("class_id")).join(
-        final, F.col("class_id") == F.col("v"), "left").select(
-        "n", "s1", "s2", "class_id", F.coalesce("component", "class_id").alias("component_id"))
+    # what is new connects whole components: only their names take part in the second round
+    bridges = more.select("a", "b")
+    for side in ("a", "b"):
+        bridges = (bridges.join(parts.select(F.col("v").alias(side), F.col("component").alias("_c")), side, "left")
+                   .withColumn(side, F.coalesce("_c", side)).drop("_c"))
+    bridges = components(stored(bridges.where("a <> b"), "dup-bridges"))
+
+    named_classes = (classes.select("n", "s1", "s2", F.col("v").alias("class_id"))
+                     .join(parts, F.col("class_id") == F.col("v"), "left")
+                     .withColumn("first", F.coalesce("component", "class_id")).drop("v", "component")
+                     .join(bridges, F.col("first") == F.col("v"), "left")
+                     .select("n", "s1", "s2", "class_id", F.coalesce("component", "first").alias("component_id")))
     out = sig.select("doc_id", "n", "s1", "s2").join(named_classes, ["n", "s1", "s2"], "left")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     own = F.when(F.col("doc_id").isNotNull(), own)
