@@ -51,11 +51,23 @@ def draw_rating(u: Column, probs=RATING_PROBS) -> Column:
 
 def pick_fraction(pairs: DataFrame, pct: float, seed: int) -> DataFrame:
     """Exactly floor(pct * n) pairs, chosen by hash order (a total order)."""
-    n = pairs.count()
-    n_pick = int(n * pct)
-    keyed = pairs.withColumn("_h", h(F.col("visitorid"), F.col("itemid"), F.lit("pick"), seed=seed))
-    ranked = global_index(keyed, [F.col("_h").asc(), F.col("visitorid").asc(), F.col("itemid").asc()], "_rk")
-    return ranked.filter(F.col("_rk") < F.lit(n_pick)).drop("_h", "_rk")
+    # 60-bit hash: the top 12 bits name one of 4096 buckets, of which only the one the cut falls into is ordered
+    keyed = (pairs.withColumn("_h", h(F.col("visitorid"), F.col("itemid"), F.lit("pick"), seed=seed))
+             .withColumn("_b", F.shiftright("_h", 48)))
+    counts = {r["_b"]: r["count"] for r in keyed.groupBy("_b").count().collect()}       # at most 4096 rows
+    left, cut = int(sum(counts.values()) * pct), -1
+    for cut in sorted(counts):
+        if counts[cut] > left:
+            break
+        left -= counts[cut]
+    else:
+        cut = 1 << 12
+    whole = keyed.filter(F.col("_b") < F.lit(cut)).drop("_h", "_b")
+    if left == 0:
+        return whole
+    part = global_index(keyed.filter(F.col("_b") == F.lit(cut)),
+                        [F.col("_h").asc(), F.col("visitorid").asc(), F.col("itemid").asc()], "_rk")
+    return whole.unionByName(part.filter(F.col("_rk") < F.lit(left)).drop("_h", "_b", "_rk"))
 
 
 def explicit_draws(events: DataFrame, pct: float = 0.2, seed: int = 42, probs=RATING_PROBS) -> DataFrame:

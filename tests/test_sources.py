@@ -78,3 +78,14 @@ def test_salted_pool_join_equals_broadcast(spark, monkeypatch):
     a = sorted(map(tuple, pop.recommend_popular(sp.train, sp.eval_full.select("visitorid")).collect()))
     monkeypatch.setattr(pop, "POOL_BROADCAST_ROWS", 0)
     assert a == sorted(map(tuple, pop.recommend_popular(sp.train, sp.eval_full.select("visitorid")).collect()))
+
+
+def test_pick_fraction_is_the_lowest_hashes(spark):
+    from rankfold.functions.hashing import h
+    from rankfold.operators.ratings import pick_fraction
+    pairs = spark.range(3_001).select((F.col("id") % 50).alias("visitorid"), F.col("id").alias("itemid"))
+    order = (pairs.withColumn("x", h(F.col("visitorid"), F.col("itemid"), F.lit("pick"), seed=7))
+             .orderBy("x", "visitorid", "itemid").collect())
+    for pct in (0.0, 0.2, 0.5, 1.0):
+        got = {r.itemid for r in pick_fraction(pairs, pct, 7).collect()}
+        assert got == {r.itemid for r in order[:int(3_001 * pct)]}, pct
