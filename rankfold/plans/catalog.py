@@ -18,7 +18,7 @@ from ..operators import dictionary as dic
 from ..operators import interactions as inter
 from ..operators import popularity as pop
 from ..operators import ratings as rat
-from ..operators.splits import FIXTURE_PERIODS, PHASES, SPLIT_NAMES, PhaseSplits, build_phase, period_bounds, tagged_splits
+from ..operators.splits import FIXTURE_PERIODS, PHASES, SPLIT_NAMES, PhaseSplits, build_phase, cold, period_bounds, tagged_splits, warm
 from ..session import keep
 from ..sources.events import tpch_events, tpch_raw_events
 from .sqlbase import CLICKS, CLICKS_RAW, EV, both_phases, cells_sql, with_sql
@@ -568,7 +568,10 @@ class Serving:
 
     def __init__(self, spark, sf, phase: str = "final"):
         self.sf = sf
-        self.sp = phases(spark, sf)[phase]
+        # three columns of the phase's two periods, read by every model of the query: kept until the next query
+        sp = phases(spark, sf)[phase]
+        train, full = (keep(df.select("visitorid", "itemid", "event")) for df in (sp.train, sp.eval_full))
+        self.sp = PhaseSplits(phase, train, full, keep(warm(full, train)), cold(full, train))
         self._ratings = None
         self._uni: dict = {}
         self._model: dict = {}
