@@ -12,18 +12,21 @@ vector inside the windows of at least ``THRESHOLD`` of the lines has collided
 often enough and is verified by its exact inner product.  Widening ends when
 ``CANDIDATES`` of a block's vectors (at least ``LEAST``) were verified or the
 windows hold everything; every vector beyond the threshold at that width is
-verified, so equal vectors are found together.  Where windows hold most of an
+verified, so equal vectors are found together.  Rows of the query's own id do
+not count towards that number.  Where windows hold most of an
 array, what lies outside them is counted instead.
 
 Vectors are dealt by id hash into blocks of about ``BLOCK`` rows, whose matrices
 are one row each; the stated query set (ids divisible by ``EVERY``) meets every
-block in blocks of its own.  A cell returns each query's best k; a second step
-merges k per cell.  Memory follows the block sizes; no pair of vectors is a row.
+block in blocks of its own, each of its (id, vector) once.  A cell returns each
+query's best k rows; a second step merges k per cell by their row numbers.  Memory follows the block sizes; no pair of vectors is a row.
 
 Edge cases: vectors that are null, zero, empty or hold null or non-finite
 components take no part; vectors meet only vectors of their own length; a null
 id takes no part; rows that repeat an id are candidates each on their own,
-the query's id is no candidate of its own; with fewer candidates than k all
+also if their vectors are equal; the query's id is no candidate of its own; a
+query id with several vectors has one list, in which a row counts once, by its
+best inner product; with fewer candidates than k all
 are returned; ties go to the smaller id; an empty table gives no rows; extra
 columns are ignored.
 """
@@ -60,6 +63,7 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float):
         self.ids, self.vectors = ids, vectors.astype(np.float64)
+        self.sorted_ids = np.sort(ids)
         unit = self.vectors / longest
         rest = np.sqrt(np.maximum(1 - (unit * unit).sum(axis=1), 0))
         h = np.column_stack([unit, rest]) @ lines(vectors.shape[1])
@@ -68,12 +72,13 @@ class Block:
         self.width = FIRST_WIDTH * float(h.std(axis=0).mean() or 1.0)
 
     def search(self, qids: np.ndarray, queries: np.ndarray, k: int = K):
-        """Per query (ids, inner products) of the best k among the vectors that collide often enough."""
+        """Per query (places in the block, inner products) of the best k among the vectors that collide often enough."""
         n, m = len(self.ids), len(self.sorted)
         unit = queries / np.sqrt((queries * queries).sum(axis=1))[:, None]
         centre = (np.column_stack([unit, np.zeros(len(unit))]) @ lines_of(queries.shape[1])).T
         misses = m - int(np.ceil(THRESHOLD * m))            # lines on which a candidate may lie outside
-        quota = min(max(LEAST, k + 1, int(CANDIDATES * n)), n)
+        own = np.searchsorted(self.sorted_ids, qids, "right") - np.searchsorted(self.sorted_ids, qids, "left")
+        quota = np.minimum(max(LEAST, k + 1, int(CANDIDATES * n)), n - own)
         found: list = [None] * len(queries)
         active, r = np.arange(len(queries)), self.width
         while len(active):
@@ -89,21 +94,21 @@ class Block:
                 else:
                     parts = [o[:x] for o, x in zip(self.order, a)] + [o[y:] for o, y in zip(self.order, b)]
                     hit = np.flatnonzero(np.bincount(np.concatenate(parts), minlength=n) <= misses)
-                if len(hit) >= quota or inside[i] == n * m:
-                    found[at] = self.verify(hit, int(qids[at]), queries[at], k)
+                hit = hit[self.ids[hit] != qids[at]]
+                if len(hit) >= quota[at] or inside[i] == n * m:
+                    found[at] = self.verify(hit, queries[at], k)
                     done[i] = True
             active, r = active[~done], r * GROWTH
         return found
 
-    def verify(self, hit: np.ndarray, qid: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        hit = hit[self.ids[hit] != qid]
+    def verify(self, hit: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         rough = self.vectors.take(hit, axis=0) @ q
         if len(hit) > k:                                    # all that may tie with the k-th stay
             kth = np.partition(rough, len(rough) - k)[len(rough) - k]
             hit = hit[rough >= kth - 1e-9 * max(1.0, float(np.abs(rough).max()))]
         score = (self.vectors[hit] * q).sum(axis=1)         # row by row: equal vectors score equally
         best = np.lexsort((self.ids[hit], -score))[:k]
-        return self.ids[hit][best], score[best]
+        return hit[best], score[best]
 
 
 _LINES: dict[int, np.ndarray] = {}
@@ -124,14 +129,15 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
 
 
 def _matrices(rows: DataFrame, key: str) -> DataFrame:
-    """One row per (d, key): ids and the matrix, as bytes."""
+    """One row per (d, key): ids, row numbers and the matrix, as bytes."""
     def run(_, table):
         d, block = table.column("d")[0].as_py(), table.column(key)[0].as_py()
         values = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         return pa.table({"d": pa.array([d], pa.int32()), key: pa.array([block], pa.int32()),
                          "ids": pa.array([table.column("id").to_numpy().astype("<i8").tobytes()], pa.binary()),
+                         "rows": pa.array([table.column("row").to_numpy().astype("<i8").tobytes()], pa.binary()),
                          "m": pa.array([values.astype("<f8").tobytes()], pa.binary())})
-    return rows.groupBy("d", key).applyInArrow(run, f"d int, {key} int, ids binary, m binary")
+    return rows.groupBy("d", key).applyInArrow(run, f"d int, {key} int, ids binary, rows binary, m binary")
 
 
 def search(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id",
@@ -148,14 +154,15 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "ve
     def by_length(i: int):
         pairs = [x for d, p in parts.items() for x in (F.lit(d), F.lit(p[i]))] or [F.lit(0), F.lit(1)]
         return F.create_map(*pairs)[F.col("d")]
-    # a running number in the hash spreads repeated ids over the blocks too
-    spread = F.xxhash64("id", F.monotonically_increasing_id())
-    base = _matrices(good.withColumn("xb", F.pmod(spread, by_length(0)).cast("int")), "xb")
-    ask = _matrices(good.where(F.col("id") % every == 0).withColumn("qb", F.pmod(spread, by_length(1)).cast("int")), "qb")
+    # the running number of the row in the hash spreads repeated ids over the blocks too
+    base = good.withColumn("row", F.monotonically_increasing_id())
+    base = _matrices(base.withColumn("xb", F.pmod(F.xxhash64("id", "row"), by_length(0)).cast("int")), "xb")
+    ask = good.where(F.col("id") % every == 0).dropDuplicates(["id", "v"]).withColumn("row", F.xxhash64("id", "v"))
+    ask = _matrices(ask.withColumn("qb", F.pmod("row", by_length(1)).cast("int")), "qb")
     base = stored(base, "ann-base")
-    ask = ask.withColumnsRenamed({"ids": "qids", "m": "qm"})
+    ask = ask.drop("rows").withColumnsRenamed({"ids": "qids", "m": "qm"})
     ask = ask.withColumn("xb", F.explode(F.sequence(F.lit(0), by_length(0).cast("int") - 1)))     # query blocks x blocks
-    cells = base.join(ask, ["d", "xb"]).select("d", "xb", "ids", "m", "qids", "qm")
+    cells = base.join(ask, ["d", "xb"]).select("d", "xb", "ids", "rows", "m", "qids", "qm")
 
     def run(batches):
         last, block = None, None
@@ -166,15 +173,16 @@ def search(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "ve
                     block = Block(np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["m"], "<f8").reshape(-1, d), longest[d])
                     last = d, row["xb"]
                 queries = np.frombuffer(row["qm"], "<f8").reshape(-1, d)
-                out = ([], [], [])
-                qids = np.frombuffer(row["qids"], "<i8")
-                for qid, (ids, score) in zip(qids, block.search(qids, queries, k)):
-                    for col, v in zip(out, (np.full(len(ids), qid), ids, score)):
+                out = ([], [], [], [])
+                qids, rows = np.frombuffer(row["qids"], "<i8"), np.frombuffer(row["rows"], "<i8")
+                for qid, (at, score) in zip(qids, block.search(qids, queries, k)):
+                    for col, v in zip(out, (np.full(len(at), qid), block.ids[at], rows[at], score)):
                         col.append(v)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([*c, np.empty(0, t)]).astype(t)) for c, t in zip(out, ("<i8", "<i8", "<f8"))],
-                    names=["query_id", "vec_id", "score"])
-    found = cells.mapInArrow(run, "query_id long, vec_id long, score double").distinct()
+                    [pa.array(np.concatenate([*c, np.empty(0, t)]).astype(t)) for c, t in zip(out, ("<i8", "<i8", "<i8", "<f8"))],
+                    names=["query_id", "vec_id", "row", "score"])
+    found = cells.mapInArrow(run, "query_id long, vec_id long, row long, score double")
+    found = found.groupBy("query_id", "vec_id", "row").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

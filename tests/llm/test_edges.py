@@ -109,6 +109,21 @@ def test_ann(spark):
     assert ann.search(df.where("1 = 0")).collect() == []
 
 
+def test_ann_repeated_ids(spark):
+    a, b, c = [1.0, 0, 0, 0], [0, 1.0, 0, 0], [0, 0, 1.0, 0]
+    rows = [(20, a)] * 300 + [(3, [0.9, 0, 0, 0])] * 25                     # more rows of the query's own id than LEAST
+    rows += [(40, b)] + [(101 + i // 2, [0, 0.9 - i // 2 / 100, 0, 0]) for i in range(20)]
+    rows += [(60, c), (60, [0, 0, 0, 1.0]), (7, [0, 0, 0.5, 0.6])]          # a query id with two vectors
+    rows += [(1001 + 20 * i, [-0.1, -0.1, -0.1, -0.1 - i / 1e4]) for i in range(400)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<float>")
+    got = by_id(ann.search(df).orderBy("rank").collect(), "query_id")
+    assert set(got) == {20, 40, 60}
+    assert [(r.rank, r.vec_id) for r in got[20]] == [(n, 3) for n in range(1, 21)]
+    assert [(r.rank, r.vec_id) for r in got[40]] == [(n + 1, 101 + n // 2) for n in range(20)]
+    assert (got[60][0].vec_id, round(got[60][0].score, 6)) == (7, 0.6) and len(got[60]) == 20
+    assert sum(r.vec_id == 7 for r in got[60]) == 1
+
+
 def test_decontamination(docs, empty, spark):
     bench = spark.createDataFrame([(1, "two THREE  four\nfive six"), (2, None), (None, "x"), (3, "x"), (4, " "),
                                    (5, "two THREE  four\nfive six")], "item_id long, text string")
