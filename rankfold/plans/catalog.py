@@ -1163,16 +1163,20 @@ query("svd_train_recs", _training_sql("svd", "svd", "truth_full"))(_trained_quer
 
 @query("als_foldin", _training_sql("als_foldin", "als", "truth_warm"))
 def q_als_foldin(spark, sf):
-    """M7: ALS user factors re-solved from train + eval cells (coded by the training events)."""
+    """M7: ALS user factors re-solved from train + eval cells (coded by the training events), for every truth visitor.
+
+    A visitor needs no trained factor; one whose non-zero cells lie on untrained items only gets the zero factor.
+    """
     s = Serving(spark, sf)
     m = train_model(s, "als")
     t = s.truth("warm")
     codes = dic.event_dictionary(s.sp.train).select(F.col("raw").alias("event"), F.col("idx").cast("double").alias("w"))
     profile = (s.sp.eval_warm.unionByName(s.sp.train).join(t.select("visitorid").distinct(), "visitorid", "left_semi")
                .join(F.broadcast(codes), "event").groupBy("visitorid", "itemid").agg(F.sum("w").alias("weight")))
-    known = profile.join(m.user_factors.select(F.col("id").alias("visitorid")), "visitorid", "left_semi")
-    users = alsmod.fold_in(known, m.item_factors, DEFAULTS["als"]["regularization"])
-    folded = block_sgd.FactorModel("dot", users, m.item_factors)
+    items = keep(m.item_factors)
+    users = keep(alsmod.fold_in(profile, items, DEFAULTS["als"]["regularization"]))
+    folded = serve.with_cold_users(block_sgd.FactorModel("dot", users, items), t.select("visitorid"))
+    folded.user_factors = keep(folded.user_factors)
     return list_checks(s, folded, "als", "warm", "als_foldin")
 
 

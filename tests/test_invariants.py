@@ -142,6 +142,13 @@ def test_foldin_reproduces_als_user_factors(spark):
     assert err < 1e-3
 
 
+def test_foldin_serves_visitors_without_a_trained_factor(spark):
+    import __spark_entry__ as entry
+    r = entry.queries()["als_foldin"](spark, "/root/testdata/sf0.01").first()
+    assert r["lists"] == r["users"] and r["entries"] == 10 * r["users"]
+    assert r["seen_entries"] == r["bad_ranks"] == r["repeated"] == r["bad_factors"] == 0
+
+
 def test_gram_matches_numpy(spark):
     from rankfold.operators.als import gram
     rng = np.random.default_rng(1)
