@@ -1445,15 +1445,6 @@ def q_runs_best(spark, sf):
 # ---------------------------------------------------------------------- tuning
 from ..operators import tuning as tun  # noqa: E402
 
-#: The space the registered search covers, every point of it, per model.
-TUNING_SPACES = {
-    "als": {"factors": [8, 16], "regularization": [0.01, 0.1], "iterations": [5]},
-    "bpr": {"factors": [8], "learning_rate": [0.01, 0.1], "regularization": [0.01], "iterations": [3]},
-    "lightfm": {"no_components": [8], "learning_rate": [0.05], "loss": ["logistic", "bpr", "warp"], "epochs": [2]},
-    "svd": {"n_factors": [8], "n_epochs": [2], "lr_all": [0.005, 0.01], "reg_all": [0.02]},
-}
-
-
 def objective(tune: Serving, model: str):
     """Train ``model`` on the tuning phase's training data and score P@k / R@k on its validation cells."""
     scope = _PROTOCOL[model]
@@ -1476,9 +1467,8 @@ def tune_model(spark, sf, model: str, space: dict | None = None, n_trials: int =
 
 @query("tuning_trials")
 def q_tuning_trials(spark, sf):
-    """H1 (+ H2, X2): the four models searched over TUNING_SPACES, one row per trial."""
-    return union_all([tune_model(spark, sf, m, space).select(F.lit(m).alias("model"), "*")
-                      for m, space in TUNING_SPACES.items()])
+    """H1 (+ H2, X2): the four models searched over their own spaces, one row per trial."""
+    return union_all([tune_model(spark, sf, m).select(F.lit(m).alias("model"), "*") for m in tun.SEARCH_SPACES])
 
 
 # Searches whose objective SQL can repeat: "factors" picks the tag of the frozen factors.

@@ -19,6 +19,24 @@ def test_sample_trials_is_seeded(spark):
     assert a == b and len(set(a)) == 5 and a != c
 
 
+def test_tuning_trials_search_the_models_spaces(spark, monkeypatch):
+    import json
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    from rankfold.operators.tuning import DEFAULT_TRIALS, SEARCH_SPACES
+    from rankfold.plans import catalog
+    tried = {m: [] for m in SEARCH_SPACES}
+
+    def objective(_, model):                                 # no training here
+        return lambda params: tried[model].append(params) or {"precision_at_k": 0.0, "recall_at_k": 0.0}
+    monkeypatch.setattr(catalog, "objective", objective)
+    rows = entry.queries()["tuning_trials"](spark, SF_SMALL).collect()
+    assert {m: sum(r["model"] == m for r in rows) for m in SEARCH_SPACES} == {m: DEFAULT_TRIALS for m in SEARCH_SPACES}
+    for m, space in SEARCH_SPACES.items():
+        assert all(list(p) == list(space) and all(p[k] in space[k] for k in p) for p in tried[m])
+        assert len({json.dumps(p) for p in tried[m]}) == DEFAULT_TRIALS
+
+
 def test_best_trial_ties_go_to_earliest(spark):
     from rankfold.operators.tuning import best_trial
     t = spark.createDataFrame([(0, "a", 0.1, 0.2), (1, "b", 0.3, 0.1), (2, "c", 0.3, 0.9)],
