@@ -299,6 +299,23 @@ def test_ann_recall(spark, monkeypatch):
     assert len(recall) == (ids % 20 == 0).sum() and np.mean(recall) >= 0.9
 
 
+def test_ann_recall_of_one_block(spark, monkeypatch):
+    """Production parameters; a block verifies a part of its vectors only."""
+    v = table(spark, "/root/testdata/sf0.1", "embeddings").toPandas()
+    ids, x = v.vec_id.to_numpy(), np.vstack(v.embedding).astype(float)
+    verified, verify = [], ann.Block.verify
+    monkeypatch.setattr(ann.Block, "verify", lambda self, hit, q, k: verified.append(len(hit)) or verify(self, hit, q, k))
+    block = ann.Block(ids, x, float(np.sqrt((x * x).sum(axis=1)).max()))
+    asked = np.flatnonzero(ids % ann.EVERY == 0)
+    recall = []
+    for i, (at, _) in zip(asked, block.search(ids[asked], x[asked])):
+        s = x @ x[i]
+        s[i] = -np.inf
+        recall.append(len(set(ids[at]) & set(ids[np.lexsort((ids, -s))[:ann.K]])) / ann.K)
+    assert len(recall) == len(verified) == len(asked) > 0 and np.mean(recall) >= 0.9
+    assert max(verified) < len(ids) <= ann.BLOCK and np.mean(verified) < len(ids) / 2
+
+
 def test_sharding_moves_little(spark):
     df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     a = {r.doc_id: r.shard for r in sharding.assign_shards(df, 16).collect()}
