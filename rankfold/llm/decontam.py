@@ -194,7 +194,7 @@ def _bands(index, data, offsets, at, slot, doc):
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"):
     """The items, block by block; each block is collected under the stated bounds."""
     rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where(
-        "i IS NOT NULL AND t IS NOT NULL")
+        "i IS NOT NULL AND t IS NOT NULL").distinct()       # a repeated row would go whole to one block
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
     parts = max(-(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES), 1)
     for p in range(parts):

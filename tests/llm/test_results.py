@@ -279,6 +279,14 @@ def test_decontamination_blocks(spark, monkeypatch):
     assert one == many and any(one.values())
 
 
+def test_decontamination_blocks_fold_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 4)
+    bench = spark.createDataFrame([(1, "repeated")] * 30 + [(2, "x"), (3, "x"), (4, "y")], "item_id long, text string")
+    got = list(decontam.blocks(bench))
+    assert sorted(x for b in got for x in b) == [(1, "repeated"), (2, "x"), (3, "x"), (4, "y")]
+    assert max(len(b) for b in got) <= 4
+
+
 def test_ann_recall(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 200)                   # several blocks
     rows = catalog.op7_collision_ann(spark, MID).collect()
