@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, language_model, line_dedup, mixing, neardup, quality, secrets, sharding, token_counts
+from . import (ann, decontam, fim, language_model, line_dedup, mixing, neardup, quality, runs, secrets, sharding,
+               token_counts, token_files)
 from .common import prepare, table
 
 
@@ -72,6 +73,38 @@ def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
 
 
+def op11_baier_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of every document (a tenth rewritten to repeat), the longest one, digests of runs and rest."""
+    prepare(spark)
+    found = runs.find_runs(runs.with_planted_periods(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"),
+                                                              (-r["period"]).alias("period"))))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"),
+                       F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+                       F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", (-F.col("b.start")).alias("start"), F.col("b.length").alias("length"),
+                      (-F.col("b.period")).alias("period"),
+                      F.expr("1000 * b.length div -b.period").alias("exponent_milli"),
+                      "runs_sha256", "collapsed_sha256")
+
+
+def op12_ranked_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written in ascending order to frequency-ranked byte files and read back."""
+    prepare(spark)
+    folder = token_files.write_ids(table(spark, sf_dir, "documents"))
+    return token_files.read_ids(spark, folder).select("doc_id", "start", F.col("n_ids").alias("n_tokens"),
+                                                      F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_fim_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut by lines into prefix, middle and suffix, with digests of the output and the restored text."""
+    prepare(spark)
+    out = fim.transform(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_section_tokens": op1_section_tokens,
     "op2_minmax_neardup": op2_minmax_neardup,
@@ -83,10 +116,14 @@ QUERIES = {
     "op8_qgram_decontam": op8_qgram_decontam,
     "op9_markov_secrets": op9_markov_secrets,
     "op10_bounded_ring": op10_bounded_ring,
+    "op11_baier_runs": op11_baier_runs,
+    "op12_ranked_bytes": op12_ranked_bytes,
+    "op13_fim_index": op13_fim_index,
 }
 
 ORACLE = {
     "op3_line_spread": line_dedup.oracle(),
     "op5_poisson_mix": mixing.oracle(),
     "op10_bounded_ring": sharding.oracle(),
+    "op13_fim_index": fim.oracle(),
 }

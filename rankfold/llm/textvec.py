@@ -78,14 +78,12 @@ def hash_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix64(np.add.reduceat(vals, first) + size.astype(np.uint64))
 
 
-def words(texts: pa.Array, lower: bool = True) -> Words:
-    data, offsets = flat(texts)
-    if lower:
-        data = LOWER[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first byte, byte behind, text) of every word of the texts ``data[offsets[i]:offsets[i + 1]]``."""
     n = len(data)
     if n == 0:
         z = np.empty(0, np.int64)
-        return Words(data, offsets, z, z, z, np.empty(0, np.uint64))
+        return z, z, z
     ink = ~SPACE[data]
     cut = np.zeros(n + 1, bool)      # a text begins here
     cut[offsets] = True
@@ -93,7 +91,14 @@ def words(texts: pa.Array, lower: bool = True) -> Words:
     after = np.concatenate((ink[1:], [False])) & ~cut[1:]
     start = np.flatnonzero(ink & ~before)
     end = np.flatnonzero(ink & ~after) + 1
-    doc = np.searchsorted(offsets, start, side="right") - 1
+    return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+def words(texts: pa.Array, lower: bool = True) -> Words:
+    data, offsets = flat(texts)
+    if lower:
+        data = LOWER[data]
+    start, end, doc = word_spans(data, offsets)
     return Words(data, offsets, start, end, doc, hash_runs(data, start, end))
 
 
