@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textvec import chunks, flat, mix64, powers, word_spans
+from .textvec import chunks, flat, mix64, powers, word_array, word_spans
 
 MIN_WORDS = 12
 SCHEMA = ("doc_id long, n_words long, n_kept long, runs array<struct<start: long, length: long, period: long>>, "
@@ -208,7 +208,7 @@ def find_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id
         for b in chunks(batches):
             data, offsets = flat(b.column("text"))
             start, end, doc = word_spans(data, offsets)
-            ids = _numbered(data, start, end)
+            ids = word_array(data, start, end).dictionary_encode().indices.to_numpy().astype(np.int64)
             found, kept = _runs(ids, doc, b.num_rows, half, min_words)
             text = _collapsed(data, offsets, start, end, doc, kept)
             flat_runs = np.array([r for d in found for r in d], np.int64).reshape(-1, 3)
@@ -222,19 +222,6 @@ def find_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id
     return rows.mapInArrow(run, SCHEMA)
 
 
-def _numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Equal numbers for equal words."""
-    if len(start) == 0:
-        return np.empty(0, np.int64)
-    inside = np.zeros(len(data) + 1, np.int8)
-    inside[start] += 1
-    inside[end] -= 1
-    ink = np.ascontiguousarray(data[np.cumsum(inside[:-1], dtype=np.int8) > 0])
-    offsets = np.concatenate(([0], np.cumsum(end - start)))
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(ink)])
-    return words.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def _runs(ids, doc, n_docs: int, half: int, min_words: int) -> tuple[list[list], np.ndarray]:
     found: list[list] = [[] for _ in range(n_docs)]
     kept = np.ones(len(ids), bool)

@@ -94,6 +94,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
+def word_array(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.LargeBinaryArray:
+    """The words ``data[start:end]`` as one Arrow array."""
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[start] += 1
+    inside[end] -= 1
+    ink = np.ascontiguousarray(data[np.cumsum(inside[:-1], dtype=np.int8) > 0])
+    offsets = np.concatenate(([0], np.cumsum(end - start)))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(ink)])
+
+
 def words(texts: pa.Array, lower: bool = True) -> Words:
     data, offsets = flat(texts)
     if lower:

@@ -112,7 +112,7 @@ def encode_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID, id
     def run(batches):
         enc, squeeze = encoder(vocabulary), pa.Codec("zstd")
         for b in chunks(batches, max_bytes=16 << 20):
-            ids, n = enc.encode(b.column("text").to_pylist())
+            ids, n = enc.encode(b.column("text"))
             edges = np.concatenate(([0], np.cumsum(n)))
             crc, packed = [], []
             for i, j in zip(edges[:-1], edges[1:]):

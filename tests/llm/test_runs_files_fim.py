@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,7 +154,7 @@ def test_words_encode_like_whole_texts(texts):
     odd += ["<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|>", "", " \n", "don't I'VE we'll x's1 ''s", "ab" * 3000]
     odd += ["".join(map(chr, range(a, a + 64))) for a in range(0, 0x3000, 64)]
     batch = odd + [t or "" for t in texts.values()]
-    ids, n = enc.encode(batch)
+    ids, n = enc.encode(pa.array(batch))
     at = 0
     for t, k in zip(batch, n):
         assert ids[at:at + k].tolist() == whole.encode(t, add_special_tokens=False).ids, t
@@ -185,7 +186,7 @@ def test_id_files_edges(spark, docs, file_ids, tmp_path):
     enc = pieces.encoder(token_files.default_vocabulary())
     for r in rows:
         if r.doc_id is not None:
-            ids, _ = enc.encode([dict(ROWS)[r.doc_id] or ""])
+            ids, _ = enc.encode(pa.array([dict(ROWS)[r.doc_id] or ""]))
             assert np.frombuffer(r.ids, "<u4").tolist() == [*ids.tolist(), 1]
     ranks = np.fromfile(f"{folder}/ranks", "<u4")
     counts = dict(zip(*np.unique(np.concatenate([np.frombuffer(r.ids, "<u4") for r in rows]), return_counts=True)))
