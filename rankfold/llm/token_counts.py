@@ -20,13 +20,17 @@ documents need not meet, so nothing is shuffled.
 
 Edge cases: a null or empty text has one empty section with 0 tokens; a null
 field is empty; repeated rows give repeated results; an empty table gives no
-rows; extra columns are ignored.  Very long texts are encoded whole.
+rows; extra columns are ignored; under ``majority`` equal parts go to the
+earlier section.  Very long texts are encoded whole; runs of LONG_RUN or more
+white characters, on which the split pattern would exhaust its stack, are cut
+out where the pattern cuts them anyway, so the tokens are the same.
 """
 
 from __future__ import annotations
 
 import base64
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -42,6 +46,28 @@ RULES = ("start", "majority", "split")
 #: Fixed value: the split pattern that byte-level BPE vocabularies of this family are used with.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+LONG_RUN = 100_000
+# The characters of Unicode's White_Space property.
+WHITE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
+
+
+def encode(enc, text: str, runs: re.Pattern = WHITE_RUN) -> np.ndarray:
+    """Token ids of ``text``.
+
+    The pattern takes a run of white characters as one piece up to its last
+    character, which may begin the next piece, or whole at the end of the text.
+    So the text before a run, that piece, and the rest are encoded one by one.
+    """
+    parts, at = [], 0
+    for m in runs.finditer(text):
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        parts += [enc.encode_to_numpy(text[at:m.start()], disallowed_special=()),
+                  np.array(enc._encode_single_piece(text[m.start():end]))]
+        at = end
+    if not parts:
+        return enc.encode_to_numpy(text, disallowed_special=()) if text else np.empty(0, np.int64)
+    return np.concatenate([x.astype(np.int64) for x in (*parts, enc.encode_to_numpy(text[at:], disallowed_special=()))])
+
 
 @lru_cache(2)
 def _encoder(path: str):
@@ -106,7 +132,7 @@ def count_tokens(docs: DataFrame, fields: list[str] | None = None, rule: str = "
             cols = ([], [], [], [], [], [], [])
             for doc, text, gaps in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
                 raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-                ids = enc.encode_to_numpy(text, disallowed_special=()) if text else np.empty(0, np.int64)
+                ids = encode(enc, text)
                 ends = np.cumsum(size[ids.astype(np.int64)])
                 if by_line:
                     nl = np.flatnonzero(raw == 10) + 1
