@@ -4,8 +4,8 @@ Texts are compared as UTF-8 bytes with A-Z lower-cased and every run of ASCII
 white space made one space.  A document is contaminated by an item if some part
 of it is within ``edits`` = floor(``ERROR`` * length) byte edits of the item.
 
-1. Items go in blocks of bounded size; a block's q-grams are one sorted array
-   with their places, which goes to the workers with the scan function.
+1. Items go in blocks of bounded size; tasks write a block's q-grams, one sorted
+   array with their places, to the shared folder.
 2. Every position of every document is looked up.  A shared q-gram at document
    position p and item position i lies on diagonal p - i; an occurrence with at
    most e edits keeps at least n + 1 - q(e + 1) of the item's n + 1 - q q-grams
@@ -14,34 +14,46 @@ of it is within ``edits`` = floor(``ERROR`` * length) byte edits of the item.
    distinct item positions are retained; all others cannot hold an occurrence.
 3. Retained bands are verified by alignment inside the band.
 
-Nothing is shuffled or joined: a document's text is scanned in place, whole,
-once per block of items.
+q is 8, and less for items of fewer than 16 bytes: the largest q at which the
+lemma still asks for one q-gram, n div (e + 1), so that items of any length are
+found with their whole budget.  An item of a few bytes is found wherever they
+stand, inside words too.
+
+Documents are neither shuffled nor joined: a task reads them once, some
+megabytes at a time, and opens one block of items after the other for these.
+Neither the driver nor the plan holds items, whatever their number.
 
 Edge cases: null and empty texts match nothing; items with a null or blank
-text, a null id, or fewer than ``Q`` bytes take no part; for short items the
-budget is lowered until the lemma's bound is at least 1; repeated items are
-reported once per id; repeated documents one by one; an empty benchmark leaves
-every document clean; an empty table gives no rows; extra columns pass through.
+text or a null id take no part; repeated items are reported once per id, of
+equally good places the first; repeated documents one by one; very long texts
+are scanned whole; an empty benchmark leaves every document clean; an empty
+table gives no rows; extra columns pass through.
 """
 
 from __future__ import annotations
 
+import io
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import scratch_path
+from .arrays import map_array, write_array
 from .common import packed
-from .textvec import LOWER, SPACE, chunks, flat
+from .textvec import CHUNK_BYTES, LOWER, SPACE, chunks, flat
 
 Q = 8
 ERROR = 0.08
-#: Bounds of a block of items, i.e. of what goes to the workers at once.
+#: Bounds of a block of items, i.e. of what a task holds of the benchmark at once.
 BLOCK_ITEMS = 4096
 BLOCK_BYTES = 4 << 20
+#: Text a task holds while it goes through the blocks.
+HELD_BYTES = 8 * CHUNK_BYTES
 _TABLE_BITS = 22
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 HITS = "array<struct<item_id:bigint,edits:int,first:bigint,last:bigint>>"
@@ -60,51 +72,80 @@ def normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return out[keep], np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """The q-gram at every byte, as one 64-bit word (q = 8)."""
-    if len(data) < Q:
+def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q-gram at every byte, as one 64-bit word (q at most 8)."""
+    n = len(data) - q + 1
+    if n < 1:
         return np.empty(0, np.uint64)
-    data = np.ascontiguousarray(data)
-    return np.ndarray((len(data) - Q + 1,), "<u8", buffer=data, strides=(1,)).copy()
+    data = np.concatenate((data, np.zeros(8 - q, np.uint8)))
+    words = np.ndarray((n,), "<u8", buffer=np.ascontiguousarray(data), strides=(1,)).copy()
+    return words & np.uint64((1 << 8 * q) - 1)
 
 
 class Index(NamedTuple):
+    q: int
     ids: np.ndarray       # item ids
-    texts: list           # normalised bytes
-    size: np.ndarray
+    text: np.ndarray      # normalised bytes of all items
+    start: np.ndarray     # item x is text[start[x]:start[x + 1]]
     edits: np.ndarray
     least: np.ndarray     # distinct shared q-grams the lemma asks for
     codes: np.ndarray     # distinct q-grams, sorted
     first: np.ndarray     # places of codes[c] are places[first[c]:first[c + 1]]
     item: np.ndarray
     place: np.ndarray
-    table: np.ndarray     # bit per hash: may be a q-gram of the block
+
+    def words(self, x: int) -> np.ndarray:
+        return self.text[self.start[x]:self.start[x + 1]]
 
 
-def build(rows: list[tuple[int, str]], error: float = ERROR) -> Index | None:
-    ids, texts = [], []
+def build(rows: list[tuple[int, str]], error: float = ERROR) -> list[Index]:
+    """One index per q-gram length that the items ask for."""
+    by_q: dict[int, list] = {}
     for i, text in sorted(set(rows)):
         raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
         data, _ = normalise(raw, np.array([0, len(raw)]))
         data = np.frombuffer(data.tobytes().rstrip(b" "), np.uint8)
-        if len(data) >= Q:
-            ids.append(i)
-            texts.append(data)
-    if not ids:
-        return None
-    size = np.array([len(t) for t in texts])
-    edits = np.minimum(np.floor(size * error).astype(int), size // Q - 1)      # so that the bound is at least 1
-    codes = [grams(t) for t in texts]
+        if len(data):
+            e = int(len(data) * error)
+            by_q.setdefault(min(Q, len(data) // (e + 1)), []).append((i, data, e))
+    return [_index(q, *zip(*items)) for q, items in sorted(by_q.items())]
+
+
+def _index(q: int, ids, texts, edits) -> Index:
+    size, edits = np.array([len(t) for t in texts]), np.array(edits)
+    codes = [grams(t, q) for t in texts]
     item = np.repeat(np.arange(len(ids)), [len(c) for c in codes])
     place = np.concatenate([np.arange(len(c)) for c in codes])
     code = np.concatenate(codes)
     order = np.argsort(code, kind="stable")
     code, item, place = code[order], item[order], place[order]
     first = np.concatenate(([0], np.flatnonzero(np.diff(code)) + 1))
+    return Index(q, np.array(ids), np.concatenate(texts), np.concatenate(([0], np.cumsum(size))), edits,
+                 size + 1 - q * (edits + 1), code[first], np.append(first, len(code)), item, place)
+
+
+def save(indexes: list[Index], folder: str, name: str) -> None:
+    body = io.BytesIO()
+    np.savez(body, n=len(indexes), **{f"{k}-{f}": v for k, x in enumerate(indexes) for f, v in x._asdict().items()})
+    write_array(folder, name, np.frombuffer(body.getbuffer(), np.uint8))
+
+
+@lru_cache(1)
+def opened(folder: str, name: str) -> list[tuple[Index, np.ndarray]]:
+    """The indexes of a block, each with a table of the hashes its q-grams have."""
+    out = []
+    with np.load(io.BytesIO(map_array(folder, name, np.uint8).tobytes())) as f:
+        for k in range(int(f["n"])):
+            index = Index(*(int(f[f"{k}-q"]) if x == "q" else f[f"{k}-{x}"] for x in Index._fields))
+            out.append((index, table_of(index)))
+    return out
+
+
+def table_of(index: Index) -> np.ndarray:
+    """A bit per hash: may be a q-gram of the index."""
     table = np.zeros(1 << _TABLE_BITS, bool)
-    table[(code * _ODD) >> np.uint64(64 - _TABLE_BITS)] = True
-    return Index(np.array(ids), texts, size, edits, size + 1 - Q * (edits + 1), code[first],
-                 np.append(first, len(code)), item, place, table)
+    table[(index.codes * _ODD) >> np.uint64(64 - _TABLE_BITS)] = True
+    return table
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, width: int, budget: int) -> tuple[int, int] | None:
@@ -126,15 +167,15 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int, budget: int)
     return int(row[end]), low + n + end
 
 
-def find(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+def find(index: Index, table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(text index, item index, edits, first, last) of every item in every normalised text, first best one each."""
-    code = grams(data)
-    at = np.flatnonzero(index.table[(code * _ODD) >> np.uint64(64 - _TABLE_BITS)])
+    code = grams(data, index.q)
+    at = np.flatnonzero(table[(code * _ODD) >> np.uint64(64 - _TABLE_BITS)])
     slot = np.minimum(np.searchsorted(index.codes, code[at]), len(index.codes) - 1)
     same = index.codes[slot] == code[at]
     at, slot = at[same], slot[same]
     doc = np.searchsorted(offsets, at, side="right") - 1
-    inside = at + Q <= offsets[doc + 1]
+    inside = at + index.q <= offsets[doc + 1]
     at, slot, doc = at[inside], slot[inside], doc[inside]
     # a text must show some item's least number of q-grams at all
     enough = np.bincount(doc, minlength=len(offsets))[doc] >= index.least.min()
@@ -177,7 +218,7 @@ def _bands(index, data, offsets, at, slot, doc):
         known = best.get((d, x))
         if known and known[0] == 0:
             continue
-        text, want, e = data[offsets[d]:offsets[d + 1]], index.texts[x], int(index.edits[x])
+        text, want, e = data[offsets[d]:offsets[d + 1]], index.words(x), int(index.edits[x])
         low = int(band[f]) * (2 * e + 1)
         width = 2 * (2 * e + 1)
         region = text[max(low, 0):max(low, 0) + len(want) + width].tobytes()
@@ -188,17 +229,27 @@ def _bands(index, data, offsets, at, slot, doc):
             got = align(want, text, low, width, e)
         if got and (known is None or got[0] < known[0]):
             best[d, x] = got
-    return [(d, x, e, max(end - int(index.size[x]) - e, 0), end) for (d, x), (e, end) in sorted(best.items())]
+    return [(d, x, e, max(end - len(index.words(x)) - e, 0), end) for (d, x), (e, end) in sorted(best.items())]
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text"):
-    """The items, block by block; each block is collected under the stated bounds."""
+def write_blocks(benchmark: DataFrame, error: float = ERROR, id_col: str = "item_id",
+                 text_col: str = "text") -> tuple[str, int]:
+    """Index the items block by block, a task a block; returns the folder and the number of blocks."""
+    folder = scratch_path(benchmark.sparkSession, "items")
     rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where(
         "i IS NOT NULL AND t IS NOT NULL").distinct()       # a repeated row would go whole to one block
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
     parts = max(-(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES), 1)
-    for p in range(parts):
-        yield [(r.i, r.t) for r in rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p).collect()]
+
+    def write(key, table):
+        save(build(list(zip(table.column("i").to_pylist(), table.column("t").to_pylist())), error),
+             folder, f"block-{key[0].as_py()}")
+        return pa.table({"p": pa.array([key[0].as_py()], pa.int32())})
+    part = F.pmod(F.xxhash64("i", "t"), F.lit(parts)).cast("int").alias("p")
+    written = {r.p for r in rows.select(part, "i", "t").groupBy("p").applyInArrow(write, "p int").collect()}
+    for p in set(range(parts)) - written:                   # no item fell there
+        save([], folder, f"block-{p}")
+    return folder, parts
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, error: float = ERROR, id_col: str = "doc_id",
@@ -206,23 +257,30 @@ def scan(docs: DataFrame, benchmark: DataFrame, error: float = ERROR, id_col: st
     """(doc_id, contaminated, hits) of every document, with all columns in ``_row`` if ``carry``."""
     ident, text = F.col(id_col).cast("long"), F.col(text_col)
     rows = packed(docs, doc_id=ident, text=text) if carry else docs.select(ident.alias("doc_id"), text.alias("text"))
-    hit_columns: list[Column] = []
-    for k, block in enumerate(blocks(benchmark)):
-        index = build(block, error)
-        if index is not None:
-            rows = _pass(rows, index, f"hits_{k}")
-            hit_columns.append(F.col(f"hits_{k}"))
-    hits = F.concat(*hit_columns) if hit_columns else F.array().cast(HITS)
-    return rows.select(*(["_row"] if carry else []), "doc_id", (F.size(hits) > 0).alias("contaminated"), hits.alias("hits"))
+    folder, parts = write_blocks(benchmark, error)
 
+    def scanned(held):
+        clean = [normalise(*flat(b.column("text"))) for b in held]
+        hits = [[[] for _ in range(b.num_rows)] for b in held]
+        for p in range(parts):
+            for index, table in opened(folder, f"block-{p}"):
+                for (data, offsets), per in zip(clean, hits):
+                    for d, x, e, first, last in find(index, table, data, offsets):
+                        per[d].append({"item_id": int(index.ids[x]), "edits": e, "first": first, "last": last})
+        for b, per in zip(held, hits):
+            per = [sorted(h, key=lambda x: x["item_id"]) for h in per]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(per, _HIT)], names=[*b.schema.names, "hits"])
 
-def _pass(rows: DataFrame, index: Index, name: str) -> DataFrame:
     def run(batches):
+        held, size = [], 0
         for b in chunks(batches):
-            data, offsets = normalise(*flat(b.column("text")))
-            per = [[] for _ in range(b.num_rows)]
-            for d, x, e, first, last in find(index, data, offsets):
-                per[d].append({"item_id": int(index.ids[x]), "edits": e, "first": first, "last": last})
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(per, _HIT)], names=[*b.schema.names, name])
-    schema = StructType([*rows.schema.fields, *StructType.fromDDL(f"{name} {HITS}").fields])
-    return rows.mapInArrow(run, schema)
+            held.append(b)
+            size += b.column("text").nbytes
+            if size >= HELD_BYTES or parts == 1:
+                yield from scanned(held)
+                held, size = [], 0
+        if held:
+            yield from scanned(held)
+    schema = StructType([*rows.schema.fields, *StructType.fromDDL(f"hits {HITS}").fields])
+    found = rows.mapInArrow(run, schema)
+    return found.select(*(["_row"] if carry else []), "doc_id", (F.size("hits") > 0).alias("contaminated"), "hits")
