@@ -128,8 +128,9 @@ def test_decontamination(docs, empty, spark):
     bench = spark.createDataFrame([(1, "two THREE  four\nfive six"), (2, None), (None, "x"), (3, "x"), (4, " "),
                                    (5, "two THREE  four\nfive six")], "item_id long, text string")
     rows = by_id(decontam.scan(docs, bench).collect())
-    assert [h.item_id for h in rows[1][0].hits] == [1, 5] and rows[2][0].contaminated
-    assert not any(rows[i][0].contaminated for i in (3, 4, 5, 7, 8, 9, None))
+    assert [h.item_id for h in rows[1][0].hits] == [1, 3, 5] and rows[2][0].contaminated      # 3: the x of "six"
+    assert [h.item_id for h in rows[7][0].hits] == [3]
+    assert not any(rows[i][0].contaminated for i in (3, 4, 5, 8, 9, None))
     assert not any(r.contaminated for r in decontam.scan(docs, bench.where("1 = 0")).collect())
     assert decontam.scan(empty, bench).collect() == []
 

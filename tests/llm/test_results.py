@@ -282,9 +282,43 @@ def test_decontamination_blocks(spark, monkeypatch):
 def test_decontamination_blocks_fold_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_ITEMS", 4)
     bench = spark.createDataFrame([(1, "repeated")] * 30 + [(2, "x"), (3, "x"), (4, "y")], "item_id long, text string")
-    got = list(decontam.blocks(bench))
-    assert sorted(x for b in got for x in b) == [(1, "repeated"), (2, "x"), (3, "x"), (4, "y")]
-    assert max(len(b) for b in got) <= 4
+    prepare(spark)
+    folder, parts = decontam.write_blocks(bench)
+    ids = [i for p in range(parts) for index, _ in decontam.opened(folder, f"block-{p}") for i in index.ids.tolist()]
+    assert sorted(ids) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("items_per_block", [3, 4096])
+def test_decontamination_of_short_items_by_force(spark, monkeypatch, items_per_block):
+    """Items of 1 to 30 bytes keep their whole budget: one edit from 13 bytes on, two from 25."""
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", items_per_block)
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    bench = {n: text(n) for n in range(1, 31)}
+    docs = {}
+    for i in range(120):
+        item = list(bench[rng.randrange(3, 31)])
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            at = rng.randrange(len(item))
+            item[at:at + rng.randrange(2)] = rng.choice(["x", ""])
+        docs[i] = text(5) + "".join(item) + text(rng.randrange(6))
+    rows = decontam.scan(spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+                         spark.createDataFrame(list(bench.items()), "item_id long, text string")).collect()
+    edited = 0
+    for r in rows:
+        got = {h.item_id: h.edits for h in r.hits}
+        for k, item in bench.items():
+            best, budget = edits_within(item.encode(), docs[r.doc_id].encode()), int(k * decontam.ERROR)
+            assert got.get(k) == (best if best <= budget else None), (docs[r.doc_id], item, best, got)
+            edited += got.get(k, 0) > 0
+    assert edited > 10
+
+
+def test_decontamination_plan_is_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_ITEMS", 2)
+    bench = table(spark, SF, "benchmark").limit(12)
+    plan = decontam.scan(table(spark, SF, "documents"), bench)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
 
 
 def test_ann_recall(spark, monkeypatch):
@@ -342,3 +376,193 @@ def test_near_duplicates_of_the_table(spark, texts):
     sets = {i: neardup.shingle_set(t, 2) for i, t in texts.items()}
     assert {r.doc_id: r.n_shingles for r in rows} == {i: len(s) for i, s in sets.items()}
     assert {r.doc_id: r.component_id for r in rows} == components_by_force(sets, 80)
+
+
+def test_long_white_runs_encode(spark):
+    """Runs beyond the split pattern's stack encode; near the limit of what it can do, tokens are the same."""
+    enc, _ = token_counts._encoder(f"{token_counts.TOKENIZERS}/{token_counts.VOCABULARY}")
+    short = re.compile(token_counts.WHITE_RUN.pattern.replace("100000", "3"))
+    rng = random.Random(6)
+    for _ in range(400):
+        text = "".join(rng.choice(["a", "Zé", " ", "  ", "\n", "\t ", "\u3000", "\xa0", "7", "!", "'s", "\x1c"]) for _ in range(40))
+        assert token_counts.encode(enc, text, short).tolist() == enc.encode_ordinary(text), repr(text)
+    for white in (" ", "\n"):
+        for n in (99_999, 100_000, 100_001, 800_000):
+            for tail in ("", "b", " b"):
+                text = "a" + white * n + tail
+                assert token_counts.encode(enc, text).tolist() == enc.encode_ordinary(text)
+    rows = [(1, "a" + " " * 1_000_000), (2, "\n" * 1_000_000 + "b"), (3, "a" + " " * 10_000_000 + "b"), (4, " \t" * 500_000)]
+    got = token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"))
+    sums = {r.doc_id: (r.t, r.d) for r in got.groupBy("doc_id").agg(F.sum("n_tokens").alias("t"), F.max("doc_tokens").alias("d")).collect()}
+    assert len(sums) == 4 and all(t == d > 100_000 for t, d in sums.values())
+
+
+@pytest.mark.parametrize("rule", ["start", "majority", "split"])
+def test_token_rules_by_force(spark, rule):
+    """Byte by byte: every token's bytes are dealt to the sections they lie in."""
+    rng = random.Random(12)
+    docs = {i: "".join(rng.choice(["word ", "é", "\n", "\n\n", "漢字", " x", "12", "\U0001F600"]) for _ in range(40)) for i in range(30)}
+    enc, _ = token_counts._encoder(f"{token_counts.TOKENIZERS}/{token_counts.VOCABULARY}")
+    rows = token_counts.count_tokens(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), rule=rule)
+    got = defaultdict(dict)
+    for r in rows.collect():
+        got[r.doc_id][r.section] = r.n_tokens
+    for i, text in docs.items():
+        raw = text.encode()
+        section = np.cumsum([0] + [b == 10 for b in raw[:-1]])
+        want = defaultdict(float)
+        at = 0
+        for t in enc.encode_ordinary(text):
+            span = section[at:at + len(enc.decode_single_token_bytes(t))].tolist()
+            at += len(span)
+            share = Counter(span)
+            if rule == "start":
+                want[span[0]] += 1
+            elif rule == "majority":
+                want[min(share, key=lambda s: (-share[s], s))] += 1
+            else:
+                for s, n in share.items():
+                    want[s] += n / len(span)
+        assert {s: n for s, n in got[i].items() if n} == pytest.approx(dict(want))
+
+
+def test_quantile_tables_by_force(spark):
+    """Copies are the Poisson quantile; a rate of a million takes a small table."""
+    from pyspark.sql import types as T
+    from rankfold.llm import mixing
+    rates = {"tiny": 1e-3, "one": 1.0, "mid": 37.5, "large": 4473.0, "huge": 1e6}
+    per = spark.createDataFrame([(s, float(r)) for s, r in rates.items()], "source string, rate double")
+    tables = {r.source: (r.low, r.cdf) for r in mixing.quantile_tables(per).collect()}
+    for s, rate in rates.items():
+        low, cdf = tables[s]
+        assert len(cdf) <= 24 * math.sqrt(rate) + 90
+        want, total = [], 0.0
+        for k in range(low, low + len(cdf)):
+            total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+            want.append(total)
+        assert np.allclose(cdf, want, atol=1e-8) and abs(cdf[-1] - 1) < 1e-9
+    u = [0.0, 1e-9, 0.3, 0.5, 0.999999, 1 - 2.0 ** -53]
+    df = spark.createDataFrame([(float(x),) for x in u], T.StructType([T.StructField("u", T.DoubleType())]))
+    for s in rates:
+        low, cdf = tables[s]
+        col = F.array(*[F.lit(c) for c in cdf]) if len(cdf) < 3000 else None
+        if col is not None:
+            got = [r.n for r in df.select(mixing._at_most(col, F.col("u")).alias("n")).collect()]
+            assert got == [sum(c <= x for c in cdf) for x in u]
+
+
+def test_mixing_of_a_tiny_source(spark):
+    """One empty document of a source of its own beside a large source: its rate is large, the run is short."""
+    docs = spark.createDataFrame([(1, "", "tiny")] + [(i, "x" * 2000, "big") for i in range(2, 2002)],
+                                 "doc_id long, text string, source string")
+    from rankfold.llm import mixing
+    rate = {r.source: r.rate for r in mixing.rates(docs).collect()}
+    got = Counter(r.source for r in mixing.poisson_mix(docs).select("source").collect())
+    assert abs(got["tiny"] - rate["tiny"]) < 6 * math.sqrt(rate["tiny"]) and rate["tiny"] > 1000
+
+
+def test_ordinal_fit_by_numeric_gradients():
+    """The fit against the same steps with gradients by central differences of the cumulative-link likelihood."""
+    rng = np.random.default_rng(4)
+    dims, epochs, rate, l1, l2 = 10, 4, 0.2, 1e-4, 1e-3
+    rows = [np.unique(rng.integers(0, dims, 4)) for _ in range(40)]
+    grade = np.array([min(2, int((r < 4).sum())) for r in rows])
+
+    def loss(w, t, ids):
+        out = 0.5 * l2 * len(ids) * (w * w).sum()
+        for i in ids:
+            s = w[rows[i]].sum()
+            above = [1.0, *(1 / (1 + math.exp(-(s - x))) for x in t), 0.0]        # P(grade >= 0), >= 1, >= 2, >= 3
+            out -= math.log(above[grade[i]] - above[grade[i] + 1])
+        return out
+
+    def slope(f, x):
+        out = np.zeros_like(x)
+        for k in range(len(x)):
+            d = np.zeros_like(x)
+            d[k] = 1e-6
+            out[k] = (f(x + d) - f(x - d)) / 2e-6
+        return out
+    w, g2, t, t2 = np.zeros(dims), np.full(dims, 1e-3), np.linspace(-1, 1, 2), np.full(2, 1e-3)
+    order_of, kept_w, kept_t = np.random.default_rng(1), [], []
+    for epoch in range(epochs):
+        order = order_of.permutation(len(rows))
+        for lo in range(0, len(order), 64):
+            ids = order[lo:lo + 64]
+            hot = np.unique(np.concatenate([rows[i] for i in ids]))
+            gw, gt = slope(lambda x: loss(x, t, ids), w), slope(lambda x: loss(w, x, ids), t)
+            g2[hot] += gw[hot] ** 2
+            step = rate / np.sqrt(g2[hot])
+            moved = w[hot] - step * gw[hot]
+            w[hot] = np.sign(moved) * np.maximum(np.abs(moved) - step * l1 * len(ids), 0)
+            t2 += gt * gt
+            t = np.sort(t - rate * gt / np.sqrt(t2))
+        if epoch >= epochs // 2:
+            kept_w.append(w.copy())
+            kept_t.append(t.copy())
+    got = quality.fit(rows, grade, 3, dims, epochs, rate, l1, l2, seed=1)
+    assert np.allclose(got.weights, np.mean(kept_w, axis=0), atol=1e-4)
+    assert np.allclose(got.thresholds, np.mean(kept_t, axis=0), atol=1e-4)
+    p = quality.tails(np.array([0.3]), got.thresholds)[0]
+    assert p == pytest.approx([1 / (1 + math.exp(x - 0.3)) for x in got.thresholds]) and p[0] >= p[1]
+
+
+def test_trigram_model_by_force(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "RANGE_BYTES", 1 << 14)              # several ranges
+    docs = dict(table(spark, SF, "documents").where("doc_id < 100").select("doc_id", "text").collect())
+    docs |= {9001: "never seen words", 9002: "", 9003: None, 9004: "the the the the", 9005: "The the THE the"}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in language_model.perplexity(df, order=3).collect()}
+
+    def tokens(t):
+        return [*(t or "").encode().lower().split(), None]
+
+    def triples(w):
+        return zip([None, "<s>"] + w[:-2], ["<s>"] + w[:-1], w)               # None: nothing before the context
+    three, two, c = Counter(), Counter(), Counter()
+    for i, t in docs.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            w = tokens(t)
+            c.update(w)
+            two.update(zip(["<s>"] + w[:-1], w))
+            three.update(x for n, x in enumerate(triples(w)) if n)
+    adjusted = Counter((u, w) for _, u, w in three)
+    adjusted.update({(u, w): n for (u, w), n in two.items() if u == "<s>"})
+    cont = Counter(w for _, w in two)
+    v = len(c)
+
+    def level(counts):
+        totals = defaultdict(lambda: [0, 0, 0, 0])
+        for key, k in counts.items():
+            totals[key[:-1]][0] += k
+            totals[key[:-1]][min(k, 3)] += 1
+        kinds = Counter(counts.values())
+        return totals, [0, *language_model.discounts([kinds[1], kinds[2], kinds[3], kinds[4]])]
+    (t3, d3), (t2, d2) = level(three), level(adjusted)
+    kinds = Counter(cont.values())
+    dc = [0, *language_model.discounts([kinds[1], kinds[2], kinds[3], kinds[4]])]
+    few = Counter(min(x, 3) for x in cont.values())
+    free = sum(dc[k] * few[k] for k in (1, 2, 3)) / len(two)
+
+    def share(totals, d, counts, key, low):
+        x = totals.get(key[:-1])
+        return low if x is None else (counts[key] - d[min(counts[key], 3)]) / x[0] + sum(d[j] * x[j] for j in (1, 2, 3)) / x[0] * low
+
+    def p(t, u, w):
+        low = (cont[w] - dc[min(cont[w], 3)]) / len(two) + free / (v + 1)
+        low = share(t2, d2, adjusted, (u, w), low)
+        return low if t is None else share(t3, d3, three, (t, u, w), low)
+    some = max(t3, key=lambda x: t3[x][0])
+    assert abs(sum(p(*some, w) for w in [*c, b"\x00new"]) - 1) < 1e-9
+    for i, t in docs.items():
+        w = tokens(t)
+        want = sum(math.log10(p(a, "<s>" if n == 0 else b, x)) for n, (a, b, x) in enumerate(triples(w)))
+        assert rows[i].score == pytest.approx(want, rel=1e-9), i
+    with pytest.raises(ValueError):
+        language_model.train(df, order=4)
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    for values in ([1, 2], [1, 1 << 40], []):
+        language_model._write_counts(str(tmp_path), "c", np.array(values, np.int64))
+        assert language_model._map_counts(str(tmp_path), "c", len(values)).tolist() == values
