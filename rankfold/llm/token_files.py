@@ -54,7 +54,7 @@ VERSION = 1
 #: Lengths of the four ranks behind each control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
-CODED = "doc_id long, rid long, crc long, n_ids long, packed binary"
+CODED = "doc_id long, rid long, crc long, n_ids long, packed binary, counts binary"
 FILES = "part int, seq int, file string, n_docs long, n_ids long, n_bytes long"
 READ = "doc_id long, start long, n_ids long, ids binary"
 
@@ -104,7 +104,10 @@ def _slots(n: np.ndarray) -> tuple[np.ndarray, int]:
 
 def encode_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """(doc_id, rid, crc, n_ids, packed): the ids of every whole text, compressed; ``rid`` is the input order."""
+    """(doc_id, rid, crc, n_ids, packed, counts): the ids of every whole text, compressed; ``rid`` is the input order.
+
+    The first row of a chunk holds how often each id occurs in the chunk (ids, then counts, 32 bits each).
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
                        F.coalesce(text_col, F.lit("")).alias("text"))
     end = np.array([] if end_id is None else [end_id], "<u4")
@@ -119,9 +122,14 @@ def encode_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID, id
                 raw = np.concatenate((ids[i:j].astype("<u4"), end))
                 crc.append(zlib.crc32(raw))
                 packed.append(squeeze.compress(raw, asbytes=True))
+            total = np.bincount(ids, minlength=int(end.max(initial=0)) + 1)
+            total[end] += b.num_rows
+            seen = np.flatnonzero(total)
+            counts = np.concatenate((seen, total[seen])).astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("rid"), pa.array(crc, pa.int64()), pa.array(n + len(end), pa.int64()),
-                 pa.array(packed, pa.binary())], names=["doc_id", "rid", "crc", "n_ids", "packed"])
+                 pa.array(packed, pa.binary()), pa.array([counts] + [None] * (b.num_rows - 1), pa.binary())],
+                names=["doc_id", "rid", "crc", "n_ids", "packed", "counts"])
     return rows.mapInArrow(run, CODED)
 
 
@@ -132,16 +140,17 @@ def _opened(b: pa.RecordBatch, squeeze: pa.Codec) -> list[np.ndarray]:
 
 def id_ranks(coded: DataFrame) -> DataFrame:
     """(id, count), most frequent first, ties to the smaller id."""
-    def count(batches):
-        squeeze, total = pa.Codec("zstd"), np.zeros(0, np.int64)
+    def add(batches):
+        total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in _opened(b, squeeze):
-                add = np.bincount(ids, minlength=len(total))
-                add[:len(total)] += total
-                total = add
+            for raw in b.column(0):
+                ids, n = np.frombuffer(raw.as_py(), "<u4").reshape(2, -1).astype(np.int64)
+                if len(ids) and ids[-1] >= len(total):
+                    total = np.concatenate((total, np.zeros(int(ids[-1]) + 1 - len(total), np.int64)))
+                total[ids] += n
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], names=["id", "count"])
-    counts = coded.select("n_ids", "packed").mapInArrow(count, "id long, count long")
+    counts = coded.where("counts IS NOT NULL").select("counts").mapInArrow(add, "id long, count long")
     return counts.groupBy("id").agg(F.sum("count").alias("count")).orderBy(F.desc("count"), "id")
 
 
