@@ -13,8 +13,9 @@ The hash is two 64-bit hashes side by side, so unlike lines do not meet.
 
 Edge cases: a null site is a site of its own (the empty name); null text gives
 null text and 0 lines; empty text is one blank line; blank lines are kept; a
-text may become empty; repeated rows stay repeated; an empty table gives no
-rows; extra columns are ignored.
+text may become empty; repeated rows stay repeated; a line on exactly
+``min_sites`` sites goes; very long texts are split whole; an empty table gives
+no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -67,9 +68,12 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str =
     """(doc_id, n_lines, n_removed, text) of every document, boilerplate lines removed."""
     bad = stored(boilerplate(docs, min_sites, site_col, text_col).select("h1", "h2"), "line-bad")
     lines = _lines(docs.select(F.col(id_col).alias("_id"), F.col(site_col), F.col(text_col)), site_col, text_col)
-    marked = lines.join(small_side(bad.withColumn("_hit", F.lit(True))), ["h1", "h2"], "left")
+    # blank lines have no hash: a key of their own each spreads them where the join is shuffled
+    lines = lines.withColumns({"_k1": F.coalesce("h1", "_rid"), "_k2": F.coalesce("h2", F.col("pos").cast("long"))})
+    bad = bad.select(F.col("h1").alias("_k1"), F.col("h2").alias("_k2"), F.lit(True).alias("_hit"))
+    marked = lines.join(small_side(bad), ["_k1", "_k2"], "left")
     kept = F.struct("pos", "line")
-    hit, there = F.col("_hit").isNotNull(), F.col("line").isNotNull()
+    hit, there = F.col("_hit").isNotNull() & F.col("h1").isNotNull(), F.col("line").isNotNull()
     per = marked.groupBy("_rid").agg(
         F.first("_id").alias("doc_id"), F.count("line").alias("n_lines"),
         F.count(F.when(hit, 1)).alias("n_removed"),
