@@ -1,15 +1,16 @@
-"""M2-M4: stratified block SGD (DSGD, Gemulla et al., KDD 2011) on DataFrames.
+"""M2-M4: stratified block SGD (DSGD, Gemulla et al., KDD 2011) over block files.
 
-Users and items are hashed into B blocks.  One epoch is B sub-epochs; in
-sub-epoch s the B cells (b, (b + s) mod B) share no user and no item, so they
-are trained in parallel.
+One epoch is B sub-epochs; in sub-epoch s the B cells (a, (a + s) mod B) share
+no user and no item, so they are trained in parallel, one task a cell.  User
+blocks stay with their task's number and item blocks rotate; both are files in
+the shared folder (``cells``), written anew after every sub-epoch, so a
+sub-epoch is one flat job without a shuffle and its plan is the same whatever B.
+With one block all epochs run in one task.
 
-A block of factors is one packed row (ids, matrix, biases), a cell is one
-packed row (users, items, weights).  Cells are written once, partitioned by
-stratum, so a sub-epoch reads its own B cells only; what is shuffled per
-sub-epoch is 2 B packed factor rows and B packed cells.  The B steps of an
-epoch are one job, and the factor rows are checkpointed to the shared folder
-after every epoch.  With one block all epochs run in one task.
+Several fits over the same rows (a hyperparameter search) are trained by the
+same jobs, one task per fit and block.  A fit can report its factors after
+several epochs: rows, order and draws of an epoch depend on the epoch's number
+alone, so a shorter fit is a prefix of a longer one.
 
 B follows from the data alone (rows per cell, ids per block) or is an argument;
 it is stored with the model, so the same rows give the same factors whatever
@@ -26,27 +27,24 @@ that equals the sequential loop; the other losses also move the drawn
 negatives, whose gradients add up within a batch.  Negatives come from the
 current item block and are rejected when the user has a row for them there.
 
-With ``weighted`` the steps of bpr, warp and logistic are scaled by the row's
-weight relative to the mean weight.  Rows of weight 0 are no positives but are
-still rejected as negatives.
+With ``weighted`` the gradients of bpr, warp and logistic are scaled by the
+row's weight relative to the mean weight.  Rows of weight 0 are no positives but
+are still rejected as negatives.  With ``adaptive`` every parameter has a step
+of its own, lr / sqrt(1 + sum of its squared gradients so far) (AdaGrad, Duchi
+et al. 2011); the sums travel with the blocks.
 """
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, scratch_path
+from ..sources.blockfiles import drop_block, load_block, save_block
+from .cells import IDS_PER_BLOCK, ROWS_PER_CELL, Cells, block_ids, cell, factor_rows, run_tasks
 from .factors import FactorModel
 
-KIND_USER, KIND_ITEM, KIND_ROW = 0, 1, 2
-_STATE = "kind int, block int, grp int, ids binary, m binary, b binary"
-ROWS_PER_CELL = 8_000
-IDS_PER_BLOCK = 65_536
 LOSSES = ("svd", "bpr", "warp", "logistic")
 
 
@@ -89,16 +87,36 @@ def row_order(u: np.ndarray, i: np.ndarray, epoch: int, seed: int) -> np.ndarray
         return _splitmix64(_splitmix64(x ^ i.astype(np.int64).view(np.uint64)) + np.uint64(seed))
 
 
+def _followers(x: np.ndarray) -> np.ndarray:
+    """Place of the next equal value, or len(x)."""
+    order = np.argsort(x, kind="stable")
+    out = np.full(len(x), len(x))
+    same = x[order][1:] == x[order][:-1]
+    out[order[:-1][same]] = order[1:][same]
+    return out
+
+
 def conflict_free(u: np.ndarray, i: np.ndarray) -> list[np.ndarray]:
-    """Row numbers of each batch: no user and no item twice in it, order kept along every user and item."""
-    last_u, last_i, batch = {}, {}, []
-    for a, b in zip(u.tolist(), i.tolist()):
-        n = max(last_u.get(a, -1), last_i.get(b, -1)) + 1
-        last_u[a] = last_i[b] = n
-        batch.append(n)
-    batch = np.asarray(batch, np.int64)
-    order = np.argsort(batch, kind="stable")
-    return np.split(order, np.flatnonzero(np.diff(batch[order])) + 1) if len(order) else []
+    """Row numbers of each batch: no user and no item twice in it, order kept along every user and item.
+
+    A row is free once the row before it of its user and that of its item are
+    taken; each round takes all free rows.
+    """
+    n = len(u)
+    after = (_followers(u), _followers(i))
+    waits = np.zeros(n + 1, np.int8)
+    for f in after:
+        waits[f[f < n]] += 1
+    batches, free = [], np.flatnonzero(waits[:n] == 0)
+    while len(free):
+        batches.append(free)
+        step = [f[free] for f in after]
+        for x in step:
+            waits[x] -= 1            # the followers of one batch along one side are distinct rows
+        waits[n] = 1                 # no row
+        both = np.concatenate(step)
+        free = np.unique(both[waits[both] == 0])
+    return batches
 
 
 class Negatives:
@@ -126,187 +144,200 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -50.0, 50.0)))
 
 
-def train_cell(loss: str, P, bu, Q, bi, u, i, r, order, lr: float, reg: float, mu: float, rng: np.random.Generator,
-               n_items_total: int, weighted: bool = False, mean_weight: float = 1.0, max_trials: int = 10) -> None:
-    """One pass over a cell, in place; u and i index P and Q, r holds ratings or weights."""
-    if len(u) == 0 or len(Q) == 0:
+class Side:
+    """Factors and biases of a block, with the squared-gradient sums of adaptive steps."""
+
+    def __init__(self, ids: np.ndarray, m: np.ndarray, b: np.ndarray, gm: np.ndarray | None = None,
+                 gb: np.ndarray | None = None):
+        self.ids, self.m, self.b, self.gm, self.gb = ids, m, b, gm, gb
+
+    def arrays(self) -> dict[str, np.ndarray]:
+        return {k: v for k, v in vars(self).items() if v is not None}
+
+    def move(self, at: np.ndarray, grad: np.ndarray, grad_b: np.ndarray | None, lr: float) -> None:
+        """A step along ``grad`` at rows ``at``; gradients of a repeated row add up."""
+        if len(at) == 0:
+            return
+        order = np.argsort(at, kind="stable")
+        first = np.concatenate(([0], np.flatnonzero(np.diff(at[order])) + 1))
+        if len(first) < len(at):
+            square = None if self.gm is None else np.add.reduceat(grad[order] ** 2, first)
+            square_b = None if self.gm is None or grad_b is None else np.add.reduceat(grad_b[order] ** 2, first)
+            at, grad = at[order][first], np.add.reduceat(grad[order], first)
+            grad_b = None if grad_b is None else np.add.reduceat(grad_b[order], first)
+        else:
+            square = None if self.gm is None else grad ** 2
+            square_b = None if self.gm is None or grad_b is None else grad_b ** 2
+        if self.gm is None:
+            self.m[at] += lr * grad
+            if grad_b is not None:
+                self.b[at] += lr * grad_b
+            return
+        self.m[at] += lr * grad / np.sqrt(self.gm[at])
+        self.gm[at] += square
+        if grad_b is not None:
+            self.b[at] += lr * grad_b / np.sqrt(self.gb[at])
+            self.gb[at] += square_b
+
+
+def train_cell(fit: "Fit", U: Side, V: Side, u, i, r, order, mu: float, rng: np.random.Generator, n_items_total: int,
+               mean_weight: float = 1.0) -> None:
+    """One pass over a cell, in place; u and i are places in the two sides, r holds ratings or weights."""
+    if len(u) == 0 or len(V.ids) == 0:
         return
-    if loss == "svd":
+    lr, reg = fit.lr, fit.reg
+    if fit.loss == "svd":
         u, i, r = u[order], i[order], r[order]
         for at in conflict_free(u, i):
             a, b = u[at], i[at]
-            p, q = P[a], Q[b]
-            err = r[at] - (mu + bu[a] + bi[b] + (p * q).sum(axis=1))
-            bu[a] += lr * (err - reg * bu[a])
-            bi[b] += lr * (err - reg * bi[b])
-            P[a] = p + lr * (err[:, None] * q - reg * p)
-            Q[b] = q + lr * (err[:, None] * p - reg * q)
+            p, q = U.m[a], V.m[b]
+            err = r[at] - (mu + U.b[a] + V.b[b] + (p * q).sum(axis=1))
+            U.b[a] += lr * (err - reg * U.b[a])
+            V.b[b] += lr * (err - reg * V.b[b])
+            U.m[a] = p + lr * (err[:, None] * q - reg * p)
+            V.m[b] = q + lr * (err[:, None] * p - reg * q)
         return
-    negatives = Negatives(u, i, len(P), len(Q), rng)
+    negatives = Negatives(u, i, len(U.ids), len(V.ids), rng)
     order = order[r[order] != 0]                         # weight 0: known to the user, no positive
     u, i, r = u[order], i[order], r[order]
-    scale = lr * (r / mean_weight if weighted else np.ones(len(r)))
+    scale = r / mean_weight if fit.weighted else np.ones(len(r))
     for at in conflict_free(u, i):
-        a, b, step = u[at], i[at], scale[at]
+        a, b, w = u[at], i[at], scale[at]
         j = negatives.draw(a)
-        if loss == "warp":
+        if fit.loss == "warp":
             trial = np.ones(len(at))
-            good = (P[a] * Q[b]).sum(axis=1) + bi[b]
+            good = (U.m[a] * V.m[b]).sum(axis=1) + V.b[b]
             open_ = np.flatnonzero(j >= 0)
             hit = np.zeros(len(at), bool)
-            for t in range(1, max_trials + 1):
-                bad = (P[a[open_]] * Q[j[open_]]).sum(axis=1) + bi[j[open_]] > good[open_] - 1.0
+            for t in range(1, fit.max_trials + 1):
+                bad = (U.m[a[open_]] * V.m[j[open_]]).sum(axis=1) + V.b[j[open_]] > good[open_] - 1.0
                 hit[open_[bad]], trial[open_[bad]] = True, t
                 open_ = open_[~bad]
-                if len(open_) == 0 or t == max_trials:
+                if len(open_) == 0 or t == fit.max_trials:
                     break
                 j[open_] = negatives.draw(a[open_])
             rank = np.maximum(1, (n_items_total - 1) // trial)
-            a, b, j, step, g = a[hit], b[hit], j[hit], step[hit], np.log(rank[hit])
-        elif loss == "bpr":
+            a, b, j, w, g = a[hit], b[hit], j[hit], w[hit], np.log(rank[hit])
+        elif fit.loss == "bpr":
             ok = j >= 0
-            a, b, j, step = a[ok], b[ok], j[ok], step[ok]
-            g = _sigmoid(-((P[a] * (Q[b] - Q[j])).sum(axis=1) + bi[b] - bi[j]))
+            a, b, j, w = a[ok], b[ok], j[ok], w[ok]
+            g = _sigmoid(-((U.m[a] * (V.m[b] - V.m[j])).sum(axis=1) + V.b[b] - V.b[j]))
         else:
             ok = j >= 0
-            _pointwise(P, bu, Q, bi, a, b, np.ones(len(a)), step, reg)
-            _pointwise(P, bu, Q, bi, a[ok], j[ok], np.zeros(int(ok.sum())), step[ok], reg)
+            _pointwise(U, V, a, b, np.ones(len(a)), w, lr, reg)
+            _pointwise(U, V, a[ok], j[ok], np.zeros(int(ok.sum())), w[ok], lr, reg)
             continue
-        p, qb, qj, s = P[a], Q[b], Q[j], step[:, None]
-        P[a] = p + s * (g[:, None] * (qb - qj) - reg * p)
-        Q[b] = qb + s * (g[:, None] * p - reg * qb)
-        np.add.at(Q, j, s * (-g[:, None] * p - reg * qj))
-        bi[b] += step * (g - reg * bi[b])
-        np.add.at(bi, j, step * (-g - reg * bi[j]))
-
-
-def _pointwise(P, bu, Q, bi, a, j, y, step, reg):
-    p, q = P[a], Q[j]
-    g = y - _sigmoid((p * q).sum(axis=1) + bu[a] + bi[j])
-    P[a] = p + step[:, None] * (g[:, None] * q - reg * p)
-    np.add.at(Q, j, step[:, None] * (g[:, None] * p - reg * q))
-    bu[a] += step * (g - reg * bu[a])
-    np.add.at(bi, j, step * (g - reg * bi[j]))
-
-
-def _block(col, nb: int, salt: int):
-    return F.pmod(F.xxhash64(col, F.lit(salt)), F.lit(nb)).cast("int")
-
-
-def _table(rows: list[tuple]) -> pa.Table:
-    kind, block, grp, ids, m, b = zip(*rows)
-    ints = [pa.array(x, pa.int32()) for x in (kind, block, grp)]
-    return pa.table([*ints, *[pa.array(x, pa.binary()) for x in (ids, m, b)]],
-                    names=["kind", "block", "grp", "ids", "m", "b"])
-
-
-def _packed_ids(kind, side, factors, seed, gaussian, scale):
-    """Initial factor row of one block of ids."""
-    def run(key, table):
-        ids = np.sort(table.column("id").to_numpy())
-        m = init_matrix(ids, factors, side, seed, gaussian, scale)
-        return _table([(kind, key[0].as_py(), 0, ids.tobytes(), m.astype("<f8").tobytes(), np.zeros(len(ids)).tobytes())])
-    return run
-
-
-def _pack_cell(nb: int):
-    def run(key, table):
-        ub, ib = key[0].as_py(), key[1].as_py()
-        cols = [table.column(c).to_numpy().astype(t).tobytes() for c, t in (("u", "<i8"), ("i", "<i8"), ("r", "<f8"))]
-        return _table([(KIND_ROW, ub, (ib - ub) % nb, *cols)])
-    return run
-
-
-def _step(loss, factors, lr, reg, mu, seed, steps, n_items_total, weighted, mean_weight, max_trials):
-    """Trains the cell of a group: its user block, its item block and its rows; ``steps`` are (epoch, sub-epoch)."""
-    def run(key, table):
-        by = {r["kind"]: r for r in table.to_pylist()}
-        out = []
-        side = {}
-        for kind in (KIND_USER, KIND_ITEM):
-            if kind in by:
-                r = by[kind]
-                ids = np.frombuffer(r["ids"], "<i8")
-                side[kind] = (ids, np.frombuffer(r["m"], "<f8").reshape(len(ids), factors).copy(),
-                              np.frombuffer(r["b"], "<f8").copy())
-        if len(by) == 3:
-            (ui, P, bu), (ii, Q, bi) = side[KIND_USER], side[KIND_ITEM]
-            c = by[KIND_ROW]
-            u, i, r = (np.frombuffer(c[x], t) for x, t in (("ids", "<i8"), ("m", "<i8"), ("b", "<f8")))
-            lu, li = np.searchsorted(ui, u), np.searchsorted(ii, i)
-            for epoch, sub in steps:
-                order = np.argsort(row_order(u, i, epoch, seed), kind="stable")
-                rng = np.random.default_rng([seed, epoch, sub, key[0].as_py()])
-                train_cell(loss, P, bu, Q, bi, lu, li, r, order, lr, reg, mu, rng, n_items_total, weighted,
-                           mean_weight, max_trials)
-        for kind, (ids, m, b) in side.items():
-            out.append((kind, by[kind]["block"], 0, ids.tobytes(), m.tobytes(), b.tobytes()))
-        return _table(out or [(-1, 0, 0, b"", b"", b"")])
-    return run
-
-
-def _unpacked(state: DataFrame, kind: int, factors: int) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], "<i8")
-                m = np.frombuffer(row["m"], "<f8")
-                for lo in range(0, len(ids), 8192):
-                    hi = min(lo + 8192, len(ids))
-                    flat = pa.array(m[lo * factors:hi * factors])
-                    ends = pa.array(np.arange(hi - lo + 1, dtype=np.int32) * factors)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[lo:hi]), pa.array(np.frombuffer(row["b"], "<f8")[lo:hi]),
-                         pa.ListArray.from_arrays(ends, flat)], names=["id", "bias", "features"])
-    return state.filter(F.col("kind") == kind).mapInArrow(run, "id long, bias double, features array<double>")
+        p, qb, qj, w, g = U.m[a], V.m[b], V.m[j], w[:, None], g[:, None]
+        grad_b, grad_j = w * (g * p - reg * qb), w * (-g * p - reg * qj)
+        bias_b, bias_j = w[:, 0] * (g[:, 0] - reg * V.b[b]), w[:, 0] * (-g[:, 0] - reg * V.b[j])
+        U.move(a, w * (g * (qb - qj) - reg * p), None, lr)
+        V.move(np.concatenate((b, j)), np.concatenate((grad_b, grad_j)), np.concatenate((bias_b, bias_j)), lr)
+
+
+def _pointwise(U: Side, V: Side, a, j, y, w, lr, reg):
+    p, q = U.m[a], V.m[j]
+    g = y - _sigmoid((p * q).sum(axis=1) + U.b[a] + V.b[j])
+    bias_u, bias_v = w * (g - reg * U.b[a]), w * (g - reg * V.b[j])
+    U.move(a, w[:, None] * (g[:, None] * q - reg * p), bias_u, lr)
+    V.move(j, w[:, None] * (g[:, None] * p - reg * q), bias_v, lr)
+
+
+@dataclass(frozen=True)
+class Fit:
+    """One model to train; ``report`` lists epochs after which its factors are kept (the last one always is)."""
+    loss: str
+    factors: int
+    epochs: int
+    lr: float
+    reg: float
+    seed: int = 42
+    init_std: float = 0.1
+    gaussian_init: bool = True
+    weighted: bool = False
+    adaptive: bool = False
+    max_trials: int = 10
+    report: tuple[int, ...] = ()
+
+    def __post_init__(self):
+        if self.loss not in LOSSES:
+            raise ValueError(f"loss must be one of {LOSSES}")
+
+    @property
+    def kept(self) -> tuple[int, ...]:
+        return tuple(sorted({*self.report, self.epochs}))
+
+
+def _side(folder: str, fit: Fit, n: int, side: str, block: int, step: int) -> Side:
+    """A block's factors after ``step`` steps; before the first one they follow from the ids."""
+    if step:
+        f = load_block(folder, f"{n}-{side[0]}-{block}-{step}")
+        return Side(**f)
+    ids = block_ids(folder, side, block)
+    m = init_matrix(ids, fit.factors, side, fit.seed, fit.gaussian_init,
+                    fit.init_std if fit.gaussian_init else 1.0 / fit.factors)
+    ones = (np.ones_like(m), np.ones(len(ids))) if fit.adaptive else (None, None)
+    return Side(ids, m, np.zeros(len(ids)), *ones)
+
+
+def fit_blocks(rows: DataFrame, fits: list[Fit], blocks: int | None = None, rows_per_cell: int = ROWS_PER_CELL,
+               ids_per_block: int = IDS_PER_BLOCK) -> list[dict[int, FactorModel]]:
+    """Train all ``fits`` on rows (u, i, r); per fit the models after its kept epochs, keyed by raw ids."""
+    c = Cells(rows, blocks, rows_per_cell, ids_per_block)
+    folder, nb, n_items, weight = c.folder, c.blocks, c.n_items, c.weight
+    means = [c.mean if f.loss == "svd" else 0.0 for f in fits]
+
+    def train(n: int, a: int, first: int, last: int) -> None:
+        """Steps first + 1 .. last of fit n on user block a; step t is sub-epoch t mod B of epoch t div B."""
+        fit = fits[n]
+        b = (a + first) % nb
+        U, V = _side(folder, fit, n, "user", a, first), _side(folder, fit, n, "item", b, first)
+        u, i, raw_u, raw_i, r = cell(folder, a, b, U.ids, V.ids)
+        for t in range(first, last):
+            epoch, sub = divmod(t, nb)
+            order = np.argsort(row_order(raw_u, raw_i, epoch, fit.seed), kind="stable")
+            rng = np.random.default_rng([fit.seed, epoch, sub, a])
+            train_cell(fit, U, V, u, i, r, order, means[n], rng, n_items, weight)
+            if t + 1 == last or (t + 1) % nb == 0 and (t + 1) // nb in fit.kept:
+                save_block(folder, f"{n}-u-{a}-{t + 1}", **U.arrays())
+                save_block(folder, f"{n}-i-{b}-{t + 1}", **V.arrays())
+        if nb > 1 and first > 1 and ((first - 1) % nb or (first - 1) // nb not in fit.kept):
+            drop_block(folder, f"{n}-u-{a}-{first - 1}")        # two steps ago: no task reads it any more
+            drop_block(folder, f"{n}-i-{b}-{first - 1}")
+
+    heavy = sorted(range(len(fits)), key=lambda n: -fits[n].factors * fits[n].epochs)
+    spark = rows.sparkSession
+    if nb == 1:
+        run_tasks(spark, [n for n in heavy if fits[n].epochs], lambda n: train(n, 0, 0, fits[n].epochs))
+    else:
+        for t in range(max(f.epochs for f in fits) * nb):
+            run_tasks(spark, [(n, a) for n in heavy if fits[n].epochs * nb > t for a in range(nb)],
+                      lambda x, t=t: train(x[0], x[1], t, t + 1))
+    for n, f in enumerate(fits):
+        if 0 in f.kept:
+            run_tasks(spark, list(range(nb)), lambda a, n=n, f=f: [
+                save_block(folder, f"{n}-{s[0]}-{a}-0", **_side(folder, f, n, s, a, 0).arrays()) for s in ("user", "item")])
+
+    def model(n: int, epoch: int) -> FactorModel:
+        f = fits[n]
+        user, item = ([f"{n}-{s}-{k}-{epoch * nb}" for k in range(nb)] for s in "ui")
+        return FactorModel("svd" if f.loss == "svd" else "biased", factor_rows(spark, folder, user),
+                           factor_rows(spark, folder, item), global_mean=means[n], divisor=1.0,
+                           user_files=[(folder, x) for x in user], item_files=[(folder, x) for x in item],
+                           params={"loss": f.loss, "factors": f.factors, "epochs": epoch, "lr": f.lr, "reg": f.reg,
+                                   "seed": f.seed, "blocks": nb, "weighted": f.weighted, "adaptive": f.adaptive,
+                                   "max_trials": f.max_trials})
+    return [{e: model(n, e) for e in f.kept} for n, f in enumerate(fits)]
 
 
 def train_block_sgd(rows: DataFrame, loss: str, factors: int, epochs: int, lr: float, reg: float,
                     seed: int = 42, blocks: int | None = None, init_std: float = 0.1,
                     gaussian_init: bool = True, rows_per_cell: int = ROWS_PER_CELL,
-                    ids_per_block: int = IDS_PER_BLOCK, checkpoint_every: int = 1, weighted: bool = False,
+                    ids_per_block: int = IDS_PER_BLOCK, weighted: bool = False, adaptive: bool = False,
                     max_trials: int = 10) -> FactorModel:
     """rows: (u long, i long, r double) training cells. Returns a FactorModel keyed by raw ids.
 
     ``max_trials`` bounds the negatives that warp draws for a positive; a
     positive without a violator among them makes no step.
     """
-    if loss not in LOSSES:
-        raise ValueError(f"loss must be one of {LOSSES}")
-    spark = rows.sparkSession
-    checkpoint_dir(spark)
-    rows = rows.select(F.col("u").cast("long").alias("u"), F.col("i").cast("long").alias("i"),
-                       F.col("r").cast("double").alias("r"))
-    stats = rows.agg(F.avg("r").alias("mu"), F.countDistinct("i").alias("n_items"), F.countDistinct("u").alias("n_users"),
-                     F.avg(F.when(F.col("r") != 0, F.col("r"))).alias("weight"), F.count(F.lit(1)).alias("n")).first()
-    n = stats["n"] or 0
-    nb = blocks or max(1, math.ceil(math.sqrt(n / rows_per_cell)),
-                       math.ceil(max(stats["n_users"], stats["n_items"]) / ids_per_block))
-    mu = float(stats["mu"] or 0.0) if loss == "svd" else 0.0
-    mean_weight = float(stats["weight"] or 1.0)
-    scale = init_std if gaussian_init else 1.0 / factors
-
-    def side(col, kind, name, salt):
-        ids = rows.select(F.col(col).alias("id")).distinct().withColumn("block", _block(F.col("id"), nb, salt))
-        return ids.groupBy("block").applyInArrow(_packed_ids(kind, name, factors, seed, gaussian_init, scale), _STATE)
-    state = side("u", KIND_USER, "user", 17).unionByName(side("i", KIND_ITEM, "item", 29)).checkpoint(eager=True)
-    path = scratch_path(spark, "cells")
-    (rows.withColumn("ub", _block(F.col("u"), nb, 17)).withColumn("ib", _block(F.col("i"), nb, 29))
-     .groupBy("ub", "ib").applyInArrow(_pack_cell(nb), _STATE)
-     .withColumn("stratum", F.col("grp")).write.partitionBy("stratum").parquet(path))
-    cells = spark.read.schema(_STATE + ", stratum int").parquet(path)      # a filter on stratum prunes files
-    run_epochs = [[(e, s)] for e in range(epochs) for s in range(nb)] if nb > 1 else [[(e, 0) for e in range(epochs)]]
-    for done, steps in enumerate(run_epochs if epochs else [], 1):
-        sub = steps[0][1]
-        part = cells.filter(F.col("stratum") == sub).drop("stratum").withColumn("grp", F.col("block"))
-        keyed = state.withColumn("grp", F.when(F.col("kind") == KIND_USER, F.col("block"))
-                                 .otherwise(F.pmod(F.col("block") - F.lit(sub), F.lit(nb))))
-        fn = _step(loss, factors, lr, reg, mu, seed, steps, int(stats["n_items"] or 0), weighted, mean_weight, max_trials)
-        state = keyed.unionByName(part).groupBy("grp").applyInArrow(fn, _STATE)
-        if done % (nb * checkpoint_every) == 0 or done == len(run_epochs):
-            state = state.checkpoint(eager=True)
-    kind = {"svd": "svd", "bpr": "biased", "warp": "biased", "logistic": "biased"}[loss]
-    return FactorModel(kind, _unpacked(state, KIND_USER, factors).checkpoint(eager=True),
-                       _unpacked(state, KIND_ITEM, factors).checkpoint(eager=True), global_mean=mu, divisor=1.0,
-                       params={"loss": loss, "factors": factors, "epochs": epochs, "lr": lr, "reg": reg, "seed": seed,
-                               "blocks": nb, "weighted": weighted, "max_trials": max_trials})
+    fit = Fit(loss, factors, epochs, lr, reg, seed, init_std, gaussian_init, weighted, adaptive, max_trials)
+    return fit_blocks(rows, [fit], blocks, rows_per_cell, ids_per_block)[0][epochs]

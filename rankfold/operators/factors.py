@@ -27,6 +27,9 @@ class FactorModel:
     global_mean: float = 0.0
     divisor: float = 1.0
     params: dict = field(default_factory=dict)
+    #: (folder, file) of the blocks behind the two tables, where they are block files.
+    user_files: list | None = None
+    item_files: list | None = None
 
     @property
     def clip(self):

@@ -29,6 +29,11 @@ def safe_ratio(num, den):
     return F.when(den > 0, num / den).otherwise(F.lit(0.0))
 
 
+def sampling_ratio(sampled, available):
+    """sampled users in percent of those available, one decimal; 0.0 when none are."""
+    return F.round(safe_ratio(sampled * 100.0, available), 1)
+
+
 def precision_recall_at_k(recs: DataFrame, truth: DataFrame, k: int, user: str = "visitorid",
                           item: str = "itemid", require_list: bool = False) -> DataFrame:
     """hits/k and hits/|truth| averaged over users with truth.
@@ -45,3 +50,28 @@ def precision_recall_at_k(recs: DataFrame, truth: DataFrame, k: int, user: str =
         F.round(F.coalesce(F.avg(safe_ratio(F.col("hits"), F.lit(k))), F.lit(0.0)), 6).alias("precision_at_k"),
         F.round(F.coalesce(F.avg(safe_ratio(F.col("hits"), F.col("n_truth"))), F.lit(0.0)), 6).alias("recall_at_k"),
     )
+
+
+def precision_recall_per_model(recs: DataFrame, truth: DataFrame, k: int, models: list[str], user: str = "visitorid",
+                               item: str = "itemid", require_list: bool = False) -> DataFrame:
+    """``precision_recall_at_k`` of several models' lists at once: (model, users, hits, precision_at_k, recall_at_k).
+
+    ``recs``: (model, user, item, rank).  Users with truth but no list of a
+    model have no row there; they count by the number of users, so no user is
+    paired with every model.
+    """
+    t = truth.select(user, item).distinct()
+    t_size = t.groupBy(user).agg(F.count(F.lit(1)).alias("n_truth"))
+    top = recs.filter(F.col("rank") <= k).select("model", user, item)
+    per = (top.join(t.withColumn("_hit", F.lit(1)), [user, item], "left")
+           .groupBy("model", user).agg(F.count("_hit").alias("hits")).join(t_size, user))
+    sums = per.groupBy("model").agg(
+        F.count(F.lit(1)).alias("lists"), F.sum("hits").alias("hits"), F.sum(F.col("hits") / F.lit(k)).alias("_p"),
+        F.sum(F.col("hits") / F.col("n_truth")).alias("_r"))
+    named = t_size.groupBy().agg(F.count(F.lit(1)).alias("_users")).select(
+        F.explode(F.array(*[F.lit(m) for m in models])).alias("model"), "_users")
+    users = F.coalesce(F.col("lists"), F.lit(0)) if require_list else F.col("_users")
+    mean = lambda x: F.round(safe_ratio(F.coalesce(x, F.lit(0.0)), users), 6)
+    return (named.join(sums, "model", "left")
+            .select("model", users.cast("long").alias("users"), F.coalesce("hits", F.lit(0)).cast("long").alias("hits"),
+                    mean(F.col("_p")).alias("precision_at_k"), mean(F.col("_r")).alias("recall_at_k")))

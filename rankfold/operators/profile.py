@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import KNOWN_EVENTS
-from ..session import keep
-from .interactions import one_row
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -79,28 +77,33 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def profile_summary(raw: DataFrame) -> DataFrame:
     """The findings table from one pass over the log.
 
-    Distinct full rows with their counts answer everything else, so the log is
-    read and shuffled once.
+    Full rows are counted first; each distinct row then adds its counts to its
+    visitor and to its item, and the totals are sums over the items (the null
+    item included).  Three aggregations in one job, nothing is kept.
     """
-    rows = keep(raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("n")))
-    known = F.col("event").isin(*KNOWN_EVENTS)
-
-    def share(event: str):
-        return F.round(F.sum(F.when(F.col("event") == event, F.col("n")).otherwise(0))
-                       / F.sum(F.when(F.col("event").isNotNull(), F.col("n"))) * 100, 6).alias(f"{event}_pct")
-
-    def total(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long")
-    main = rows.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_events"),
-        share("view"), share("addtocart"), share("transaction"),
-        total(~known | F.col("event").isNull()).alias("unknown_events"),
-        total(F.col("transactionid").isNull()).alias("null_transactionid"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
-    distinct = rows.agg(F.countDistinct("visitorid").alias("n_visitors"), F.countDistinct("itemid").alias("n_items"))
-    top = (rows.filter(F.col("event").isin("addtocart", "transaction") & F.col("itemid").isNotNull())
-           .groupBy("itemid").agg(F.sum("n").alias("n"))
-           .agg(F.min_by("itemid", F.struct((-F.col("n")).alias("n"), F.col("itemid"))).alias("top_item")))
-    names = ["n_events", "n_visitors", "n_items", "view_pct", "addtocart_pct", "transaction_pct", "unknown_events",
-             "null_transactionid", "duplicate_rows", "top_item"]
-    return one_row([main, distinct, top]).select(*names)
+    rows = raw.groupBy(*raw.columns).agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+
+    def when(condition):
+        return F.sum(F.when(condition, n).otherwise(0))
+    known = F.coalesce(F.col("event").isin(*KNOWN_EVENTS), F.lit(False))
+    sides = F.explode(F.array(F.struct(F.lit("v").alias("side"), F.col("visitorid").alias("id")),
+                              F.struct(F.lit("i").alias("side"), F.col("itemid").alias("id")))).alias("_s")
+    per = rows.select("event", "transactionid", "n", sides).groupBy("_s.side", "_s.id").agg(
+        F.sum(n).alias("n"), F.sum(n - 1).alias("repeated"), when(~known).alias("unknown"),
+        when(F.col("event").isNotNull()).alias("labelled"), when(F.col("transactionid").isNull()).alias("untransacted"),
+        *[when(F.col("event") == e).alias(e) for e in KNOWN_EVENTS])
+    item, known_id = F.col("side") == "i", F.col("id").isNotNull()
+    signal = F.col("addtocart") + F.col("transaction")
+
+    def total(c):
+        return F.coalesce(F.sum(F.when(item, F.col(c))), F.lit(0)).cast("long")
+
+    def share(event):
+        return F.round(F.sum(F.when(item, F.col(event))) / F.sum(F.when(item, F.col("labelled"))) * 100, 6).alias(f"{event}_pct")
+    return per.agg(
+        total("n").alias("n_events"), F.count(F.when(~item & known_id, 1)).alias("n_visitors"),
+        F.count(F.when(item & known_id, 1)).alias("n_items"), share("view"), share("addtocart"), share("transaction"),
+        total("unknown").alias("unknown_events"), total("untransacted").alias("null_transactionid"),
+        total("repeated").alias("duplicate_rows"),
+        F.min_by("id", F.when(item & known_id & (signal > 0), F.struct((-signal).alias("n"), F.col("id")))).alias("top_item"))

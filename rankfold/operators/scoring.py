@@ -1,50 +1,55 @@
-"""Blocked user x item scoring with exclusions and per-user top-K.
-
-Users are hashed into U blocks and items into I blocks; each block of factors
-is packed into one row (ids, matrix, biases).  What is copied to the U x I
-cells are these packed rows, and to each cell only those seen pairs that fall
-into it, packed too.  A cell scores its users against its items with one matrix
-product per chunk of users, masks the seen pairs, and keeps the local top-K per
-user (score desc, item asc).  A window with row_number <= K merges the at most
-K x I local winners of each user.  No user x item pair is ever a row, no hot
-user's history is gathered in one place (its seen pairs are spread over the
-I item blocks), and block sizes and ``chunk`` bound the memory of every task.
-The number of blocks follows the sizes, and for small inputs the number of
-cores; that changes the layout only, never the lists.
+"""User x item scoring with exclusions and per-user top-K, item blocks skipped by a bound.
+
+Item factors are sorted by their length (2-norm), longest first, and written as
+block files into the shared folder; seen pairs are written as one file per user
+block.  Users are hashed into blocks, and each block is one task that streams
+the item blocks past its users.  For a user with factor p no item of a block
+can score more than ``mu + (b_u + max b_i + |p| max|q|) / divisor``; once a user
+holds K items, blocks whose bound is below the K-th score are skipped for that
+user, which leaves the lists exact (ties count as not below).  Nothing is
+shuffled but the user factors and the seen pairs, once each; no user x item
+pair is ever a row, and a task holds its users, their seen pairs and one item
+block at a time.
+
+Several models over the same users, items and seen pairs are scored by the same
+jobs (``score_many``).  The number of blocks follows the sizes, and for small
+inputs the number of cores; that changes the layout only, never the lists.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path
+from ..sources.blockfiles import load_block, save_block
+from .cells import tagged_rows
 from .factors import FactorModel
 
-_OUT_SCHEMA = "u long, i long, score double"
+_OUT = "model string, u long, i long, score double, rank int"
+BLOCK_USERS = 8_192
+BLOCK_ITEMS = 8_192
 
 
-def _block_counts(n_users: int, n_items: int, parallelism: int,
-                  max_users: int, max_items: int) -> tuple[int, int]:
-    nu = max(1, math.ceil(n_users / max_users))
-    ni = max(1, math.ceil(n_items / max_items))
-    # enough cells to keep every core busy, without splitting blocks below ~256 rows
-    while nu * ni < 2 * parallelism and n_users / (nu * 2) >= 256:
-        nu *= 2
-    return nu, ni
+def _user_blocks(n_users: int, models: int, parallelism: int, max_users: int) -> int:
+    n = max(1, math.ceil(n_users / max_users))
+    # enough tasks to keep every core busy, without splitting blocks below ~256 users
+    while n * models < 2 * parallelism and n_users / (n * 2) >= 256:
+        n *= 2
+    return n
 
 
-def _local_topk(est: np.ndarray, uid: np.ndarray, item_ids: np.ndarray, k: int) -> pd.DataFrame:
-    """Exact per-row top-k of ``est`` (score desc, then item id asc; columns are in id order).
+def _local_topk(est: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, score) of every row's top k of ``est``: score desc, then column asc; -inf never appears.
 
     np.partition finds each row's k-th largest score in linear time; only the
-    entries at or above it (ties included) are sorted.  Masked entries (-inf)
-    never appear.
+    entries at or above it (ties included) are sorted.
     """
     n = est.shape[1]
     kk = min(k, n)
@@ -53,37 +58,8 @@ def _local_topk(est: np.ndarray, uid: np.ndarray, item_ids: np.ndarray, k: int)
     v = est[r, c]
     order = np.lexsort((c, -v, r))
     r, c, v = r[order], c[order], v[order]
-    first = np.searchsorted(r, r, side="left")
-    keep = (np.arange(len(r)) - first) < kk
-    return pd.DataFrame({"u": uid[r[keep]], "i": item_ids[c[keep]], "score": v[keep]})
-
-
-_PACKED = "ub int, ib int, kind int, ids binary, m binary, b binary"
-USERS, ITEMS, SEEN = 0, 1, 2
-
-
-def _packed(ub, ib, kind, ids, m, b) -> pa.Table:
-    return pa.table({"ub": pa.array([ub], pa.int32()), "ib": pa.array([ib], pa.int32()), "kind": pa.array([kind], pa.int32()),
-                     **{n: pa.array([x.tobytes()], pa.binary()) for n, x in (("ids", ids), ("m", m), ("b", b))}})
-
-
-def _pack_factors(kind: int):
-    """One block of factor rows as one row, ids rising."""
-    def run(key, table):
-        ids = table.column("id").to_numpy()
-        order = np.argsort(ids, kind="stable")
-        flat = table.column("features").combine_chunks().flatten().to_numpy().astype("<f8")
-        m = flat.reshape(len(ids), -1)[order]
-        bias = table.column("bias").to_numpy().astype("<f8")[order]
-        block = key[0].as_py()
-        ub, ib = (block, 0) if kind == USERS else (0, block)
-        return _packed(ub, ib, kind, ids.astype("<i8")[order], m, bias)
-    return run
-
-
-def _pack_seen(key, table):
-    return _packed(key[0].as_py(), key[1].as_py(), SEEN, table.column("id").to_numpy().astype("<i8"),
-                   table.column("item").to_numpy().astype("<i8"), np.empty(0))
+    keep = (np.arange(len(r)) - np.searchsorted(r, r, side="left")) < kk
+    return r[keep], c[keep], v[keep]
 
 
 def _places(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -92,82 +68,172 @@ def _places(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, ids[at] == wanted
 
 
-def _cell_scorer(kind: str, mu: float, divisor: float, clip, k: int, chunk: int):
-    def score_cell(key, table):
-        rows = {r["kind"]: r for r in table.to_pylist()}
-        if USERS not in rows or ITEMS not in rows:
-            return pa.table({"u": pa.array([], pa.int64()), "i": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        uid, items = (np.frombuffer(rows[x]["ids"], "<i8") for x in (USERS, ITEMS))
-        P, Q = (np.frombuffer(rows[x]["m"], "<f8").reshape(len(n), -1) for x, n in ((USERS, uid), (ITEMS, items)))
-        bu, bi = (np.frombuffer(rows[x]["b"], "<f8") for x in (USERS, ITEMS))
-        seen_u, seen_i = np.empty(0, np.int64), np.empty(0, np.int64)
-        if SEEN in rows:
-            a, ok_a = _places(uid, np.frombuffer(rows[SEEN]["ids"], "<i8"))
-            b, ok_b = _places(items, np.frombuffer(rows[SEEN]["m"], "<i8"))
-            ok = ok_a & ok_b
-            order = np.argsort(a[ok], kind="stable")
-            seen_u, seen_i = a[ok][order], b[ok][order]
-        out = []
-        for s in range(0, len(uid), chunk):
-            e = min(s + chunk, len(uid))
-            raw = P[s:e] @ Q.T
-            if kind != "dot":
-                raw = bu[s:e, None] + bi[None, :] + raw
-            est = mu + raw / divisor
+class Lists:
+    """The best k (score desc, item asc) of every user of a block so far."""
+
+    def __init__(self, n: int, k: int):
+        self.k = k
+        self.score = np.full((n, k), -np.inf)
+        self.item = np.full((n, k), np.iinfo(np.int64).max)
+
+    def merge(self, users: np.ndarray, row: np.ndarray, item: np.ndarray, score: np.ndarray) -> None:
+        """Take up candidates of ``users[row]``."""
+        if len(row) == 0:
+            return
+        hit, row = np.unique(row, return_inverse=True)
+        users = users[hit]
+        r = np.concatenate((np.repeat(np.arange(len(users)), self.k), row))
+        s = np.concatenate((self.score[users].ravel(), score))
+        i = np.concatenate((self.item[users].ravel(), item))
+        order = np.lexsort((i, -s, r))
+        r, s, i = r[order], s[order], i[order]
+        at = np.arange(len(r)) - np.searchsorted(r, r, side="left")
+        keep = at < self.k
+        self.score[users[r[keep]], at[keep]] = s[keep]
+        self.item[users[r[keep]], at[keep]] = i[keep]
+
+
+def _writer(folder: str):
+    """Item rows of a partition, longest first, as one block file per model; yields (model, file, size, bounds)."""
+    def run(batches):
+        part, held = TaskContext.get().partitionId(), {}
+        for b in batches:
+            flat = b.column("features")
+            ends = flat.offsets.to_numpy()
+            values = flat.values.to_numpy()
+            for n, model in enumerate(b.column("model").to_pylist()):
+                held.setdefault(model, []).append((b.column("id")[n].as_py(), b.column("bias")[n].as_py(),
+                                                   values[ends[n]:ends[n + 1]]))
+        rows = []
+        for model, items in held.items():
+            ids = np.array([x[0] for x in items], np.int64)
+            order = np.argsort(ids)
+            m, bias = np.stack([x[2] for x in items])[order], np.array([x[1] for x in items])[order]
+            name = f"items-{part}-{len(rows)}"
+            save_block(folder, name, ids=ids[order], m=m, b=bias)
+            rows.append((model, name, len(ids), float(np.sqrt((m * m).sum(axis=1)).max()), float(bias.max())))
+        columns = list(zip(*rows)) or [[]] * 5
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.float64(), pa.float64()))],
+            names=["model", "file", "n", "reach", "bias"])
+    return run
+
+
+def _scorer(folder: str, blocks: dict[str, list], models: dict[str, tuple], k: int, chunk: int):
+    """Lists of one user block under one model; ``blocks``: (file, reach, bias) per model, longest items first."""
+    def run(key, table):
+        name, ub = key[0].as_py(), key[1].as_py()
+        kind, mu, divisor, clip = models[name]
+        uid = table.column("id").to_numpy()
+        order = np.argsort(uid)
+        uid = uid[order]
+        P = table.column("features").combine_chunks().flatten().to_numpy().reshape(len(uid), -1)[order]
+        bu = table.column("bias").to_numpy()[order] if kind != "dot" else np.zeros(len(uid))
+        seen = load_block(folder, f"seen-{ub}")
+        su, si = (seen["u"], seen["i"]) if seen else (np.empty(0, np.int64),) * 2
+        su, known = _places(uid, su)
+        su, si = su[known], si[known]                       # by user, then item
+        length = np.sqrt((P * P).sum(axis=1))
+        best = Lists(len(uid), k)
+        for file, reach, bias in blocks[name]:
+            raw = length * reach + (bu + bias if kind != "dot" else 0.0)
+            bound = mu + (raw + 1e-9 * (1.0 + np.abs(raw))) / divisor
             if clip is not None:
-                est = np.clip(est, clip[0], clip[1])
-            lo, hi = np.searchsorted(seen_u, [s, e])
-            est[seen_u[lo:hi] - s, seen_i[lo:hi]] = -np.inf
-            out.append(_local_topk(est, uid[s:e], items, k))
-        return pa.Table.from_pandas(pd.concat(out, ignore_index=True), preserve_index=False)
-    return score_cell
+                bound = np.clip(bound, clip[0], clip[1])
+            open_ = np.flatnonzero(bound >= best.score[:, -1])
+            if len(open_) == 0:
+                continue
+            block = load_block(folder, file)
+            items, Q, bi = block["ids"], block["m"], block["b"]
+            b, here = _places(items, si)
+            a, b = su[here], b[here]
+            for s in range(0, len(open_), chunk):
+                users = open_[s:s + chunk]
+                raw = P[users] @ Q.T
+                if kind != "dot":
+                    raw = bu[users, None] + bi[None, :] + raw
+                est = mu + raw / divisor
+                if clip is not None:
+                    est = np.clip(est, clip[0], clip[1])
+                at, mine = _places(users, a)
+                est[at[mine], b[mine]] = -np.inf
+                r, c, v = _local_topk(est, k)
+                best.merge(users, r, items[c], v)
+        u, rank = np.nonzero(np.isfinite(best.score))
+        return pa.table({"model": pa.array([name] * len(u), pa.string()), "u": pa.array(uid[u], pa.int64()),
+                         "i": pa.array(best.item[u, rank], pa.int64()), "score": pa.array(best.score[u, rank]),
+                         "rank": pa.array(rank + 1, pa.int32())})
+    return run
 
 
-def score_topk(model: FactorModel, users: DataFrame, k: int, seen: DataFrame | None = None,
-               items: DataFrame | None = None, max_block_users: int = 65_536,
-               max_block_items: int = 8192, chunk: int = 1024) -> DataFrame:
-    """Top-k unseen items per requested user.
+def score_many(models: dict[str, FactorModel], users: DataFrame, k: int, seen: DataFrame | None = None,
+               items: DataFrame | None = None, max_block_users: int = BLOCK_USERS,
+               max_block_items: int = BLOCK_ITEMS, chunk: int = 1024, cold: DataFrame | None = None) -> DataFrame:
+    """Top-k unseen items per requested user under each model.
 
     users: column ``u`` (raw ids; users without factors get no list);
-    seen:  (u, i) pairs to exclude; items: optional candidate set (column ``i``).
-    Returns (u, i, score, rank) with rank 1..k in (score desc, i asc) order.
+    seen:  (u, i) pairs to exclude; items: optional candidate set (column ``i``);
+    cold: users (column ``id``) without factors that get zero factors, so the item biases rank for them.
+    Returns (model, u, i, score, rank) with rank 1..k in (score desc, i asc) order.
     """
     spark = users.sparkSession
-    uf = model.user_factors.join(users.select(F.col("u").alias("id")).distinct(), "id", "left_semi")
-    itf = model.item_factors
+    checkpoint_dir(spark)
+    folder = scratch_path(spark, "topk")
+
+    def tagged(side):
+        files = [(name, *f) for name, m in models.items() for f in getattr(m, f"{side}_files") or ()]
+        parts = [tagged_rows(spark, files)] if files else []
+        parts += [getattr(m, f"{side}_factors").select(F.lit(name).alias("model"), "id", F.col("bias").cast("double")
+                                                       .alias("bias"), "features")
+                  for name, m in models.items() if getattr(m, f"{side}_files") is None]
+        return reduce(DataFrame.unionByName, parts)
+    asked = users.select(F.col("u").alias("id")).distinct()
+    uf, itf = tagged("user"), tagged("item")
+    if cold is not None:
+        sizes = itf.groupBy("model").agg(F.max(F.size("features")).alias("f")).collect()      # a row per model
+        zeros = F.explode(F.array(*[F.struct(F.lit(r["model"]).alias("model"), F.lit(r["f"]).alias("f")) for r in sizes]))
+        uf = uf.unionByName(cold.select("id", zeros.alias("_z")).select(
+            "_z.model", "id", F.lit(0.0).alias("bias"), F.array_repeat(F.lit(0.0), F.col("_z.f")).alias("features")))
+    uf = uf.join(asked, "id", "left_semi")
+    # sizes from the id sets, not from the factors: a few rows more than the models know do no harm
+    n_users = asked.count()
     if items is not None:
-        itf = itf.join(items.select(F.col("i").alias("id")).distinct(), "id", "left_semi")
-    sizes = (uf.select(F.lit(1).alias("nu"), F.lit(0).alias("ni"))
-             .unionByName(itf.select(F.lit(0).alias("nu"), F.lit(1).alias("ni")))
-             .agg(F.sum("nu").alias("nu"), F.sum("ni").alias("ni")).first())         # one job, two scalars
-    n_users, n_items = int(sizes["nu"] or 0), int(sizes["ni"] or 0)
+        allowed = items.select(F.col("i").alias("id")).distinct()
+        itf, n_items = itf.join(allowed, "id", "left_semi"), allowed.count() * len(models)
+    else:
+        n_items = itf.select("model", "id").count()
+    itf = itf.withColumn("reach", F.aggregate("features", F.lit(0.0), lambda s, x: s + x * x))
     if n_users == 0 or n_items == 0:
-        return spark.createDataFrame([], _OUT_SCHEMA + ", rank int")
-    nu, ni = _block_counts(n_users, n_items, spark.sparkContext.defaultParallelism,
-                           max_block_users, max_block_items)
-
-    def block(col, salt, n):
-        return F.pmod(F.xxhash64(col, F.lit(salt)), F.lit(n)).cast("int")
-
-    def factors(df, kind, salt, n):
-        rows = df.select(block(F.col("id"), salt, n).alias("block"), "id", "bias", "features")
-        return rows.groupBy("block").applyInArrow(_pack_factors(kind), _PACKED)
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    cells = (factors(uf, USERS, 17, nu).withColumn("ib", every(ni))
-             .unionByName(factors(itf, ITEMS, 29, ni).withColumn("ub", every(nu))))
+        return spark.createDataFrame([], _OUT)
+    nu = _user_blocks(n_users, len(models), spark.sparkContext.defaultParallelism, max_block_users)
+    parts = max(len(models), math.ceil(n_items / max_block_items))
+    ordered = itf.repartitionByRange(parts, F.col("model"), F.col("reach").desc(), F.col("id"))
+    written = ordered.select("model", "id", "bias", "features").mapInArrow(
+        _writer(folder), "model string, file string, n long, reach double, bias double").collect()   # a row per block
+    blocks = {m: [(r["file"], r["reach"], r["bias"]) for r in sorted(written, key=lambda r: (-r["reach"], r["file"]))
+                  if r["model"] == m] for m in models}
+
+    def block(col):
+        return F.pmod(F.xxhash64(col, F.lit(17)), F.lit(nu)).cast("int")
     if seen is not None:
-        s = (seen.select(F.col("u").alias("id"), F.col("i").alias("item")).distinct()
-             .join(uf.select("id"), "id", "left_semi"))
-        cells = cells.unionByName(
-            s.select(block(F.col("id"), 17, nu).alias("ub"), block(F.col("item"), 29, ni).alias("ib"), "id", "item")
-            .groupBy("ub", "ib").applyInArrow(_pack_seen, _PACKED))
-    scorer = _cell_scorer(model.kind, float(model.global_mean), float(model.divisor), model.clip, k, chunk)
-    local = cells.groupBy("ub", "ib").applyInArrow(scorer, _OUT_SCHEMA)
-    w = Window.partitionBy("u").orderBy(F.col("score").desc(), F.col("i").asc())
-    top = (local.withColumn("rank", F.row_number().over(w))
-           .filter(F.col("rank") <= k)
-           .withColumn("rank", F.col("rank").cast("int")))
+        def write_seen(key, table):
+            u, i = table.column("u").to_numpy(), table.column("i").to_numpy()
+            order = np.lexsort((i, u))
+            save_block(folder, f"seen-{key[0].as_py()}", u=u[order], i=i[order])
+            return pa.table({"n": pa.array([len(u)], pa.int64())})
+        pairs = seen.select("u", "i").distinct().join(asked.withColumnRenamed("id", "u"), "u", "left_semi")
+        (pairs.withColumn("ub", block(F.col("u"))).groupBy("ub").applyInArrow(write_seen, "n long")
+         .agg(F.sum("n")).collect())
+    about = {n: (m.kind, float(m.global_mean), float(m.divisor), m.clip) for n, m in models.items()}
+    lists = (uf.withColumn("ub", block(F.col("id"))).repartition(min(nu * len(models), 4096), "model", "ub")
+             .groupBy("model", "ub").applyInArrow(_scorer(folder, blocks, about, k, chunk), _OUT))
     # k rows per user: written once to the shared checkpoint folder, so later
     # uses (fusion, metrics) neither rerun the Python stage nor depend on it
-    checkpoint_dir(spark)
-    return top.checkpoint(eager=True)
+    return lists.checkpoint(eager=True)
+
+
+def score_topk(model: FactorModel, users: DataFrame, k: int, seen: DataFrame | None = None,
+               items: DataFrame | None = None, max_block_users: int = BLOCK_USERS,
+               max_block_items: int = BLOCK_ITEMS, chunk: int = 1024) -> DataFrame:
+    """(u, i, score, rank) of one model: see ``score_many``."""
+    return score_many({"": model}, users, k, seen, items, max_block_users, max_block_items, chunk).drop("model")

@@ -21,7 +21,7 @@ from ..functions.hashing import h
 from . import ratings as rat
 from .factors import FactorModel
 from .interactions import raw_cells
-from .scoring import score_topk
+from .scoring import score_many
 from .splits import PhaseSplits
 
 MODELS = ("als", "bpr", "lightfm", "svd")
@@ -46,9 +46,9 @@ def universe(sp: PhaseSplits, model: str, ratings: DataFrame | None = None) -> U
     return Universe(fit.select("visitorid").distinct(), fit.select("itemid").distinct(), seen)
 
 
-def recommend(model: FactorModel, uni: Universe, requested: DataFrame, k: int,
-              candidates: DataFrame | None = None) -> DataFrame:
-    """(visitorid, rank, itemid, score) for requested visitors the model knows.
+def recommend_many(models: dict[str, FactorModel], uni: Universe, requested: DataFrame, k: int,
+                   candidates: DataFrame | None = None, cold: DataFrame | None = None) -> DataFrame:
+    """(model, visitorid, rank, itemid, score) for requested visitors the models know (J9), in one scoring job.
 
     Unknown visitors get no rows; ``recommend_batch`` turns that into an empty list.
     """
@@ -58,8 +58,14 @@ def recommend(model: FactorModel, uni: Universe, requested: DataFrame, k: int,
     if candidates is not None:
         items = items.join(candidates.select(F.col("itemid").alias("i")), "i", "left_semi")
     seen = uni.seen.select(F.col("visitorid").alias("u"), F.col("itemid").alias("i"))
-    top = score_topk(model, users, k, seen=seen, items=items)
-    return top.select(F.col("u").alias("visitorid"), "rank", F.col("i").alias("itemid"), "score")
+    top = score_many(models, users, k, seen=seen, items=items, cold=cold)
+    return top.select("model", F.col("u").alias("visitorid"), "rank", F.col("i").alias("itemid"), "score")
+
+
+def recommend(model: FactorModel, uni: Universe, requested: DataFrame, k: int,
+              candidates: DataFrame | None = None) -> DataFrame:
+    """``recommend_many`` of one model: (visitorid, rank, itemid, score)."""
+    return recommend_many({"": model}, uni, requested, k, candidates).drop("model")
 
 
 def valid_items(recs: DataFrame, item_dict: DataFrame) -> DataFrame:
@@ -118,12 +124,19 @@ def sample_users(users: DataFrame, n: int | None, seed: int = 42, col: str = "vi
     return u.orderBy(h(F.col(col), seed=seed), F.col(col)).limit(n)
 
 
+def cold_users(model: FactorModel, users: DataFrame) -> DataFrame:
+    """Users (id) that the model has no factor for."""
+    return (users.select(F.col("visitorid").alias("id")).distinct()
+            .join(model.user_factors.select("id"), "id", "left_anti"))
+
+
 def with_cold_users(model: FactorModel, users: DataFrame) -> FactorModel:
     """Q23: users the hybrid model never trained on get a zero factor and zero bias,
     so they are ranked by the item biases (a popularity-like order)."""
-    f = len(model.item_factors.select("features").first()["features"])     # one row reaches the driver
-    missing = (users.select(F.col("visitorid").alias("id")).distinct()
-               .join(model.user_factors.select("id"), "id", "left_anti"))
+    first = model.item_factors.select("features").first()                  # one row reaches the driver
+    f = len(first["features"]) if first else 0
+    missing = cold_users(model, users)
     zeros = missing.select("id", F.lit(0.0).alias("bias"), F.array_repeat(F.lit(0.0), f).alias("features"))
     return FactorModel(model.kind, model.user_factors.unionByName(zeros), model.item_factors,
-                       model.global_mean, model.divisor, dict(model.params, cold_users="zero"))
+                       model.global_mean, model.divisor, dict(model.params, cold_users="zero"),
+                       item_files=model.item_files)

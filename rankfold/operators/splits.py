@@ -46,12 +46,17 @@ def period_bounds(phase: str, periods: dict | None = None) -> tuple[str, str]:
     return min(days), max(days)
 
 
+def period_range(start: str, end: str) -> tuple[int, int]:
+    """[first, last) epoch milliseconds of the days ``start`` to ``end``, both inclusive."""
+    return _epoch_ms(start), _epoch_ms(end) + _MS_PER_DAY
+
+
 def period(events: DataFrame, start: str, end: str) -> DataFrame:
     """Rows whose UTC date lies in [start, end], both inclusive.
 
     Written as a range on the epoch-ms column so it reaches a Parquet scan.
     """
-    lo, hi = _epoch_ms(start), _epoch_ms(end) + _MS_PER_DAY
+    lo, hi = period_range(start, end)
     return events.filter((F.col("timestamp") >= F.lit(lo)) & (F.col("timestamp") < F.lit(hi)))
 
 

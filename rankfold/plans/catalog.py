@@ -14,10 +14,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import h
 from ..operators import dictionary as dic
 from ..operators import interactions as inter
 from ..operators import popularity as pop
 from ..operators import ratings as rat
+from ..operators.ranking import global_index
 from ..operators.splits import FIXTURE_PERIODS, PHASES, SPLIT_NAMES, PhaseSplits, build_phase, cold, period_bounds, tagged_splits, warm
 from ..session import keep
 from ..sources.events import tpch_events, tpch_raw_events
@@ -244,7 +246,7 @@ def _all_cells_sql(ph):
     lambda ph: f"SELECT '{ph}' AS phase, scope, matrix, user_idx, item_idx, weight FROM ({_all_cells_sql(ph)})"))
 def q_interaction_matrix(spark, sf):
     """I4 + A9: the ten matrices, long form."""
-    return inter.all_interactions(phases(spark, sf))
+    return inter.all_interactions(inter.period_sums(tpch_events(spark, sf)))
 
 
 def _matrix_stats_sql(ph):
@@ -258,15 +260,9 @@ def _matrix_stats_sql(ph):
 
 @query("matrix_stats", both_phases(_matrix_stats_sql))
 def q_matrix_stats(spark, sf):
-    parts = []
-    bundles = inter.all_bundles(phases(spark, sf))
-    for ph in PHASES:
-        for scope in ("warm", "full"):
-            mats, d = bundles[(ph, scope)]
-            for name, c in mats.items():
-                parts.append(inter.matrix_stats(c, d).select(
-                    F.lit(ph).alias("phase"), F.lit(scope).alias("scope"), F.lit(name).alias("matrix"), "*"))
-    return union_all(parts)
+    """A10: dictionary sizes, stored and non-zero cells and active users of the ten matrices."""
+    sums = inter.period_sums(tpch_events(spark, sf))
+    return inter.all_matrix_stats(inter.all_interactions(sums), inter.dictionary_sizes(sums))
 
 
 @query("matrix_store_roundtrip", both_phases(
@@ -275,7 +271,7 @@ def q_matrix_stats(spark, sf):
 def q_matrix_store_roundtrip(spark, sf):
     """Write all matrices partitioned by (phase, scope, matrix), read back."""
     from ..sources.stores import read_interactions, write_interactions
-    path = write_interactions(inter.all_interactions(phases(spark, sf)))
+    path = write_interactions(inter.all_interactions(inter.period_sums(tpch_events(spark, sf))))
     parts = []
     for (ph, scope), mats in _MATS.items():
         for name, _ in mats:
@@ -287,6 +283,29 @@ def q_matrix_store_roundtrip(spark, sf):
                  F.sum("user_idx").alias("user_sum"), F.sum("item_idx").alias("item_sum")))
 
 
+@query("bucketed_decode", phase_sql(
+    lambda ph: f"SELECT u.raw AS visitorid, count(*) AS cells, sum(weight) AS weight FROM ({cells_sql('tr', 'warm')}) c "
+               "JOIN du_w u ON c.user_idx = u.idx GROUP BY u.raw"))
+def q_bucketed_decode(spark, sf):
+    """S5 + S6 pre-partitioned: training cells and the visitor dictionary bucketed by index, summed and decoded unshuffled."""
+    from ..sources.stores import read_bucketed, write_bucketed
+
+    def one(sp):
+        mats, d = inter.phase_bundle(sp, "warm")
+        cells = read_bucketed(spark, write_bucketed(mats["train_val" if sp.phase == "tune" else "train"], "user_idx", 8),
+                              "user_idx", 8)
+        users = read_bucketed(spark, write_bucketed(d["visitorid"], "idx", 8), "idx", 8)
+        return stored_sums(cells, users)
+    return per_phase(spark, sf, one)
+
+
+def stored_sums(cells, users) -> DataFrame:
+    """(visitorid, cells, weight) of encoded cells and a dictionary; no shuffle if both are bucketed by the index."""
+    per = cells.groupBy("user_idx").agg(F.count(F.lit(1)).alias("cells"), F.sum("weight").alias("weight"))
+    return per.join(users.hint("merge"), per["user_idx"] == users["idx"]).select(
+        F.col("raw").alias("visitorid"), "cells", "weight")
+
+
 @query("ground_truth_nonzero", phase_sql(
     lambda ph: f"SELECT user_idx, item_idx, weight FROM ({cells_sql('wa', 'warm')}) WHERE weight <> 0"))
 def q_ground_truth_nonzero(spark, sf):
@@ -788,13 +807,13 @@ _FUSED = [
 ]
 
 
-def _ens_sql(body, extra, req):
+def _ens_sql(body, extra, req, phase="final"):
     extra_ctes = list(_ratings_ctes()) + [_TRUTH_SQL.format(s="warm", c="wa"), _TRUTH_SQL.format(s="full", c="fu"), _U3]
     extra_ctes += [f"req AS ({req})"]
     for m in _ALL:
         extra_ctes += _model_ctes(m, "req", K)
     extra_ctes += _FUSED + (extra or [])
-    return with_sql(body, "final", extra_ctes)
+    return with_sql(body, phase, extra_ctes)
 
 
 def _u3(s: Serving):
@@ -918,14 +937,36 @@ _CAND_SVD = [
     cand=_CAND_SVD, cand_models=("svd",)))
 def q_precision_recall_svd(spark, sf):
     """SVD over eval items U top-rated-count items; users without a list left out."""
-    s = Serving(spark, sf)
+    return _evaluate_svd(Serving(spark, sf))
+
+
+def _evaluate_svd(s: Serving, max_users: int | None = None, seed: int = 42) -> DataFrame:
+    """E3 over all users with truth, or over a seeded sample of ``max_users`` of them."""
     t = s.truth("full")
     rpop = pop.item_popularity(s.ratings.select(F.col("item_id").alias("itemid")))
     cand = serve.candidate_items(t.select("itemid"), rpop)
+    if max_users is not None:
+        t = t.join(serve.sample_users(t, max_users, seed), "visitorid", "left_semi")
     recs = s.recs("svd", requested=t.select("visitorid"), candidates=cand)
     return met.precision_recall_at_k(recs, t, K, require_list=True).select(F.lit("svd").alias("model"), "*")
 
 
+@query("precision_recall_svd_sampled", serving_sql(
+    "SELECT p.*, round(least(100, a.n) * 100.0 / a.n, 1) AS sampling_ratio_pct FROM ("
+    + _pr_sql("svd", "truth_smp", require_list=True) + ") p, (SELECT count(DISTINCT visitorid) AS n FROM truth_full) a",
+    ("svd",), req="SELECT DISTINCT visitorid FROM truth_full", cand=_CAND_SVD + [
+        "smp AS (SELECT visitorid FROM (SELECT DISTINCT visitorid FROM truth_full) ORDER BY "
+        "('0x' || substr(md5(concat_ws('|', CAST(visitorid AS VARCHAR), '42')), 1, 15))::BIGINT, visitorid LIMIT 100)",
+        "truth_smp AS (SELECT * FROM truth_full WHERE visitorid IN (SELECT visitorid FROM smp))"], cand_models=("svd",)))
+def q_precision_recall_svd_sampled(spark, sf):
+    """E3 + F10: SVD evaluated on a seeded sample of 100 users, with the sampling ratio in percent."""
+    s = Serving(spark, sf)
+    users = s.truth("full").agg(F.countDistinct("visitorid").alias("_n"))
+    return (inter.one_row([_evaluate_svd(s, 100).drop("model"), users])
+            .select(F.lit("svd").alias("model"), "users", "hits", "precision_at_k", "recall_at_k",
+                    met.sampling_ratio(F.least(F.lit(100), F.col("_n")), F.col("_n")).alias("sampling_ratio_pct")))
+
+
 @query("sample_users", serving_sql(
     "SELECT visitorid FROM (SELECT DISTINCT visitorid FROM truth_full) ORDER BY "
     + "('0x' || substr(md5(concat_ws('|', CAST(visitorid AS VARCHAR), '42')), 1, 15))::BIGINT, visitorid LIMIT 100", ()))
@@ -1023,10 +1064,16 @@ _ENS_EXTRA = [
 ]
 
 
-def _ensemble(spark, sf):
-    s = Serving(spark, sf)
+def _ensemble(spark, sf, phase="final", max_users=None, seed=42):
+    s = Serving(spark, sf, phase)
     u3 = _u3(s)
-    return ens.evaluate_ensemble(s.all_recs(u3.select("visitorid")), u3, K)
+    asked = serve.sample_users(u3, max_users, seed)
+    return ens.evaluate_ensemble(s.all_recs(asked), u3, K, max_users=max_users, seed=seed)
+
+
+def _sample_sql(users: str, n: int, seed: int = 42) -> str:
+    return (f"SELECT visitorid FROM (SELECT DISTINCT visitorid FROM {users}) ORDER BY "
+            f"('0x' || substr(md5(concat_ws('|', CAST(visitorid AS VARCHAR), '{seed}')), 1, 15))::BIGINT, visitorid LIMIT {n}")
 
 
 @query("ensemble_precision", _ens_sql(_ENS_BODY, _ENS_EXTRA, _U3_USERS))
@@ -1035,6 +1082,24 @@ def q_ensemble_precision(spark, sf):
     return _ensemble(spark, sf)
 
 
+@query("ensemble_precision_validation", _ens_sql(_ENS_BODY, _ENS_EXTRA, _U3_USERS, "tune"))
+def q_ensemble_precision_validation(spark, sf):
+    """E6 on the validation set: the lists of the tuning phase against its evaluation period."""
+    return _ensemble(spark, sf, "tune")
+
+
+#: Users of the sampled evaluations.
+SAMPLE = 100
+
+
+@query("ensemble_precision_sampled", _ens_sql(
+    _ENS_BODY, ["wl AS (SELECT DISTINCT visitorid FROM allrecs WHERE visitorid IN "
+                f"({_sample_sql('u3', SAMPLE)}))"] + _ENS_EXTRA[1:], _U3_USERS))
+def q_ensemble_precision_sampled(spark, sf):
+    """E6 over a seeded sample of the users with truth (the sample is the feature)."""
+    return _ensemble(spark, sf, max_users=SAMPLE)
+
+
 @query("ensemble_improvement", _ens_sql(
     "SELECT combined_precision_at_k, greatest(als_precision_at_k, bpr_precision_at_k, lightfm_precision_at_k, "
     "svd_precision_at_k) AS best_single_precision_at_k, round(combined_precision_at_k - greatest(als_precision_at_k, "
@@ -1090,15 +1155,53 @@ def train_model(s: Serving, name: str, params: dict | None = None, loss: str | N
         return block_sgd.train_block_sgd(cells, "bpr", p["factors"], p["iterations"], p["learning_rate"],
                                          p["regularization"], gaussian_init=False)
     return block_sgd.train_block_sgd(cells, loss or p["loss"], p["no_components"], p["epochs"],
-                                     p["learning_rate"], 0.0, gaussian_init=False, weighted=True)
+                                     p["learning_rate"], 0.0, gaussian_init=False, weighted=True, adaptive=True)
 
 
-def list_checks(s: Serving, model, uni_name: str, truth_scope: str, label: str) -> DataFrame:
-    """What must hold of a trained model's lists whatever its factors: one row of counts SQL can name.
+def training_pairs(s: Serving, name: str) -> DataFrame:
+    """(visitorid, itemid, value) that the model called ``name`` is trained on: ratings, or non-zero cells."""
+    if name == "svd":
+        return s.ratings.select(F.col("user_id").alias("visitorid"), F.col("item_id").alias("itemid"),
+                                F.col("rating").cast("double").alias("value"))
+    return inter.raw_cells(s.sp.train).filter(F.col("weight") != 0).select(
+        "visitorid", "itemid", F.col("weight").cast("double").alias("value"))
+
+
+def learned(s: Serving, model, name: str) -> DataFrame:
+    """One row: (pairs, share, rmse, spread, learned), what the model took from its training pairs.
+
+    ``share``: pairs scored above the same user with a drawn item that is no
+    pair of theirs; a model before its first step scores one half but for
+    chance, and must be left behind by four standard errors.  For ratings the
+    error on the training pairs must be below 95 % of their standard deviation,
+    the error of a constant.
+    """
+    pairs = training_pairs(s, name)
+    items = global_index(pairs.select(F.col("itemid").alias("_other")).distinct(), [F.col("_other").asc()], "n")
+    n_items = max(1, items.count())
+    drawn = (pairs.withColumn("n", F.pmod(h(F.lit("other"), F.col("visitorid"), F.col("itemid")), F.lit(n_items)))
+             .join(items, "n").join(pairs.select("visitorid", F.col("itemid").alias("_other")), ["visitorid", "_other"],
+                                    "left_anti").select("visitorid", "itemid", "_other"))
+    own = predict_pairs(model, pairs)
+    both = (own.join(drawn, ["visitorid", "itemid"]).select("visitorid", F.col("est").alias("_own"),
+                                                            F.col("_other").alias("itemid")))
+    share = predict_pairs(model, both).agg(
+        F.count(F.lit(1)).alias("pairs"), F.avg(F.when(F.col("_own") > F.col("est"), 1.0)
+                                                .when(F.col("_own") == F.col("est"), 0.5).otherwise(0.0)).alias("share"))
+    near = own.agg(F.sqrt(F.avg((F.col("est") - F.col("value")) ** 2)).alias("rmse"),
+                   F.stddev_pop("value").alias("spread"))
+    ok = F.col("rmse") < 0.95 * F.col("spread") if name == "svd" else \
+        F.col("share") > 0.5 + 4 * 0.5 / F.sqrt(F.col("pairs"))
+    return inter.one_row([share, near]).withColumn("learned", F.coalesce(ok, F.lit(False)))
+
+
+def list_checks(s: Serving, model, uni_name: str, truth_scope: str, label: str, trained_as: str) -> DataFrame:
+    """What must hold of a trained model's lists: one row that SQL can name.
 
     lists: evaluation users with a list; entries: their length in total (k each,
     or all unseen items); seen_entries, bad_ranks, repeated: must be 0;
-    bad_factors: factor rows with a null, infinite or missing component.
+    bad_factors: factor rows with a null, infinite or missing component;
+    learned: the model tells its training pairs from other pairs.
     """
     t = s.truth(truth_scope)
     uni = s.uni(uni_name)
@@ -1115,7 +1218,8 @@ def list_checks(s: Serving, model, uni_name: str, truth_scope: str, label: str)
                 F.count(F.when(F.col("n") != F.col("d"), 1)).alias("repeated")),
         seen.agg(F.count(F.lit(1)).alias("seen_entries")),
         factors.agg(F.count(F.when(~F.coalesce(fine, F.lit(False)), 1)).alias("bad_factors")),
-    ]).select(F.lit(label).alias("model"), *[F.col(c).cast("long").alias(c) for c in _CHECKS])
+        learned(s, model, trained_as).select("learned"),
+    ]).select(F.lit(label).alias("model"), *[F.col(c).cast("long").alias(c) for c in _CHECKS], "learned")
 
 
 _CHECKS = ("users", "truth_pairs", "lists", "entries", "bad_ranks", "repeated", "seen_entries", "bad_factors")
@@ -1125,13 +1229,14 @@ def _checks_sql(label: str, m: str, truth: str) -> str:
     """The same row from the data alone; a trained model knows the visitors and items it was trained on."""
     users, items, seen = {
         "als": ("SELECT visitorid FROM nz", "SELECT itemid FROM nz", "nz"),
+        "als_foldin": ("SELECT visitorid FROM truth_warm", "SELECT itemid FROM nz", "nz"),
         "lightfm": ("SELECT visitorid FROM tr UNION ALL SELECT visitorid FROM fu", "SELECT itemid FROM tr", "nz"),
         "svd": ("SELECT user_id FROM hyb", "SELECT item_id FROM hyb", "hyb2"),
     }[m]
     return (f"SELECT '{label}' AS model, (SELECT count(DISTINCT visitorid) FROM {truth}) AS users, "
             f"(SELECT count(*) FROM {truth}) AS truth_pairs, count(*) AS lists, "
             f"CAST(coalesce(sum(least({K}, n_items - n_seen)), 0) AS BIGINT) AS entries, 0::BIGINT AS bad_ranks, "
-            "0::BIGINT AS repeated, 0::BIGINT AS seen_entries, 0::BIGINT AS bad_factors FROM ("
+            "0::BIGINT AS repeated, 0::BIGINT AS seen_entries, 0::BIGINT AS bad_factors, true AS learned FROM ("
             f"SELECT u.visitorid, (SELECT count(*) FROM (SELECT DISTINCT * FROM ({items}))) AS n_items, "
             f"(SELECT count(DISTINCT x.itemid) FROM {seen} x WHERE x.visitorid = u.visitorid) AS n_seen "
             f"FROM (SELECT DISTINCT visitorid FROM {truth}) u WHERE u.visitorid IN ({users})) WHERE n_items > n_seen")
@@ -1148,7 +1253,7 @@ def _trained_query(name, uni_name, truth_scope, loss=None):
         m = train_model(s, name, loss=loss)
         if name == "lightfm":
             m = serve.with_cold_users(m, s.uni("lightfm").users)
-        return list_checks(s, m, uni_name, truth_scope, name if loss is None else f"{name}_{loss}")
+        return list_checks(s, m, uni_name, truth_scope, name if loss is None else f"{name}_{loss}", name)
     run.__doc__ = f"M1-M4: {name}{' ' + loss if loss else ''} trained with its defaults; what must hold of its lists."
     return run
 
@@ -1161,7 +1266,7 @@ for _loss in ("warp", "bpr", "logistic"):
 query("svd_train_recs", _training_sql("svd", "svd", "truth_full"))(_trained_query("svd", "svd", "full"))
 
 
-@query("als_foldin", _training_sql("als_foldin", "als", "truth_warm"))
+@query("als_foldin", _training_sql("als_foldin", "als_foldin", "truth_warm"))
 def q_als_foldin(spark, sf):
     """M7: ALS user factors re-solved from train + eval cells (coded by the training events), for every truth visitor.
 
@@ -1177,7 +1282,7 @@ def q_als_foldin(spark, sf):
     users = keep(alsmod.fold_in(profile, items, DEFAULTS["als"]["regularization"]))
     folded = serve.with_cold_users(block_sgd.FactorModel("dot", users, items), t.select("visitorid"))
     folded.user_factors = keep(folded.user_factors)
-    return list_checks(s, folded, "als", "warm", "als_foldin")
+    return list_checks(s, folded, "als", "warm", "als_foldin", "als")
 
 
 # ------------------------------------------------ names, reports, sinks, runs
@@ -1220,32 +1325,6 @@ def _win_sql(ph: str) -> str:
     return f"win AS (SELECT DATE '{lo}' AS lo, DATE '{hi}' AS hi)"
 
 
-def _names_sql(ph: str) -> str:
-    es = _SETS[ph]
-    parts = []
-    for m in ("baseline", "als", "bpr", "lightfm", "svd"):
-        prefix = "baseline_evaluation_" if m == "baseline" else "evaluation_"
-        parts.append(f"SELECT '{es}' AS eval_set, '{m}' AS model, {_exp_sql(m, es)} AS experiment, "
-                     f"'{prefix}{es}_' || {_exp_sql(m, es)} AS run_name FROM win")
-    return " UNION ALL ".join(parts)
-
-
-@query("experiment_names", both_phases(
-    _names_sql, lambda ph: [_win_sql(ph)]))
-def q_experiment_names(spark, sf):
-    """F2 + F3: experiment and run names from the training period's bounds and default parameters."""
-    parts = []
-    for ph, sp in phases(spark, sf).items():
-        es = _SETS[ph]
-        lo, hi = _window(ph)
-        win = spark.range(1)
-        for m in ("baseline", "als", "bpr", "lightfm", "svd"):
-            exp = runlog.experiment_name(m, lo, hi, es, DEFAULTS.get(m, {}))
-            parts.append(win.select(F.lit(es).alias("eval_set"), F.lit(m).alias("model"), exp.alias("experiment"),
-                                    runlog.run_name(m, es, exp).alias("run_name")))
-    return union_all(parts)
-
-
 _PROTOCOL = {"als": "warm", "bpr": "warm", "lightfm": "full", "svd": "full"}       # evaluation cells per model
 _EVAL_USERS = "SELECT visitorid FROM truth_warm UNION SELECT visitorid FROM truth_full"
 
@@ -1442,33 +1521,143 @@ def q_runs_best(spark, sf):
     return runlog.best_runs(runlog.read_runs(spark, runs), "precision_at_k")
 
 
+def _training_sizes(sp: PhaseSplits, model: str) -> DataFrame:
+    """Users, items and cells (for SVD: ratings) that ``model`` is trained on, one row."""
+    if model == "svd":
+        r = rat.hybrid_ratings(sp.train)
+        return r.agg(F.countDistinct("user_id").alias("train_users"), F.countDistinct("item_id").alias("train_items"),
+                     F.count(F.lit(1)).alias("train_ratings"))
+    fit = sp.train if model != "lightfm" else sp.train.unionByName(sp.eval_full)
+    ids = fit.agg(F.countDistinct("visitorid").alias("train_users"), F.countDistinct("itemid").alias("train_items"))
+    return inter.one_row([ids, inter.raw_cells(sp.train).agg(F.count(F.lit(1)).alias("train_interactions"))])
+
+
+def _training_runs_sql(ph: str) -> str:
+    mode = ph
+    parts = []
+    for m in ("als", "bpr", "lightfm", "svd"):
+        src = {"als": ("tr", "tr"), "bpr": ("tr", "tr"), "lightfm": ("trfu", "trfu"), "svd": ("hyb", "hyb")}[m]
+        u, i = ("user_id", "item_id") if m == "svd" else ("visitorid", "itemid")
+        n = "SELECT count(*) FROM hyb" if m == "svd" else \
+            "SELECT count(*) FROM (SELECT DISTINCT visitorid, itemid FROM tr JOIN de ON tr.event = de.raw)"
+        kind = "train_ratings" if m == "svd" else "train_interactions"
+        parts.append(f"SELECT '{runlog.MODEL_EXPERIMENTS[m]}' AS experiment, 'training_{mode}' AS run_name, "
+                     f"'{m.upper()}' AS model_type, CAST((SELECT count(DISTINCT {u}) FROM {src[0]}) AS DOUBLE) AS train_users, "
+                     f"CAST((SELECT count(DISTINCT {i}) FROM {src[1]}) AS DOUBLE) AS train_items, "
+                     f"'{kind}' AS counted, CAST(({n}) AS DOUBLE) AS train_rows")
+    return " UNION ALL ".join(parts)
+
+
+@query("runs_log_training", both_phases(_training_runs_sql, lambda ph: _ratings_ctes() + [
+    "trfu AS (SELECT visitorid, itemid FROM tr UNION ALL SELECT visitorid, itemid FROM fu)"]))
+def q_runs_log_training(spark, sf):
+    """Training runs of the four models in both modes; every run is logged twice and read back once."""
+    parts = []
+    for ph, sp in phases(spark, sf).items():
+        window = FIXTURE_PERIODS[PHASES[ph][0]]
+        parts += [runlog.training_run(m, ph, DEFAULTS[m], window, _training_sizes(sp, m)) for m in DEFAULTS]
+    runs = union_all(parts).checkpoint()
+    path = runlog.log_runs(runs, scratch_path(spark, "runs"))
+    back = runlog.read_runs(spark, runlog.log_runs(runs, path))
+    m = F.col("metrics")
+    return back.select("experiment", "run_name", F.col("params")["model_type"].alias("model_type"),
+                       m["train_users"].alias("train_users"), m["train_items"].alias("train_items"),
+                       F.when(m["train_ratings"].isNull(), "train_interactions").otherwise("train_ratings").alias("counted"),
+                       F.coalesce(m["train_ratings"], m["train_interactions"]).alias("train_rows"))
+
+
+def _ensemble_run_sql(ph: str) -> str:
+    es = _SETS[ph]
+    names = ("combined", *_ALL)
+    best = "greatest(" + ", ".join(f"{m}_precision_at_k" for m in _ALL) + ")"
+    rows = [f"SELECT '{es}_{m}_precision_at_k' AS key, {m}_precision_at_k AS value FROM ens" for m in names]
+    rows += [f"SELECT '{es}_improvement_over_best', round(combined_precision_at_k - {best}, 6) FROM ens"]
+    rows += [f"SELECT '{c}', CAST({c} AS DOUBLE) FROM ens" for c in ("num_users_evaluated", "num_users_available")]
+    return _ens_sql(f"SELECT '{runlog.ENSEMBLE_EXPERIMENT}' AS experiment, 'combined_borda_count_{es}' AS run_name, key, "
+                    f"CAST(value AS DOUBLE) AS value FROM ({' UNION ALL '.join(rows)})",
+                    _ENS_EXTRA + [f"ens AS ({_ENS_BODY})"], _U3_USERS, ph)
+
+
+@query("runs_log_ensemble", " UNION ALL ".join(f"SELECT * FROM ({_ensemble_run_sql(ph)})" for ph in PHASES))
+def q_runs_log_ensemble(spark, sf):
+    """Ensemble evaluations on the validation and the test set, logged and read back in long form."""
+    path = scratch_path(spark, "runs")
+    for ph, es in _SETS.items():
+        runlog.log_runs(runlog.ensemble_run(es, K, FIXTURE_PERIODS[PHASES[ph][0]], _ensemble(spark, sf, ph)), path)
+    return runlog.runs_long(runlog.read_runs(spark, path)).where("kind = 'metric'").select(
+        "experiment", "run_name", "key", F.col("num_value").alias("value"))
+
+
 # ---------------------------------------------------------------------- tuning
 from ..operators import tuning as tun  # noqa: E402
 
-def objective(tune: Serving, model: str):
-    """Train ``model`` on the tuning phase's training data and score P@k / R@k on its validation cells."""
-    scope = _PROTOCOL[model]
-
-    def run(params: dict) -> dict:
-        m = train_model(tune, model, params)
-        if model == "lightfm":
-            m = serve.with_cold_users(m, tune.uni("lightfm").users)
-        return _eval_trained(tune, m, model, scope, model == "svd").first().asDict()
-    return run
+#: The parameter of each model that counts passes: trials that differ in it alone share a fit.
+_PASSES = {"als": "iterations", "bpr": "iterations", "lightfm": "epochs", "svd": "n_epochs"}
+
+
+def fit_trials(tune: Serving, model: str, points: list[dict]) -> list:
+    """One trained model per point, on the tuning phase's training data; all points are trained by the same jobs."""
+    passes = _PASSES[model]
+    groups: dict[tuple, set] = {}
+    for p in points:
+        groups.setdefault(tuple((k, v) for k, v in p.items() if k != passes), set()).add(p[passes])
+    shared = {g: i for i, g in enumerate(groups)}
+    params = [dict(g) | {passes: max(n), "report": tuple(sorted(n))} for g, n in groups.items()]
+    rows = training_pairs(tune, model) if model in ("als", "bpr", "svd") else \
+        inter.raw_cells(tune.sp.train).withColumn("value", F.col("weight").cast("double"))
+    rows = rows.select(F.col("visitorid").alias("u"), F.col("itemid").alias("i"), F.col("value").alias("r"))
+    if model == "als":
+        fitted = alsmod.fit_als_blocks(rows, [alsmod.AlsFit(p["factors"], p["regularization"], p["iterations"],
+                                                            report=p["report"]) for p in params])
+    elif model == "svd":
+        fitted = block_sgd.fit_blocks(rows, [block_sgd.Fit("svd", p["n_factors"], p["n_epochs"], p["lr_all"],
+                                                           p["reg_all"], report=p["report"]) for p in params])
+    elif model == "bpr":
+        fitted = block_sgd.fit_blocks(rows, [block_sgd.Fit(
+            "bpr", p["factors"], p["iterations"], p["learning_rate"], p["regularization"], gaussian_init=False,
+            report=p["report"]) for p in params])
+    else:
+        fitted = block_sgd.fit_blocks(rows, [block_sgd.Fit(
+            p["loss"], p["no_components"], p["epochs"], p["learning_rate"], 0.0, gaussian_init=False, weighted=True,
+            adaptive=True, report=p["report"]) for p in params])
+    return [fitted[shared[tuple((k, v) for k, v in p.items() if k != passes)]][p[passes]] for p in points]
+
+
+def score_trials(tune: Serving, model: str, fitted: list) -> DataFrame:
+    """(trial, precision_at_k, recall_at_k) of the models on the tuning phase's validation cells, in one scoring job."""
+    t, uni = tune.truth(_PROTOCOL[model]), tune.uni(model)
+    # all trials know the same visitors
+    cold = keep(serve.cold_users(fitted[0], uni.users)) if model == "lightfm" else None
+    recs = serve.recommend_many({str(n): m for n, m in enumerate(fitted)}, uni, t.select("visitorid"), K, cold=cold)
+    return met.precision_recall_per_model(recs, t, K, [str(n) for n in range(len(fitted))], require_list=model == "svd") \
+        .select(F.col("model").cast("int").alias("trial"), "precision_at_k", "recall_at_k")
 
 
 def tune_model(spark, sf, model: str, space: dict | None = None, n_trials: int = tun.DEFAULT_TRIALS,
-               seed: int = 42) -> DataFrame:
+               seed: int = 42, tune: Serving | None = None) -> DataFrame:
     """H1: seeded search of ``space`` (default: the model's own) with up to ``n_trials`` trials."""
     space = space or tun.SEARCH_SPACES[model]
     trials = tun.sample_trials(tun.search_grid(spark, space), n_trials, seed)
-    return tun.run_trials(trials, objective(Serving(spark, sf, "tune"), model), space)
+    tune = tune or Serving(spark, sf, "tune")
+    return tun.run_trials(trials, lambda points: score_trials(tune, model, fit_trials(tune, model, points)), space)
+
+
+def _trials_sql(model: str, space: dict) -> str:
+    """The seeded choice of grid points, and that every trial has metrics between 0 and 1."""
+    grid = " CROSS JOIN ".join(f"(VALUES {', '.join(f"('{v}')" for v in vals)}) t_{k}({k})" for k, vals in space.items())
+    params = " || ',' || ".join(f"'\"{k}\":\"' || {k} || '\"'" for k in space)
+    return (f"SELECT '{model}' AS model, CAST(row_number() OVER (ORDER BY {_h('params')}, params) - 1 AS INTEGER) AS trial, "
+            f"params, true AS scored FROM (SELECT '{{' || {params} || '}}' AS params FROM {grid})")
 
 
-@query("tuning_trials")
+@query("tuning_trials", "SELECT model, trial, params, scored FROM (" + " UNION ALL ".join(
+    _trials_sql(m, space) for m, space in tun.SEARCH_SPACES.items()) + f") WHERE trial < {tun.DEFAULT_TRIALS}")
 def q_tuning_trials(spark, sf):
-    """H1 (+ H2, X2): the four models searched over their own spaces, one row per trial."""
-    return union_all([tune_model(spark, sf, m).select(F.lit(m).alias("model"), "*") for m in tun.SEARCH_SPACES])
+    """H1 (+ H2, X2): the four models searched over their own spaces, one row per trial; scored: both metrics in [0, 1]."""
+    tune = Serving(spark, sf, "tune")
+    out = union_all([tune_model(spark, sf, m, tune=tune).select(F.lit(m).alias("model"), "*") for m in tun.SEARCH_SPACES])
+    return out.select("model", "trial", "params", F.coalesce(
+        F.col("precision_at_k").between(0, 1) & F.col("recall_at_k").between(0, 1), F.lit(False)).alias("scored"))
 
 
 # Searches whose objective SQL can repeat: "factors" picks the tag of the frozen factors.
@@ -1476,14 +1665,16 @@ _FROZEN_SPACE = {"factors": [16, 32, 64, 128], "iterations": [10]}
 
 
 def _frozen_trials(spark, sf) -> DataFrame:
-    s = Serving(spark, sf)
+    s = Serving(spark, sf, "tune")
     t, u = s.truth("warm"), s.uni("als")
 
-    def run(params):
-        tag = f"als_{params['factors']}"
-        m = frozen_model(tag, u.users.select(F.col("visitorid").alias("raw")), u.items.select(F.col("itemid").alias("raw")),
-                         kind="dot")
-        return met.precision_recall_at_k(serve.recommend(m, u, t.select("visitorid"), K), t, K).first().asDict()
+    def run(points):
+        models = {str(n): frozen_model(f"als_{p['factors']}", u.users.select(F.col("visitorid").alias("raw")),
+                                       u.items.select(F.col("itemid").alias("raw")), kind="dot")
+                  for n, p in enumerate(points)}
+        recs = serve.recommend_many(models, u, t.select("visitorid"), K)
+        return met.precision_recall_per_model(recs, t, K, list(models)).select(
+            F.col("model").cast("int").alias("trial"), "precision_at_k", "recall_at_k")
     return tun.run_trials(tun.sample_trials(tun.search_grid(spark, _FROZEN_SPACE)), run, _FROZEN_SPACE)
 
 
@@ -1496,7 +1687,7 @@ def _frozen_trials_sql(body: str) -> str:
               f"FROM ({rows}))")
     best = "best AS (SELECT * FROM trials ORDER BY precision_at_k DESC, trial LIMIT 1)"
     ctes = _serving_ctes(tuple(tags), "SELECT DISTINCT visitorid FROM truth_warm") + [trials, best]
-    return with_sql(body, "final", ctes)
+    return with_sql(body, "tune", ctes)
 
 
 @query("frozen_trials", _frozen_trials_sql("SELECT trial, params, precision_at_k, recall_at_k FROM trials"))
@@ -1505,6 +1696,20 @@ def q_frozen_trials(spark, sf):
     return _frozen_trials(spark, sf)
 
 
+@query("runs_log_tuning", _frozen_trials_sql(
+    f"SELECT '{runlog.MODEL_EXPERIMENTS['als']}' AS experiment, 'trial_' || (trial + 1) AS run_name, "
+    "CAST(trial + 1 AS VARCHAR) AS trial_number, factors, precision_at_k AS validation_precision_at_k, "
+    "recall_at_k AS validation_recall_at_k FROM trials"))
+def q_runs_log_tuning(spark, sf):
+    """One run per trial of a search, logged and read back."""
+    runs = runlog.tuning_runs("als", _frozen_trials(spark, sf), list(_FROZEN_SPACE))
+    back = runlog.read_runs(spark, runlog.log_runs(runs, scratch_path(spark, "runs")))
+    p, m = F.col("params"), F.col("metrics")
+    return back.select("experiment", "run_name", p["trial_number"].alias("trial_number"), p["factors"].alias("factors"),
+                       m["validation_precision_at_k"].alias("validation_precision_at_k"),
+                       m["validation_recall_at_k"].alias("validation_recall_at_k"))
+
+
 @query("best_trial", _frozen_trials_sql("SELECT trial, params, precision_at_k, recall_at_k FROM best"))
 def q_best_trial(spark, sf):
     """H3: the best trial of the search."""

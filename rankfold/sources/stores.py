@@ -6,6 +6,8 @@ one dictionary or one matrix is a partition-pruned scan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +86,39 @@ def read_interactions(spark: SparkSession, path: str, phase: str, scope: str, ma
             .select("user_idx", "item_idx", "weight"))
 
 
+#: Buckets of a pre-partitioned store unless the caller asks for another number: raise it with the data.
+BUCKETS = 64
+
+
+def _register(spark: SparkSession, path: str, schema: str, key: str, buckets: int) -> str:
+    name = f"rankfold_store_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet OPTIONS (path '{path}') "
+              f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS")
+    return name
+
+
+def write_bucketed(df: DataFrame, key: str, buckets: int = BUCKETS, path: str | None = None) -> str:
+    """A table hashed into buckets by ``key`` and sorted in them, written once.
+
+    Tables bucketed alike are joined and grouped on their keys without a
+    shuffle: dictionaries by their id, cells by their user or item.  Rows are
+    dealt to their buckets first, so every bucket is one file.
+    """
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "bucketed")
+    name = f"rankfold_store_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key)
+     .saveAsTable(name))
+    spark.sql(f"DROP TABLE {name}")            # the files stay: only the name goes
+    return path
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """The table behind ``path`` with its buckets known to the planner."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    return spark.table(_register(spark, path, schema, key, buckets))
+
+
 def phase_from_store(spark: SparkSession, path: str, phase: str):
     """PhaseSplits read back from a split store (partition-pruned scans, no recomputation).
 

@@ -89,3 +89,17 @@ def test_pick_fraction_is_the_lowest_hashes(spark):
     for pct in (0.0, 0.2, 0.5, 1.0):
         got = {r.itemid for r in pick_fraction(pairs, pct, 7).collect()}
         assert got == {r.itemid for r in order[:int(3_001 * pct)]}, pct
+
+
+def test_bucketed_store_joins_without_a_shuffle(spark):
+    from rankfold.plans.catalog import stored_sums
+    from rankfold.sources.stores import read_bucketed, write_bucketed
+    cells = spark.range(3000).selectExpr("id % 100 AS user_idx", "id % 7 AS item_idx", "CAST(id % 5 AS double) AS weight")
+    users = spark.range(100).selectExpr("id + 1000 AS raw", "id AS idx")
+    a = read_bucketed(spark, write_bucketed(cells, "user_idx", 8), "user_idx", 8)
+    b = read_bucketed(spark, write_bucketed(users, "idx", 8), "idx", 8)
+    out = stored_sums(a, b)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in stored_sums(cells, users)._jdf.queryExecution().executedPlan().toString()
+    got, want = ({tuple(r) for r in x.collect()} for x in (out, stored_sums(cells, users)))
+    assert got == want and len(got) == 100

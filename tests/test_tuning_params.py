@@ -25,16 +25,43 @@ def test_tuning_trials_search_the_models_spaces(spark, monkeypatch):
     from conftest import SF_SMALL
     from rankfold.operators.tuning import DEFAULT_TRIALS, SEARCH_SPACES
     from rankfold.plans import catalog
-    tried = {m: [] for m in SEARCH_SPACES}
+    tried = {}
 
-    def objective(_, model):                                 # no training here
-        return lambda params: tried[model].append(params) or {"precision_at_k": 0.0, "recall_at_k": 0.0}
-    monkeypatch.setattr(catalog, "objective", objective)
+    def fit_trials(_, model, points):                        # no training here
+        tried[model] = points
+        return points
+
+    def score_trials(_, model, fitted):
+        return spark.createDataFrame([(n, 0.5, 1.5 if n == 7 else 0.25) for n in range(len(fitted))],
+                                     "trial int, precision_at_k double, recall_at_k double")
+    monkeypatch.setattr(catalog, "fit_trials", fit_trials)
+    monkeypatch.setattr(catalog, "score_trials", score_trials)
     rows = entry.queries()["tuning_trials"](spark, SF_SMALL).collect()
     assert {m: sum(r["model"] == m for r in rows) for m in SEARCH_SPACES} == {m: DEFAULT_TRIALS for m in SEARCH_SPACES}
     for m, space in SEARCH_SPACES.items():
         assert all(list(p) == list(space) and all(p[k] in space[k] for k in p) for p in tried[m])
         assert len({json.dumps(p) for p in tried[m]}) == DEFAULT_TRIALS
+    assert all(r["scored"] == (r["trial"] != 7) for r in rows)
+
+
+def test_trials_share_fits(spark):
+    """Points that differ only in their passes share a fit; each point gets the factors of its own number of passes."""
+    import numpy as np
+    from conftest import SF_SMALL
+    from rankfold.plans import catalog
+    tune = catalog.Serving(spark, SF_SMALL, "tune")
+    points = [{"n_factors": 4, "n_epochs": e, "lr_all": 0.01, "reg_all": 0.02} for e in (3, 1)]
+    points.append({"n_factors": 4, "n_epochs": 1, "lr_all": 0.005, "reg_all": 0.02})
+    fitted = catalog.fit_trials(tune, "svd", points)
+    assert [m.params["epochs"] for m in fitted] == [3, 1, 1] and [m.params["lr"] for m in fitted] == [0.01, 0.01, 0.005]
+    alone = catalog.train_model(tune, "svd", points[1])
+    get = lambda m: {r["id"]: r["features"] for r in m.item_factors.collect()}
+    a, b = get(fitted[1]), get(alone)
+    assert a.keys() == b.keys() and all(np.array_equal(a[k], b[k]) for k in a)
+    scored = catalog.score_trials(tune, "svd", fitted).orderBy("trial").collect()
+    assert [r["trial"] for r in scored] == [0, 1, 2]
+    one = catalog._eval_trained(tune, alone, "svd", "full", True).first()
+    assert (scored[1]["precision_at_k"], scored[1]["recall_at_k"]) == (one["precision_at_k"], one["recall_at_k"])
 
 
 def test_best_trial_ties_go_to_earliest(spark):
