@@ -22,7 +22,11 @@ sequence as one).  Documents are linked when 100 * common >= percent * union.
    several components, members are joined on the elements of their differences
    alone, by prefix filtering (additions to the root first, then omissions), and
    the pairs found are confirmed on full sets.  What the star has in common is
-   never compared, so a family of thousands of copies does not make all pairs.
+   never compared, so a family of copies near its root makes no pairs at all.
+   Members far from the root whose differences have elements in common (one form
+   filled in or redacted in many ways) do meet: two members become a pair to
+   confirm if they share an element of their prefixes and pass the size and
+   position bounds, and in such a family most pairs can.
 5. Components are connected again over all confirmed links.
 
 A pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^32 < 1e-7.
@@ -30,7 +34,9 @@ A pair at similarity 0.8 shares no band with probability (1 - 0.8^4)^32 < 1e-7.
 Edge cases: null, empty or blank texts have 0 shingles and are linked with
 nothing; rows that share an id are one document for linking; rows with a null
 id are linked with nothing, keep a null component and are kept; repeated rows
-return one row each; an empty table gives no rows; extra columns are ignored.
+return one row each; very long texts are hashed whole, in a chunk of their own;
+a similarity of exactly ``percent`` links; an empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations

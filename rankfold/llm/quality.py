@@ -20,7 +20,9 @@ Edge cases: null or empty texts have the shape features of an empty document;
 labels without document, null grades and repeated labels (the lowest grade
 counts) are allowed; without any labelled row, or with one grade only, nothing
 is known and every document is kept with probability 1; repeated rows score
-alike; an empty table gives no rows; extra columns pass through.
+alike; a probability of exactly the threshold keeps; very long texts are scored
+whole, in a chunk of their own; an empty table gives no rows; extra columns pass
+through.
 """
 
 from __future__ import annotations

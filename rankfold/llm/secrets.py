@@ -18,7 +18,8 @@ Positions are code points, ends exclusive, found from the lengths of the
 pieces between matches.
 
 Edge cases: null text counts as empty and has no spans; without samples of a
-label its model is uniform; repeated rows and extra columns make no difference;
+label its model is uniform; a ratio of exactly the threshold is no secret; very
+long texts are scanned whole; repeated rows and extra columns make no difference;
 an empty table gives no rows.
 """
 

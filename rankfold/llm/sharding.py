@@ -18,8 +18,9 @@ Only narrow rows (or the rows the caller wants carried) are sorted, by range,
 with a running row id as last sort key, so no key value can fill one task.
 
 Edge cases: null or repeated ids hash like any value, equal rows are placed one
-by one at neighbouring slots; null text has size 1 and crc 0; an empty table
-gives no rows; extra columns are ignored unless carried.
+by one at neighbouring slots; null text has size 1 and crc 0; very long texts
+count by their bytes and are not moved unless carried; an empty table gives no
+rows; extra columns are ignored unless carried.
 """
 
 from __future__ import annotations
