@@ -10,6 +10,7 @@ FAST = [
     "most_active_user", "popular_pool", "popular_topk", "popular_precision", "profile_summary",
     "profile_nulls", "event_counts", "score_topk", "recs_svd_topn", "recs_batch", "svd_predict",
     "precision_recall_mf", "borda_points", "borda_with_hits", "ensemble_precision",
+    "runs_log_training", "runs_log_tuning", "bucketed_decode", "ensemble_precision_sampled", "als_foldin",
 ]
 
 
