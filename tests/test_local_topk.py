@@ -66,3 +66,58 @@ def test_blocks_out_of_reach_are_not_read(spark, tmp_path):
     table = pa.table({"id": [5], "bias": [0.0], "features": pa.array([[1.0]], pa.list_(pa.float64()))})
     out = run((pa.scalar(""), pa.scalar(0)), table).to_pydict()
     assert out["i"] == [0, 1] and out["score"] == [9.0, 8.0] and out["rank"] == [1, 2]
+
+
+def test_clipped_ties_of_larger_ids_are_not_read(spark, tmp_path):
+    """A user whose list is full at the upper clip opens no block whose ids all lose the tie."""
+    import pyarrow as pa
+    from rankfold.operators.scoring import _scorer
+    from rankfold.sources.blockfiles import save_block
+    folder = str(tmp_path)
+    save_block(folder, "long", ids=np.arange(3), m=np.array([[900.0], [800.0], [700.0]]), b=np.zeros(3))
+    blocks = {"": [("long", 900.0, 0.0, 0), ("missing", 600.0, 0.0, 3)]}
+    run = _scorer(folder, blocks, {"": ("svd", 3.0, 100.0, (1.0, 5.0))}, 2, 8)
+    table = pa.table({"id": [5], "bias": [0.0], "features": pa.array([[1.0]], pa.list_(pa.float64()))})
+    out = run((pa.scalar(""), pa.scalar(0)), table).to_pydict()
+    assert out["i"] == [0, 1] and out["score"] == [5.0, 5.0] and out["rank"] == [1, 2]
+
+
+@pytest.mark.parametrize("kind,mu,divisor,whole", [("dot", 0.0, 1.0, False), ("biased", 0.5, 2.0, False), ("dot", 0.0, 1.0, True),
+                                                   ("svd", 3.0, 20.0, True), ("svd", 3.0, 2.0, False), ("svd", -40.0, 1.0, True)])
+def test_leaves_and_single_precision_leave_lists_exact(tmp_path, monkeypatch, kind, mu, divisor, whole):
+    """Several blocks and leaves, whole and broken components, ties at both clips, seen pairs: the lists of a full sort."""
+    import pyarrow as pa
+    from rankfold.operators import scoring
+    from rankfold.operators.factors import CLIP
+    from rankfold.sources.blockfiles import save_block
+    monkeypatch.setattr(scoring, "LEAF_ITEMS", 16)
+    monkeypatch.setattr(scoring, "FIRST_ITEMS", 40)
+    folder, rng = str(tmp_path), np.random.default_rng(3)
+    n, users, k, dims = 900, 60, 6, 4
+    draw = (lambda *s: rng.integers(-4, 5, s).astype(float)) if whole else (lambda *s: rng.normal(size=s) * 3)
+    m, b, P, bu = draw(n, dims), draw(n), draw(users, dims), draw(users)
+    P[0], b0 = 0.0, 0.0 if kind == "dot" else 1.0
+    m[5:9] = m[4]                                              # equal items: ties by id
+    ids = rng.permutation(np.arange(5_000, 5_000 + n))
+    order = np.argsort(-np.linalg.norm(m, axis=1), kind="stable")
+    blocks = []
+    for c, part in enumerate(np.array_split(order, 4)):
+        part = part[scoring._near_order(m[part], 16)]
+        save_block(folder, f"items-{c}", ids=ids[part], m=m[part], b=b[part])
+        blocks.append((f"items-{c}", float(np.linalg.norm(m[part], axis=1).max()), float(b[part].max()), int(ids[part].min())))
+    head = np.argsort(ids)[:64]
+    save_block(folder, "head", ids=ids[head], m=m[head], b=b[head])
+    seen = np.array(sorted({(int(u), int(i)) for u, i in zip(rng.integers(0, users, 4000), rng.choice(ids, 4000))}))
+    save_block(folder, "seen-0", u=seen[:, 0], i=seen[:, 1])
+    clip = CLIP.get(kind)
+    run = scoring._scorer(folder, {"": blocks}, {"": (kind, mu, divisor, clip)}, k, 17, {"": "head"} if clip else {})
+    table = pa.table({"id": np.arange(users), "bias": bu, "features": pa.array(P.tolist(), pa.list_(pa.float64()))})
+    out = run((pa.scalar(""), pa.scalar(0)), table).to_pydict()
+    got = {u: [(i, s) for v, i, s in zip(out["u"], out["i"], out["score"]) if v == u] for u in range(users)}
+    est = mu + (np.einsum("uf,if->ui", P, m) + (bu[:, None] + b[None, :] if b0 else 0.0)) / divisor
+    est = est if clip is None else np.clip(est, *clip)
+    gone = set(map(tuple, seen.tolist()))
+    for u in range(users):
+        want = sorted((-round(est[u, j], 9), int(ids[j])) for j in range(n) if (u, int(ids[j])) not in gone)[:k]
+        assert [i for i, _ in got[u]] == [i for _, i in want]
+        assert np.allclose([s for _, s in got[u]], [-s for s, _ in want])
