@@ -121,3 +121,33 @@ def test_leaves_and_single_precision_leave_lists_exact(tmp_path, monkeypatch, ki
         want = sorted((-round(est[u, j], 9), int(ids[j])) for j in range(n) if (u, int(ids[j])) not in gone)[:k]
         assert [i for i, _ in got[u]] == [i for _, i in want]
         assert np.allclose([s for _, s in got[u]], [-s for s, _ in want])
+
+
+def test_items_are_dealt_to_cells_of_near_items():
+    """Every item gets one cell; cells are even and narrow, and equal items are told apart by id."""
+    from rankfold.operators.scoring import _cell, _coordinates, _cuts
+    rng = np.random.default_rng(5)
+    m, bias, ids = rng.integers(-10, 11, (8000, 3)).astype(float), np.zeros(8000), np.arange(8000)
+    m[:2000] = 1.0                                              # a quarter of the items are alike
+    x = _coordinates(m, bias, ids)
+    cell = _cell(_cuts(x[::4], 16), x)
+    size = np.bincount(cell, minlength=16)
+    assert len(size) == 16 and size.max() < 1100
+    wide = [np.ptp(m[cell == c], axis=0).mean() for c in range(16)]
+    assert np.mean(wide) < 0.7 * np.ptp(m, axis=0).mean()
+    assert set(cell) == set(range(16)) and len(np.unique(cell[:2000])) > 1
+
+
+def test_a_users_best_block_is_met_first(tmp_path):
+    """Blocks are met by the box around them: the one of shorter items but nearer to the user rules the other out."""
+    import pyarrow as pa
+    from rankfold.operators.scoring import _scorer
+    from rankfold.sources.blockfiles import save_block
+    folder = str(tmp_path)
+    near = np.array([[5.0, 0.0], [4.0, 0.0], [3.0, 0.0]])
+    save_block(folder, "near", ids=np.arange(3), m=near, b=np.zeros(3))
+    blocks = {"": [("missing", 9.0, 0.0, 3, [1.0, 9.0], [0.0, 8.0]), ("near", 5.0, 0.0, 0, [5.0, 0.0], [3.0, 0.0])]}
+    run = _scorer(folder, blocks, {"": ("dot", 0.0, 1.0, None)}, 2, 8)
+    table = pa.table({"id": [5], "bias": [0.0], "features": pa.array([[1.0, 0.0]], pa.list_(pa.float64()))})
+    out = run((pa.scalar(""), pa.scalar(0)), table).to_pydict()
+    assert out["i"] == [0, 1] and out["score"] == [5.0, 4.0]
