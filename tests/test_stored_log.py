@@ -33,3 +33,15 @@ def test_stored_log_is_not_joined_again(spark, tmp_path):
     for sp in stored_phases(spark, str(tmp_path)).values():
         plan = sp.eval_warm._jdf.queryExecution().optimizedPlan().toString()
         assert "o_orderkey" not in plan and "l_orderkey" not in plan
+
+
+def test_dictionary_store_reads_a_log_joined_once(spark, tmp_path, monkeypatch):
+    """The dictionaries of both phases are fit on the stored log, not on a join per dictionary."""
+    from rankfold.plans import catalog
+    _tables(spark, tmp_path)
+    joins, read = [], catalog.tpch_events
+    monkeypatch.setattr(catalog, "tpch_events", lambda *a: joins.append(a) or read(*a))
+    rows = {(r["phase"], r["scope"], r["field"]): r["n"] for r in catalog.q_dict_store_roundtrip(spark, str(tmp_path)).collect()}
+    plan = catalog.phases(spark, str(tmp_path))["final"].train
+    assert rows["final", "warm", "visitorid"] == plan.where("visitorid IS NOT NULL").select("visitorid").distinct().count()
+    assert len(joins) == 1 + len(catalog.PHASES)             # the last ones are this test's own
