@@ -152,6 +152,37 @@ def test_plan_of_a_step_does_not_grow_with_blocks(spark, rows, monkeypatch):
     assert calls == [3] * 6
 
 
+@pytest.mark.parametrize("held", [sgd.HELD_BYTES, 0])
+def test_one_stage_of_many_steps_equals_a_job_per_step(rows, monkeypatch, held):
+    """Long fits run without a job per step: the same factors, whatever the number of tasks at once and what they keep."""
+    fits = [sgd.Fit("bpr", 4, 12, 0.05, 0.01, gaussian_init=False, report=(0, 3, 10)),
+            sgd.Fit("warp", 3, 7, 0.05, 0.0, gaussian_init=False, adaptive=True, report=(2,))]
+    with monkeypatch.context() as m:
+        m.setattr(sgd, "gang_size", lambda spark: 0)
+        plain = sgd.fit_blocks(rows, fits, blocks=3)
+    jobs, real = [], sgd.run_tasks
+    monkeypatch.setattr(sgd, "run_tasks", lambda spark, tasks, fn: (jobs.append(len(tasks)), real(spark, tasks, fn)))
+    monkeypatch.setattr(sgd, "HELD_BYTES", held)
+    for size in (2, 4):
+        monkeypatch.setattr(sgd, "gang_size", lambda spark, size=size: size)
+        long = sgd.fit_blocks(rows, fits, blocks=3)
+        for x, y in zip(plain, long, strict=True):
+            assert sorted(x) == sorted(y)
+            for e in x:
+                assert apart(x[e].user_factors, y[e].user_factors) == apart(x[e].item_factors, y[e].item_factors) == 0
+    assert jobs == [3, 3]                          # the factors before the first step; no other job per step
+
+
+def test_rows_are_cut_for_parallel_steps(spark, monkeypatch):
+    """Blocks for parallel tasks as long as each has rows enough; a gang is asked for only where its size is known."""
+    from rankfold.operators import cells
+    monkeypatch.setattr(cells, "ROWS_PER_TASK", 100)
+    data = spark.range(1000).selectExpr("id % 90 AS u", "id % 77 AS i", "1.0 AS r")
+    assert cells.Cells(data).blocks == 1 and cells.Cells(data, tasks=24).blocks == 10
+    assert cells.Cells(data, tasks=4).blocks == 4 and cells.Cells(data, blocks=2, tasks=24).blocks == 2
+    assert cells.gang_size(spark) == spark.sparkContext.defaultParallelism
+
+
 def test_one_run_logged_twice_is_one_run(spark, tmp_path):
     from rankfold.sources import runs
     sizes = spark.createDataFrame([(3, 4, 9)], "train_users long, train_items long, train_interactions long")
