@@ -151,3 +151,22 @@ def test_a_users_best_block_is_met_first(tmp_path):
     table = pa.table({"id": [5], "bias": [0.0], "features": pa.array([[1.0, 0.0]], pa.list_(pa.float64()))})
     out = run((pa.scalar(""), pa.scalar(0)), table).to_pydict()
     assert out["i"] == [0, 1] and out["score"] == [5.0, 4.0]
+
+
+def test_a_block_looks_its_ids_up_among_the_seen_pairs(tmp_path, monkeypatch):
+    """Opening a block doesn't search every seen pair of the user block; pairs on its items are found, repeated ones too."""
+    from rankfold.operators import scoring
+    from rankfold.sources.blockfiles import save_block
+    rng = np.random.default_rng(7)
+    su, si = rng.integers(0, 40, 3000), rng.integers(0, 500, 3000)
+    ids = rng.permutation(np.arange(490, 520))
+    save_block(str(tmp_path), "items", ids=ids, m=rng.normal(size=(30, 2)), b=np.zeros(30))
+    searched, places = [], scoring._places
+    monkeypatch.setattr(scoring, "_places", lambda x, wanted: (searched.append(len(wanted)), places(x, wanted))[1])
+    own = scoring._Users(np.arange(40), rng.normal(size=(40, 2)), np.zeros(40), ("dot", 0.0, 1.0, None), 3, su, si)
+    block = scoring._Block(str(tmp_path), "items", own)
+    assert max(searched, default=0) <= len(ids)
+    want = sorted((u, i) for u, i in zip(su.tolist(), si.tolist()) if i >= 490)
+    assert len(set(want)) > 10 and sorted(zip(block.seen_user.tolist(), ids[block.seen_item].tolist())) == want
+    every = np.array([(u, n) for u in range(40) for n in range(30)])
+    assert block.unseen(every[:, 0], every[:, 1]).tolist() == [(u, ids[n]) not in set(want) for u, n in every.tolist()]
