@@ -215,3 +215,46 @@ def test_one_pass_matrices_equal_single_matrices(spark):
             for name, c in inter.phase_bundle(sp, scope, weights)[0].items():
                 mine = long.where((F.col("phase") == ph) & (F.col("scope") == scope) & (F.col("matrix") == name)).select(*key)
                 assert mine.exceptAll(c.select(*key)).count() == c.select(*key).exceptAll(mine).count() == 0 < mine.count()
+
+
+def test_factor_files_are_not_taken_for_small(spark, rows):
+    """A table of factors read from block files has no known size, so no join collects it for a broadcast."""
+    from rankfold.operators.factors import predict_pairs
+    from rankfold.operators.serving import cold_users
+    model = sgd.fit_blocks(rows, [sgd.Fit("bpr", 4, 1, 0.05, 0.01)], blocks=2)[0][1]
+    pairs = rows.selectExpr("u AS visitorid", "i AS itemid")
+    for df in (predict_pairs(model, pairs), cold_users(model, pairs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("loss", ["svd", "warp", "als"])
+def test_pairs_scored_by_block_equal_joined_pairs(spark, rows, loss, monkeypatch):
+    """Known, unknown and null ids, other columns, a user side without files: the rows of the joins, no factor shuffled."""
+    from rankfold.operators import factors as fac
+    from rankfold.operators.serving import with_cold_users
+    if loss == "als":
+        model = alsmod.fit_als_blocks(rows, [alsmod.AlsFit(4, 0.1, 2)], blocks=3)[0][2]
+        model.user_files = model.item_files = None
+    else:
+        model = sgd.fit_blocks(rows, [sgd.Fit(loss, 4, 2, 0.05, 0.01)], blocks=3)[0][2]
+    pairs = rows.selectExpr("u AS visitorid", "i AS itemid", "r AS value").unionByName(spark.createDataFrame(
+        [(1, 999, 0.5), (999, 1, None), (None, 1, 2.0), (1, None, 2.0), (500, 3, 1.0)], "visitorid long, itemid long, value double"))
+    pairs = pairs.unionByName(pairs.limit(40))                # rows that come twice
+    monkeypatch.setattr(fac, "PAIR_ROWS", 30)
+    for m in (model, with_cold_users(model, spark.createDataFrame([(500,)], "visitorid long"))):
+        by_join, by_block = (sorted(map(tuple, df.collect()), key=str) for df in (
+            fac.predict_pairs(m, pairs), fac.predict_pairs(m, pairs, blocks=fac.FactorBlocks(m, pairs.count(), 20))))
+        assert len(by_join) == len(by_block) == pairs.count()
+        for a, b in zip(by_join, by_block):
+            assert a[:3] == b[:3] and a[4] == b[4] and a[3] == pytest.approx(b[3], abs=1e-12)
+
+
+def test_block_files_keep_arrays(tmp_path):
+    from rankfold.sources.blockfiles import load_block, save_block
+    arrays = {"ids": np.arange(5), "m": np.arange(12.0).reshape(3, 4).T, "none": np.empty((0, 3)), "f": np.float32([1.5])}
+    save_block(str(tmp_path), "x", **arrays)
+    back = load_block(str(tmp_path), "x")
+    assert list(back) == list(arrays) and all(back[k].dtype == arrays[k].dtype and np.array_equal(back[k], arrays[k]) for k in arrays)
+    back["m"][0, 0] = 7.0                                     # training changes blocks in place
+    assert list(load_block(str(tmp_path), "x", ("m",))) == ["m"] and load_block(str(tmp_path), "y") is None
