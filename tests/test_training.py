@@ -250,6 +250,12 @@ def test_pairs_scored_by_block_equal_joined_pairs(spark, rows, loss, monkeypatch
             assert a[:3] == b[:3] and a[4] == b[4] and a[3] == pytest.approx(b[3], abs=1e-12)
 
 
+def test_blocks_hold_more_ids_where_factors_are_short():
+    short, wide = sgd.Fit("bpr", 64, 1, 0.1, 0.0), sgd.Fit("warp", 256, 1, 0.1, 0.0, adaptive=True)
+    assert sgd.ids_of_a_block([short]) > 250_000 and sgd.ids_of_a_block([short, wide]) == 65_536
+    assert sgd.ids_of_a_block([sgd.Fit("warp", 64, 1, 0.1, 0.0, adaptive=True)]) * 16 * 65 <= sgd.BLOCK_BYTES
+
+
 def test_block_files_keep_arrays(tmp_path):
     from rankfold.sources.blockfiles import load_block, save_block
     arrays = {"ids": np.arange(5), "m": np.arange(12.0).reshape(3, 4).T, "none": np.empty((0, 3)), "f": np.float32([1.5])}
