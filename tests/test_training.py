@@ -264,3 +264,17 @@ def test_block_files_keep_arrays(tmp_path):
     assert list(back) == list(arrays) and all(back[k].dtype == arrays[k].dtype and np.array_equal(back[k], arrays[k]) for k in arrays)
     back["m"][0, 0] = 7.0                                     # training changes blocks in place
     assert list(load_block(str(tmp_path), "x", ("m",))) == ["m"] and load_block(str(tmp_path), "y") is None
+
+
+def test_als_keeps_no_shuffles_of_earlier_iterations(spark, rows):
+    """The shuffles that a fit leaves behind do not grow with its iterations."""
+    dicts = [rows.select(F.col(c).alias("raw"), F.col(c).alias("idx")).distinct() for c in "ui"]
+    cells = rows.select(F.col("u").alias("user_idx"), F.col("i").alias("item_idx"), F.col("r").alias("weight"))
+
+    def left(iterations):
+        held = lambda: set(tracker.shuffleStatuses().keySet().mkString(",").split(","))
+        tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+        before = held()
+        model = alsmod.train_als(cells, *dicts, rank=2, iterations=iterations, num_blocks=2)
+        return len(held() - before), model
+    assert left(4)[0] <= left(2)[0] + 1
